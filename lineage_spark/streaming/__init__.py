@@ -1,0 +1,5 @@
+"""Streaming: deliberately empty.
+
+The workbook tool this library re-creates works on batch datasets only; it has no
+stream source, watermark, window or state. The ``events`` table is read as a batch.
+"""
