@@ -73,3 +73,67 @@ SELECT coalesce(a.doc_id, r.doc_id) AS doc_id, coalesce(a.line_no, r.line_no) AS
   a.line AS left_line, r.line AS right_line
 FROM lines a FULL OUTER JOIN r ON a.doc_id = r.doc_id AND a.line_no = r.line_no
 WHERE a.line IS DISTINCT FROM r.line"""
+
+# ---------------------------------------------------------------- lineage graph
+
+ORACLE["dependency_edges"] = """WITH pr AS (SELECT l_partkey AS dataset, min(l_orderkey) AS producer FROM lineitem GROUP BY l_partkey),
+c AS (SELECT DISTINCT l_orderkey AS consumer, l_partkey AS dataset FROM lineitem)
+SELECT DISTINCT c.consumer, pr.producer, c.dataset FROM c JOIN pr ON c.dataset = pr.dataset
+WHERE c.consumer <> pr.producer"""
+
+ORACLE["two_tier_lookup"] = """SELECT e.event_id, e.user_id, coalesce(s.s_name, c.c_name) AS name,
+  CASE WHEN s.s_name IS NOT NULL THEN 'produced' WHEN c.c_name IS NOT NULL THEN 'external' END AS tier
+FROM events e LEFT JOIN supplier s ON s.s_suppkey = e.user_id
+LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') c ON c.c_custkey = e.user_id"""
+
+_DAG_T = "t AS (SELECT p_partkey + 1 AS k, CAST(((p_partkey + 1) * 7919) % 1000003 AS INTEGER) AS idx FROM part)"
+_DAG_INP = """inp AS (SELECT k, k // 2 AS j, 'ds' || (k // 2) AS arg FROM t WHERE k // 2 >= 1
+  UNION SELECT k, k // 3, 'ds' || (k // 3) FROM t WHERE k // 3 >= 1
+  UNION SELECT k, 0, 'ds0' FROM t WHERE k = 1)"""
+
+ORACLE["external_sentinel"] = f"""WITH {_DAG_T}, {_DAG_INP}
+SELECT 'T' || inp.k AS step, 'ds' || inp.j AS dataset, coalesce('T' || p.k, 'input_data') AS source
+FROM inp LEFT JOIN t p ON p.k = inp.j"""
+
+ORACLE["external_inputs"] = """SELECT o_custkey FROM orders
+EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'"""
+
+ORACLE["generated_outputs"] = "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F'"
+
+ORACLE["duplicate_producer"] = """SELECT md5(text) AS dataset, count(DISTINCT doc_id) AS n_producers
+FROM documents GROUP BY md5(text) HAVING count(DISTINCT doc_id) > 1"""
+
+ORACLE["step_manifest"] = f"""WITH {_DAG_T}, {_DAG_INP},
+src AS (SELECT inp.k, coalesce('T' || p.k, 'input_data') AS source FROM inp LEFT JOIN t p ON p.k = inp.j)
+SELECT 'T' || t.k AS step, coalesce(string_agg(DISTINCT src.source, ',' ORDER BY src.source), '') AS sources,
+  'template_T' || t.k || '.R' AS script, 'var_T' || t.k AS output
+FROM t LEFT JOIN src ON src.k = t.k GROUP BY t.k"""
+
+ORACLE["topo_order"] = f"""WITH RECURSIVE {_DAG_T},
+e AS (SELECT DISTINCT p.k AS parent, c.k AS child, CASE WHEN p.idx > c.idx THEN 1 ELSE 0 END AS w
+  FROM t c JOIN t p ON p.k = c.k // 2 OR p.k = c.k // 3),
+r(k, pass) AS (SELECT k, 1 FROM t WHERE k NOT IN (SELECT child FROM e)
+  UNION SELECT e.child, r.pass + e.w FROM r JOIN e ON e.parent = r.k),
+ps AS (SELECT k, max(pass) AS pass FROM r GROUP BY k)
+SELECT 'T' || t.k AS step, t.idx, CAST(ps.pass AS INTEGER) AS pass,
+  row_number() OVER (ORDER BY ps.pass, t.idx) AS seq
+FROM t JOIN ps ON ps.k = t.k"""
+
+ORACLE["unsatisfiable"] = f"""WITH RECURSIVE {_DAG_T},
+inp AS (SELECT k, k // 2 AS j, 'ds' || (k // 2) AS arg FROM t WHERE k // 2 >= 1
+  UNION SELECT k, k // 3, 'ds' || (k // 3) FROM t WHERE k // 3 >= 1
+  UNION SELECT k, 0, 'ds0' FROM t WHERE k = 1
+  UNION SELECT k, 10, 'ds10' FROM t WHERE k = 5
+  UNION SELECT k, NULL, 'missing_arg' FROM t WHERE k = 7),
+reach(k) AS (SELECT k FROM t WHERE k IN (5, 7)
+  UNION SELECT inp.k FROM inp JOIN reach ON inp.j = reach.k)
+SELECT 'T' || t.k AS step, t.idx,
+  string_agg(DISTINCT inp.arg, ',' ORDER BY inp.arg) AS missing
+FROM reach JOIN t ON t.k = reach.k JOIN inp ON inp.k = reach.k
+WHERE inp.j IS NULL OR inp.j IN (SELECT k FROM reach)
+GROUP BY t.k, t.idx"""
+
+ORACLE["pinned_dataset"] = f"""WITH {_DAG_T}, {_DAG_INP},
+kept AS (SELECT * FROM t WHERE k NOT IN (4, 6))
+SELECT 'T' || inp.k AS step, 'ds' || inp.j AS dataset, coalesce('T' || p.k, 'input_data') AS source
+FROM inp JOIN kept s ON s.k = inp.k LEFT JOIN kept p ON p.k = inp.j"""

@@ -109,3 +109,125 @@ def positional_diff(spark, sf):
         .select("doc_id", "line_no", "line")
     )
     return compare.positional_diff(lines, right, ["doc_id", "line_no"], "line")
+
+
+# ---------------------------------------------------------------- lineage graph
+
+from lineage_spark.operators import lineage  # noqa: E402
+
+
+def part_workbook(spark, sf, extra_inputs=None) -> DataFrame:
+    """A transform table shaped like a workbook, one step per ``part`` row.
+
+    Step ``T<k>`` (k = p_partkey + 1) produces ``ds<k>`` and reads ``ds<k div 2>``
+    and ``ds<k div 3>`` where those are at least 1; ``T1`` reads the external
+    ``ds0``. Declared index ``(k * 7919) % 1000003``. ``extra_inputs`` maps a step
+    number to more ``(arg, rid)`` inputs (rid may be None).
+    """
+    k = F.col("p_partkey") + 1
+
+    def inp(pos, j):
+        ds = F.concat(F.lit("ds"), j.cast("string"))
+        return F.struct(F.lit(pos).alias("pos"), ds.alias("arg"), ds.alias("rid"))
+
+    regular = F.filter(
+        F.array(inp(1, F.expr("(p_partkey + 1) div 2")), inp(2, F.expr("(p_partkey + 1) div 3"))),
+        lambda s: s["rid"] != F.lit("ds0"),
+    )
+    inputs = F.when(k == 1, F.array(inp(1, F.lit(0)))).otherwise(regular)
+    for step, extra in (extra_inputs or {}).items():
+        add = F.array(*[
+            F.struct(F.lit(10 + n).alias("pos"), F.lit(arg).alias("arg"), F.lit(rid).cast("string").alias("rid"))
+            for n, (arg, rid) in enumerate(extra)
+        ])
+        inputs = F.when(k == step, F.concat(inputs, add)).otherwise(inputs)
+    return load(spark, sf, "part").select(
+        F.concat(F.lit("T"), k.cast("string")).alias("name"),
+        ((k * 7919) % 1000003).cast("int").alias("idx"),
+        F.concat(F.lit("ds"), k.cast("string")).alias("output_rid"),
+        inputs.alias("inputs"),
+    )
+
+
+@query
+def dependency_edges(spark, sf):
+    li = load(spark, sf, "lineitem")
+    pairs = li.select(F.col("l_orderkey").alias("consumer"), F.col("l_partkey").alias("dataset"))
+    outputs = li.groupBy(F.col("l_partkey").alias("dataset")).agg(F.min("l_orderkey").alias("producer"))
+    # a step does not consume its own output: the producing order is not a consumer
+    inputs = pairs.join(
+        outputs.withColumnRenamed("producer", "consumer"), ["consumer", "dataset"], "left_anti"
+    )
+    return lineage.dependency_edges(inputs, outputs)
+
+
+@query
+def two_tier_lookup(spark, sf):
+    ev = load(spark, sf, "events").select("event_id", "user_id")
+    produced = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("p_name"))
+    external = (
+        load(spark, sf, "customer")
+        .filter(F.col("c_mktsegment") == "BUILDING")
+        .select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("e_name"))
+    )
+    return (
+        ev.join(produced, "user_id", "left")
+        .join(external, "user_id", "left")
+        .select(
+            "event_id",
+            "user_id",
+            F.coalesce("p_name", "e_name").alias("name"),
+            F.when(F.col("p_name").isNotNull(), F.lit("produced"))
+            .when(F.col("e_name").isNotNull(), F.lit("external"))
+            .alias("tier"),
+        )
+    )
+
+
+@query
+def external_sentinel(spark, sf):
+    return lineage.with_sources(part_workbook(spark, sf))
+
+
+@query
+def external_inputs(spark, sf):
+    o = load(spark, sf, "orders")
+    return lineage.external_datasets(
+        o.select("o_custkey"), o.filter(F.col("o_orderstatus") == "F").select("o_custkey")
+    )
+
+
+@query
+def generated_outputs(spark, sf):
+    o = load(spark, sf, "orders")
+    return lineage.generated_datasets(o.filter(F.col("o_orderstatus") == "F").select("o_custkey"))
+
+
+@query
+def duplicate_producer(spark, sf):
+    d = load(spark, sf, "documents").select(F.md5("text").alias("dataset"), F.col("doc_id").alias("producer"))
+    return lineage.duplicate_producers(d, "dataset", "producer")
+
+
+@query
+def step_manifest(spark, sf):
+    return lineage.step_manifest(part_workbook(spark, sf))
+
+
+@query
+def topo_order(spark, sf):
+    return lineage.topological_order(part_workbook(spark, sf))
+
+
+@query
+def unsatisfiable(spark, sf):
+    # T5 also reads ds10 (whose producer T10 reads ds5): a cycle; T7 has an
+    # argument with no declared dataset
+    wb = part_workbook(spark, sf, {5: [("ds10", "ds10")], 7: [("missing_arg", None)]})
+    return lineage.unsatisfiable(wb)
+
+
+@query
+def pinned_dataset(spark, sf):
+    pinned = spark.createDataFrame([("ds4",), ("ds6",)], "rid string")
+    return lineage.with_sources(lineage.pin_datasets(part_workbook(spark, sf), pinned))
