@@ -137,3 +137,51 @@ ORACLE["pinned_dataset"] = f"""WITH {_DAG_T}, {_DAG_INP},
 kept AS (SELECT * FROM t WHERE k NOT IN (4, 6))
 SELECT 'T' || inp.k AS step, 'ds' || inp.j AS dataset, coalesce('T' || p.k, 'input_data') AS source
 FROM inp JOIN kept s ON s.k = inp.k LEFT JOIN kept p ON p.k = inp.j"""
+
+# ---------------------------------------------------------------- lines, windows, rules
+
+ORACLE["doc_lines"] = f"SELECT doc_id, line_no, line FROM ({_DOC_LINES})"
+ORACLE["line_contains"] = f"SELECT doc_id, line_no, line FROM ({_DOC_LINES}) WHERE contains(line, 'License')"
+
+_CONV_SECTIONS = """SELECT conv_id, turn, role, text, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END)
+  OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS section
+FROM conversations"""
+
+ORACLE["sections"] = f"SELECT conv_id, turn, role, section FROM ({_CONV_SECTIONS})"
+ORACLE["first_match"] = f"""SELECT conv_id, section, min(turn) AS turn, arg_min(text, turn) AS text
+FROM ({_CONV_SECTIONS}) WHERE role = 'assistant' GROUP BY conv_id, section"""
+ORACLE["section_body"] = f"""SELECT conv_id, section, string_agg(text, chr(10) ORDER BY turn) AS body
+FROM ({_CONV_SECTIONS}) GROUP BY conv_id, section"""
+ORACLE["seq_total"] = """SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS VARCHAR)
+  || '/' || CAST(count(*) OVER (PARTITION BY conv_id) AS VARCHAR) AS label FROM conversations"""
+ORACLE["carry_forward"] = """SELECT event_id, user_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS)
+  OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase
+FROM events"""
+ORACLE["prev_step"] = """SELECT o_orderkey, o_custkey,
+  lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_orderkey FROM orders"""
+
+_EMAIL = r"[0-9]+@mail[0-9]+\.example\.com"
+_PHONE = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+ORACLE["rewrite_first_match"] = f"""SELECT doc_id, line_no, line FROM (SELECT doc_id, line_no, CASE
+  WHEN regexp_matches(line, '^\\s*$') THEN NULL
+  WHEN regexp_matches(line, 'token = "[0-9a-f]+"') THEN '# auto removed: ' || line
+  WHEN regexp_matches(line, '^(Released|Licensed) under') THEN 'LICENSE NOTICE'
+  WHEN regexp_matches(line, '{_EMAIL}') THEN regexp_replace(line, '{_EMAIL}', '<EMAIL>', 'g')
+  WHEN regexp_matches(line, '{_PHONE}') THEN regexp_replace(line, '{_PHONE}', '<PHONE>', 'g')
+  WHEN regexp_matches(line, '[0-9]+\\.[0-9]+\\.[0-9]+\\.[0-9]+')
+    THEN regexp_replace(line, '[0-9]+\\.[0-9]+\\.[0-9]+\\.[0-9]+', '<IP>', 'g')
+  ELSE regexp_replace(line, '(###|\\$\\$\\$|%%%|&&&|\\*\\*\\*)', '', 'g') END AS line FROM ({_DOC_LINES}))
+WHERE line IS NOT NULL"""
+ORACLE["rewrite_capture"] = f"""SELECT doc_id, line_no, CASE
+  WHEN regexp_matches(line, '([0-9]+)@mail([0-9]+)\\.example\\.com')
+    THEN regexp_replace(regexp_extract(line, '([0-9]+)@mail([0-9]+)\\.example\\.com', 0),
+      '([0-9]+)@mail([0-9]+)\\.example\\.com', 'user\\1 at host\\2')
+  WHEN regexp_matches(line, 'token = "([0-9a-f]{{8}})[0-9a-f]*"')
+    THEN regexp_replace(regexp_extract(line, 'token = "([0-9a-f]{{8}})[0-9a-f]*"', 0),
+      'token = "([0-9a-f]{{8}})[0-9a-f]*"', 'secret:\\1')
+  ELSE line END AS line FROM ({_DOC_LINES})"""
+ORACLE["rewrite_with_state"] = f"""SELECT doc_id, line_no, CASE WHEN regexp_matches(line, '{_PHONE}')
+  THEN regexp_replace(line, '{_PHONE}', 'contact ' || coalesce(last_email, ''), 'g') ELSE line END AS line
+FROM (SELECT *, last_value(nullif(regexp_extract(line, '{_EMAIL}', 0), '') IGNORE NULLS)
+  OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_email
+  FROM ({_DOC_LINES}))"""

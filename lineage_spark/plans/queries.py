@@ -231,3 +231,111 @@ def unsatisfiable(spark, sf):
 def pinned_dataset(spark, sf):
     pinned = spark.createDataFrame([("ds4",), ("ds6",)], "rid string")
     return lineage.with_sources(lineage.pin_datasets(part_workbook(spark, sf), pinned))
+
+
+# ---------------------------------------------------------------- lines, windows, rules
+
+from lineage_spark.operators import ordering, textlines  # noqa: E402
+from lineage_spark.operators.textlines import Rule  # noqa: E402
+
+
+def _doc_lines(spark, sf):
+    return explode_lines(load(spark, sf, "documents"), "doc_id", "text")
+
+
+@query
+def doc_lines(spark, sf):
+    return _doc_lines(spark, sf)
+
+
+@query
+def line_contains(spark, sf):
+    return _doc_lines(spark, sf).filter(F.col("line").contains("License"))
+
+
+def _conv_sections(spark, sf):
+    conv = load(spark, sf, "conversations")
+    scanned = ordering.ordered_scan(conv, ["conv_id"], ["turn"])
+    marked = ordering.running_sum_in_group(scanned, (F.col("role") == "user").cast("int"), "section")
+    return marked.withColumn("section", F.col("section").cast("int"))
+
+
+@query
+def sections(spark, sf):
+    return _conv_sections(spark, sf).select("conv_id", "turn", "role", "section")
+
+
+@query
+def first_match(spark, sf):
+    s = _conv_sections(spark, sf)
+    return textlines.first_match(s, ["conv_id", "section"], "turn", F.col("role") == "assistant", "text")
+
+
+@query
+def section_body(spark, sf):
+    s = _conv_sections(spark, sf)
+    return textlines.section_body(s, ["conv_id", "section"], "turn", "text")
+
+
+@query
+def seq_total(spark, sf):
+    conv = load(spark, sf, "conversations").select("conv_id", "turn")
+    s = ordering.ordered_scan(conv, ["conv_id"], ["turn"])
+    label = F.concat(ordering.row_in_group(s).cast("string"), F.lit("/"), ordering.group_size(s).cast("string"))
+    return s.select("conv_id", "turn", label.alias("label"))
+
+
+@query
+def carry_forward(spark, sf):
+    ev = load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    s = ordering.ordered_scan(ev, ["user_id"], ["ts", "event_id"])
+    s = ordering.last_seen_position(s, F.col("event_type") == "purchase", "__lp")
+    vals = s.filter(F.col("event_type") == "purchase").select(
+        F.col("__pos").alias("__lp"), F.col("value").alias("last_purchase")
+    )
+    return s.join(vals, "__lp", "left").select("event_id", "user_id", "last_purchase")
+
+
+@query
+def prev_step(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    s = ordering.ordered_scan(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    s = ordering.shifted(s, ["o_orderkey"], -1, "prev_")
+    return s.select("o_orderkey", "o_custkey", F.col("prev_o_orderkey").alias("prev_orderkey"))
+
+
+# Rule lists of the rewrite queries (data, not code).
+EMAIL = r"[0-9]+@mail[0-9]+\.example\.com"
+PHONE = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
+DOC_RULES = [
+    Rule(1, r"^\s*$", "drop"),
+    Rule(2, r'token = "[0-9a-f]+"', "comment"),
+    Rule(3, r"^(Released|Licensed) under", "replace", "LICENSE NOTICE"),
+    Rule(4, EMAIL, "substitute", "<EMAIL>"),
+    Rule(5, PHONE, "substitute", "<PHONE>"),
+    Rule(6, r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "substitute", "<IP>"),
+]
+DOC_DEFAULT = Rule(0, "", "substitute", "", target=r"(###|\$\$\$|%%%|&&&|\*\*\*)")
+CAPTURE_RULES = [
+    Rule(1, r"([0-9]+)@mail([0-9]+)\.example\.com", "capture", "user$1 at host$2"),
+    Rule(2, r'token = "([0-9a-f]{8})[0-9a-f]*"', "capture", "secret:$1"),
+]
+STATE_RULES = [Rule(1, PHONE, "state", "contact {state}")]
+
+
+@query
+def rewrite_first_match(spark, sf):
+    return textlines.rewrite(_doc_lines(spark, sf), DOC_RULES, default=DOC_DEFAULT)
+
+
+@query
+def rewrite_capture(spark, sf):
+    return textlines.rewrite(_doc_lines(spark, sf), CAPTURE_RULES)
+
+
+@query
+def rewrite_with_state(spark, sf):
+    lines = _doc_lines(spark, sf)
+    email = F.nullif(F.regexp_extract("line", EMAIL, 0), F.lit(""))
+    lines = textlines.carry_forward(lines, "doc_id", "line_no", email, "last_email")
+    return textlines.rewrite(lines, STATE_RULES, state_col="last_email").select("doc_id", "line_no", "line")
