@@ -185,3 +185,121 @@ ORACLE["rewrite_with_state"] = f"""SELECT doc_id, line_no, CASE WHEN regexp_matc
 FROM (SELECT *, last_value(nullif(regexp_extract(line, '{_EMAIL}', 0), '') IGNORE NULLS)
   OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_email
   FROM ({_DOC_LINES}))"""
+
+# ---------------------------------------------------------------- scalar functions
+
+_HOST = "^https?://([^/?#]+)"
+ORACLE["regex_scalars"] = f"""SELECT page_id, regexp_extract(url, '{_HOST}', 1) AS host,
+  nullif(regexp_extract(url, '[0-9]+', 0), '') AS first_num, regexp_replace(url, '[0-9]', 'N', 'g') AS masked,
+  regexp_replace(url, '/', '|') AS first_slash, regexp_matches(url, '^https:') AS is_https,
+  contains(url, '?') AS has_query, lower(url) AS lower_url, CAST(length(url) AS INTEGER) AS url_len,
+  substr(url, 1, 12) AS head FROM pages"""
+ORACLE["quoted_token"] = """SELECT event_id, split_part(props, '"', 2) AS token,
+  regexp_replace(split_part(props, '"', 2), '^/', '') AS stripped, contains(split_part(props, '"', 2), '.') AS has_ext
+FROM events"""
+_CLEANED = """trim(regexp_replace(regexp_replace(translate(url, '=', ' '), '[",]', '', 'g'), ' +', ' ', 'g'))"""
+ORACLE["clean_tokens"] = f"""SELECT page_id, pos, token FROM (SELECT page_id,
+  unnest(string_split({_CLEANED}, ' ')) AS token,
+  CAST(unnest(generate_series(1, len(string_split({_CLEANED}, ' ')))) AS INTEGER) AS pos FROM pages)
+WHERE token <> ''"""
+_PARTS = "string_split(regexp_replace(url, '[?#].*$', ''), '/')"
+ORACLE["array_first_match"] = f"""SELECT page_id, first_host, split_part(first_host, '.example', 1) AS site, paths
+FROM (SELECT page_id, list_filter({_PARTS}, lambda x: contains(x, '.example'))[1] AS first_host,
+  array_to_string(list_transform(list_filter({_PARTS}, lambda x: x <> ''), lambda x: '/data/' || x), ',') AS paths
+  FROM pages)"""
+ORACLE["distinct_tokens"] = """SELECT DISTINCT split_part(regexp_replace(t, '^/', ''), ',', 1) AS token
+FROM (SELECT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS t FROM pages)"""
+ORACLE["first_element"] = "SELECT doc_id, split_part(text, ' ', 1) AS first_word FROM documents"
+ORACLE["token_first_last"] = """SELECT doc_id, string_split_regex(trim(split_part(text, chr(10), 1)), ' +')[1] AS first_token,
+  string_split_regex(trim(split_part(text, chr(10), 1)), ' +')[-1] AS last_token FROM documents"""
+
+# ---------------------------------------------------------------- projections / filters
+
+ORACLE["rename_select_isin"] = """SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderpriority FROM orders
+WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
+ORACLE["prefix_mode"] = """SELECT p_partkey, p_brand, 'R' AS mode FROM part
+  WHERE starts_with(p_brand, 'Brand#1') OR starts_with(p_brand, 'Brand#2')
+UNION ALL SELECT p_partkey, p_brand, 'Python' FROM part
+  WHERE NOT (starts_with(p_brand, 'Brand#1') OR starts_with(p_brand, 'Brand#2'))
+UNION ALL SELECT p_partkey, p_brand, 'All' FROM part"""
+ORACLE["null_default"] = """SELECT d.doc_id, CASE WHEN l.quality IS NULL THEN 'unlabeled'
+  ELSE printf('q=%d,t=%d', l.quality, l.toxic) END AS label
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+ORACLE["drop_null_ids"] = """SELECT o_orderkey, status FROM (SELECT o_orderkey,
+  CASE WHEN o_orderpriority = '5-LOW' THEN 'NULL' ELSE nullif(o_orderstatus, 'P') END AS status FROM orders)
+WHERE status IS NOT NULL AND status <> 'NULL'"""
+ORACLE["derived_string"] = "SELECT p_partkey, printf('step %d of %s: %s', p_partkey, p_brand, p_type) AS label FROM part"
+
+# ---------------------------------------------------------------- packages, JSON
+
+ORACLE["resolve_version"] = """SELECT d.doc_id, coalesce(CAST(d.doc_id AS VARCHAR) || '=' || CAST(l.quality AS VARCHAR),
+  CAST(d.doc_id AS VARCHAR)) AS resolved FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
+ORACLE["translate_default"] = """SELECT event_id, event_type, CASE event_type WHEN 'click' THEN 'tap'
+  WHEN 'view' THEN 'impression' ELSE event_type END AS translated FROM events"""
+ORACLE["ci_first_match"] = """WITH lk(pos, name) AS (VALUES (1, 'Urgent'), (2, 'HIGH'), (3, 'urgent'), (4, 'Low'), (5, 'LOW')),
+f AS (SELECT lower(name) AS low, arg_min(name, pos) AS matched FROM lk GROUP BY lower(name))
+SELECT o.o_orderkey, o.word, f.matched FROM (SELECT o_orderkey, split_part(o_orderpriority, '-', 2) AS word FROM orders) o
+LEFT JOIN f ON lower(o.word) = f.low"""
+ORACLE["last_wins"] = "SELECT user_id, arg_max(value, ts) AS value FROM events GROUP BY user_id"
+ORACLE["append_constants"] = """SELECT spec, row_number() OVER (ORDER BY spec) AS pos FROM (
+  SELECT DISTINCT 'r-' || lower(replace(p_brand, '#', '')) AS spec FROM part
+  UNION ALL SELECT 'r-renv' UNION ALL SELECT 'r-biocmanager')"""
+ORACLE["two_key_order"] = """WITH n AS (SELECT p_partkey AS pos,
+  split_part(split_part('r-' || string_split(p_name, ' ')[-1] || '=1.0', '=', 1), '-', 2) AS name FROM part),
+t AS (SELECT pos, CASE name WHEN 'ring' THEN 'RingLib' WHEN 'widget' THEN 'WidgetLib' END AS lib, name FROM n
+  WHERE name <> 'base')
+SELECT row_number() OVER (ORDER BY lib IS NOT NULL, pos) AS seq, coalesce(lib, name) AS library,
+  lib IS NOT NULL AS translated FROM t"""
+ORACLE["json_props"] = """SELECT event_type, count(*) AS n, CAST(sum(json_extract(props, '$.k')::INTEGER) AS BIGINT) AS sum_k
+FROM events GROUP BY event_type"""
+ORACLE["json_assembly"] = """SELECT n.n_nationkey, to_json({'nation': n.n_name, 'n_customers': count(*),
+  'segments': list_sort(list(DISTINCT c.c_mktsegment))}) AS doc
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_nationkey, n.n_name"""
+
+# ---------------------------------------------------------------- membership, mapping, lists
+
+ORACLE["semi_join"] = """SELECT c_custkey, c_name FROM customer
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"""
+ORACLE["anti_join"] = """SELECT c_custkey, c_name FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"""
+ORACLE["two_hop"] = """SELECT c.c_custkey, n.n_name, r.r_name FROM customer c
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""
+ORACLE["unmet_requirements"] = """SELECT pattern FROM (VALUES ('MIT License'), ('Apache License'),
+  ('GNU General Public License'), ('BSD License'), ('token = "'), ('password'), ('@mail'),
+  ('SPDX-License-Identifier')) t(pattern)
+WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, t.pattern))"""
+ORACLE["ordered_args"] = "SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles FROM conversations GROUP BY conv_id"
+ORACLE["ordered_ids"] = """SELECT p_brand, string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY p_partkey) AS part_keys
+FROM part GROUP BY p_brand"""
+ORACLE["base64_roundtrip"] = "SELECT item_id, md5(from_base64(to_base64(encode(text)))) AS digest FROM benchmark"
+
+# ---------------------------------------------------------------- sources, snapshots
+
+ORACLE["load_parts"] = "SELECT * FROM orders"
+ORACLE["format_dispatch"] = f"""SELECT host, CASE WHEN max(CASE WHEN ends_with(name, '.parquet') THEN 1 ELSE 0 END) = 1 THEN 'parquet'
+  WHEN sum(CASE WHEN ends_with(name, '.csv') THEN 1 ELSE 0 END) = 1 THEN 'csv'
+  WHEN max(CASE WHEN ends_with(name, 'abc') THEN 1 ELSE 0 END) = 1 THEN 'abc'
+  WHEN max(CASE WHEN ends_with(name, '.rds') THEN 1 ELSE 0 END) = 1 THEN 'rds'
+  WHEN max(CASE WHEN ends_with(name, '.h5') THEN 1 ELSE 0 END) = 1 THEN 'h5' ELSE 'paths' END AS format,
+  count(*) AS n_files
+FROM (SELECT regexp_extract(url, '{_HOST}', 1) AS host,
+  string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1] AS name FROM pages) GROUP BY host"""
+ORACLE["csv_load"] = """SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"""
+ORACLE["basename_last_wins"] = """SELECT basename, arg_max(page_id, page_id) AS page_id, arg_max(url, page_id) AS url
+FROM (SELECT page_id, url, string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1] AS basename FROM pages)
+GROUP BY basename"""
+_LATEST = """SELECT o_custkey AS dataset_rid, 'master' AS branch, o_orderkey AS txn_rid, o_orderdate AS close_time
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders WHERE o_orderstatus = 'F') WHERE rn = 1"""
+ORACLE["latest_committed"] = _LATEST
+ORACLE["snapshot_rows"] = f"""SELECT l_orderkey, l_partkey, l_linenumber, l_quantity FROM lineitem
+WHERE l_orderkey IN (SELECT txn_rid FROM ({_LATEST}))"""
+_REV = """SELECT n.n_nationkey, n.n_name, count(*) AS n_orders,
+  CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS revenue_cents
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+ORACLE["materialize_reload"] = f"SELECT * FROM ({_REV} GROUP BY n.n_nationkey, n.n_name) WHERE n_orders > 590"
+ORACLE["publish_read"] = "SELECT * FROM orders WHERE o_orderstatus = 'O'"
+ORACLE["run_workbook"] = """SELECT n.n_name, count(*) AS n_orders,
+  CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS revenue_cents
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE o.o_orderstatus = 'F' GROUP BY n.n_name"""

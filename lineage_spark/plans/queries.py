@@ -339,3 +339,383 @@ def rewrite_with_state(spark, sf):
     email = F.nullif(F.regexp_extract("line", EMAIL, 0), F.lit(""))
     lines = textlines.carry_forward(lines, "doc_id", "line_no", email, "last_email")
     return textlines.rewrite(lines, STATE_RULES, state_col="last_email").select("doc_id", "line_no", "line")
+
+
+# ---------------------------------------------------------------- scalar functions
+
+from lineage_spark.functions import text as tx  # noqa: E402
+
+HOST = r"^https?://([^/?#]+)"
+
+
+@query
+def regex_scalars(spark, sf):
+    p = load(spark, sf, "pages").select("page_id", "url")
+    u = F.col("url")
+    return p.select(
+        "page_id",
+        tx.first_capture(u, HOST, 1).alias("host"),
+        tx.first_match_or_null(u, "[0-9]+").alias("first_num"),
+        tx.replace_all(u, "[0-9]", "N").alias("masked"),
+        tx.replace_first(u, "/", "|").alias("first_slash"),
+        u.rlike("^https:").alias("is_https"),
+        u.contains("?").alias("has_query"),
+        F.lower(F.col("url")).alias("lower_url"),
+        F.length(u).alias("url_len"),
+        F.substring(u, 1, 12).alias("head"),
+    )
+
+
+@query
+def quoted_token(spark, sf):
+    ev = load(spark, sf, "events").select("event_id", "props")
+    tok = tx.quoted_token("props")
+    return ev.select(
+        "event_id", tok.alias("token"), tx.strip_leading_slash(tok).alias("stripped"),
+        tok.contains(".").alias("has_ext"),
+    )
+
+
+@query
+def clean_tokens(spark, sf):
+    p = load(spark, sf, "pages").select("page_id", tx.clean_token_text("url").alias("cleaned"))
+    return (
+        p.select("page_id", F.posexplode(F.split("cleaned", " ")).alias("pos", "token"))
+        .filter(F.col("token") != "")
+        .select("page_id", (F.col("pos") + 1).cast("int").alias("pos"), "token")
+    )
+
+
+@query
+def array_first_match(spark, sf):
+    p = load(spark, sf, "pages").select("page_id", F.split(tx.strip_url_tail("url"), "/").alias("parts"))
+    first = tx.first_containing("parts", ".example")
+    return p.select(
+        "page_id",
+        first.alias("first_host"),
+        F.substring_index(first, ".example", 1).alias("site"),
+        F.array_join(tx.prefix_paths(F.filter("parts", lambda x: x != ""), "/data"), ",").alias("paths"),
+    )
+
+
+@query
+def distinct_tokens(spark, sf):
+    p = load(spark, sf, "pages").select("html")
+    hrefs = F.regexp_extract_all(F.col("html"), F.lit(r'href="([^"]*)"'), F.lit(1))
+    tok = F.substring_index(tx.strip_leading_slash(F.col("t")), ",", 1)
+    return p.select(F.explode(hrefs).alias("t")).select(tok.alias("token")).distinct()
+
+
+@query
+def first_element(spark, sf):
+    d = load(spark, sf, "documents").select("doc_id", "text")
+    return d.select("doc_id", F.try_element_at(F.split("text", " "), F.lit(1)).alias("first_word"))
+
+
+@query
+def token_first_last(spark, sf):
+    d = load(spark, sf, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("line"))
+    return d.select("doc_id", tx.first_token("line").alias("first_token"), tx.last_token("line").alias("last_token"))
+
+
+# ---------------------------------------------------------------- projections / filters
+
+
+@query
+def rename_select_isin(spark, sf):
+    o = load(spark, sf, "orders")
+    return (
+        o.withColumnsRenamed({"o_orderkey": "order_id", "o_custkey": "customer_id"})
+        .select("order_id", "customer_id", "o_orderpriority")
+        .filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    )
+
+
+@query
+def prefix_mode(spark, sf):
+    from lineage_spark.operators import packages
+
+    p = load(spark, sf, "part").select("p_partkey", "p_brand")
+    parts = [
+        packages.prefix_mode(p, "p_brand", m, ("Brand#1", "Brand#2")).withColumn("mode", F.lit(m))
+        for m in packages.MODES
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def null_default(spark, sf):
+    d = load(spark, sf, "documents").select("doc_id")
+    lab = load(spark, sf, "labels")
+    j = d.join(lab, "doc_id", "left")
+    label = F.when(F.col("quality").isNull(), F.lit("unlabeled")).otherwise(
+        F.format_string("q=%d,t=%d", F.col("quality"), F.col("toxic"))
+    )
+    return j.select("doc_id", label.alias("label"))
+
+
+@query
+def drop_null_ids(spark, sf):
+    o = load(spark, sf, "orders")
+    ids = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NULL")).otherwise(
+        F.nullif(F.col("o_orderstatus"), F.lit("P"))
+    )
+    s = o.select("o_orderkey", ids.alias("status"))
+    return s.filter(F.col("status").isNotNull() & (F.col("status") != "NULL"))
+
+
+@query
+def derived_string(spark, sf):
+    p = load(spark, sf, "part")
+    return p.select("p_partkey", F.format_string("step %d of %s: %s", "p_partkey", "p_brand", "p_type").alias("label"))
+
+
+# ---------------------------------------------------------------- packages, JSON
+
+from lineage_spark.operators import packages  # noqa: E402
+from lineage_spark.sources import jsonsrc  # noqa: E402
+
+
+@query
+def resolve_version(spark, sf):
+    d = load(spark, sf, "documents").select(F.col("doc_id").alias("spec"))
+    lab = load(spark, sf, "labels").select(F.col("doc_id").alias("name"), F.col("quality").alias("version"))
+    return packages.resolve_versions(d, lab).select(F.col("spec").alias("doc_id"), "resolved")
+
+
+@query
+def translate_default(spark, sf):
+    ev = load(spark, sf, "events").select("event_id", "event_type")
+    m = {"click": "tap", "view": "impression"}
+    return ev.withColumn("translated", packages.translate(F.col("event_type"), m))
+
+
+PRIORITY_LOOKUP = [(1, "Urgent"), (2, "HIGH"), (3, "urgent"), (4, "Low"), (5, "LOW")]
+
+
+@query
+def ci_first_match(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("word"))
+    lookup = spark.createDataFrame(PRIORITY_LOOKUP, "pos int, name string")
+    return packages.ci_first_match(o, "word", lookup)
+
+
+@query
+def last_wins(spark, sf):
+    ev = load(spark, sf, "events")
+    return packages.last_wins(ev, "user_id", "value", F.struct("ts", "event_id"))
+
+
+@query
+def append_constants(spark, sf):
+    p = load(spark, sf, "part")
+    specs = p.select(F.concat(F.lit("r-"), F.lower(F.regexp_replace("p_brand", "#", ""))).alias("spec")).distinct()
+    return packages.append_sorted(specs, "spec")
+
+
+@query
+def two_key_order(spark, sf):
+    p = load(spark, sf, "part")
+    spec = F.concat(F.lit("r-"), F.element_at(F.split("p_name", " "), -1), F.lit("=1.0"))
+    named = p.select(F.col("p_partkey").alias("pos"), packages.package_name(spec).alias("name"))
+    return packages.library_order(named, "name", "pos", {"ring": "RingLib", "widget": "WidgetLib"})
+
+
+@query
+def json_props(spark, sf):
+    ev = load(spark, sf, "events")
+    k = jsonsrc.json_field("props", "k int", "k")
+    return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(k).cast("long").alias("sum_k"))
+
+
+@query
+def json_assembly(spark, sf):
+    c = load(spark, sf, "customer")
+    n = load(spark, sf, "nation")
+    g = c.join(n, c.c_nationkey == n.n_nationkey).groupBy("n_nationkey", "n_name").agg(
+        F.count(F.lit(1)).alias("cnt"), F.array_sort(F.collect_set("c_mktsegment")).alias("segs")
+    )
+    doc = jsonsrc.to_json_document(("nation", F.col("n_name")), ("n_customers", F.col("cnt")), ("segments", F.col("segs")))
+    return g.select("n_nationkey", doc.alias("doc"))
+
+
+# ---------------------------------------------------------------- membership, mapping, lists
+
+from lineage_spark.operators import lookups  # noqa: E402
+
+
+def _finished(spark, sf):
+    return load(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("c_custkey"))
+
+
+@query
+def semi_join(spark, sf):
+    return lookups.semi_join(load(spark, sf, "customer").select("c_custkey", "c_name"), _finished(spark, sf), "c_custkey")
+
+
+@query
+def anti_join(spark, sf):
+    return lookups.anti_join(load(spark, sf, "customer").select("c_custkey", "c_name"), _finished(spark, sf), "c_custkey")
+
+
+@query
+def two_hop(spark, sf):
+    c = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = load(spark, sf, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey"))
+    r = load(spark, sf, "region")
+    return lookups.two_hop(c, n, r, "c_nationkey", "n_nationkey", "r_regionkey").select("c_custkey", "n_name", "r_name")
+
+
+REQUIREMENTS = ["MIT License", "Apache License", "GNU General Public License", "BSD License",
+                'token = "', "password", "@mail", "SPDX-License-Identifier"]
+
+
+@query
+def unmet_requirements(spark, sf):
+    return lookups.unmet_requirements(load(spark, sf, "documents"), "text", REQUIREMENTS)
+
+
+@query
+def ordered_args(spark, sf):
+    conv = load(spark, sf, "conversations")
+    return lookups.ordered_list(conv, ["conv_id"], "turn", "role", ",", "roles")
+
+
+@query
+def ordered_ids(spark, sf):
+    p = load(spark, sf, "part")
+    return lookups.ordered_list(p, ["p_brand"], "p_partkey", "p_partkey", ",", "part_keys")
+
+
+@query
+def base64_roundtrip(spark, sf):
+    b = load(spark, sf, "benchmark")
+    return b.select("item_id", F.md5(F.unbase64(F.base64(F.col("text").cast("binary")))).alias("digest"))
+
+
+# ---------------------------------------------------------------- sources, snapshots
+
+from lineage_spark.session import scratch_path  # noqa: E402
+from lineage_spark.sources import files, snapshots  # noqa: E402
+
+
+@query
+def load_parts(spark, sf):
+    o = load(spark, sf, "orders")
+    root = scratch_path(spark, "orders_parts")
+    # two writes with different column orders below one dataset folder
+    o.filter(F.col("o_orderstatus") == "F").write.parquet(f"{root}/a")
+    o.filter(F.col("o_orderstatus") != "F").select(list(reversed(o.columns))).write.parquet(f"{root}/b")
+    return files.load_parts(spark, root).select(*o.columns)
+
+
+@query
+def format_dispatch(spark, sf):
+    p = load(spark, sf, "pages")
+    f = p.select(
+        tx.first_capture("url", HOST, 1).alias("host"), tx.basename(tx.strip_url_tail("url")).alias("name")
+    )
+    return files.classify_format(f, "host")
+
+
+@query
+def csv_load(spark, sf):
+    path = scratch_path(spark, "supplier_csv")
+    load(spark, sf, "supplier").write.option("header", True).csv(path)
+    return files.read_delimited(spark, path)
+
+
+@query
+def path_table(spark, sf):
+    return files.path_table(spark, sf).select("name", "length")
+
+
+@query
+def basename_last_wins(spark, sf):
+    p = load(spark, sf, "pages").select("page_id", "url", tx.strip_url_tail("url").alias("path"))
+    return snapshots.last_by_basename(p, "path", "page_id").select("basename", "page_id", "url")
+
+
+def _order_transactions(spark, sf):
+    o = load(spark, sf, "orders")
+    return o.select(
+        F.col("o_custkey").alias("dataset_rid"),
+        F.lit("master").alias("branch"),
+        F.col("o_orderkey").alias("txn_rid"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(snapshots.COMMITTED)).otherwise(F.lit(snapshots.OPEN)).alias("status"),
+        F.col("o_orderdate").alias("close_time"),
+    )
+
+
+@query
+def latest_committed(spark, sf):
+    return snapshots.latest_committed(_order_transactions(spark, sf))
+
+
+@query
+def snapshot_rows(spark, sf):
+    latest = snapshots.latest_committed(_order_transactions(spark, sf)).select(F.col("txn_rid").alias("l_orderkey"))
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    return lookups.semi_join(li, latest, "l_orderkey")
+
+
+def revenue_by_nation(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return (
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey)
+        .groupBy("n_nationkey", "n_name")
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(cents).alias("revenue_cents"))
+    )
+
+
+@query
+def materialize_reload(spark, sf):
+    rev = revenue_by_nation(load(spark, sf, "orders"), load(spark, sf, "customer"), load(spark, sf, "nation"))
+    path = files.save_dataset(rev, scratch_path(spark, "revenue_by_nation"))
+    return files.reload_dataset(spark, path).filter(F.col("n_orders") > 590)
+
+
+@query
+def publish_read(spark, sf):
+    o = load(spark, sf, "orders")
+    root = scratch_path(spark, "published")
+    snapshots.publish(o.filter(F.col("o_orderstatus") == "F"), root, "orders")
+    snapshots.publish(o.filter(F.col("o_orderstatus") == "O"), root, "orders")
+    snapshots.publish(o.filter(F.col("o_orderstatus") == "P"), root, "orders", commit=False)
+    return snapshots.read_latest(spark, root, "orders")
+
+
+# ---------------------------------------------------------------- workbook
+
+from lineage_spark.plans.workbook import Workbook  # noqa: E402
+
+
+def revenue_workbook(spark, sf) -> Workbook:
+    """Three user transforms: finished orders -> with nation -> revenue by nation."""
+    wb = Workbook(spark)
+    wb.dataset("orders", load(spark, sf, "orders"))
+    wb.dataset("customer", load(spark, sf, "customer"))
+    wb.dataset("nation", load(spark, sf, "nation"))
+
+    @wb.transform(output="finished_orders", inputs=["orders"])
+    def finished_orders(orders):
+        return orders.filter(F.col("o_orderstatus") == "F")
+
+    @wb.transform(output="orders_by_nation", inputs=["finished_orders", "customer", "nation"])
+    def orders_by_nation(fo, customer, nation):
+        return fo.join(customer, fo.o_custkey == customer.c_custkey).join(
+            nation, customer.c_nationkey == nation.n_nationkey
+        )
+
+    @wb.transform(output="revenue", inputs=["orders_by_nation"])
+    def revenue(obn):
+        cents = F.round(F.col("o_totalprice") * 100).cast("long")
+        return obn.groupBy("n_name").agg(F.count(F.lit(1)).alias("n_orders"), F.sum(cents).alias("revenue_cents"))
+
+    return wb
+
+
+@query
+def run_workbook(spark, sf):
+    return revenue_workbook(spark, sf).resolve("revenue")
