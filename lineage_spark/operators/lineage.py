@@ -21,6 +21,9 @@ from lineage_spark.session import cut_lineage
 
 # Fixed values.
 EXTERNAL_SOURCE = "input_data"
+# A frontier of at most this many (name, pass) rows is broadcast; a larger one is
+# shuffled like any other join side.
+BROADCAST_FRONTIER_ROWS = 1_000_000
 
 
 def step_inputs(transforms: DataFrame) -> DataFrame:
@@ -145,33 +148,53 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     spark = transforms.sparkSession
     nodes, edges, blocked, indeg = _graph(transforms)
-    edges = cut_lineage(edges)
     gate = cut_lineage(
         nodes.join(indeg, "node", "left")
         .join(blocked.withColumn("blocked", F.lit(True)), "node", "left")
         .select("node", F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("blocked", F.lit(False)).alias("blocked"))
     )
+    # each edge carries its child's in-degree and blocked flag, so a round needs
+    # no join besides edges x frontier
+    edges = cut_lineage(
+        edges.join(gate.withColumnRenamed("node", "child"), "child").select("parent", "child", "w", "indeg", "blocked")
+    )
     frontier = cut_lineage(
         gate.filter((F.col("indeg") == 0) & ~F.col("blocked")).select("node", F.lit(1).alias("pass"))
     )
-    acc = spark.createDataFrame([], "node string, got long, best int")
+    acc = spark.createDataFrame([], "node string, got long, best int, indeg long, blocked boolean")
     done = [frontier]
-    while frontier.take(1):
+    n_frontier = frontier.count()
+    # one checkpoint per round: the round's state holds both the next frontier
+    # (ready) and the children still waiting for parents (not ready)
+    while n_frontier:
+        f = frontier.withColumnRenamed("node", "parent")
+        if n_frontier <= BROADCAST_FRONTIER_ROWS:  # size known from the count
+            f = F.broadcast(f)
         contrib = (
-            edges.join(frontier.withColumnRenamed("node", "parent"), "parent")
+            edges.join(f, "parent")
             .groupBy(F.col("child").alias("node"))
-            .agg(F.count(F.lit(1)).alias("got"), F.max(F.col("pass") + F.col("w")).alias("best"))
+            .agg(
+                F.count(F.lit(1)).alias("got"),
+                F.max(F.col("pass") + F.col("w")).alias("best"),
+                F.max("indeg").alias("indeg"),
+                F.max("blocked").alias("blocked"),
+            )
+        )
+        merged = acc.unionByName(contrib).groupBy("node").agg(
+            F.sum("got").alias("got"), F.max("best").alias("best"),
+            F.max("indeg").alias("indeg"), F.max("blocked").alias("blocked"),
         )
-        acc = acc.unionByName(contrib).groupBy("node").agg(F.sum("got").alias("got"), F.max("best").alias("best"))
-        acc = cut_lineage(acc.join(gate, "node").select("node", "got", "best", "indeg", "blocked"))
-        ready_cond = (F.col("got") == F.col("indeg")) & ~F.col("blocked")
-        frontier = cut_lineage(acc.filter(ready_cond).select("node", F.col("best").cast("int").alias("pass")))
-        acc = acc.filter(~ready_cond).select("node", "got", "best")
-        done.append(frontier)
+        state = merged.withColumn("ready", (F.col("got") == F.col("indeg")) & ~F.col("blocked"))
+        state = cut_lineage(state)
+        frontier = state.filter("ready").select("node", F.col("best").cast("int").alias("pass"))
+        acc = state.filter(~F.col("ready")).drop("ready")
+        n_frontier = frontier.count()
+        if n_frontier:
+            done.append(frontier)
     resolved = done[0]
     for d in done[1:]:
         resolved = resolved.unionByName(d)
-    resolved = resolved.join(nodes, "node").select(F.col("node").alias("step"), "idx", "pass")
+    resolved = cut_lineage(resolved.join(nodes, "node").select(F.col("node").alias("step"), "idx", "pass"))
     stuck = nodes.join(resolved.select(F.col("step").alias("node")), "node", "left_anti").select(
         F.col("node").alias("step"), "idx"
     )

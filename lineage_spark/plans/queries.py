@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from lineage_spark.operators import compare
+from lineage_spark.operators import compare, ordering
 from lineage_spark.session import load
 from lineage_spark.sources.lines import explode_lines
 
@@ -98,8 +98,11 @@ def dataset_digest(spark, sf):
 @query
 def positional_diff(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "source", "text")
-    nxt = docs.select(
-        "doc_id", F.lead("doc_id").over(Window.partitionBy("source").orderBy("doc_id")).alias("next_doc")
+    # next document of the same source: a lead inside the source computed as a
+    # join on global position, so a source holding most documents still spreads
+    scanned = ordering.ordered_scan(docs.select("doc_id", "source"), ["source"], ["doc_id"])
+    nxt = ordering.shifted(scanned, ["doc_id"], 1, "next_").select(
+        "doc_id", F.col("next_doc_id").alias("next_doc")
     )
     lines = explode_lines(docs, "doc_id", "text")
     # the next document's lines, keyed by the document they are compared with
