@@ -40,7 +40,8 @@ class Rule:
     * ``capture`` – the line becomes ``replacement`` filled from the groups of the
       first match (e.g. ``saveRDS\\((\\S+),`` with ``return($1)``);
     * ``state`` – like ``substitute``, with ``{state}`` in ``replacement`` taken
-      from the carried state column.
+      from the carried state column (``state`` names it per rule; see
+      :func:`carry_forward`).
     """
 
     pos: int
@@ -48,6 +49,7 @@ class Rule:
     action: str
     replacement: str | None = None
     target: str | None = None
+    state: str | None = None  # column carrying this rule's state (default: the rewrite's)
 
     def __post_init__(self):
         if self.action not in ACTIONS:
@@ -84,6 +86,8 @@ def _action(rule: Rule, line: Column, state: Column | None) -> Column:
         pat = rule.target or rule.pattern
         return F.regexp_replace(F.regexp_extract(line, pat, 0), F.lit(pat), F.lit(rule.replacement or ""))
     # state
+    if rule.state:
+        state = F.col(rule.state)
     if state is None:
         raise ValueError("a state rule needs a state column")
     head, _, tail = (rule.replacement or "").partition(STATE_TOKEN)
