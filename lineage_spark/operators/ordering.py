@@ -53,11 +53,13 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list) -> Data
     ``__start``/``__end`` (first and last position of the row's group).
 
     The group bounds come from a partial aggregate (one row per group per task
-    before the shuffle), joined back on the group key.
+    before the shuffle), joined back on the group key; a hot group is one skewed
+    key of that join, split by AQE's skew handling. The result is checkpointed, as
+    the scan operators below read it several times.
     """
     indexed = global_index(df, [*group_cols, *order_cols], "__pos")
     bounds = indexed.groupBy(*group_cols).agg(F.min("__pos").alias("__start"), F.max("__pos").alias("__end"))
-    return indexed.join(bounds, group_cols)
+    return cut_lineage(indexed.join(bounds, group_cols))
 
 
 def row_in_group(scanned: DataFrame) -> Column:
@@ -92,8 +94,9 @@ def running_sum_in_group(scanned: DataFrame, value: Column, out: str) -> DataFra
     """``out`` = sum of ``value`` over the group's rows up to and including this one.
 
     Global running sum minus the running sum just before the group's start. The
-    global running sum is a per-range-partition running sum plus the partition's
-    offset; partitions are balanced by the range partitioner.
+    global running sum is a running sum inside equal-size buckets of consecutive
+    positions plus the total of the earlier buckets (a table of at most
+    ``spark.sql.shuffle.partitions`` rows, broadcast).
     """
     return _running(scanned, value, out, how="sum")
 
