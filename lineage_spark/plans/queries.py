@@ -412,12 +412,13 @@ def distinct_tokens(spark, sf):
 @query
 def first_element(spark, sf):
     d = load(spark, sf, "documents").select("doc_id", "text")
-    return d.select("doc_id", F.try_element_at(F.split("text", " "), F.lit(1)).alias("first_word"))
+    # split with a limit of 2: the first element without splitting the whole text
+    return d.select("doc_id", F.try_element_at(F.split("text", " ", 2), F.lit(1)).alias("first_word"))
 
 
 @query
 def token_first_last(spark, sf):
-    d = load(spark, sf, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("line"))
+    d = load(spark, sf, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("line"))
     return d.select("doc_id", tx.first_token("line").alias("first_token"), tx.last_token("line").alias("last_token"))
 
 

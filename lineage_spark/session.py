@@ -44,7 +44,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     session with neither setting is an error: a machine-local folder is not
     visible to the other executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server owns the setting
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running lineage jobs")
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current

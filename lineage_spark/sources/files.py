@@ -85,3 +85,21 @@ def save_dataset(df: DataFrame, path: str, force: bool = False) -> str:
 
 def reload_dataset(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def load_dataset(spark: SparkSession, path: str, schema=None) -> tuple[str, DataFrame]:
+    """Read a downloaded dataset folder with the reader its file list calls for.
+
+    Returns ``(format, frame)``: parquet parts appended by name, a single CSV (or a
+    file named ``...abc``) read with its header, and for R objects (``.rds``,
+    ``.h5``) or anything else the path table, since those are not tables.
+    """
+    listing = list_files(spark, path)
+    fmt = classify_format(listing.withColumn("dataset", F.lit(path)), "dataset").first()["format"]
+    if fmt == "parquet":
+        return fmt, load_parts(spark, path, schema)
+    if fmt in ("csv", "abc"):
+        suffix = ".csv" if fmt == "csv" else "abc"
+        target = [r["path"] for r in listing.filter(F.col("name").endswith(suffix)).select("path").collect()]
+        return fmt, read_delimited(spark, target[0] if fmt == "csv" else target)
+    return fmt, path_table(spark, path)

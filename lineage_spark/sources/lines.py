@@ -27,3 +27,33 @@ def read_text_lines(spark, path: str) -> DataFrame:
     """
     raw = spark.read.option("wholetext", True).text(path).withColumn("path", F.input_file_name())
     return explode_lines(raw, "path", "value")
+
+
+def step_scripts(lines: DataFrame, marker: str, prefix: str = "", suffix: str = "") -> DataFrame:
+    """Steps of a run script: the lines containing ``marker``, in line order.
+
+    ``(id, seq, call, script, name)``: ``call`` is the first token, ``script`` the
+    last one, ``name`` the script with ``prefix`` and ``suffix`` removed. ``seq``
+    numbers the kept lines within each script id, by line number.
+    """
+    from pyspark.sql import Window
+
+    id_col = lines.columns[0]
+    toks = F.split(F.trim(F.col("line")), " +")
+    kept = lines.filter(F.col("line").contains(marker)).select(
+        id_col,
+        "line_no",
+        F.try_element_at(toks, F.lit(1)).alias("call"),
+        F.try_element_at(toks, F.lit(-1)).alias("script"),
+    )
+    name = F.col("script")
+    if prefix:
+        name = F.regexp_replace(name, "^" + _quote(prefix), "")
+    if suffix:
+        name = F.regexp_replace(name, _quote(suffix) + "$", "")
+    w = Window.partitionBy(id_col).orderBy("line_no")
+    return kept.select(id_col, F.row_number().over(w).alias("seq"), "call", "script", name.alias("name"))
+
+
+def _quote(text: str) -> str:
+    return "\\Q" + text + "\\E"
