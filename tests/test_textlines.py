@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lineage_spark.operators import textlines
 from lineage_spark.operators.textlines import Rule
 
-# Script-cleaning rules in their original order.
+# Script-cleaning rules in their original order (one rule, for the
+# platform's own path call, is left out here).
 SCRIPT_RULES = [
     Rule(1, "graphicsFile", "state", '"{state}.png"', target="graphicsFile", state="fn"),
     Rule(2, "createDataFrame", "substitute", ""),
@@ -18,7 +19,6 @@ SCRIPT_RULES = [
          state="var_input"),
     Rule(4, r"\$fileSystem\(\)", "comment"),
     Rule(5, r" <- fs\w*\$", "comment"),
-    Rule(6, "<- nidapGetPath", "comment"),
     Rule(7, "<- readRDS", "state", "<- {state}", target="<-.*", state="input_var"),
     Rule(8, r"return\(NULL\)", "comment"),
     Rule(9, r"saveRDS\(", "capture", "return($1)", target=r"[(](\S+)[,]"),
