@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lineage_spark.operators import ordering
+
 # Fixed values of the image export.
 IMAGE_TYPE = "base64Png"
 IMAGE_SUFFIX = ".png"
@@ -53,9 +55,9 @@ def missing_report(missing: DataFrame, col: str, sep: str = ", ") -> DataFrame:
 
 def ordered_list(df: DataFrame, group: list[str], order: str, value: str, sep: str = ",",
                  out: str = "items") -> DataFrame:
-    """Values of each group joined in ``order`` (signature order, id order)."""
-    items = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("string").alias("v"))))
-    return df.groupBy(*group).agg(F.array_join(F.transform(items, lambda s: s["v"]), sep).alias(out))
+    """Values of each group joined in ``order`` (signature order, id order); a
+    very large group is joined in chunks (see :func:`ordering.ordered_join`)."""
+    return ordering.ordered_join(df, group, order, value, sep, out)
 
 
 def first_image(items: Column) -> Column:

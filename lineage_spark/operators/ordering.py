@@ -136,3 +136,31 @@ def _running(scanned: DataFrame, value: Column, out: str, how: str) -> DataFrame
         res = F.when(glob >= F.col("__start"), glob)
         tmp = tmp.withColumn("__glob", glob)
     return tmp.withColumn(out, res).select(*scanned.columns, out)
+
+
+# Groups up to this many rows are joined in one aggregate; larger ones in chunks.
+JOIN_CHUNK_ROWS = 50_000
+
+
+def ordered_join(df: DataFrame, group: list[str], order: str, value: str, sep: str, out: str,
+                 chunk_rows: int = JOIN_CHUNK_ROWS) -> DataFrame:
+    """Per group, the ``value``s joined by ``sep`` in ``order``: ``group + [out]``.
+
+    The largest group size is measured first (one partial aggregate). If every
+    group fits in ``chunk_rows``, one ``collect_list`` per group does it. Otherwise
+    the rows are numbered with :func:`ordered_scan` (a hot group is spread over
+    many tasks), joined per chunk of ``chunk_rows`` consecutive rows in parallel,
+    and only the chunk strings are joined per group. The result row itself holds
+    the whole group's text: that is the requested output.
+    """
+    def joined(frame, by, o, v):
+        items = F.array_sort(F.collect_list(F.struct(F.col(o).alias("o"), F.col(v).cast("string").alias("v"))))
+        return frame.groupBy(*by).agg(F.array_join(F.transform(items, lambda s: s["v"]), sep).alias(out))
+
+    largest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if largest <= chunk_rows:
+        return joined(df, group, order, value)
+    s = ordered_scan(df.select(*group, order, value), group, [order])
+    s = s.withColumn("__chunk", F.floor((F.col("__pos") - F.col("__start")) / F.lit(chunk_rows)).cast("long"))
+    pieces = joined(s, [*group, "__chunk"], "__pos", value).withColumnRenamed(out, "__piece")
+    return joined(pieces, group, "__chunk", "__piece")

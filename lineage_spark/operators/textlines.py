@@ -144,7 +144,9 @@ def section_body(df: DataFrame, group: list[str], order: str, value: str, sep: s
     """The section text: values joined in ``order``.
 
     The result holds the whole section as one value, so its size is the section's
-    size; that is the output itself, not an intermediate.
+    size; that is the output itself. A very large section is joined in chunks
+    (see :func:`lineage_spark.operators.ordering.ordered_join`).
     """
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    return df.groupBy(*group).agg(F.array_join(F.transform(ordered, lambda s: s["v"]), sep).alias(out))
+    from lineage_spark.operators.ordering import ordered_join
+
+    return ordered_join(df, group, order, value, sep, out)

@@ -78,3 +78,12 @@ def test_group_scan_matches_windows(spark):
     )
     exp = {r["t"]: (r["p"], r["nx"], r["run"], r["lt"], r["rn"], r["n"]) for r in e.collect()}
     assert got == exp
+
+
+def test_ordered_join_chunked_matches_direct(spark):
+    df = _random_frame(spark, n=2000)
+    direct = {r["k"]: r["s"] for r in ordering.ordered_join(df, ["k"], "t", "t", ",", "s").collect()}
+    chunked = {r["k"]: r["s"] for r in ordering.ordered_join(df, ["k"], "t", "t", ",", "s", chunk_rows=50).collect()}
+    assert direct == chunked
+    hot = direct[0].split(",")
+    assert hot == sorted(hot, key=int) and len(hot) == len([i for i in range(2000) if i % 3 == 0])
