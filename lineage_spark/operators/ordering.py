@@ -29,11 +29,17 @@ def global_index(df: DataFrame, order_cols: list, out: str = "seq") -> DataFrame
     folder so a lost executor cannot renumber rows.
     """
     cols = [c if isinstance(c, Column) else F.col(c) for c in order_cols]
+    # a per-row tiebreaker as the last range key lets the range partitioner split
+    # even a run of identical keys (a third of all rows on one key); the order
+    # among such ties is arbitrary but fixed by the checkpoint below
+    keyed = df.withColumn("__tie", F.monotonically_increasing_id())
+    keys = [*cols, F.col("__tie")]
     tagged = (
-        df.repartitionByRange(*cols)
-        .sortWithinPartitions(*cols)
+        keyed.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__mid", F.monotonically_increasing_id())
+        .drop("__tie")
     )
     tagged = cut_lineage(tagged)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
