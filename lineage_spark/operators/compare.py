@@ -29,11 +29,11 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType) + _FRACTIONAL
 
 
 def normalize_frame(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every fractional column to ``digits``; enum-like columns become strings.
+    """Round every fractional column (float, double, decimal) to ``digits``.
 
     Integral columns are left as they are (rounding them is the identity). Spark has
-    no factor type; a column carrying a pandas categorical arrives as a string
-    already, so the cast rule is a no-op kept for symmetry.
+    no factor type (a pandas categorical arrives as a string), so the platform's
+    factor-to-string rule needs no code here.
     """
     cols = []
     for f in df.schema.fields:

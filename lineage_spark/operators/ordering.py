@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lineage_spark.session import cut_lineage
 
@@ -152,21 +153,32 @@ def ordered_join(df: DataFrame, group: list[str], order: str, value: str, sep: s
                  chunk_rows: int = JOIN_CHUNK_ROWS) -> DataFrame:
     """Per group, the ``value``s joined by ``sep`` in ``order``: ``group + [out]``.
 
-    The largest group size is measured first (one partial aggregate). If every
-    group fits in ``chunk_rows``, one ``collect_list`` per group does it. Otherwise
-    the rows are numbered with :func:`ordered_scan` (a hot group is spread over
-    many tasks), joined per chunk of ``chunk_rows`` consecutive rows in parallel,
-    and only the chunk strings are joined per group. The result row itself holds
-    the whole group's text: that is the requested output.
+    Two levels, so no task gathers a whole large group from row level:
+
+    * integral ``order`` (positions, line numbers, ids): rows are cut into buckets
+      of ``chunk_rows`` consecutive order values, each bucket's values are joined
+      in parallel, then the bucket strings are joined in bucket order;
+    * any other ``order`` type: the largest group is measured first; groups that
+      fit in ``chunk_rows`` are joined directly, otherwise rows are numbered with
+      :func:`ordered_scan` and cut into chunks of consecutive positions.
+
+    The result row itself holds the whole group's text: that is the requested
+    output.
     """
     def joined(frame, by, o, v):
         items = F.array_sort(F.collect_list(F.struct(F.col(o).alias("o"), F.col(v).cast("string").alias("v"))))
         return frame.groupBy(*by).agg(F.array_join(F.transform(items, lambda s: s["v"]), sep).alias(out))
 
+    def two_level(frame, chunk_col, o):
+        pieces = joined(frame, [*group, chunk_col], o, value).withColumnRenamed(out, "__piece")
+        return joined(pieces, group, chunk_col, "__piece")
+
+    if isinstance(df.schema[order].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        bucketed = df.withColumn("__chunk", F.floor(F.col(order) / F.lit(chunk_rows)).cast("long"))
+        return two_level(bucketed, "__chunk", order)
     largest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
     if largest <= chunk_rows:
         return joined(df, group, order, value)
     s = ordered_scan(df.select(*group, order, value), group, [order])
     s = s.withColumn("__chunk", F.floor((F.col("__pos") - F.col("__start")) / F.lit(chunk_rows)).cast("long"))
-    pieces = joined(s, [*group, "__chunk"], "__pos", value).withColumnRenamed(out, "__piece")
-    return joined(pieces, group, "__chunk", "__piece")
+    return two_level(s, "__chunk", "__pos")

@@ -56,8 +56,9 @@ def resolve_versions(requested: DataFrame, resolved: DataFrame, key: str = "spec
                      name: str = "name", version: str = "version") -> DataFrame:
     """``key=version`` when the key is resolved, else the key as written.
 
-    A left equi-join; the resolved side has one row per name (last wins upstream,
-    see :func:`last_wins`), so the join cannot multiply rows.
+    A left equi-join. Give the resolved side one row per name (for a list where
+    a later entry overrides, build it with :func:`last_wins`); the join then keeps
+    one row per requested entry.
     """
     r = resolved.select(F.col(name).alias("__n"), F.col(version).alias("__v"))
     j = requested.join(r, requested[key] == r["__n"], "left")

@@ -2,8 +2,10 @@
 
 Line tables are ``(id, line_no, line)``. All lines of one id come from one source
 row (see :mod:`lineage_spark.sources.lines`), so a window partitioned by the id is
-bounded by the size of one input value; every operator below uses the same window
-spec so that chained operators share one shuffle by id.
+bounded by the size of one input value; the two window operators below
+(:func:`sections`, :func:`carry_forward`) use the same window spec, so chained they
+share one shuffle by id. Groups that may be huge (per user, per customer) use the
+distributed scans of :mod:`lineage_spark.operators.ordering` instead.
 
 The rewriter applies an ordered rule list to each line: the first rule whose
 pattern matches decides the action. Rules are plain data and are folded into one

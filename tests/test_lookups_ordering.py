@@ -85,5 +85,9 @@ def test_ordered_join_chunked_matches_direct(spark):
     direct = {r["k"]: r["s"] for r in ordering.ordered_join(df, ["k"], "t", "t", ",", "s").collect()}
     chunked = {r["k"]: r["s"] for r in ordering.ordered_join(df, ["k"], "t", "t", ",", "s", chunk_rows=50).collect()}
     assert direct == chunked
+    # a string order column takes the measured path
+    ds = df.withColumn("ts", F.format_string("%06d", "t"))
+    measured = {r["k"]: r["s"] for r in ordering.ordered_join(ds, ["k"], "ts", "t", ",", "s", chunk_rows=50).collect()}
+    assert measured == direct
     hot = direct[0].split(",")
     assert hot == sorted(hot, key=int) and len(hot) == len([i for i in range(2000) if i % 3 == 0])
