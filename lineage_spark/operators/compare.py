@@ -165,7 +165,8 @@ def dataset_digest(df: DataFrame, by: list[str], cols: list[str] | None = None,
     """Order-free content digest per group.
 
     Each row's md5 is cut to ``prefix_hex`` hex digits, read as a number and summed
-    per group in a decimal (no overflow at any row count). Two frames with the same
+    per group as a ``decimal(30,0)`` (with 8 hex digits no overflow below 10^20
+    rows). Two frames with the same
     rows in any order give the same digest. Use on string and integer columns:
     float text differs between engines.
     """

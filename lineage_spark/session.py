@@ -32,6 +32,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lin
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # checkpoints of finished rounds/numberings are deleted once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
