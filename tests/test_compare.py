@@ -95,3 +95,16 @@ def test_positional_diff(spark):
     right = spark.createDataFrame([(1, 1, "a"), (1, 2, "B")], "doc long, line_no int, line string")
     d = compare.positional_diff(left, right, ["doc", "line_no"], "line").orderBy("line_no").collect()
     assert [(r["line_no"], r["left_line"], r["right_line"]) for r in d] == [(2, "b", "B"), (3, "c", None)]
+
+
+def test_golden_hash_lists(spark):
+    # a list of output hashes against its golden list, by position (V5)
+    golden = [(1, "aa"), (2, "bb")] + [(i, "cc") for i in range(3, 10)]
+    same = spark.createDataFrame(golden, "pos int, md5 string")
+    assert compare.positional_diff(same, same, ["pos"], "md5").count() == 0
+    changed = spark.createDataFrame(golden[:4] + [(5, "dd")] + golden[5:], "pos int, md5 string")
+    d = compare.positional_diff(same, changed, ["pos"], "md5").collect()
+    assert [(r["pos"], r["left_md5"], r["right_md5"]) for r in d] == [(5, "cc", "dd")]
+    shorter = spark.createDataFrame(golden[:8], "pos int, md5 string")
+    d = compare.positional_diff(same, shorter, ["pos"], "md5").collect()
+    assert [(r["pos"], r["right_md5"]) for r in d] == [(9, None)]
