@@ -12,10 +12,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from lineage_spark.operators import compare, ordering
-from lineage_spark.session import load
+from lineage_spark.functions import text as tx
+from lineage_spark.functions.names import clean_column_names
+from lineage_spark.operators import compare, lineage, lookups, ordering, packages, textlines
+from lineage_spark.operators.textlines import Rule
+from lineage_spark.plans.workbook import Workbook
+from lineage_spark.session import load, scratch_path
+from lineage_spark.sources import files, jsonsrc, snapshots
 from lineage_spark.sources.lines import explode_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,8 +73,6 @@ def normalize_frame(spark, sf):
     )
     out = compare.normalize_frame(noisy)
     # the compare cleans names of the side it receives; show it on a dotted name
-    from lineage_spark.functions.names import clean_column_names
-
     return clean_column_names(out.withColumnRenamed("s_name", "s.name"))
 
 
@@ -116,7 +118,6 @@ def positional_diff(spark, sf):
 
 # ---------------------------------------------------------------- lineage graph
 
-from lineage_spark.operators import lineage  # noqa: E402
 
 
 def part_workbook(spark, sf, extra_inputs=None) -> DataFrame:
@@ -238,8 +239,6 @@ def pinned_dataset(spark, sf):
 
 # ---------------------------------------------------------------- lines, windows, rules
 
-from lineage_spark.operators import ordering, textlines  # noqa: E402
-from lineage_spark.operators.textlines import Rule  # noqa: E402
 
 
 def _doc_lines(spark, sf):
@@ -346,7 +345,6 @@ def rewrite_with_state(spark, sf):
 
 # ---------------------------------------------------------------- scalar functions
 
-from lineage_spark.functions import text as tx  # noqa: E402
 
 HOST = r"^https?://([^/?#]+)"
 
@@ -437,8 +435,6 @@ def rename_select_isin(spark, sf):
 
 @query
 def prefix_mode(spark, sf):
-    from lineage_spark.operators import packages
-
     p = load(spark, sf, "part").select("p_partkey", "p_brand")
     parts = [
         packages.prefix_mode(p, "p_brand", m, ("Brand#1", "Brand#2")).withColumn("mode", F.lit(m))
@@ -476,8 +472,6 @@ def derived_string(spark, sf):
 
 # ---------------------------------------------------------------- packages, JSON
 
-from lineage_spark.operators import packages  # noqa: E402
-from lineage_spark.sources import jsonsrc  # noqa: E402
 
 
 @query
@@ -545,7 +539,6 @@ def json_assembly(spark, sf):
 
 # ---------------------------------------------------------------- membership, mapping, lists
 
-from lineage_spark.operators import lookups  # noqa: E402
 
 
 def _finished(spark, sf):
@@ -599,8 +592,6 @@ def base64_roundtrip(spark, sf):
 
 # ---------------------------------------------------------------- sources, snapshots
 
-from lineage_spark.session import scratch_path  # noqa: E402
-from lineage_spark.sources import files, snapshots  # noqa: E402
 
 
 @query
@@ -692,7 +683,6 @@ def publish_read(spark, sf):
 
 # ---------------------------------------------------------------- workbook
 
-from lineage_spark.plans.workbook import Workbook  # noqa: E402
 
 
 def revenue_workbook(spark, sf) -> Workbook:
