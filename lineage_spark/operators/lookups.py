@@ -32,14 +32,16 @@ def two_hop(start: DataFrame, hop1: DataFrame, hop2: DataFrame, k0: str, k1: str
 def unmet_requirements(texts: DataFrame, text_col: str, patterns: list[str]) -> DataFrame:
     """Patterns contained in no text: ``(pattern)``.
 
-    One pass over the large side: each text emits the patterns it contains (an
-    array filter, no theta join), those are deduplicated (partial aggregate), and
-    the pattern list is anti-joined against them. The pattern list is a fixed
-    literal, so its size is known.
+    One pass over the large side: each text emits the patterns it contains (one
+    ``contains`` test per literal pattern, unrolled at plan time so whole-stage
+    codegen compiles it; no theta join), those are deduplicated (partial
+    aggregate), and the pattern list is anti-joined against them. The pattern list
+    is a fixed literal, so its size is known.
     """
-    arr = F.array(*[F.lit(p) for p in patterns])
+    hits = F.array(*[F.when(F.col(text_col).contains(p), F.lit(p)) for p in patterns])
     found = (
-        texts.select(F.explode(F.filter(arr, lambda p: F.col(text_col).contains(p))).alias("pattern"))
+        texts.select(F.explode(hits).alias("pattern"))
+        .filter(F.col("pattern").isNotNull())
         .distinct()
     )
     spark = texts.sparkSession
