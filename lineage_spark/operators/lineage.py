@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineage_spark.operators.ordering import global_index
-from lineage_spark.session import cut_lineage
+from lineage_spark.session import cut_lineage, scratch_path
 
 # Fixed values.
 EXTERNAL_SOURCE = "input_data"
 # A frontier of at most this many (name, pass) rows is broadcast; a larger one is
 # shuffled like any other join side.
 BROADCAST_FRONTIER_ROWS = 1_000_000
+# Resolved levels kept as a union before they are appended to a written table.
+FLUSH_LEVELS = 32
 
 
 def step_inputs(transforms: DataFrame) -> DataFrame:
@@ -163,6 +165,7 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     acc = spark.createDataFrame([], "node string, got long, best int, indeg long, blocked boolean")
     done = [frontier]
+    resolved_path = None
     n_frontier = frontier.count()
     # one checkpoint per round: the round's state holds both the next frontier
     # (ready) and the children still waiting for parents (not ready)
@@ -191,9 +194,12 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
         n_frontier = frontier.count()
         if n_frontier:
             done.append(frontier)
-    resolved = done[0]
-    for d in done[1:]:
-        resolved = resolved.unionByName(d)
+            if len(done) >= FLUSH_LEVELS:  # a deep graph: keep the union small
+                resolved_path = resolved_path or scratch_path(spark, "resolved_steps")
+                _union_all(done).write.mode("append").parquet(resolved_path)
+                done = []
+    parts = [spark.read.parquet(resolved_path)] if resolved_path else []
+    resolved = _union_all(parts + done)
     resolved = cut_lineage(resolved.join(nodes, "node").select(F.col("node").alias("step"), "idx", "pass"))
     stuck = nodes.join(resolved.select(F.col("step").alias("node")), "node", "left_anti").select(
         F.col("node").alias("step"), "idx"
@@ -201,6 +207,13 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     return resolved, stuck
 
 
+def _union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def topological_order(transforms: DataFrame) -> DataFrame:
     """``(step, idx, pass, seq)`` for every step that can run; ``seq`` is the run
     order, by pass then declared index."""
