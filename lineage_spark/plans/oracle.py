@@ -303,3 +303,10 @@ ORACLE["run_workbook"] = """SELECT n.n_name, count(*) AS n_orders,
   CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS revenue_cents
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE o.o_orderstatus = 'F' GROUP BY n.n_name"""
+
+ORACLE["image_export"] = """SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.png' AS file_name, md5(text) AS digest
+FROM documents WHERE lang = 'en'"""
+ORACLE["step_scripts"] = f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS seq,
+  string_split_regex(trim(line), ' +')[1] AS call, string_split_regex(trim(line), ' +')[-1] AS script,
+  regexp_replace(string_split_regex(trim(line), ' +')[-1], '\\.$', '') AS name
+FROM ({_DOC_LINES}) WHERE contains(line, 'License')"""

@@ -713,3 +713,27 @@ def revenue_workbook(spark, sf) -> Workbook:
 @query
 def run_workbook(spark, sf):
     return revenue_workbook(spark, sf).resolve("revenue")
+
+
+@query
+def image_export(spark, sf):
+    # visualization items per document: the text as the first item, typed PNG for
+    # English documents and SVG otherwise, then the source as a second PNG item
+    d = load(spark, sf, "documents").select("doc_id", "lang", "text", "source")
+    item = lambda t, v: F.struct(t.alias("type"), F.base64(F.col(v).cast("binary")).alias("data"))
+    vis = d.select(
+        F.col("doc_id").cast("string").alias("name"),
+        F.array(
+            item(F.when(F.col("lang") == "en", F.lit("base64Png")).otherwise(F.lit("svg")), "text"),
+            item(F.lit("base64Png"), "source"),
+        ).alias("items"),
+    )
+    rows = lookups.image_rows(vis, "name", "items", prefix="doc_")
+    return rows.select("file_name", F.md5("image").alias("digest"))
+
+
+@query
+def step_scripts(spark, sf):
+    from lineage_spark.sources.lines import step_scripts as scripts
+
+    return scripts(_doc_lines(spark, sf), "License", suffix=".")
