@@ -173,15 +173,14 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
         f = frontier.withColumnRenamed("node", "parent")
         if n_frontier <= BROADCAST_FRONTIER_ROWS:  # size known from the count
             f = F.broadcast(f)
-        contrib = (
-            edges.join(f, "parent")
-            .groupBy(F.col("child").alias("node"))
-            .agg(
-                F.count(F.lit(1)).alias("got"),
-                F.max(F.col("pass") + F.col("w")).alias("best"),
-                F.max("indeg").alias("indeg"),
-                F.max("blocked").alias("blocked"),
-            )
+        # raw contributions go straight into the one aggregate of the round
+        # (combined map-side per child, then one shuffle)
+        contrib = edges.join(f, "parent").select(
+            F.col("child").alias("node"),
+            F.lit(1).cast("long").alias("got"),
+            (F.col("pass") + F.col("w")).alias("best"),
+            "indeg",
+            "blocked",
         )
         merged = acc.unionByName(contrib).groupBy("node").agg(
             F.sum("got").alias("got"), F.max("best").alias("best"),
