@@ -102,13 +102,13 @@ def rewrite_expr(rules: list[Rule], line: Column, state: Column | None = None, d
     if len(rules) > MAX_RULES:
         raise ValueError("rule list too long")
     ordered = sorted(rules, key=lambda r: r.pos)
-    if not ordered:
-        return _action(default, line, state) if default else line
-    out = None
-    for rule in ordered:  # one flat CASE WHEN, branches in rule order
-        cond, act = line.rlike(rule.pattern), _action(rule, line, state)
-        out = F.when(cond, act) if out is None else out.when(cond, act)
-    return out.otherwise(_action(default, line, state) if default else line)
+    # nested CASE WHENs, last rule innermost: Catalyst reduces the pushed-down
+    # "line is not null" filter of dropped lines to the drop rules' own tests
+    # (measured faster than one flat CASE WHEN, which it evaluates twice)
+    out = _action(default, line, state) if default else line
+    for rule in reversed(ordered):
+        out = F.when(line.rlike(rule.pattern), _action(rule, line, state)).otherwise(out)
+    return out
 
 
 def rewrite(lines: DataFrame, rules: list[Rule], line_col: str = "line", state_col: str | None = None,
