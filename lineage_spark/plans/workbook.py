@@ -85,6 +85,18 @@ class Workbook:
         """Run order of the steps, ``(step, idx, pass, seq)``."""
         return lineage.topological_order(self.transforms_table())
 
+    def verify(self, targets: dict[str, object]) -> DataFrame:
+        """Compare produced datasets with target copies: one report row per name
+        (see :func:`lineage_spark.operators.compare.verify_report`). A name this
+        workbook cannot produce gets the default status."""
+        from lineage_spark.operators.compare import verify_report
+
+        pairs = []
+        for name, target in targets.items():
+            produced = self.resolve(name) if (name in self.steps or name in self.datasets) else None
+            pairs.append((name, target, produced))
+        return verify_report(self.spark, pairs)
+
     def resolve(self, name: str, _stack: tuple[str, ...] = ()) -> DataFrame:
         """The DataFrame of dataset ``name``, building producers on demand."""
         if name in self._cache:

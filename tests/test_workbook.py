@@ -64,3 +64,16 @@ def test_tabular_coercion(spark):
     assert as_table(spark, 5).columns == ["value"]
     with pytest.raises(TypeError):
         as_table(spark, object())
+
+
+def test_verify_against_targets(spark):
+    wb = small_wb(spark)
+    good = spark.createDataFrame([("a", 1), ("b", 1)], "g string, count long")
+    bad = spark.createDataFrame([("a", 2), ("b", 1)], "g string, count long")
+    rep = {r["dataset"]: (r["status"], r["only_left"], r["only_right"])
+           for r in wb.verify({"counts": good, "filtered": bad.select("g"), "unknown": good}).collect()}
+    assert rep["counts"] == ("equal", 0, 0)
+    assert rep["filtered"] == ("schema differs", None, None)
+    assert rep["unknown"] == ("no comparison", None, None)
+    wrong = wb.verify({"counts": bad}).first()
+    assert (wrong["status"], wrong["only_left"], wrong["only_right"]) == ("rows differ", 1, 1)
