@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineage_spark.operators.ordering import global_index
+from lineage_spark.operators.ordering import global_index, ordered_join
 from lineage_spark.session import cut_lineage, scratch_path
 
 # Fixed values.
@@ -113,6 +113,24 @@ def step_manifest(transforms: DataFrame) -> DataFrame:
     )
 
 
+def bound_calls(transforms: DataFrame) -> DataFrame:
+    """The call line of each step, ``(step, call)``: ``var_<step><-<step>(args)``
+    with each argument named after its producer (``var_<producer>``) when a step
+    produces it, else after the argument itself (``var_<arg>``, an external
+    input), in signature order."""
+    ins = step_inputs(transforms)
+    p = producers(transforms).select("rid", "producer")
+    named = ins.join(p, "rid", "left").select(
+        "step", "pos", F.concat(F.lit("var_"), F.coalesce("producer", "arg")).alias("var")
+    )
+    args = ordered_join(named, ["step"], "pos", "var", ",", "args")
+    steps = transforms.select(F.col("name").alias("step"))
+    call = F.concat(
+        F.lit("var_"), "step", F.lit("<-"), "step", F.lit("("), F.coalesce("args", F.lit("")), F.lit(")")
+    )
+    return steps.join(args, "step", "left").select("step", call.alias("call"))
+
+
 def pin_datasets(transforms: DataFrame, pinned: DataFrame) -> DataFrame:
     """Drop the producers of pinned datasets (column ``rid``); their consumers then
     read the pinned data as external input."""
@@ -148,6 +166,16 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Returns ``(resolved(step, idx, pass), stuck(step, idx))``.
     """
+    return _passes(_step_table(transforms))
+
+
+def _step_table(transforms: DataFrame) -> DataFrame:
+    # the transform table is read by several branches of every analysis: write it
+    # once (it may be the end of a long parse)
+    return cut_lineage(transforms.select("name", "idx", "output_rid", "inputs"))
+
+
+def _passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = transforms.sparkSession
     nodes, edges, blocked, indeg = _graph(transforms)
     gate = cut_lineage(
@@ -226,7 +254,8 @@ def unsatisfiable(transforms: DataFrame) -> DataFrame:
     ``missing`` lists (sorted, ``,``-joined) the arguments with no declared dataset
     and those whose producer is itself stuck.
     """
-    resolved, stuck = topological_passes(transforms)
+    transforms = _step_table(transforms)
+    resolved, stuck = _passes(transforms)
     ins = step_inputs(transforms).join(stuck.select("step"), "step")
     p = producers(transforms).select("rid", "producer")
     stuck_p = stuck.select(F.col("step").alias("producer"), F.lit(True).alias("pstuck"))

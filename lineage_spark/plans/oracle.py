@@ -310,3 +310,11 @@ ORACLE["step_scripts"] = f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_
   string_split_regex(trim(line), ' +')[1] AS call, string_split_regex(trim(line), ' +')[-1] AS script,
   regexp_replace(string_split_regex(trim(line), ' +')[-1], '\\.$', '') AS name
 FROM ({_DOC_LINES}) WHERE contains(line, 'License')"""
+
+ORACLE["script_topo_order"] = f"SELECT step, pass, seq FROM ({ORACLE['topo_order']})"
+ORACLE["bound_calls"] = f"""WITH {_DAG_T}, {_DAG_INP},
+a AS (SELECT inp.k, inp.j, 'var_' || coalesce('T' || p.k, 'ds' || inp.j) AS var,
+  CASE WHEN inp.j = inp.k // 2 THEN 1 ELSE 2 END AS pos FROM inp LEFT JOIN t p ON p.k = inp.j),
+d AS (SELECT k, pos, var FROM a UNION ALL SELECT k, 2, var FROM a WHERE k // 2 = k // 3 AND k // 3 >= 1)
+SELECT 'T' || t.k AS step, 'var_T' || t.k || '<-T' || t.k || '(' || string_agg(d.var, ',' ORDER BY d.pos) || ')' AS call
+FROM t JOIN d ON d.k = t.k GROUP BY t.k"""

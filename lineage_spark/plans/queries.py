@@ -737,3 +737,42 @@ def step_scripts(spark, sf):
     from lineage_spark.sources.lines import step_scripts as scripts
 
     return scripts(_doc_lines(spark, sf), "License", suffix=".")
+
+
+def part_script_lines(spark, sf) -> DataFrame:
+    """The part-derived workbook of :func:`part_workbook` written out as the lines
+    of one exported script ``(doc_id, line_no, line)``, sections in declared order.
+    The parser sees only the text."""
+    wb = part_workbook(spark, sf)
+    ins = F.transform("inputs", lambda i: i["arg"])
+    header = F.transform(
+        "inputs", lambda i: F.format_string('    %s=Input(rid="%s"),', i["arg"], i["rid"])
+    )
+    text = F.concat(
+        F.array(F.lit("@transform_pandas("), F.format_string('    Output(rid="%s"),', F.col("output_rid"))),
+        header,
+        F.array(
+            F.lit(")"),
+            F.format_string("%s <- function(%s) {", F.col("name"), F.array_join(ins, ", ")),
+            F.format_string("    return(%s)", F.try_element_at(ins, F.lit(1))),
+            F.lit("}"),
+        ),
+    )
+    return wb.select(F.lit(1).cast("long").alias("doc_id"), "idx", F.posexplode(text).alias("k", "line")).select(
+        "doc_id", (F.col("idx").cast("long") * 16 + F.col("k")).alias("line_no"), "line"
+    )
+
+
+@query
+def script_topo_order(spark, sf):
+    from lineage_spark.sources.workbook_script import transforms_from_lines
+
+    t = transforms_from_lines(part_script_lines(spark, sf))
+    return lineage.topological_order(t).select("step", "pass", "seq")
+
+
+@query
+def bound_calls(spark, sf):
+    from lineage_spark.sources.workbook_script import transforms_from_lines
+
+    return lineage.bound_calls(transforms_from_lines(part_script_lines(spark, sf)))
