@@ -16,18 +16,22 @@ def parse(df: DataFrame, col: str, schema: str, out: str = "doc") -> DataFrame:
 
 
 def requested_specs(docs: DataFrame, col: str = "json") -> DataFrame:
-    """``(pos, spec)`` from environment definition documents (1-based positions)."""
+    """``(<other columns>, pos, spec)`` from environment definition documents
+    (1-based positions within each document; the document's other columns are
+    kept so several documents can share one frame)."""
+    keep = [c for c in docs.columns if c != col]
     p = parse(docs, col, ENV_SCHEMA)
-    return p.select(F.posexplode("doc.condaEnvironmentDefinition.packageMatchSpecs").alias("pos", "spec")).select(
-        (F.col("pos") + 1).alias("pos"), "spec"
+    return p.select(*keep, F.posexplode("doc.condaEnvironmentDefinition.packageMatchSpecs").alias("pos", "spec")).select(
+        *keep, (F.col("pos") + 1).alias("pos"), "spec"
     )
 
 
 def resolved_specs(docs: DataFrame, col: str = "json") -> DataFrame:
-    """``(pos, name, version)`` from resolved environment documents."""
+    """``(<other columns>, pos, name, version)`` from resolved environment documents."""
+    keep = [c for c in docs.columns if c != col]
     p = parse(docs, col, RESOLVED_SCHEMA)
-    return p.select(F.posexplode("doc.resolvedCondaEnvironment.packageSpecs").alias("pos", "s")).select(
-        (F.col("pos") + 1).alias("pos"), "s.name", "s.version"
+    return p.select(*keep, F.posexplode("doc.resolvedCondaEnvironment.packageSpecs").alias("pos", "s")).select(
+        *keep, (F.col("pos") + 1).alias("pos"), "s.name", "s.version"
     )
 
 
