@@ -136,3 +136,25 @@ def library_order(df: DataFrame, name: str, pos: str, mapping: dict[str, str] |
         F.coalesce("__lib", F.col(name)).alias("library"),
     )
     return global_index(ranked, ["translated", "__pos"], "seq").select("seq", "library", "translated")
+
+
+def environment(requested: DataFrame, resolved: DataFrame, mode: str, spec: str = "spec",
+                name: str = "name", version: str = "version") -> DataFrame:
+    """The environment's dependency list: ``(pos, spec)`` sorted by spec.
+
+    Requested specs are kept by ``mode``, resolved ones get ``=version``, and for
+    the ``R`` and ``All`` modes the fixed extras are appended before sorting.
+    """
+    kept = prefix_mode(requested.select(F.col(spec).alias("spec")), "spec", mode)
+    specs = resolve_versions(kept, resolved.select(F.col(name).alias("name"), F.col(version).alias("version")))
+    specs = specs.select(F.col("resolved").alias("spec"))
+    if mode != "Python":
+        return append_sorted(specs, "spec")
+    return global_index(specs, ["spec"], "pos")
+
+
+def libraries(env: DataFrame, spec: str = "spec", pos: str = "pos", table: DataFrame | None = None) -> DataFrame:
+    """Library calls of an environment list: ``(seq, library, translated)``
+    (see :func:`package_name` and :func:`library_order`)."""
+    named = env.select(F.col(pos).alias("pos"), package_name(F.col(spec)).alias("name"))
+    return library_order(named, "name", "pos", table=table)

@@ -70,3 +70,16 @@ def test_case_insensitive_first_match(spark):
     got = {r["pkg"]: r["matched"] for r in packages.ci_first_match(vals, "pkg", lookup).collect()}
     assert got == {"seurat": "Seurat", "MAST": "mast", "nope": None}
     assert [r["pkg"] for r in packages.unmatched(vals, "pkg", lookup).collect()] == ["nope"]
+
+
+def test_environment_and_libraries_entry_points(spark):
+    req = jsonsrc.requested_specs(docs(spark, REQUESTED))
+    res = jsonsrc.resolved_specs(docs(spark, RESOLVED))
+    env_r = packages.environment(req, res, "R").orderBy("pos").collect()
+    assert [r["spec"] for r in env_r] == [
+        "bioconductor-edger=3.24.3", "bioconductor-limma=3.38.3", "r-base=3.5.1", "r-biocmanager",
+        "r-dplyr=0.8.5", "r-renv", "r-seurat=3.1.0"]
+    env_py = packages.environment(req, res, "Python").collect()
+    assert [(r["pos"], r["spec"]) for r in env_py] == [(1, "python=3.6.10")]
+    libs = packages.libraries(packages.environment(req, res, "R")).orderBy("seq").collect()
+    assert [r["library"] for r in libs] == ["edger", "limma", "dplyr", "renv", "BiocManager", "Seurat"]
