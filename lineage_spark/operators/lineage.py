@@ -13,6 +13,8 @@ the graph, each round checkpointed to the shared folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -185,9 +187,17 @@ def _passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     # each edge carries its child's in-degree and blocked flag, so a round needs
     # no join besides edges x frontier
-    edges = cut_lineage(
-        edges.join(gate.withColumnRenamed("node", "child"), "child").select("parent", "child", "w", "indeg", "blocked")
+    edges = edges.join(gate.withColumnRenamed("node", "child"), "child").select(
+        "parent", "child", "w", "indeg", "blocked"
     )
+    edges_table = None
+    if gate.count() <= BROADCAST_FRONTIER_ROWS:
+        # no frontier can outgrow the broadcast bound: every round broadcasts it
+        edges = cut_lineage(edges)
+    else:
+        # written once as a table bucketed by parent, so a round whose frontier is
+        # too big to broadcast shuffles only the frontier, never the edges
+        edges, edges_table = _bucketed(edges, "parent")
     frontier = cut_lineage(
         gate.filter((F.col("indeg") == 0) & ~F.col("blocked")).select("node", F.lit(1).alias("pass"))
     )
@@ -228,12 +238,31 @@ def _passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = [spark.read.parquet(resolved_path)] if resolved_path else []
     resolved = _union_all(parts + done)
     resolved = cut_lineage(resolved.join(nodes, "node").select(F.col("node").alias("step"), "idx", "pass"))
+    if edges_table:
+        spark.sql(f"DROP TABLE IF EXISTS {edges_table}")
     stuck = nodes.join(resolved.select(F.col("step").alias("node")), "node", "left_anti").select(
         F.col("node").alias("step"), "idx"
     )
     return resolved, stuck
 
 
+def _bucketed(df: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """``df`` written once under the shared scratch folder as an external table
+    bucketed by ``key`` (one bucket per shuffle partition, one file per bucket);
+    returns the table and its name. Joins on ``key`` then shuffle only the other
+    side."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = "lineage_" + uuid.uuid4().hex
+    (
+        df.repartition(n, key)
+        .write.bucketBy(n, key)
+        .option("path", scratch_path(spark, name))
+        .saveAsTable(name)
+    )
+    return spark.table(name), name
+
+
 def _union_all(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
