@@ -188,3 +188,20 @@ def positional_diff(left: DataFrame, right: DataFrame, keys: list[str], value: s
     r = right.select(*keys, F.col(value).alias(f"right_{value}"))
     j = l.join(r, on=keys, how="full_outer")
     return j.filter(~F.col(f"left_{value}").eqNullSafe(F.col(f"right_{value}")))
+
+
+def hash_list(spark, frames: list[tuple[str, DataFrame]], cols: dict[str, list[str]] | None = None) -> DataFrame:
+    """One digest per dataset, in list order: ``(pos, dataset, n_rows, digest)``.
+
+    Each entry is a one-row aggregate of :func:`dataset_digest` over the whole
+    dataset; the list can be compared with a golden list by :func:`positional_diff`.
+    """
+    parts = []
+    for i, (name, df) in enumerate(frames):
+        use = (cols or {}).get(name) or df.columns
+        d = dataset_digest(df.withColumn("__all", F.lit(1)), ["__all"], use)
+        parts.append(d.select(F.lit(i + 1).alias("pos"), F.lit(name).alias("dataset"), "n_rows", "digest"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -318,3 +318,29 @@ a AS (SELECT inp.k, inp.j, 'var_' || coalesce('T' || p.k, 'ds' || inp.j) AS var,
 d AS (SELECT k, pos, var FROM a UNION ALL SELECT k, 2, var FROM a WHERE k // 2 = k // 3 AND k // 3 >= 1)
 SELECT 'T' || t.k AS step, 'var_T' || t.k || '<-T' || t.k || '(' || string_agg(d.var, ',' ORDER BY d.pos) || ')' AS call
 FROM t JOIN d ON d.k = t.k GROUP BY t.k"""
+
+ORACLE["output_hashes"] = """SELECT 1 AS pos, 'region' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(r_regionkey AS VARCHAR), '\\N'), coalesce(CAST(r_name AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM region
+UNION ALL SELECT 2 AS pos, 'nation' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(n_nationkey AS VARCHAR), '\\N'), coalesce(CAST(n_name AS VARCHAR), '\\N'), coalesce(CAST(n_regionkey AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM nation
+UNION ALL SELECT 3 AS pos, 'supplier' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(s_suppkey AS VARCHAR), '\\N'), coalesce(CAST(s_name AS VARCHAR), '\\N'), coalesce(CAST(s_nationkey AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM supplier
+UNION ALL SELECT 4 AS pos, 'customer' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(c_custkey AS VARCHAR), '\\N'), coalesce(CAST(c_name AS VARCHAR), '\\N'), coalesce(CAST(c_nationkey AS VARCHAR), '\\N'), coalesce(CAST(c_mktsegment AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM customer
+UNION ALL SELECT 5 AS pos, 'orders' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), '\\N'), coalesce(CAST(o_custkey AS VARCHAR), '\\N'), coalesce(CAST(o_orderstatus AS VARCHAR), '\\N'), coalesce(CAST(o_orderpriority AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM orders"""
+
+ORACLE["workbook_verify"] = """WITH fin AS (SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 7) AS p,
+  o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'F'),
+rev AS (SELECT n.n_name, count(*) AS n_orders, CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE o.o_orderstatus = 'F' GROUP BY n.n_name),
+produced_rev AS (SELECT n_name, count(*) AS n_orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+  FROM (SELECT * FROM orders WHERE o_orderstatus = 'F') f JOIN customer c ON f.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n_name),
+counts AS (
+  SELECT 'finished_orders' AS dataset,
+    (SELECT count(*) FROM (SELECT * FROM fin EXCEPT ALL SELECT * FROM fin)) AS only_left,
+    (SELECT count(*) FROM (SELECT * FROM fin EXCEPT ALL SELECT * FROM fin)) AS only_right
+  UNION ALL SELECT 'revenue',
+    (SELECT count(*) FROM (SELECT * FROM rev EXCEPT ALL SELECT * FROM produced_rev)),
+    (SELECT count(*) FROM (SELECT * FROM produced_rev EXCEPT ALL SELECT * FROM rev)))
+SELECT dataset, CASE WHEN only_left = 0 AND only_right = 0 THEN 'equal' ELSE 'rows differ' END AS status,
+  CAST(only_left AS BIGINT) AS only_left, CAST(only_right AS BIGINT) AS only_right FROM counts
+UNION ALL SELECT 'orders_by_nation', 'schema differs', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+UNION ALL SELECT 'missing_step', 'no comparison', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"""

@@ -776,3 +776,33 @@ def bound_calls(spark, sf):
     from lineage_spark.sources.workbook_script import transforms_from_lines
 
     return lineage.bound_calls(transforms_from_lines(part_script_lines(spark, sf)))
+
+
+HASHED = [
+    ("region", ["r_regionkey", "r_name"]),
+    ("nation", ["n_nationkey", "n_name", "n_regionkey"]),
+    ("supplier", ["s_suppkey", "s_name", "s_nationkey"]),
+    ("customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]),
+    ("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]),
+]
+
+
+@query
+def output_hashes(spark, sf):
+    frames = [(name, load(spark, sf, name)) for name, _ in HASHED]
+    return compare.hash_list(spark, frames, dict(HASHED))
+
+
+@query
+def workbook_verify(spark, sf):
+    wb = revenue_workbook(spark, sf)
+    # target copies computed independently of the workbook's transforms
+    o, c, n = load(spark, sf, "orders"), load(spark, sf, "customer"), load(spark, sf, "nation")
+    fin = o.filter(F.col("o_orderstatus") == "F")
+    target_rev = (
+        fin.join(c, fin.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+        .groupBy("n_name")
+        .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("revenue_cents"))
+    )
+    stale = target_rev.filter(F.col("n_name") != "NATION_0")
+    return wb.verify({"finished_orders": fin, "revenue": target_rev, "orders_by_nation": stale, "missing_step": fin})
