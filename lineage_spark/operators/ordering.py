@@ -22,17 +22,15 @@ from pyspark.sql import types as T
 from lineage_spark.session import cut_lineage
 
 
-def global_index(df: DataFrame, order_cols: list, out: str = "seq") -> DataFrame:
-    """Append ``out`` = 1-based position of each row in the order of ``order_cols``.
+def range_tagged(df: DataFrame, order_cols: list) -> DataFrame:
+    """Rows range-partitioned and sorted on ``order_cols``, tagged with their
+    partition (``__pid``) and in-partition id (``__mid``), checkpointed.
 
-    Ties are broken by whatever follows in ``order_cols``; give a unique key last
-    for a deterministic result. The tagged frame is checkpointed to the shared
-    folder so a lost executor cannot renumber rows.
+    A per-row tiebreaker is the last range key, so the partitioner can split even
+    a run of identical keys (a third of all rows on one key); the order among such
+    ties is arbitrary but fixed by the checkpoint.
     """
     cols = [c if isinstance(c, Column) else F.col(c) for c in order_cols]
-    # a per-row tiebreaker as the last range key lets the range partitioner split
-    # even a run of identical keys (a third of all rows on one key); the order
-    # among such ties is arbitrary but fixed by the checkpoint below
     keyed = df.withColumn("__tie", F.monotonically_increasing_id())
     keys = [*cols, F.col("__tie")]
     tagged = (
@@ -42,7 +40,17 @@ def global_index(df: DataFrame, order_cols: list, out: str = "seq") -> DataFrame
         .withColumn("__mid", F.monotonically_increasing_id())
         .drop("__tie")
     )
-    tagged = cut_lineage(tagged)
+    return cut_lineage(tagged)
+
+
+def global_index(df: DataFrame, order_cols: list, out: str = "seq") -> DataFrame:
+    """Append ``out`` = 1-based position of each row in the order of ``order_cols``.
+
+    Ties are broken by whatever follows in ``order_cols``; give a unique key last
+    for a deterministic result. The tagged frame is checkpointed to the shared
+    folder so a lost executor cannot renumber rows.
+    """
+    tagged = range_tagged(df, order_cols)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off")
