@@ -252,8 +252,8 @@ SELECT row_number() OVER (ORDER BY lib IS NOT NULL, pos) AS seq, coalesce(lib, n
   lib IS NOT NULL AS translated FROM t"""
 ORACLE["json_props"] = """SELECT event_type, count(*) AS n, CAST(sum(json_extract(props, '$.k')::INTEGER) AS BIGINT) AS sum_k
 FROM events GROUP BY event_type"""
-ORACLE["json_assembly"] = """SELECT n.n_nationkey, to_json({'nation': n.n_name, 'n_customers': count(*),
-  'segments': list_sort(list(DISTINCT c.c_mktsegment))}) AS doc
+ORACLE["json_assembly"] = """SELECT n.n_nationkey, CAST(to_json({'nation': n.n_name, 'n_customers': count(*),
+  'segments': list_sort(list(DISTINCT c.c_mktsegment))}) AS VARCHAR) AS doc
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_nationkey, n.n_name"""
 
 # ---------------------------------------------------------------- membership, mapping, lists

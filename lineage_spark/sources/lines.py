@@ -52,7 +52,7 @@ def step_scripts(lines: DataFrame, marker: str, prefix: str = "", suffix: str =
     if suffix:
         name = F.regexp_replace(name, _quote(suffix) + "$", "")
     w = Window.partitionBy(id_col).orderBy("line_no")
-    return kept.select(id_col, F.row_number().over(w).alias("seq"), "call", "script", name.alias("name"))
+    return kept.select(id_col, F.row_number().over(w).cast("long").alias("seq"), "call", "script", name.alias("name"))
 
 
 def _quote(text: str) -> str:
