@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from lineage_spark.session import TABLES
-from scripts.check_oracle import _rows
+from scripts.check_oracle import _rows, type_diffs
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,10 +38,11 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     srows, scols = df.collect(), df.columns
-    cur = duck.execute(entry.oracle_sql()[name])
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = duck.sql(entry.oracle_sql()[name])
+    dcols, dtypes = rel.columns, rel.types
+    drows = rel.fetchall()
     assert sorted(scols) == sorted(dcols)
+    assert type_diffs(df.dtypes, dcols, dtypes) == []
     assert len(srows) == len(drows)
     a, b = _rows(scols, srows), _rows(dcols, drows)
     assert hashlib.md5("\n".join(a).encode()).hexdigest() == hashlib.md5("\n".join(b).encode()).hexdigest()
