@@ -149,6 +149,8 @@ def verify_report(spark, pairs: list[tuple[str, object, object]]) -> DataFrame:
             )
         except Exception:  # analysis errors: keep the report going
             parts.append(spark.createDataFrame([(name, STATUS_FAILED, None, None)], schema))
+    if not parts:
+        return spark.createDataFrame([], schema)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -201,6 +203,8 @@ def hash_list(spark, frames: list[tuple[str, DataFrame]], cols: dict[str, list[s
         use = (cols or {}).get(name) or df.columns
         d = dataset_digest(df.withColumn("__all", F.lit(1)), ["__all"], use)
         parts.append(d.select(F.lit(i + 1).alias("pos"), F.lit(name).alias("dataset"), "n_rows", "digest"))
+    if not parts:
+        return spark.createDataFrame([], "pos int, dataset string, n_rows long, digest string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
