@@ -25,7 +25,8 @@ def read_text_lines(spark, path: str) -> DataFrame:
     ``wholetext`` keeps each file in one row, so line numbers are exact positions
     (no ``monotonically_increasing_id``).
     """
-    raw = spark.read.option("wholetext", True).text(path).withColumn("path", F.input_file_name())
+    # text()'s own wholetext argument would override an .option("wholetext", ...)
+    raw = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
     return explode_lines(raw, "path", "value")
 
 

@@ -94,5 +94,6 @@ def test_lines_sources(spark, tmpdir_fresh):
     assert got == [(1, "a"), (2, ""), (3, "b"), (4, "")]
     p = os.path.join(tmpdir_fresh, "s.R")
     with open(p, "w") as fh:
-        fh.write("x <- 1\ny <- 2")
-    assert [r["line"] for r in read_text_lines(spark, p).orderBy("line_no").collect()] == ["x <- 1", "y <- 2"]
+        fh.write("x <- 1\ny <- 2\nz <- 3")
+    got = [(r["line_no"], r["line"]) for r in read_text_lines(spark, p).collect()]
+    assert sorted(got) == [(1, "x <- 1"), (2, "y <- 2"), (3, "z <- 3")]
