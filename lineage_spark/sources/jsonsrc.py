@@ -42,3 +42,11 @@ def json_field(col: str, schema: str, field: str) -> Column:
 def to_json_document(*fields: tuple[str, Column]) -> Column:
     """A JSON object text from named columns, in the given field order."""
     return F.to_json(F.struct(*[c.alias(n) for n, c in fields]))
+
+
+def read_documents(spark, path: str) -> DataFrame:
+    """JSON documents stored one per file: ``(path, json)`` (each file read whole,
+    so a pretty-printed document spanning many lines stays one value)."""
+    return spark.read.text(path, wholetext=True).select(
+        F.input_file_name().alias("path"), F.col("value").alias("json")
+    )

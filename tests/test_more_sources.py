@@ -80,3 +80,42 @@ def test_diff_of_shuffled_copy_is_empty(spark):
         z = y.withColumn("f", F.when(F.col("k") == 0, F.col("f") + 1.0).otherwise(F.col("f")))
         n0 = sum(1 for r in rows if r[0] == 0)
         assert compare.row_diff(x, z).count() == 2 * len({r for r in rows if r[0] == 0}) or n0 == 0
+
+
+def test_environment_documents_from_files(spark, tmpdir_fresh):
+    import json as _json
+
+    from lineage_spark.operators import packages
+    from lineage_spark.sources import jsonsrc
+
+    req = {"condaEnvironmentDefinition": {"packageMatchSpecs": ["r-base", "r-dplyr", "python"]}}
+    res = {"resolvedCondaEnvironment": {"packageSpecs": [{"name": "r-dplyr", "version": "0.8.5"}]}}
+    for name, obj in (("env.json", req), ("resolved.json", res)):
+        with open(os.path.join(tmpdir_fresh, name), "w") as fh:
+            fh.write(_json.dumps(obj, indent=2))  # pretty-printed: many lines per document
+    docs_req = jsonsrc.read_documents(spark, os.path.join(tmpdir_fresh, "env.json"))
+    docs_res = jsonsrc.read_documents(spark, os.path.join(tmpdir_fresh, "resolved.json"))
+    assert docs_req.count() == 1
+    env = packages.environment(jsonsrc.requested_specs(docs_req), jsonsrc.resolved_specs(docs_res), "R")
+    assert [r["spec"] for r in env.orderBy("pos").collect()] == ["r-base", "r-biocmanager", "r-dplyr=0.8.5", "r-renv"]
+
+
+def test_parse_several_script_files(spark, tmpdir_fresh):
+    from lineage_spark.operators import lineage
+    from lineage_spark.sources.lines import read_text_lines
+    from lineage_spark.sources.workbook_script import transforms_from_lines
+
+    texts = {
+        "a.R": ["@t(", '  Output(rid="o1"),', '  x=Input(rid="e1"),', ")", "A1 <- function(x) {", "}",
+                "@t(", '  Output(rid="o2"),', '  A1=Input(rid="o1"),', ")", "A2 <- function(A1) {", "}"],
+        "b.R": ["@t(", '  Output(rid="p1"),', ")", "B1 <- function() {", "}"],
+    }
+    for name, lines in texts.items():
+        with open(os.path.join(tmpdir_fresh, name), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    lines = read_text_lines(spark, os.path.join(tmpdir_fresh, "*.R")).withColumnRenamed("path", "doc_id")
+    t = transforms_from_lines(lines)
+    got = {(r["doc_id"].rsplit("/", 1)[-1], r["name"]): r["idx"] for r in t.collect()}
+    assert got == {("a.R", "A1"): 1, ("a.R", "A2"): 2, ("b.R", "B1"): 1}
+    a = t.filter(F.col("doc_id").endswith("a.R"))
+    assert {r["step"]: r["pass"] for r in lineage.topological_passes(a)[0].collect()} == {"A1": 1, "A2": 1}
