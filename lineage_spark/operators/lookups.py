@@ -75,13 +75,20 @@ def ordered_list(df: DataFrame, group: list[str], order: str, value: str, sep: s
 
 def first_image(items: Column) -> Column:
     """Decoded bytes of the first visualization item when it is a base64 PNG."""
-    first = F.try_element_at(items, F.lit(1))
+    first = F.get(items, 0)  # null for an empty array
     return F.when(first["type"] == IMAGE_TYPE, F.unbase64(first["data"]))
 
 
 def image_rows(df: DataFrame, name: str, items: str, prefix: str = "") -> DataFrame:
-    """``(file_name, image)`` for every row whose first item is a PNG."""
-    return df.select(
-        F.concat(F.lit(prefix), F.col(name), F.lit(IMAGE_SUFFIX)).alias("file_name"),
-        first_image(F.col(items)).alias("image"),
-    ).filter(F.col("image").isNotNull())
+    """``(file_name, image)`` for every row whose first item is a PNG.
+
+    The type test runs before decoding, so only kept rows are decoded (and the
+    filter stays a plain column comparison in generated code).
+    """
+    first = df.select(F.col(name).alias("__name"), F.get(F.col(items), 0).alias("__first"))
+    return first.filter(
+        (F.col("__first.type") == IMAGE_TYPE) & F.col("__first.data").isNotNull()
+    ).select(
+        F.concat(F.lit(prefix), F.col("__name"), F.lit(IMAGE_SUFFIX)).alias("file_name"),
+        F.unbase64(F.col("__first.data")).alias("image"),
+    )
