@@ -68,15 +68,25 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list) -> Data
     ``__start``/``__end`` (first and last position of the row's group).
 
     The group bounds come from a partial aggregate (one row per group per task
-    before the shuffle), joined back on the group key; a hot group is one skewed
-    key of that join, split by AQE's skew handling. The result is checkpointed, as
-    the scan operators below read it several times.
+    before the shuffle). With at most :data:`BROADCAST_GROUPS` groups (counted)
+    the bounds are broadcast to the numbered rows, which then need no shuffle and
+    no second write. Otherwise they are joined back on the group key (a hot group
+    is one skewed key of that join, split by AQE's skew handling) and the result is
+    checkpointed, as the scan operators below read it several times.
     """
     indexed = global_index(df, [*group_cols, *order_cols], "__pos")
-    bounds = indexed.groupBy(*group_cols).agg(F.min("__pos").alias("__start"), F.max("__pos").alias("__end"))
+    bounds = cut_lineage(
+        indexed.groupBy(*group_cols).agg(F.min("__pos").alias("__start"), F.max("__pos").alias("__end"))
+    )
+    if bounds.count() <= BROADCAST_GROUPS:
+        return indexed.join(F.broadcast(bounds), group_cols)
     return cut_lineage(indexed.join(bounds, group_cols))
 
 
+# Group-bounds tables up to this many rows are broadcast (size known from a count).
+BROADCAST_GROUPS = 1_000_000
+
+
 def row_in_group(scanned: DataFrame) -> Column:
     """1-based row number within the group of an :func:`ordered_scan` frame."""
     return (F.col("__pos") - F.col("__start") + F.lit(1)).cast("long")

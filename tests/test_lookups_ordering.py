@@ -113,3 +113,9 @@ def test_hot_key_is_split_across_range_partitions(spark):
     # and the hot group's rows really are spread over several partitions
     hot = tagged.filter("k = 0").select("__pid").distinct().count()
     assert hot >= 2
+
+
+def test_group_scan_many_groups_path(spark, monkeypatch):
+    # above the broadcast bound the bounds are joined by a shuffle: same results
+    monkeypatch.setattr(ordering, "BROADCAST_GROUPS", 1)
+    test_group_scan_matches_windows(spark)
