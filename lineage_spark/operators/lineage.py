@@ -295,3 +295,28 @@ def unsatisfiable(transforms: DataFrame) -> DataFrame:
     )
     miss = waiting.groupBy("step").agg(F.array_join(F.array_sort(F.collect_set("arg")), ",").alias("missing"))
     return stuck.join(miss, "step", "left").select("step", "idx", F.coalesce("missing", F.lit("")).alias("missing"))
+
+
+def run_plan(transforms: DataFrame) -> DataFrame:
+    """The workbook's run plan as data, one row per runnable step in run order:
+    ``(seq, step, label, call, sources, script, output)`` with ``label`` the
+    ``seq/total`` position. Steps that can never run are not in the plan (see
+    :func:`unsatisfiable`)."""
+    steps = _step_table(transforms)
+    order = topological_order(steps)
+    total = order.count()  # one number: the label's denominator
+    calls = bound_calls(steps)
+    manifest = step_manifest(steps).select("step", "sources", "script", "output")
+    return (
+        order.join(calls, "step")
+        .join(manifest, "step")
+        .select(
+            "seq",
+            "step",
+            F.concat(F.col("seq").cast("string"), F.lit(f"/{total}")).alias("label"),
+            "call",
+            "sources",
+            "script",
+            "output",
+        )
+    )

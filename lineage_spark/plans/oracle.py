@@ -344,3 +344,10 @@ SELECT dataset, CASE WHEN only_left = 0 AND only_right = 0 THEN 'equal' ELSE 'ro
   CAST(only_left AS BIGINT) AS only_left, CAST(only_right AS BIGINT) AS only_right FROM counts
 UNION ALL SELECT 'orders_by_nation', 'schema differs', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
 UNION ALL SELECT 'missing_step', 'no comparison', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"""
+
+ORACLE["run_plan"] = f"""WITH o AS ({ORACLE['topo_order']}),
+c AS ({ORACLE['bound_calls']}),
+m AS ({ORACLE['step_manifest']})
+SELECT o.seq, o.step, CAST(o.seq AS VARCHAR) || '/' || CAST((SELECT count(*) FROM o) AS VARCHAR) AS label,
+  c.call, m.sources, m.script, m.output
+FROM o JOIN c ON c.step = o.step JOIN m ON m.step = o.step"""

@@ -806,3 +806,8 @@ def workbook_verify(spark, sf):
     )
     stale = target_rev.filter(F.col("n_name") != "NATION_0")
     return wb.verify({"finished_orders": fin, "revenue": target_rev, "orders_by_nation": stale, "missing_step": fin})
+
+
+@query
+def run_plan(spark, sf):
+    return lineage.run_plan(part_workbook(spark, sf))

@@ -23,7 +23,7 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
     assert set(qs) - set(sql) == {"path_table"}
-    assert len(qs) == 70
+    assert len(qs) == 71
 
 
 @pytest.fixture(scope="module")
