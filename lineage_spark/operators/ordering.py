@@ -15,6 +15,7 @@ over many tasks.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,12 +76,18 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list) -> Data
     checkpointed, as the scan operators below read it several times.
     """
     indexed = global_index(df, [*group_cols, *order_cols], "__pos")
-    bounds = cut_lineage(
-        indexed.groupBy(*group_cols).agg(F.min("__pos").alias("__start"), F.max("__pos").alias("__end"))
+    # cached, not checkpointed: the count that measures it also materializes it,
+    # and a lost block is recomputed from the checkpointed rows (deterministic)
+    bounds = (
+        indexed.groupBy(*group_cols)
+        .agg(F.min("__pos").alias("__start"), F.max("__pos").alias("__end"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     if bounds.count() <= BROADCAST_GROUPS:
         return indexed.join(F.broadcast(bounds), group_cols)
-    return cut_lineage(indexed.join(bounds, group_cols))
+    out = cut_lineage(indexed.join(bounds, group_cols))
+    bounds.unpersist()
+    return out
 
 
 # Group-bounds tables up to this many rows are broadcast (size known from a count).
