@@ -303,7 +303,8 @@ def run_plan(transforms: DataFrame) -> DataFrame:
     ``seq/total`` position. Steps that can never run are not in the plan (see
     :func:`unsatisfiable`)."""
     steps = _step_table(transforms)
-    order = topological_order(steps)
+    resolved, _ = _passes(steps)
+    order = global_index(resolved, ["pass", "idx", "step"], "seq")
     total = order.count()  # one number: the label's denominator
     calls = bound_calls(steps)
     manifest = step_manifest(steps).select("step", "sources", "script", "output")
