@@ -46,3 +46,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(srows) == len(drows)
     a, b = _rows(scols, srows), _rows(dcols, drows)
     assert hashlib.md5("\n".join(a).encode()).hexdigest() == hashlib.md5("\n".join(b).encode()).hexdigest()
+
+
+def test_every_query_names_its_survey_ids():
+    from lineage_spark.plans.queries import SURVEY_IDS
+
+    assert set(SURVEY_IDS) == set(entry.queries())
+    assert all(SURVEY_IDS.values())
