@@ -40,7 +40,7 @@ SURVEY_IDS = {
     "dependency_edges": "J1",
     "derived_string": "P13",
     "distinct_tokens": "A1 §2.8",
-    "doc_lines": "S12 R1",
+    "doc_lines": "S12",
     "drop_null_ids": "P11",
     "duplicate_producer": "A2",
     "external_inputs": "U1",
@@ -55,8 +55,8 @@ SURVEY_IDS = {
     "last_wins": "A3",
     "latest_committed": "S6",
     "line_contains": "P8",
-    "load_parts": "S1",
-    "materialize_reload": "S8",
+    "load_parts": "S1 U4",
+    "materialize_reload": "S8 S10",
     "normalize_frame": "P5 P6 P7 §2.8",
     "null_default": "P10 §2.8",
     "ordered_args": "A4",
@@ -67,17 +67,17 @@ SURVEY_IDS = {
     "positional_diff": "J11",
     "prefix_mode": "P9",
     "prev_step": "W3",
-    "publish_read": "S9",
+    "publish_read": "S9 S10",
     "quoted_token": "§2.8",
     "regex_scalars": "§2.8",
     "rename_select_isin": "P1 P2 P3",
     "resolve_version": "J3",
     "rewrite_capture": "R6",
-    "rewrite_first_match": "R1",
+    "rewrite_first_match": "R1 R2 R3 R4 R5 R8",
     "rewrite_with_state": "R7",
-    "row_diff": "V2",
+    "row_diff": "V2 U5 P5",
     "run_plan": "G1 W4 A8",
-    "run_workbook": "X1",
+    "run_workbook": "X1 X2 P4 P12 G4",
     "schema_diff": "V1",
     "script_topo_order": "W1 W5 G1",
     "section_body": "W6",
@@ -91,9 +91,9 @@ SURVEY_IDS = {
     "topo_order": "G1",
     "translate_default": "J4",
     "two_hop": "J8",
-    "two_key_order": "O2 §2.8",
+    "two_key_order": "O1 O2 §2.8",
     "two_tier_lookup": "J2",
-    "unmet_requirements": "J9",
+    "unmet_requirements": "J9 A9",
     "unsatisfiable": "G2",
     "verify_report": "V3",
     "workbook_verify": "X1 V3",
