@@ -202,10 +202,11 @@ ORACLE["clean_tokens"] = f"""SELECT page_id, pos, token FROM (SELECT page_id,
   unnest(string_split({_CLEANED}, ' ')) AS token,
   CAST(unnest(generate_series(1, len(string_split({_CLEANED}, ' ')))) AS INTEGER) AS pos FROM pages)
 WHERE token <> ''"""
-_PARTS = "string_split(regexp_replace(url, '[?#].*$', ''), '/')"
+_PATH = "regexp_replace(url, '[?#].*$', '')"
 ORACLE["array_first_match"] = f"""SELECT page_id, first_host, split_part(first_host, '.example', 1) AS site, paths
-FROM (SELECT page_id, list_filter({_PARTS}, lambda x: contains(x, '.example'))[1] AS first_host,
-  array_to_string(list_transform(list_filter({_PARTS}, lambda x: x <> ''), lambda x: '/data/' || x), ',') AS paths
+FROM (SELECT page_id,
+  nullif(regexp_extract({_PATH}, '(?:^|/)([^/]*[.]example[^/]*)', 1), '') AS first_host,
+  '/data/' || array_to_string(regexp_extract_all({_PATH}, '[^/]+'), ',/data/') AS paths
   FROM pages)"""
 ORACLE["distinct_tokens"] = """SELECT DISTINCT split_part(regexp_replace(t, '^/', ''), ',', 1) AS token
 FROM (SELECT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS t FROM pages)"""
