@@ -191,7 +191,13 @@ def _passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
         "parent", "child", "w", "indeg", "blocked"
     )
     edges_table = None
-    if gate.count() <= BROADCAST_FRONTIER_ROWS:
+    # one job for both sizes: all nodes (bounds every frontier) and the first frontier
+    start = F.col("indeg") == 0
+    sizes = gate.agg(
+        F.count(F.lit(1)).alias("nodes"),
+        F.coalesce(F.sum((start & ~F.col("blocked")).cast("long")), F.lit(0)).alias("first"),
+    ).first()
+    if sizes["nodes"] <= BROADCAST_FRONTIER_ROWS:
         # no frontier can outgrow the broadcast bound: every round broadcasts it
         edges = cut_lineage(edges)
     else:
@@ -204,7 +210,7 @@ def _passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     acc = spark.createDataFrame([], "node string, got long, best int, indeg long, blocked boolean")
     done = [frontier]
     resolved_path = None
-    n_frontier = frontier.count()
+    n_frontier = sizes["first"]
     # one checkpoint per round: the round's state holds both the next frontier
     # (ready) and the children still waiting for parents (not ready)
     while n_frontier:
