@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from lineage_spark.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -20,7 +21,7 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_pair_joins_and_no_python(spark, name):
     plan = plan_text(entry.queries()[name](spark, SF))
     assert not [f for f in FORBIDDEN if f in plan]
