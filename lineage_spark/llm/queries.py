@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import exact_dedup, quality
+from lineage_spark.llm import exact_dedup, line_dedup, quality
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -17,6 +17,35 @@ def _query(fn):
     return fn
 
 
+@_query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose key is in at least 10 documents."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeated_lines(docs, min_docs=10, min_chars=1).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+ORACLE["op4_line_dedup"] = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), split AS (
+  SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM split
+), gone AS (
+  SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10
+), flagged AS (
+  SELECT keyed.*, gone.k IS NOT NULL AS dropped FROM keyed LEFT JOIN gone ON keyed.k = gone.k
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM flagged GROUP BY r
+"""
+
+
 @_query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of ids with crc32 mod 5 = 0 are held out of training."""
