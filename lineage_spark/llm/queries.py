@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import exact_dedup, line_dedup, quality
+from lineage_spark.llm import exact_dedup, line_dedup, mixing, quality
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -17,6 +17,14 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of 150% of all documents takes of each document."""
+    mix = mixing.Mix(load(spark, sf_dir, "documents"), total=1.5, cap=2.0)
+    return mix.per_document().select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "n_draws", "n_shards")
+
+
 @_query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines whose key is in at least 10 documents."""
