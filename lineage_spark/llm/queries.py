@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import exact_dedup, line_dedup, mixing, quality
+from lineage_spark.llm import exact_dedup, jaccard, line_dedup, mixing, quality
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -25,6 +25,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "n_draws", "n_shards")
 
 
+@_query
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    join = jaccard.JaccardJoin(load(spark, sf_dir, "documents"), n=4, percent=85)
+    return join.per_document().withColumnRenamed("key", "doc_id")
+
+
 @_query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines whose key is in at least 10 documents."""
