@@ -58,3 +58,23 @@ def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> D
     left to Catalyst and AQE (shuffle, skewed partitions split).
     """
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
+def packed(df: DataFrame, *identity: Column) -> DataFrame:
+    """``__doc`` (a struct of all columns of ``df``, so that no name clashes) and the given columns."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__doc"), *identity)
+
+
+def same_identity(left: DataFrame, right: DataFrame, identity: list[str]) -> list[Column]:
+    """Null-safe equality of the identity columns."""
+    return [left[c].eqNullSafe(right[c]) for c in identity]
+
+
+def one_row_each(rows: DataFrame, repeated: DataFrame, identity: list[str]) -> DataFrame:
+    """``__doc`` of ``rows``, with one row for each identity listed in ``repeated`` (written out, usually empty)."""
+    if repeated.isEmpty():
+        return rows.select("__doc")
+    match = same_identity(rows, repeated, identity)
+    one = rows.join(repeated, match, "left_anti").select("__doc")
+    many = rows.join(repeated, match, "left_semi").groupBy(*identity).agg(F.min("__doc").alias("__doc"))
+    return one.union(many.select("__doc"))

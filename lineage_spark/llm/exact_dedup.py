@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineage_spark.llm.common import lower_ascii_col, tagged
+from lineage_spark.llm.common import lower_ascii_col, one_row_each, packed, tagged
 from lineage_spark.session import cut_lineage
 
 RUNS = 64
@@ -90,15 +90,8 @@ def drop_exact_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id"
     rows = tagged(df.select(*_digests(df, text, key)))
     same = ["digest", "check", "bytes"]
     groups = _groups(rows, keep, fan_in, n_runs).select(*same, F.col("best.__key").alias("__keep"))
-    columns = df.columns
-    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__doc"), *_digests(df, text, key))
-    left = packed.join(groups, same).where(F.col("__key").eqNullSafe(F.col("__keep")))
-    # several rows may share the kept id and text; those rare groups are reduced to one row
-    repeated = rows.groupBy("__key", *same).count().where("count > 1").drop("count")
-    repeated = cut_lineage(repeated)
-    if repeated.isEmpty():
-        return left.select("__doc.*")
-    match = [left["__key"].eqNullSafe(repeated["__key"])] + [left[c] == repeated[c] for c in same]
-    one = left.join(repeated, match, "left_anti").select("__doc")
-    many = left.join(repeated, match, "left_semi").groupBy("__key", *same).agg(F.min("__doc").alias("__doc"))
-    return one.unionByName(many.select("__doc")).select("__doc.*")
+    left = packed(df, *_digests(df, text, key)).join(groups, same).where(F.col("__key").eqNullSafe(F.col("__keep")))
+    # several rows may share the kept id and text; those rare ones are reduced to one row
+    identity = ["__key", *same]
+    repeated = cut_lineage(rows.groupBy(*identity).count().where("count > 1").drop("count"))
+    return one_row_each(left, repeated, identity).select("__doc.*")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineage_spark.llm.common import BROADCAST_BYTES, WORD_RE, lower_ascii, written
+from lineage_spark.llm.common import BROADCAST_BYTES, WORD_RE, lower_ascii, one_row_each, packed, same_identity, written
 from lineage_spark.llm.components import components
 from lineage_spark.session import cut_lineage
 
@@ -247,6 +247,7 @@ class JaccardJoin:
 
     def __init__(self, df: DataFrame, text: str = "text", key: str = "doc_id", n: int = 4, percent: int = 85):
         self.percent, self.n = percent, n
+        self._df, self._text, self._key = df, text, key
         norm = F.coalesce(df[text], F.lit(""))
         docs = df.select(df[key].alias("key"), F.xxhash64(norm).alias("tid"), norm.alias("__text"))
         kind = df.schema[key].dataType.simpleString()
@@ -354,13 +355,29 @@ class JaccardJoin:
         tiles = spread.drop("blocks").join(signatures, "sid")
         return cut_lineage(tiles.groupBy("list", "block").applyInPandas(_bounded_pairs(self.percent), "a long, b long").distinct())
 
+    def _classed(self) -> DataFrame:
+        comp = components(self.links)
+        sets = self.docs.select("key", "tid", "n", "sid")
+        return cut_lineage(sets.join(comp, sets["sid"] == comp["node"], "left").select(
+            "key", "tid", "n", F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("class")))
+
+    def one_of_each(self) -> DataFrame:
+        """The rows of ``df``, unchanged, with one row of each component: that of the least key (null first), of equal keys
+        the one with the least text hash. Rows without words link with nothing and all stay."""
+        identity = ["__key", "__tid"]
+        classed = self._classed().where("n > 0").select(F.col("key").alias("__key"), F.col("tid").alias("__tid"), "class")
+        least = cut_lineage(classed.groupBy("class").agg(F.min(F.struct(*identity)).alias("least")))
+        stays = F.col("least.__key").eqNullSafe(F.col("__key")) & (F.col("least.__tid") == F.col("__tid"))
+        marked = cut_lineage(classed.join(least, "class").groupBy(*identity, stays.alias("stays")).agg(F.count(F.lit(1)).alias("n")))
+        gone, repeated = marked.where("not stays").select(*identity), marked.where("stays and n > 1").select(*identity)
+        small = gone.count() * 32 <= BROADCAST_BYTES
+        rows = packed(self._df, self._df[self._key].alias("__key"), F.xxhash64(F.coalesce(self._df[self._text], F.lit(""))).alias("__tid"))
+        left = rows.join(F.broadcast(gone) if small else gone, same_identity(rows, gone, identity), "left_anti")
+        return one_row_each(left, repeated, identity).select("__doc.*")
+
     def per_document(self) -> DataFrame:
         """``key``, ``n_shingles`` and ``component_id``: the least key that links reach."""
-        comp = components(self.links)
-        sets = self.docs.select("key", "n", "sid")
-        classed = sets.join(comp, sets["sid"] == comp["node"], "left").select(
-            "key", "n", F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("class"))
-        classed = cut_lineage(classed)
+        classed = self._classed()
         least = cut_lineage(classed.where("n > 0").groupBy("class").agg(F.min("key").alias("least")))
         return classed.join(least, "class", "left").select(
             "key", F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))

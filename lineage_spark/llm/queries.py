@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import exact_dedup, jaccard, line_dedup, mixing, quality
+from lineage_spark.llm import decontaminate, exact_dedup, jaccard, line_dedup, mixing, quality
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -87,3 +87,10 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY d) AS keep_id, count(*) OVER (PART
        doc_id = max(doc_id) OVER (PARTITION BY d) AS kept, d AS text_sha256
 FROM digests
 """
+
+
+@_query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents: one row per document and item."""
+    found = decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "cosine", "lcs_share", "answer_share")
