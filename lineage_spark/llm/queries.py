@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import decontaminate, exact_dedup, jaccard, line_dedup, mixing, quality
+from lineage_spark.llm import decontaminate, exact_dedup, jaccard, line_dedup, lm, mixing, quality
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -61,6 +61,16 @@ FROM flagged GROUP BY r
 """
 
 
+@_query
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document; those with crc32 mod 7 = 2 are held out of training."""
+    docs = load(spark, sf_dir, "documents")
+    remainder = id_remainder(docs["doc_id"], 7)
+    trie = lm.train(docs.where(remainder != 2))
+    rows = docs.select(F.struct("doc_id", (remainder == 2).alias("held_out")).alias("id"), "text")
+    return lm.scored(rows, trie, key="id").select("id.*", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @_query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of ids with crc32 mod 5 = 0 are held out of training."""
