@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import decontaminate, exact_dedup, jaccard, line_dedup, lm, mixing, quality
+from lineage_spark.llm import decontaminate, exact_dedup, html_extract, jaccard, line_dedup, lm, mixing, quality
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -99,6 +99,15 @@ FROM digests
 """
 
 
+@_query
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = load(spark, sf_dir, "pages")
+    labeller = html_extract.train(pages)
+    return html_extract.extracted(pages.select("page_id", "url", "html"), labeller, out="text").select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents: one row per document and item."""
