@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import decontaminate, exact_dedup, html_extract, jaccard, line_dedup, lm, mixing, quality
+from lineage_spark.llm import decontaminate, exact_dedup, html_extract, jaccard, line_dedup, lm, mixing, quality, secrets
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -25,6 +25,18 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "n_draws", "n_shards")
 
 
+@_query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the base patterns and the random strings that the Markov models add."""
+    docs = load(spark, sf_dir, "documents")
+    model = secrets.train(secrets.random_strings(spark).union(secrets.ordinary_identifiers(docs)))
+    found = secrets.find_secrets(docs.select("doc_id", "text"), model)
+    base, spans = F.col("base_spans"), F.col("all_spans")
+    return found.select(
+        "doc_id", *[secrets.count_of(base, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.as_text(base).cast("binary"), 256).alias("base_sha256"), secrets.as_text(spans).alias("spans"))
+
+
 @_query
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
