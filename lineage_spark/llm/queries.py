@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import decontaminate, exact_dedup, html_extract, jaccard, line_dedup, lm, mixing, quality, secrets
+from lineage_spark.llm import decontaminate, exact_dedup, html_extract, jaccard, license_scan, line_dedup, lm, mixing, quality, secrets
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -83,6 +83,14 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(rows, trie, key="id").select("id.*", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@_query
+def op6_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document: one row per line that carries one."""
+    docs, notices = load(spark, sf_dir, "documents"), license_scan.templates(spark)
+    model = license_scan.train(license_scan.samples(spark, docs), notices)
+    return license_scan.find_licenses(docs, model, notices).withColumnRenamed("key", "doc_id")
+
+
 @_query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of ids with crc32 mod 5 = 0 are held out of training."""
