@@ -32,14 +32,15 @@ def merge_runs(runs: DataFrame, keep: str = "min", fan_in: int = FAN_IN, n_runs:
     """
     pick = F.max if keep == "max" else F.min
     level = runs.withColumn("group_size", F.lit(1).cast("long"))
-    while n_runs > 1:
+    while True:
         n_runs = -(-n_runs // fan_in)
         level = (
             level.withColumn("run", F.floor(F.col("run") / F.lit(fan_in)))
             .groupBy("run", "digest", "check", "bytes")
             .agg(pick("best").alias("best"), F.sum("group_size").alias("group_size"))
         )
-    return level.drop("run")
+        if n_runs == 1:
+            return level.drop("run")
 
 
 def _groups(rows: DataFrame, keep: str, fan_in: int, n_runs: int) -> DataFrame:
