@@ -347,12 +347,16 @@ def variants(blocks: list[Block], labels: np.ndarray, pool: list[str], r: np.ran
     return out, np.array(y)
 
 
+_PLAIN_PAGE = ("<html><body><nav><ul><li><a>Menu</a></li></ul></nav><article><h1>Title of a text</h1><p>First words of the text.</p>"
+               "<p>More words of the text.</p></article><footer>End</footer></body></html>")
+
+
 def fit_pages(pages: list[str | None]) -> Labeller:
     """Train on the pages and their variants; a page's first ``TRAIN_BLOCKS`` blocks are used."""
     r, features = np.random.default_rng(5), _Features()
     parsed = [b for b in (blocks_of(p)[:TRAIN_BLOCKS] for p in pages) if b]
     if not parsed:
-        parsed = [[Block(("html", "body", "article", "p"), "p", "text", 0.0)]]  # no page to learn from: variants only
+        parsed = [blocks_of(_PLAIN_PAGE)] * 16  # no page to learn from: variants of a plain one
     pool = [b.text for p in parsed for b in p]
     rows = []
     for b in parsed:
