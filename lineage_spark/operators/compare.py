@@ -192,6 +192,21 @@ def positional_diff(left: DataFrame, right: DataFrame, keys: list[str], value: s
     return j.filter(~F.col(f"left_{value}").eqNullSafe(F.col(f"right_{value}")))
 
 
+def positional_diff_texts(left: DataFrame, right: DataFrame, key: str, text: str) -> DataFrame:
+    """:func:`positional_diff` of the lines of two text columns: ``key, line_no, left_line, right_line``.
+
+    The texts of a key are paired first, so only texts are shuffled and the lines are zipped inside the pair. A text
+    without a partner has every line reported; ``key`` is unique on either side.
+    """
+    l = left.select(key, F.split(text, "\n").alias("__l"))
+    r = right.select(key, F.split(text, "\n").alias("__r"))
+    none = F.array().cast("array<string>")
+    zipped = F.arrays_zip(F.coalesce("__l", none).alias("l"), F.coalesce("__r", none).alias("r"))
+    lines = l.join(r, key, "full_outer").select(key, F.posexplode(zipped).alias("pos", "pair"))
+    return lines.where(~F.col("pair.l").eqNullSafe(F.col("pair.r"))).select(
+        key, (F.col("pos") + 1).cast("int").alias("line_no"), F.col("pair.l").alias("left_line"), F.col("pair.r").alias("right_line"))
+
+
 def hash_list(spark, frames: list[tuple[str, DataFrame]], cols: dict[str, list[str]] | None = None) -> DataFrame:
     """One digest per dataset, in list order: ``(pos, dataset, n_rows, digest)``.
 

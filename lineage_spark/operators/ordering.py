@@ -1,24 +1,17 @@
 """Ordered operators that stay distributed when one group is very large.
 
-``global_index`` numbers rows 1..n in a total order without a single-partition
-window: rows are range-partitioned on the order keys (balanced by sampling, so a
-hot key is cut across tasks), each task numbers its rows locally, and a table of
-per-partition counts (at most one row per partition, so its size is bounded by
-the partition count) gives each partition its offset.
-
-``ordered_scan`` builds on it to give, for an ordered grouping, each row's global
-position and its group's first position. Row number in group, group size, lag and
-lead (a join on the unique position) and running aggregates then need no window
-partitioned by the group key, so a group holding a third of all rows still splits
-over many tasks.
+``ordered_scan`` range-partitions the rows on (group, order) once — the sampler cuts a hot group across
+tasks — and writes them with their partition number. Every derived column (position, row number, group
+size, previous and next values, running sums, last marked value) is then a running value inside a
+partition plus a carry from the partitions before it. Carries are one row per partition, the only
+broadcast, and group borders are found by comparing neighbouring rows null-safely: there is no join on the
+group key, so null keys are groups of their own and a group holding a third of all rows is many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lineage_spark.session import cut_lineage
 
@@ -44,6 +37,21 @@ def range_tagged(df: DataFrame, order_cols: list) -> DataFrame:
     return cut_lineage(tagged)
 
 
+def _carried(summary: DataFrame, carries: dict[str, Column]) -> DataFrame:
+    """``__pid`` and the carries; ``summary`` has one row per partition, so the window is one small task."""
+    return F.broadcast(summary.select("__pid", *[c.alias(n) for n, c in carries.items()]))
+
+
+def _partitions(first: int | None = None, last: int | None = None):
+    """A window over the partition table: whole, or from ``first`` to ``last`` partitions away."""
+    w = Window.orderBy("__pid")
+    return w if first is None else w.rowsBetween(first, last)
+
+
+def _earlier():
+    return _partitions(Window.unboundedPreceding, -1)
+
+
 def global_index(df: DataFrame, order_cols: list, out: str = "seq") -> DataFrame:
     """Append ``out`` = 1-based position of each row in the order of ``order_cols``.
 
@@ -53,157 +61,110 @@ def global_index(df: DataFrame, order_cols: list, out: str = "seq") -> DataFrame
     """
     tagged = range_tagged(df, order_cols)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off")
-    )
+    offsets = _carried(counts, {"__off": F.coalesce(F.sum("__n").over(_earlier()), F.lit(0))})
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
     return (
-        tagged.join(F.broadcast(offsets), "__pid")
+        tagged.join(offsets, "__pid")
         .withColumn(out, F.col("__off") + local + F.lit(1))
         .drop("__pid", "__mid", "__off")
     )
 
 
-def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list) -> DataFrame:
-    """Append ``__pos`` (global 1-based position in (group, order)) and
-    ``__start``/``__end`` (first and last position of the row's group).
-
-    The group bounds come from a partial aggregate (one row per group per task
-    before the shuffle). With at most :data:`BROADCAST_GROUPS` groups (counted)
-    the bounds are broadcast to the numbered rows, which then need no shuffle and
-    no second write. Otherwise they are joined back on the group key (a hot group
-    is one skewed key of that join, split by AQE's skew handling) and the result is
-    checkpointed, as the scan operators below read it several times.
-    """
-    indexed = global_index(df, [*group_cols, *order_cols], "__pos")
-    # cached, not checkpointed: the count that measures it also materializes it,
-    # and a lost block is recomputed from the checkpointed rows (deterministic)
-    bounds = (
-        indexed.groupBy(*group_cols)
-        .agg(F.min("__pos").alias("__start"), F.max("__pos").alias("__end"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    if bounds.count() <= BROADCAST_GROUPS:
-        return indexed.join(F.broadcast(bounds), group_cols)
-    out = cut_lineage(indexed.join(bounds, group_cols))
-    bounds.unpersist()
-    return out
-
-
-# Group-bounds tables up to this many rows are broadcast (size known from a count).
-BROADCAST_GROUPS = 1_000_000
-
-
-def row_in_group(scanned: DataFrame) -> Column:
-    """1-based row number within the group of an :func:`ordered_scan` frame."""
-    return (F.col("__pos") - F.col("__start") + F.lit(1)).cast("long")
+def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list, *, sums: dict[str, Column] | None = None,
+                 last: dict[str, tuple[Column, Column]] | None = None, previous: dict[str, str] | None = None,
+                 following: dict[str, str] | None = None, size: str | None = None, row: str | None = None) -> DataFrame:
+    """``df`` with ordered columns inside the groups of ``group_cols`` (rows in ``order_cols``), all from one shuffle:
 
+    * ``sums``: name -> value; the sum up to and including the row (null values count as 0);
+    * ``last``: name -> (mark, value); the value of the last row at or before this one whose mark is true, else null;
+    * ``previous`` / ``following``: name -> column; the column one row back / ahead, null at the group's border;
+    * ``row`` / ``size``: names for the row number and the number of rows of the group.
 
-def group_size(scanned: DataFrame) -> Column:
-    return (F.col("__end") - F.col("__start") + F.lit(1)).cast("long")
-
-
-def shifted(scanned: DataFrame, cols: list[str], offset: int, prefix: str) -> DataFrame:
-    """Lag (``offset`` < 0) or lead (> 0) of ``cols`` inside the group, as
-    ``prefix + col``; null where the shifted row falls outside the group.
-
-    Implemented as an equi-join on the unique position, which partitions evenly
-    however the groups are sized.
+    A null key is a group like any other. ``__pos`` and ``__start`` (position of the row and of its group's first row)
+    are added too.
     """
-    other = scanned.select(
-        (F.col("__pos") - F.lit(offset)).alias("__pos"),
-        F.col("__start").alias("__ostart"),
-        *[F.col(c).alias(prefix + c) for c in cols],
-    )
-    j = scanned.join(other, "__pos", "left")
-    same = F.col("__ostart") == F.col("__start")
-    return j.select(
-        *scanned.columns, *[F.when(same, F.col(prefix + c)).alias(prefix + c) for c in cols]
-    )
-
-
-def running_sum_in_group(scanned: DataFrame, value: Column, out: str) -> DataFrame:
-    """``out`` = sum of ``value`` over the group's rows up to and including this one.
-
-    Global running sum minus the running sum just before the group's start. The
-    global running sum is a running sum inside equal-size buckets of consecutive
-    positions plus the total of the earlier buckets (a table of at most
-    ``spark.sql.shuffle.partitions`` rows, broadcast).
-    """
-    return _running(scanned, value, out, how="sum")
-
-
-def last_seen_position(scanned: DataFrame, mark: Column, out: str) -> DataFrame:
-    """``out`` = position of the last row at or before this one in the group where
-    ``mark`` is true, else null (running max of positions)."""
-    return _running(scanned, F.when(mark, F.col("__pos")), out, how="max")
-
-
-def _running(scanned: DataFrame, value: Column, out: str, how: str) -> DataFrame:
-    # buckets of consecutive positions: each bucket is one task of the running
-    # aggregate, and a tiny per-bucket table carries the total of earlier buckets
-    n_buckets = max(int(scanned.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    tmp = scanned.withColumn("__v", value)
-    stats = tmp.agg(F.max("__pos").alias("m")).first()
-    total = stats["m"] or 0
-    width = max(total // n_buckets + 1, 1)
-    tmp = tmp.withColumn("__b", F.floor((F.col("__pos") - 1) / F.lit(width)).cast("long"))
-    w_in = Window.partitionBy("__b").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
-    agg = F.sum if how == "sum" else F.max
-    tmp = tmp.withColumn("__local", agg("__v").over(w_in))
-    per_bucket = tmp.groupBy("__b").agg(agg("__v").alias("__bt"))
-    w_b = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select("__b", agg("__bt").over(w_b).alias("__carry"))
-    tmp = tmp.join(F.broadcast(carry), "__b")
-    if how == "sum":
-        glob = F.coalesce(F.col("__carry"), F.lit(0)) + F.coalesce(F.col("__local"), F.lit(0))
-        # sum before the group start = global running sum at start - value at start
-        start_val = tmp.filter(F.col("__pos") == F.col("__start")).select(
-            F.col("__pos").alias("__start"), (glob - F.coalesce(F.col("__v"), F.lit(0))).alias("__base")
-        )
-        tmp = tmp.withColumn("__glob", glob).join(start_val, "__start")
-        res = F.col("__glob") - F.col("__base")
-    else:
-        glob = F.greatest(F.col("__carry"), F.col("__local"))
-        res = F.when(glob >= F.col("__start"), glob)
-        tmp = tmp.withColumn("__glob", glob)
-    return tmp.withColumn(out, res).select(*scanned.columns, out)
-
-
-# Groups up to this many rows are joined in one aggregate; larger ones in chunks.
+    sums, last, previous, following = sums or {}, last or {}, previous or {}, following or {}
+    extra = {f"__s{i}": F.coalesce(v.cast("double" if dict(df.select(v.alias("v")).dtypes)["v"] in ("float", "double") else "long"), F.lit(0))
+             for i, v in enumerate(sums.values())}
+    extra |= {f"__m{i}": F.when(mark, F.struct(value.alias("v"))) for i, (mark, value) in enumerate(last.values())}
+    tagged = range_tagged(df.withColumns(extra) if extra else df, [*group_cols, *order_cols])
+    key = F.struct(*[F.col(c) for c in group_cols])
+    w = Window.partitionBy("__pid").orderBy("__mid")
+    upto, before, onwards = (w.rowsBetween(a, b) for a, b in (
+        (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1), (0, Window.unboundedFollowing)))
+
+    # what a partition needs to know of its neighbours
+    edges = {"__firstkey": F.min_by(key, "__mid"), "__lastkey": F.max_by(key, "__mid"), "__n": F.count(F.lit(1))}
+    edges |= {f"__p{i}": F.max_by(F.struct(F.col(c).alias("v")), "__mid") for i, c in enumerate(previous.values())}
+    edges |= {f"__f{i}": F.min_by(F.struct(F.col(c).alias("v")), "__mid") for i, c in enumerate(following.values())}
+    edges |= {f"__t{i}": F.sum(f"__s{i}") for i in range(len(sums))}
+    summary = tagged.groupBy("__pid").agg(*[c.alias(n) for n, c in edges.items()])
+    carries = {"__off": F.coalesce(F.sum("__n").over(_earlier()), F.lit(0)),
+               "__prevkey": F.lag("__lastkey").over(_partitions()), "__nextkey": F.lead("__firstkey").over(_partitions())}
+    carries |= {f"__p{i}": F.lag(f"__p{i}").over(_partitions()) for i in range(len(previous))}
+    carries |= {f"__f{i}": F.lead(f"__f{i}").over(_partitions()) for i in range(len(following))}
+    carries |= {f"__t{i}": F.coalesce(F.sum(f"__t{i}").over(_earlier()), F.lit(0)) for i in range(len(sums))}
+    rows = tagged.join(_carried(summary, carries), "__pid")
+
+    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33) + F.lit(1)
+    rows = rows.withColumns({
+        "__pos": F.col("__off") + local,
+        "__before": F.coalesce(F.lag(key).over(w), F.col("__prevkey")),
+        "__after": F.coalesce(F.lead(key).over(w), F.col("__nextkey")),
+        **{f"__p{i}": F.coalesce(F.lag(F.struct(F.col(c).alias("v"))).over(w), F.col(f"__p{i}")) for i, c in enumerate(previous.values())},
+        **{f"__f{i}": F.coalesce(F.lead(F.struct(F.col(c).alias("v"))).over(w), F.col(f"__f{i}")) for i, c in enumerate(following.values())},
+        **{f"__b{i}": F.col(f"__t{i}") + F.coalesce(F.sum(f"__s{i}").over(before), F.lit(0)) for i in range(len(sums))},
+    })
+    opens, ends = ~F.col("__before").eqNullSafe(key), ~F.col("__after").eqNullSafe(key)
+    # a running maximum of (position, values) holds the values of the last such row
+    runs = {"__open": F.when(opens, F.struct("__pos", *[f"__b{i}" for i in range(len(sums))]))}
+    runs |= {f"__l{i}": F.when(F.col(f"__m{i}").isNotNull(), F.struct(F.col("__pos").alias("pos"), F.col(f"__m{i}").alias("m")))
+             for i in range(len(last))}
+    rows = rows.withColumns(runs | ({"__close": F.when(ends, F.col("__pos"))} if size else {}))
+    carry = rows.groupBy("__pid").agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("__pos"))).alias(n) for n in runs],
+        *([F.min("__close").alias("__close")] if size else []))
+    found = {f"{n}_c": F.last(n, ignorenulls=True).over(_earlier()) for n in runs}
+    if size:
+        found["__close_c"] = F.min("__close").over(_partitions(1, Window.unboundedFollowing))
+    rows = rows.join(_carried(carry, found), "__pid")
+    told = {n: F.coalesce(F.last(n, ignorenulls=True).over(upto), F.col(f"{n}_c")) for n in runs}
+    if size:
+        told["__close"] = F.coalesce(F.min("__close").over(onwards), F.col("__close_c"))
+    rows = rows.withColumns(told)
+
+    start = F.col("__open.__pos")
+    out = {n: F.col(f"__b{i}") + F.col(f"__s{i}") - F.col(f"__open.__b{i}") for i, n in enumerate(sums)}
+    out |= {n: F.when(F.col(f"__l{i}.pos") >= start, F.col(f"__l{i}.m.v")) for i, n in enumerate(last)}
+    out |= {n: F.when(~opens, F.col(f"__p{i}.v")) for i, n in enumerate(previous)}
+    out |= {n: F.when(~ends, F.col(f"__f{i}.v")) for i, n in enumerate(following)}
+    if row:
+        out[row] = F.col("__pos") - start + F.lit(1)
+    if size:
+        out[size] = F.col("__close") - start + F.lit(1)
+    keep = [c for c in df.columns if c not in out]
+    return rows.select(*keep, *[c.alias(n) for n, c in out.items()], "__pos", start.alias("__start"))
+
+
+# Values of a group that are joined in one task at a time.
 JOIN_CHUNK_ROWS = 50_000
 
 
 def ordered_join(df: DataFrame, group: list[str], order: str, value: str, sep: str, out: str,
                  chunk_rows: int = JOIN_CHUNK_ROWS) -> DataFrame:
-    """Per group, the ``value``s joined by ``sep`` in ``order``: ``group + [out]``.
-
-    Two levels, so no task gathers a whole large group from row level:
+    """Per group, the non-null ``value``s joined by ``sep`` in ``order``: ``group + [out]``.
 
-    * integral ``order`` (positions, line numbers, ids): rows are cut into buckets
-      of ``chunk_rows`` consecutive order values, each bucket's values are joined
-      in parallel, then the bucket strings are joined in bucket order;
-    * any other ``order`` type: the largest group is measured first; groups that
-      fit in ``chunk_rows`` are joined directly, otherwise rows are numbered with
-      :func:`ordered_scan` and cut into chunks of consecutive positions.
-
-    The result row itself holds the whole group's text: that is the requested
-    output.
+    Two levels, so that no task gathers a whole large group from row level: rows are numbered in their group, runs of
+    ``chunk_rows`` rows are joined in parallel, then the pieces are joined. Nulls are left out wherever the runs are cut,
+    and a group of nulls gives an empty text. The result row holds the whole group's text: that is the requested output.
     """
+    rows = ordered_scan(df.select(*group, order, value), group, [order], row="__nth")
+    rows = rows.withColumn("__chunk", F.floor((F.col("__nth") - 1) / F.lit(chunk_rows)).cast("long"))
+
     def joined(frame, by, o, v):
-        items = F.array_sort(F.collect_list(F.struct(F.col(o).alias("o"), F.col(v).cast("string").alias("v"))))
-        return frame.groupBy(*by).agg(F.array_join(F.transform(items, lambda s: s["v"]), sep).alias(out))
-
-    def two_level(frame, chunk_col, o):
-        pieces = joined(frame, [*group, chunk_col], o, value).withColumnRenamed(out, "__piece")
-        return joined(pieces, group, chunk_col, "__piece")
-
-    if isinstance(df.schema[order].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        bucketed = df.withColumn("__chunk", F.floor(F.col(order) / F.lit(chunk_rows)).cast("long"))
-        return two_level(bucketed, "__chunk", order)
-    largest = df.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if largest <= chunk_rows:
-        return joined(df, group, order, value)
-    s = ordered_scan(df.select(*group, order, value), group, [order])
-    s = s.withColumn("__chunk", F.floor((F.col("__pos") - F.col("__start")) / F.lit(chunk_rows)).cast("long"))
-    return two_level(s, "__chunk", "__pos")
+        items = F.array_sort(F.collect_list(F.when(F.col(v).isNotNull(), F.struct(F.col(o).alias("o"), F.col(v).cast("string").alias("v")))))
+        text = F.array_join(F.transform(items, lambda s: s["v"]), sep)
+        return frame.groupBy(*by).agg(F.when(F.size(items) > 0, text).alias(out))
+
+    pieces = joined(rows, [*group, "__chunk"], "__nth", value).withColumnRenamed(out, "__piece")
+    return joined(pieces, group, "__chunk", "__piece").withColumn(out, F.coalesce(out, F.lit("")))

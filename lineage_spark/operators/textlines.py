@@ -2,9 +2,7 @@
 
 Line tables are ``(id, line_no, line)``. All lines of one id come from one source
 row (see :mod:`lineage_spark.sources.lines`), so a window partitioned by the id is
-bounded by the size of one input value; the two window operators below
-(:func:`sections`, :func:`carry_forward`) use the same window spec, so chained they
-share one shuffle by id. Groups that may be huge (per user, per customer) use the
+bounded by the size of one input value (:func:`carry_forward`). Groups that may be huge (per user, per customer) and marker sections use the
 distributed scans of :mod:`lineage_spark.operators.ordering` instead.
 
 The rewriter applies an ordered rule list to each line: the first rule whose
@@ -119,13 +117,6 @@ def rewrite(lines: DataFrame, rules: list[Rule], line_col: str = "line", state_c
     return out.filter(F.col(line_col).isNotNull())
 
 
-def sections(lines: DataFrame, key: str, order: str, is_marker: Column, out: str = "section") -> DataFrame:
-    """Marker sectioning: a marker line opens a new section (lines before the
-    first marker are section 0)."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn(out, F.sum(is_marker.cast("int")).over(w).cast("int"))
-
-
 def carry_forward(lines: DataFrame, key: str, order: str, value: Column, out: str) -> DataFrame:
     """``out`` = the last non-null ``value`` at or before each line of the key."""
     w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)

@@ -154,6 +154,16 @@ ORACLE["section_body"] = f"""SELECT conv_id, section, string_agg(text, chr(10) O
 FROM ({_CONV_SECTIONS}) GROUP BY conv_id, section"""
 ORACLE["seq_total"] = """SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS VARCHAR)
   || '/' || CAST(count(*) OVER (PARTITION BY conv_id) AS VARCHAR) AS label FROM conversations"""
+ORACLE["null_group_scan"] = """WITH o AS (SELECT o_orderkey, nullif(o_custkey % 7, 3) AS grp, o_orderstatus FROM orders)
+SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY grp) AS total,
+  CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) OVER w AS BIGINT) AS n_finished,
+  last_value(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END IGNORE NULLS) OVER w AS last_finished,
+  lag(o_orderkey) OVER w AS prev, lead(o_orderkey) OVER w AS next
+FROM o WINDOW w AS (PARTITION BY grp ORDER BY o_orderkey)"""
+ORACLE["null_value_join"] = """SELECT o_orderstatus || CAST(o_orderkey % 11 AS VARCHAR) AS grp,
+  coalesce(string_agg(CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 1000 >= 400 THEN CAST(o_orderkey % 97 AS VARCHAR) END, ','
+    ORDER BY o_orderkey), '') AS joined
+FROM orders GROUP BY 1"""
 ORACLE["carry_forward"] = """SELECT event_id, user_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS)
   OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase
 FROM events"""

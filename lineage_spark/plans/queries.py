@@ -57,6 +57,8 @@ SURVEY_IDS = {
     "line_contains": "P8",
     "load_parts": "S1 U4",
     "materialize_reload": "S8 S10",
+    "null_group_scan": "W1 W2 W3 W4",
+    "null_value_join": "A4 A6",
     "normalize_frame": "P5 P6 P7 §2.8",
     "null_default": "P10 §2.8",
     "ordered_args": "A4",
@@ -175,20 +177,12 @@ def dataset_digest(spark, sf):
 @query
 def positional_diff(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "source", "text")
-    # next document of the same source: a lead inside the source computed as a
-    # join on global position, so a source holding most documents still spreads
-    scanned = ordering.ordered_scan(docs.select("doc_id", "source"), ["source"], ["doc_id"])
-    nxt = ordering.shifted(scanned, ["doc_id"], 1, "next_").select(
-        "doc_id", F.col("next_doc_id").alias("next_doc")
-    )
-    lines = explode_lines(docs, "doc_id", "text")
-    # the next document's lines, keyed by the document they are compared with
-    right = (
-        lines.withColumnRenamed("doc_id", "next_doc")
-        .join(nxt.filter(F.col("next_doc").isNotNull()), "next_doc")
-        .select("doc_id", "line_no", "line")
-    )
-    return compare.positional_diff(lines, right, ["doc_id", "line_no"], "line")
+    # each document against the next one of the same source: the documents are paired first, their lines are
+    # zipped by position inside the pair
+    scanned = ordering.ordered_scan(docs.select("doc_id", "source"), ["source"], ["doc_id"], following={"next_doc": "doc_id"})
+    nxt = scanned.where(F.col("next_doc").isNotNull()).select(F.col("next_doc"), F.col("doc_id").alias("pair"))
+    right = docs.join(nxt, docs["doc_id"] == nxt["next_doc"]).select(F.col("pair").alias("doc_id"), "text")
+    return compare.positional_diff_texts(docs.select("doc_id", "text"), right, "doc_id", "text")
 
 
 # ---------------------------------------------------------------- lineage graph
@@ -332,8 +326,7 @@ def line_contains(spark, sf):
 
 def _conv_sections(spark, sf):
     conv = load(spark, sf, "conversations")
-    scanned = ordering.ordered_scan(conv, ["conv_id"], ["turn"])
-    marked = ordering.running_sum_in_group(scanned, (F.col("role") == "user").cast("int"), "section")
+    marked = ordering.ordered_scan(conv, ["conv_id"], ["turn"], sums={"section": (F.col("role") == "user").cast("int")})
     return marked.withColumn("section", F.col("section").cast("int"))
 
 
@@ -357,28 +350,45 @@ def section_body(spark, sf):
 @query
 def seq_total(spark, sf):
     conv = load(spark, sf, "conversations").select("conv_id", "turn")
-    s = ordering.ordered_scan(conv, ["conv_id"], ["turn"])
-    label = F.concat(ordering.row_in_group(s).cast("string"), F.lit("/"), ordering.group_size(s).cast("string"))
+    s = ordering.ordered_scan(conv, ["conv_id"], ["turn"], row="n", size="total")
+    label = F.concat(F.col("n").cast("string"), F.lit("/"), F.col("total").cast("string"))
     return s.select("conv_id", "turn", label.alias("label"))
 
 
 @query
 def carry_forward(spark, sf):
     ev = load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    s = ordering.ordered_scan(ev, ["user_id"], ["ts", "event_id"])
-    s = ordering.last_seen_position(s, F.col("event_type") == "purchase", "__lp")
-    vals = s.filter(F.col("event_type") == "purchase").select(
-        F.col("__pos").alias("__lp"), F.col("value").alias("last_purchase")
-    )
-    return s.join(vals, "__lp", "left").select("event_id", "user_id", "last_purchase")
+    purchase = F.col("event_type") == "purchase"
+    s = ordering.ordered_scan(ev, ["user_id"], ["ts", "event_id"], last={"last_purchase": (purchase, F.col("value"))})
+    return s.select("event_id", "user_id", "last_purchase")
 
 
 @query
 def prev_step(spark, sf):
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    s = ordering.ordered_scan(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    s = ordering.shifted(s, ["o_orderkey"], -1, "prev_")
-    return s.select("o_orderkey", "o_custkey", F.col("prev_o_orderkey").alias("prev_orderkey"))
+    s = ordering.ordered_scan(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], previous={"prev_orderkey": "o_orderkey"})
+    return s.select("o_orderkey", "o_custkey", "prev_orderkey")
+
+
+@query
+def null_group_scan(spark, sf):
+    # few large groups, one of them with the null key
+    o = load(spark, sf, "orders").select("o_orderkey", F.nullif(F.col("o_custkey") % 7, F.lit(3)).alias("grp"), "o_orderstatus")
+    finished = F.col("o_orderstatus") == "F"
+    return ordering.ordered_scan(
+        o, ["grp"], ["o_orderkey"], row="n", size="total", sums={"n_finished": finished.cast("int")},
+        last={"last_finished": (finished, F.col("o_orderkey"))}, previous={"prev": "o_orderkey"}, following={"next": "o_orderkey"},
+    ).drop("__pos", "__start")
+
+
+@query
+def null_value_join(spark, sf):
+    # values that are null for whole runs of rows and for whole groups (status P), joined in runs of 100 rows
+    o = load(spark, sf, "orders").select(
+        "o_orderstatus", "o_orderkey",
+        F.when((F.col("o_orderstatus") != "P") & (F.col("o_orderkey") % 1000 >= 400), F.col("o_orderkey") % 97).alias("v"))
+    o = o.withColumn("grp", F.concat("o_orderstatus", (F.col("o_orderkey") % 11).cast("string")))
+    return ordering.ordered_join(o, ["grp"], "o_orderkey", "v", ",", "joined", chunk_rows=100)
 
 
 # Rule lists of the rewrite queries (data, not code).

@@ -50,35 +50,37 @@ def transforms_from_lines(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
     null for an argument with no header input. When a header names several
     outputs the last one counts. Sections without a signature are left out.
     """
-    scanned = ordering.ordered_scan(lines.select(doc, "line_no", "line"), [doc], ["line_no"])
-    marked = ordering.running_sum_in_group(
-        scanned, F.col("line").rlike(SECTION_MARKER).cast("int"), "idx"
-    ).select(doc, "line_no", "line", F.col("idx").cast("int").alias("idx"))
-    # read by four branches below (header end, inputs, outputs, signatures)
-    marked = cut_lineage(marked.filter(F.col("idx") > 0))
+    line = F.col("line")
+    tests = {
+        "marker": line.rlike(SECTION_MARKER), "close": line.rlike(HEADER_END), "input": line.contains(INPUT_TAG),
+        "output": line.contains(OUTPUT_TAG), "signature": line.contains(SIGNATURE_TAG),
+    }
+    # only the lines that say something about a step are ordered and written: bodies stay behind
+    telling = lines.select(doc, "line_no", "line", *[t.alias(f"__{n}") for n, t in tests.items()])
+    telling = telling.where(" or ".join(f"__{n}" for n in tests))
+    scanned = ordering.ordered_scan(
+        telling, [doc], ["line_no"], sums={"idx": F.col("__marker").cast("int")})
+    marked = cut_lineage(scanned.where("idx > 0").withColumn("idx", F.col("idx").cast("int")))
     key = [doc, "idx"]
 
-    closes = marked.filter(F.col("line").rlike(HEADER_END)).groupBy(*key).agg(F.min("line_no").alias("close_no"))
-    m = marked.join(closes, key)
-    header = m.filter(F.col("line_no") < F.col("close_no"))
-    inputs = header.filter(F.col("line").contains(INPUT_TAG)).select(
+    at = F.col("line_no")
+    ends = marked.where("__close").groupBy(*key).agg(F.min("line_no").alias("close_no"))
+    m = marked.join(ends, key)
+    header = F.col("line_no") < F.col("close_no")
+    inputs = m.where(header & F.col("__input")).select(
         *key,
         "line_no",
         F.regexp_extract("line", VAR_PATTERN, 1).alias("arg"),
         F.nullif(F.regexp_extract("line", RID_PATTERN, 1), F.lit("")).alias("rid"),
     )
-    outputs = (
-        header.filter(F.col("line").contains(OUTPUT_TAG))
-        .groupBy(*key)
-        .agg(F.max_by(F.regexp_extract("line", RID_PATTERN, 1), F.col("line_no")).alias("output_rid"))
-    )
-    sigs = (
-        m.filter((F.col("line_no") > F.col("close_no")) & F.col("line").contains(SIGNATURE_TAG))
-        .groupBy(*key)
-        .agg(F.min_by("line", "line_no").alias("sig"))
-    )
+    # one aggregate: the last output of the header and the first signature after it
+    sigs = m.groupBy(*key).agg(
+        F.max_by(F.regexp_extract("line", RID_PATTERN, 1), F.when(header & F.col("__output"), at)).alias("output_rid"),
+        F.min_by("line", F.when((at > F.col("close_no")) & F.col("__signature"), at)).alias("sig"),
+    ).where(F.col("sig").isNotNull())
     sigs = sigs.select(
         *key,
+        "output_rid",
         F.regexp_extract("sig", NAME_PATTERN, 1).alias("name"),
         F.split(F.regexp_extract("sig", ARGS_PATTERN, 1), ",").alias("args"),
     )
@@ -93,8 +95,7 @@ def transforms_from_lines(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
         F.array_sort(F.collect_list(F.struct("pos", "arg", "rid"))).alias("inputs")
     )
     return (
-        sigs.join(outputs, key, "left")
-        .join(bound, key, "left")
+        sigs.join(bound, key, "left")
         .select(
             doc,
             "name",

@@ -11,10 +11,9 @@ T_SCHEMA = "name string, idx int, output_rid string, inputs array<struct<pos:int
 def test_empty_ordered_operators(spark):
     df = spark.createDataFrame([], "k int, t int, v int")
     assert ordering.global_index(df, ["k", "t"]).count() == 0
-    s = ordering.ordered_scan(df, ["k"], ["t"])
-    assert ordering.running_sum_in_group(s, F.col("v"), "r").count() == 0
-    assert ordering.last_seen_position(s, F.col("v") > 0, "p").count() == 0
-    assert ordering.shifted(s, ["t"], -1, "prev_").count() == 0
+    s = ordering.ordered_scan(df, ["k"], ["t"], sums={"r": F.col("v")}, last={"p": (F.col("v") > 0, F.col("t"))},
+                              previous={"prev_t": "t"}, following={"next_t": "t"}, row="rn", size="n")
+    assert s.count() == 0
     assert ordering.ordered_join(df, ["k"], "t", "v", ",", "s").count() == 0
 
 

@@ -3,6 +3,8 @@
 import base64
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -58,39 +60,56 @@ def test_global_index_matches_row_number(spark):
     assert got == exp
 
 
-def test_group_scan_matches_windows(spark):
-    df = _random_frame(spark)
-    s = ordering.ordered_scan(df, ["k"], ["t"])
-    s = ordering.shifted(s, ["t"], -1, "prev_")
-    s = ordering.shifted(s, ["t"], 1, "next_")
-    s = ordering.running_sum_in_group(s, F.coalesce(F.col("v"), F.lit(0)), "run")
-    s = ordering.last_seen_position(s, F.col("v") == 2, "lp")
-    s = s.withColumn("rn", ordering.row_in_group(s)).withColumn("n", ordering.group_size(s))
-    pos_t = {r["__pos"]: r["t"] for r in s.select("__pos", "t").collect()}
-    got = {r["t"]: (r["prev_t"], r["next_t"], r["run"], pos_t.get(r["lp"]), r["rn"], r["n"]) for r in s.collect()}
+def _scan_and_windows(df):
+    mark = F.col("v") == 2
+    s = ordering.ordered_scan(
+        df, ["k"], ["t"], sums={"run": F.col("v")}, last={"lt": (mark, F.col("t")), "lv": (F.col("t") % 5 == 0, F.col("v"))},
+        previous={"prev_t": "t", "prev_v": "v"}, following={"next_t": "t"}, row="rn", size="n")
     w = Window.partitionBy("k").orderBy("t")
     wr = w.rowsBetween(Window.unboundedPreceding, 0)
     e = df.select(
-        "t", F.lag("t").over(w).alias("p"), F.lead("t").over(w).alias("nx"),
-        F.sum(F.coalesce("v", F.lit(0))).over(wr).alias("run"),
-        F.last(F.when(F.col("v") == 2, F.col("t")), ignorenulls=True).over(wr).alias("lt"),
+        "*", F.sum(F.coalesce("v", F.lit(0))).over(wr).alias("run"),
+        F.last(F.when(mark, F.col("t")), ignorenulls=True).over(wr).alias("lt"),
+        F.last(F.when(F.col("t") % 5 == 0, F.struct("v")), ignorenulls=True).over(wr)["v"].alias("lv"),
+        F.lag("t").over(w).alias("prev_t"), F.lag("v").over(w).alias("prev_v"), F.lead("t").over(w).alias("next_t"),
         F.row_number().over(w).alias("rn"), F.count(F.lit(1)).over(Window.partitionBy("k")).alias("n"),
     )
-    exp = {r["t"]: (r["p"], r["nx"], r["run"], r["lt"], r["rn"], r["n"]) for r in e.collect()}
-    assert got == exp
+    cols = ["k", "t", "v", "run", "lt", "lv", "prev_t", "prev_v", "next_t", "rn", "n"]
+    return sorted((tuple(r) for r in s.select(*cols).collect()), key=repr), sorted((tuple(r) for r in e.select(*cols).collect()), key=repr)
 
 
-def test_ordered_join_chunked_matches_direct(spark):
-    df = _random_frame(spark, n=2000)
-    direct = {r["k"]: r["s"] for r in ordering.ordered_join(df, ["k"], "t", "t", ",", "s").collect()}
-    chunked = {r["k"]: r["s"] for r in ordering.ordered_join(df, ["k"], "t", "t", ",", "s", chunk_rows=50).collect()}
-    assert direct == chunked
-    # a string order column takes the measured path
-    ds = df.withColumn("ts", F.format_string("%06d", "t"))
-    measured = {r["k"]: r["s"] for r in ordering.ordered_join(ds, ["k"], "ts", "t", ",", "s", chunk_rows=50).collect()}
-    assert measured == direct
-    hot = direct[0].split(",")
-    assert hot == sorted(hot, key=int) and len(hot) == len([i for i in range(2000) if i % 3 == 0])
+def test_group_scan_matches_windows(spark):
+    got, want = _scan_and_windows(_random_frame(spark))
+    assert got == want
+
+
+def test_null_keys_are_groups(spark):
+    df = _random_frame(spark).withColumn("k", F.nullif(F.col("k"), F.lit(0)))
+    got, want = _scan_and_windows(df)
+    assert got == want and sum(r[0] is None for r in got) == 1000
+
+
+def test_few_rows_over_many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [(None, 1, 2), (None, 2, None), (1, 3, 2), (2, 4, 1), (2, 5, None), (2, 6, None), (2, 7, 2)]
+        got, want = _scan_and_windows(spark.createDataFrame(rows, "k int, t int, v int"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == want
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 50, 100_000])
+def test_ordered_join_does_not_depend_on_runs(spark, chunk):
+    df = _random_frame(spark, n=600).withColumn("k", F.nullif(F.col("k"), F.lit(0)))
+    df = df.union(spark.createDataFrame([(99, 1, None), (99, 2, None), (98, 1, None), (98, 2, 7)], df.schema))
+    for order in ("t", "ts"):
+        ds = df.withColumn("ts", F.format_string("%06d", "t"))
+        got = {r["k"]: r["s"] for r in ordering.ordered_join(ds, ["k"], order, "v", ",", "s", chunk_rows=chunk).collect()}
+        want = {}
+        for r in sorted(ds.collect(), key=lambda r: r["t"]):
+            want.setdefault(r["k"], []).extend([str(r["v"])] if r["v"] is not None else [])
+        assert got == {k: ",".join(v) for k, v in want.items()}
 
 
 def test_hot_key_is_split_across_range_partitions(spark):
@@ -113,9 +132,3 @@ def test_hot_key_is_split_across_range_partitions(spark):
     # and the hot group's rows really are spread over several partitions
     hot = tagged.filter("k = 0").select("__pid").distinct().count()
     assert hot >= 2
-
-
-def test_group_scan_many_groups_path(spark, monkeypatch):
-    # above the broadcast bound the bounds are joined by a shuffle: same results
-    monkeypatch.setattr(ordering, "BROADCAST_GROUPS", 1)
-    test_group_scan_matches_windows(spark)

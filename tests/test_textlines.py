@@ -7,7 +7,7 @@ results come from its generated-scripts test.
 
 from pyspark.sql import functions as F
 
-from lineage_spark.operators import textlines
+from lineage_spark.operators import ordering, textlines
 from lineage_spark.operators.textlines import Rule
 
 # Script-cleaning rules in their original order (one rule, for the
@@ -70,7 +70,8 @@ def script_lines(spark):
 
 
 def with_state(lines):
-    lines = textlines.sections(lines, "doc_id", "line_no", F.col("line").rlike("^@"))
+    marker = F.col("line").rlike("^@").cast("int")
+    lines = ordering.ordered_scan(lines, ["doc_id"], ["line_no"], sums={"section": marker}).drop("__pos", "__start")
     fn = F.nullif(F.regexp_extract("line", r"^(\S+) <- function", 1), F.lit(""))
     lines = textlines.carry_forward(lines, "doc_id", "line_no", fn, "fn")
     iv = F.nullif(F.regexp_extract("line", r"<-\s*(\S+)\$fileSystem\(\)", 1), F.lit(""))
