@@ -6,15 +6,16 @@ where ``idx`` is the declared position and an input's ``rid`` is null when the
 argument has no declared dataset. A dataset produced by no step is *external*
 (available from the start).
 
+A table of several workbooks also has ``doc_id``; steps and datasets then belong to their document. A step is
+known by its document and declared index, so equal step names are no trouble.
+
 Everything here is joins and aggregates over those tables; the only driver loop
-is the frontier iteration of :func:`topological_passes`, one round per level of
-the graph, each round checkpointed to the shared folder.
+is the level iteration of :func:`topological_passes`, several levels of the graph per
+written round.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,27 +24,33 @@ from lineage_spark.session import cut_lineage, scratch_path
 
 # Fixed values.
 EXTERNAL_SOURCE = "input_data"
-# A frontier of at most this many (name, pass) rows is broadcast; a larger one is
-# shuffled like any other join side.
-BROADCAST_FRONTIER_ROWS = 1_000_000
-# Resolved levels kept as a union before they are appended to a written table.
-FLUSH_LEVELS = 32
+EMPTY_PARAMETER = "<empty parameter>"
+# Levels of the graph that one written round resolves.
+LEVELS_PER_ROUND = 5
+# Children of a step that one task of a level takes; a step with more is split into copies.
+SPLIT_CHILDREN = 100_000
+
+
+def _doc(transforms: DataFrame) -> list[str]:
+    return ["doc_id"] if "doc_id" in transforms.columns else []
 
 
 def step_inputs(transforms: DataFrame) -> DataFrame:
-    """``(step, idx, pos, arg, rid)``: one row per declared input."""
+    """``([doc_id,] step, idx, pos, arg, rid)``: one row per declared input."""
+    doc = _doc(transforms)
     return transforms.select(
-        F.col("name").alias("step"), "idx", F.explode("inputs").alias("i")
-    ).select("step", "idx", "i.pos", "i.arg", "i.rid")
+        *doc, F.col("name").alias("step"), "idx", F.explode("inputs").alias("i")
+    ).select(*doc, "step", "idx", "i.pos", "i.arg", "i.rid")
 
 
 def producers(transforms: DataFrame) -> DataFrame:
-    """``(rid, producer, pidx)``: the producing step of each dataset.
+    """``([doc_id,] rid, producer, pidx)``: the step whose output a dataset is bound to.
 
     When several steps declare the same output the last declared one wins (it is
-    the binding later steps see); :func:`duplicate_producers` reports the clash.
+    the binding later steps see); :func:`duplicate_producers` reports the clash and
+    :func:`with_sources` lists them all.
     """
-    return transforms.groupBy(F.col("output_rid").alias("rid")).agg(
+    return transforms.groupBy(*_doc(transforms), F.col("output_rid").alias("rid")).agg(
         F.max_by("name", "idx").alias("producer"), F.max("idx").alias("pidx")
     )
 
@@ -62,13 +69,14 @@ def dependency_edges(inputs: DataFrame, outputs: DataFrame, consumer: str = "con
 
 
 def with_sources(transforms: DataFrame) -> DataFrame:
-    """``(step, dataset, source)``: each input with its producer, or the sentinel
-    ``input_data`` when no step produces it (an external dataset)."""
+    """``([doc_id,] step, idx, dataset, source)``: each input with every step that produces it, or
+    the sentinel ``input_data`` when none does (an external dataset)."""
+    doc = _doc(transforms)
     ins = step_inputs(transforms).filter(F.col("rid").isNotNull())
-    p = producers(transforms).select("rid", "producer")
+    made = transforms.select(*doc, F.col("output_rid").alias("rid"), F.col("name").alias("producer")).distinct()
     return (
-        ins.join(p, "rid", "left")
-        .select("step", F.col("rid").alias("dataset"), F.coalesce("producer", F.lit(EXTERNAL_SOURCE)).alias("source"))
+        ins.join(made, [*doc, "rid"], "left")
+        .select(*doc, "step", "idx", F.col("rid").alias("dataset"), F.coalesce("producer", F.lit(EXTERNAL_SOURCE)).alias("source"))
         .distinct()
     )
 
@@ -97,17 +105,25 @@ def duplicate_producers(outputs: DataFrame, dataset: str, producer: str) -> Data
 
 
 def step_manifest(transforms: DataFrame) -> DataFrame:
-    """One row per step: ``(step, sources, script, output)``.
+    """One row per step: ``([doc_id,] step, sources, script, output)``.
 
-    ``sources`` is the sorted, distinct producer list joined by ``,`` (with the
-    ``input_data`` sentinel for external inputs); a step without inputs has an
-    empty list. ``script`` and ``output`` follow the step naming convention.
+    ``sources`` is the sorted, distinct list of the steps that produce an input (all of them when
+    several produce one dataset), joined by ``,``, with the ``input_data`` sentinel for external
+    inputs; a step without inputs has an empty list. ``script`` and ``output`` follow the step naming
+    convention.
     """
-    src = with_sources(transforms).groupBy("step").agg(
+    return _manifest(transforms).drop("idx")
+
+
+def _manifest(transforms: DataFrame) -> DataFrame:
+    doc = _doc(transforms)
+    src = with_sources(transforms).groupBy(*doc, "idx").agg(
         F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources")
     )
-    steps = transforms.select(F.col("name").alias("step"))
-    return steps.join(src, "step", "left").select(
+    steps = transforms.select(*doc, F.col("name").alias("step"), "idx")
+    return steps.join(src, [*doc, "idx"], "left").select(
+        *doc,
+        "idx",
         "step",
         F.coalesce("sources", F.lit("")).alias("sources"),
         F.concat(F.lit("template_"), "step", F.lit(".R")).alias("script"),
@@ -116,21 +132,28 @@ def step_manifest(transforms: DataFrame) -> DataFrame:
 
 
 def bound_calls(transforms: DataFrame) -> DataFrame:
-    """The call line of each step, ``(step, call)``: ``var_<step><-<step>(args)``
-    with each argument named after its producer (``var_<producer>``) when a step
-    produces it, else after the argument itself (``var_<arg>``, an external
-    input), in signature order."""
+    """The call line of each step, ``([doc_id,] step, call)``: ``var_<step><-<step>(args)``
+    with each argument named after its producer (``var_<producer>``) when a step produces it, else after
+    the first declared argument that reads the same external dataset (``var_<arg>``), in signature order. A
+    step with an empty parameter has no call (null)."""
+    return _calls(transforms).drop("idx")
+
+
+def _calls(transforms: DataFrame) -> DataFrame:
+    doc = _doc(transforms)
     ins = step_inputs(transforms)
-    p = producers(transforms).select("rid", "producer")
-    named = ins.join(p, "rid", "left").select(
-        "step", "pos", F.concat(F.lit("var_"), F.coalesce("producer", "arg")).alias("var")
+    p = producers(transforms).select(*doc, "rid", "producer")
+    # an external dataset has one name: that of its first declared argument
+    external = ins.where(F.col("rid").isNotNull()).groupBy(*doc, "rid").agg(F.min_by("arg", F.struct("idx", "pos")).alias("first"))
+    named = ins.join(p, [*doc, "rid"], "left").join(external, [*doc, "rid"], "left").select(
+        *doc, "idx", "pos", F.concat(F.lit("var_"), F.coalesce("producer", "first", "arg")).alias("var")
     )
-    args = ordered_join(named, ["step"], "pos", "var", ",", "args")
-    steps = transforms.select(F.col("name").alias("step"))
+    args = ordered_join(named, [*doc, "idx"], "pos", "var", ",", "args")
+    steps = transforms.select(*doc, F.col("name").alias("step"), "idx", F.exists("inputs", lambda i: i["arg"] == EMPTY_PARAMETER).alias("broken"))
     call = F.concat(
         F.lit("var_"), "step", F.lit("<-"), "step", F.lit("("), F.coalesce("args", F.lit("")), F.lit(")")
     )
-    return steps.join(args, "step", "left").select("step", call.alias("call"))
+    return steps.join(args, [*doc, "idx"], "left").select(*doc, "idx", "step", F.when(~F.col("broken"), call).alias("call"))
 
 
 def pin_datasets(transforms: DataFrame, pinned: DataFrame) -> DataFrame:
@@ -139,20 +162,44 @@ def pin_datasets(transforms: DataFrame, pinned: DataFrame) -> DataFrame:
     return transforms.join(pinned.select(F.col("rid").alias("output_rid")), "output_rid", "left_anti")
 
 
+def _node(transforms: DataFrame, idx: str):
+    """The key of a step: its document and declared index."""
+    doc = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _doc(transforms)]
+    return F.concat_ws("\u0001", *doc, F.col(idx).cast("string"))
+
+
 def _graph(transforms: DataFrame):
+    """Nodes, edges (with the child's in-degree and whether it can never run), the children of a busy step dealt to copies.
+
+    A step with more than :data:`SPLIT_CHILDREN` children becomes the parent of copies of itself, and each
+    copy the parent of a part of the children, so no key of a level's join holds more.
+    """
+    doc = _doc(transforms)
     ins = step_inputs(transforms)
     p = producers(transforms)
+    nodes = transforms.select(_node(transforms, "idx").alias("node"), *doc, F.col("name").alias("step"), "idx")
     edges = (
         ins.filter(F.col("rid").isNotNull())
-        .join(p, "rid")
-        .select(F.col("producer").alias("parent"), "pidx", F.col("step").alias("child"), F.col("idx").alias("cidx"))
+        .join(p, [*doc, "rid"])
+        .select(_node(transforms, "pidx").alias("parent"), _node(transforms, "idx").alias("child"), (F.col("pidx") > F.col("idx")).cast("int").alias("w"))
         .distinct()
-        .select("parent", "child", (F.col("pidx") > F.col("cidx")).cast("int").alias("w"))
     )
-    blocked = ins.filter(F.col("rid").isNull()).select(F.col("step").alias("node")).distinct()
-    nodes = transforms.select(F.col("name").alias("node"), "idx")
+    blocked = ins.filter(F.col("rid").isNull()).select(_node(transforms, "idx").alias("node")).distinct()
     indeg = edges.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("indeg"))
-    return nodes, edges, blocked, indeg
+    gate = cut_lineage(
+        nodes.select("node").join(indeg, "node", "left")
+        .join(blocked.withColumn("blocked", F.lit(True)), "node", "left")
+        .select("node", F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("blocked", F.lit(False)).alias("blocked"))
+    )
+    edges = edges.join(gate.withColumnRenamed("node", "child"), "child").select("parent", "child", "w", "indeg", "blocked")
+    fan = F.ceil(F.count(F.lit(1)) / F.lit(SPLIT_CHILDREN)).cast("int")
+    busy = edges.groupBy("parent").agg(fan.alias("fan")).where("fan > 1")
+    copy = lambda k: F.concat("parent", F.lit("\u0002"), k.cast("string"))
+    dealt = edges.join(busy, "parent", "left").withColumn(
+        "parent", F.when(F.col("fan") > 1, copy(F.pmod(F.xxhash64("child"), F.col("fan")))).otherwise(F.col("parent"))).drop("fan")
+    copies = busy.select("parent", F.explode(F.transform(F.sequence(F.lit(0), F.col("fan") - 1), copy)).alias("child"),
+                         F.lit(0).alias("w"), F.lit(1).cast("long").alias("indeg"), F.lit(False).alias("blocked"))
+    return nodes, cut_lineage(dealt.unionByName(copies)), gate
 
 
 def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -161,12 +208,12 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     A step is ready in a pass when every input is available; a step's output is
     available at once, so a later step of the same pass can use it. Hence
     ``pass(c) = max over parents p of pass(p) + [idx(p) > idx(c)]`` (1 without
-    parents). Frontier rounds: the newly ready steps send ``pass + w`` to their
+    parents). Level by level the newly ready steps send ``pass + w`` to their
     children, children collect partial counts, and a child whose count reaches its
-    in-degree becomes the next frontier. Steps on a cycle, below one, or with an
+    in-degree is ready. Steps on a cycle, below one, or with an
     argument that has no declared dataset never become ready.
 
-    Returns ``(resolved(step, idx, pass), stuck(step, idx))``.
+    Returns ``(resolved([doc_id,] step, idx, pass), stuck([doc_id,] step, idx))``.
     """
     return _passes(_step_table(transforms))
 
@@ -174,99 +221,43 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _step_table(transforms: DataFrame) -> DataFrame:
     # the transform table is read by several branches of every analysis: write it
     # once (it may be the end of a long parse)
-    return cut_lineage(transforms.select("name", "idx", "output_rid", "inputs"))
+    return cut_lineage(transforms.select(*_doc(transforms), "name", "idx", "output_rid", "inputs"))
+
+
+def _level(edges: DataFrame, ready: DataFrame, waiting: DataFrame) -> DataFrame:
+    """Children of the ready steps merged with the waiting ones: ``node, got, best, indeg, blocked, ready``."""
+    sent = edges.join(ready.select(F.col("node").alias("parent"), "best"), "parent").select(
+        F.col("child").alias("node"), F.lit(1).cast("long").alias("got"), (F.col("best") + F.col("w")).alias("best"), "indeg", "blocked")
+    merged = waiting.select("node", "got", "best", "indeg", "blocked").unionByName(sent).groupBy("node").agg(
+        F.sum("got").alias("got"), F.max("best").alias("best"), F.max("indeg").alias("indeg"), F.max("blocked").alias("blocked"))
+    return merged.withColumn("ready", (F.col("got") == F.col("indeg")) & ~F.col("blocked"))
 
 
 def _passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    spark = transforms.sparkSession
-    nodes, edges, blocked, indeg = _graph(transforms)
-    gate = cut_lineage(
-        nodes.join(indeg, "node", "left")
-        .join(blocked.withColumn("blocked", F.lit(True)), "node", "left")
-        .select("node", F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("blocked", F.lit(False)).alias("blocked"))
-    )
-    # each edge carries its child's in-degree and blocked flag, so a round needs
-    # no join besides edges x frontier
-    edges = edges.join(gate.withColumnRenamed("node", "child"), "child").select(
-        "parent", "child", "w", "indeg", "blocked"
-    )
-    edges_table = None
-    # one job for both sizes: all nodes (bounds every frontier) and the first frontier
-    start = F.col("indeg") == 0
-    sizes = gate.agg(
-        F.count(F.lit(1)).alias("nodes"),
-        F.coalesce(F.sum((start & ~F.col("blocked")).cast("long")), F.lit(0)).alias("first"),
-    ).first()
-    if sizes["nodes"] <= BROADCAST_FRONTIER_ROWS:
-        # no frontier can outgrow the broadcast bound: every round broadcasts it
-        edges = cut_lineage(edges)
-    else:
-        # written once as a table bucketed by parent, so a round whose frontier is
-        # too big to broadcast shuffles only the frontier, never the edges
-        edges, edges_table = _bucketed(edges, "parent")
-    frontier = cut_lineage(
-        gate.filter((F.col("indeg") == 0) & ~F.col("blocked")).select("node", F.lit(1).alias("pass"))
-    )
-    acc = spark.createDataFrame([], "node string, got long, best int, indeg long, blocked boolean")
-    done = [frontier]
-    resolved_path = None
-    n_frontier = sizes["first"]
-    # one checkpoint per round: the round's state holds both the next frontier
-    # (ready) and the children still waiting for parents (not ready)
-    while n_frontier:
-        f = frontier.withColumnRenamed("node", "parent")
-        if n_frontier <= BROADCAST_FRONTIER_ROWS:  # size known from the count
-            f = F.broadcast(f)
-        # raw contributions go straight into the one aggregate of the round
-        # (combined map-side per child, then one shuffle)
-        contrib = edges.join(f, "parent").select(
-            F.col("child").alias("node"),
-            F.lit(1).cast("long").alias("got"),
-            (F.col("pass") + F.col("w")).alias("best"),
-            "indeg",
-            "blocked",
-        )
-        merged = acc.unionByName(contrib).groupBy("node").agg(
-            F.sum("got").alias("got"), F.max("best").alias("best"),
-            F.max("indeg").alias("indeg"), F.max("blocked").alias("blocked"),
-        )
-        state = merged.withColumn("ready", (F.col("got") == F.col("indeg")) & ~F.col("blocked"))
-        state = cut_lineage(state)
-        frontier = state.filter("ready").select("node", F.col("best").cast("int").alias("pass"))
-        acc = state.filter(~F.col("ready")).drop("ready")
-        n_frontier = frontier.count()
-        if n_frontier:
-            done.append(frontier)
-            if len(done) >= FLUSH_LEVELS:  # a deep graph: keep the union small
-                resolved_path = resolved_path or scratch_path(spark, "resolved_steps")
-                _union_all(done).write.mode("append").parquet(resolved_path)
-                done = []
-    parts = [spark.read.parquet(resolved_path)] if resolved_path else []
-    resolved = _union_all(parts + done)
-    resolved = cut_lineage(resolved.join(nodes, "node").select(F.col("node").alias("step"), "idx", "pass"))
-    if edges_table:
-        spark.sql(f"DROP TABLE IF EXISTS {edges_table}")
-    stuck = nodes.join(resolved.select(F.col("step").alias("node")), "node", "left_anti").select(
-        F.col("node").alias("step"), "idx"
-    )
-    return resolved, stuck
-
-
-def _bucketed(df: DataFrame, key: str) -> tuple[DataFrame, str]:
-    """``df`` written once under the shared scratch folder as an external table
-    bucketed by ``key`` (one bucket per shuffle partition, one file per bucket);
-    returns the table and its name. Joins on ``key`` then shuffle only the other
-    side."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = "lineage_" + uuid.uuid4().hex
-    (
-        df.repartition(n, key)
-        .write.bucketBy(n, key)
-        .option("path", scratch_path(spark, name))
-        .saveAsTable(name)
-    )
-    return spark.table(name), name
+    spark, doc = transforms.sparkSession, _doc(transforms)
+    nodes, edges, gate = _graph(transforms)
+    path = scratch_path(spark, "levels")
+    # a round is one written folder: what became ready, marked if on its last level, and what waits
+    state = gate.where("indeg = 0 and not blocked").select(
+        "node", F.lit(0).cast("long").alias("got"), F.lit(1).alias("best"), "indeg", "blocked", F.lit(True).alias("ready"))
+    schema = "node string, got long, best int, indeg long, blocked boolean, ready boolean, edge boolean"
+    state.withColumn("edge", F.lit(True)).write.parquet(f"{path}/round=0")
+    turn = 0
+    while True:
+        before = spark.read.schema(schema).parquet(f"{path}/round={turn}")
+        if before.where("edge").isEmpty():
+            break
+        turn += 1
+        ready, waiting, done = before.where("edge"), before.where("not ready"), []
+        for depth in range(LEVELS_PER_ROUND):
+            level = _level(edges, ready, waiting)
+            ready, waiting = level.where("ready"), level.where("not ready")
+            done.append(ready.withColumn("edge", F.lit(depth == LEVELS_PER_ROUND - 1)))
+        _union_all([*done, waiting.withColumn("edge", F.lit(False))]).write.parquet(f"{path}/round={turn}")
+    resolved = spark.read.schema(schema).parquet(*[f"{path}/round={i}" for i in range(turn + 1)]).where("ready")
+    resolved = cut_lineage(resolved.join(nodes, "node").select("node", *doc, "step", "idx", F.col("best").alias("pass")))
+    stuck = nodes.join(resolved.select("node"), "node", "left_anti").drop("node")
+    return resolved.drop("node"), stuck
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame:
@@ -277,47 +268,50 @@ def _union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def topological_order(transforms: DataFrame) -> DataFrame:
-    """``(step, idx, pass, seq)`` for every step that can run; ``seq`` is the run
-    order, by pass then declared index."""
+    """``([doc_id,] step, idx, pass, seq)`` for every step that can run; ``seq`` is the run
+    order, by (document,) pass and declared index."""
     resolved, _ = topological_passes(transforms)
-    return global_index(resolved, ["pass", "idx", "step"], "seq")
+    return global_index(resolved, [*_doc(transforms), "pass", "idx", "step"], "seq")
 
 
 def unsatisfiable(transforms: DataFrame) -> DataFrame:
-    """Steps that can never run, with the inputs they wait for: ``(step, idx, missing)``.
+    """Steps that can never run, with the inputs they wait for: ``([doc_id,] step, idx, missing)``.
 
-    ``missing`` lists (sorted, ``,``-joined) the arguments with no declared dataset
-    and those whose producer is itself stuck.
+    ``missing`` lists (sorted, ``,``-joined) the arguments with no declared dataset, empty
+    parameters and those whose producer is itself stuck.
     """
     transforms = _step_table(transforms)
-    resolved, stuck = _passes(transforms)
-    ins = step_inputs(transforms).join(stuck.select("step"), "step")
-    p = producers(transforms).select("rid", "producer")
-    stuck_p = stuck.select(F.col("step").alias("producer"), F.lit(True).alias("pstuck"))
+    doc = _doc(transforms)
+    _, stuck = _passes(transforms)
+    stuck = cut_lineage(stuck)
+    ins = step_inputs(transforms).join(stuck.select(*doc, "idx"), [*doc, "idx"])
+    p = producers(transforms).select(*doc, "rid", "pidx")
+    stuck_p = stuck.select(*doc, F.col("idx").alias("pidx"), F.lit(True).alias("pstuck"))
     waiting = (
-        ins.join(p, "rid", "left")
-        .join(stuck_p, "producer", "left")
+        ins.join(p, [*doc, "rid"], "left")
+        .join(stuck_p, [*doc, "pidx"], "left")
         .filter(F.col("rid").isNull() | F.col("pstuck").isNotNull())
     )
-    miss = waiting.groupBy("step").agg(F.array_join(F.array_sort(F.collect_set("arg")), ",").alias("missing"))
-    return stuck.join(miss, "step", "left").select("step", "idx", F.coalesce("missing", F.lit("")).alias("missing"))
+    miss = waiting.groupBy(*doc, "idx").agg(F.array_join(F.array_sort(F.collect_set("arg")), ",").alias("missing"))
+    return stuck.join(miss, [*doc, "idx"], "left").select(*doc, "step", "idx", F.coalesce("missing", F.lit("")).alias("missing"))
 
 
 def run_plan(transforms: DataFrame) -> DataFrame:
     """The workbook's run plan as data, one row per runnable step in run order:
-    ``(seq, step, label, call, sources, script, output)`` with ``label`` the
+    ``([doc_id,] seq, step, label, call, sources, script, output)`` with ``label`` the
     ``seq/total`` position. Steps that can never run are not in the plan (see
     :func:`unsatisfiable`)."""
     steps = _step_table(transforms)
+    doc = _doc(steps)
     resolved, _ = _passes(steps)
-    order = global_index(resolved, ["pass", "idx", "step"], "seq")
+    order = global_index(resolved, [*doc, "pass", "idx", "step"], "seq").drop("step")
     total = order.count()  # one number: the label's denominator
-    calls = bound_calls(steps)
-    manifest = step_manifest(steps).select("step", "sources", "script", "output")
+    calls = _calls(steps).drop("step")
     return (
-        order.join(calls, "step")
-        .join(manifest, "step")
+        order.join(calls, [*doc, "idx"])
+        .join(_manifest(steps), [*doc, "idx"])
         .select(
+            *doc,
             "seq",
             "step",
             F.concat(F.col("seq").cast("string"), F.lit(f"/{total}")).alias("label"),

@@ -109,6 +109,18 @@ SELECT 'T' || t.k AS step, coalesce(string_agg(DISTINCT src.source, ',' ORDER BY
   'template_T' || t.k || '.R' AS script, 'var_T' || t.k AS output
 FROM t LEFT JOIN src ON src.k = t.k GROUP BY t.k"""
 
+ORACLE["manifest_producers"] = f"""WITH {_DAG_T}, {_DAG_INP},
+s AS (SELECT k, 'T' || k AS step FROM t UNION ALL SELECT k, 'U' || k FROM t WHERE k % 5 = 0),
+src AS (SELECT s.step, coalesce(p.step, 'input_data') AS source
+  FROM s JOIN inp ON inp.k = s.k LEFT JOIN s p ON p.k = inp.j)
+SELECT s.step, coalesce(string_agg(DISTINCT src.source, ',' ORDER BY src.source), '') AS sources,
+  'template_' || s.step || '.R' AS script, 'var_' || s.step AS output
+FROM s LEFT JOIN src ON src.step = s.step GROUP BY s.step"""
+
+ORACLE["external_names"] = """SELECT s_name AS step, 'var_' || s_name || '<-' || s_name || '(var_a' ||
+  CAST(first_value(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY (s_suppkey * 7919) % 1000003) AS VARCHAR) || ')' AS call
+FROM supplier"""
+
 ORACLE["topo_order"] = f"""WITH RECURSIVE {_DAG_T},
 e AS (SELECT DISTINCT p.k AS parent, c.k AS child, CASE WHEN p.idx > c.idx THEN 1 ELSE 0 END AS w
   FROM t c JOIN t p ON p.k = c.k // 2 OR p.k = c.k // 3),
@@ -323,6 +335,9 @@ ORACLE["step_scripts"] = f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_
 FROM ({_DOC_LINES}) WHERE contains(line, 'License')"""
 
 ORACLE["script_topo_order"] = f"SELECT step, pass, seq FROM ({ORACLE['topo_order']})"
+ORACLE["two_scripts_order"] = f"""WITH o AS ({ORACLE['topo_order']})
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, step, pass, seq + (d.doc_id - 1) * (SELECT count(*) FROM o) AS seq
+FROM o, (VALUES (1), (2)) d(doc_id)"""
 ORACLE["bound_calls"] = f"""WITH {_DAG_T}, {_DAG_INP},
 a AS (SELECT inp.k, inp.j, 'var_' || coalesce('T' || p.k, 'ds' || inp.j) AS var,
   CASE WHEN inp.j = inp.k // 2 THEN 1 ELSE 2 END AS pos FROM inp LEFT JOIN t p ON p.k = inp.j),

@@ -57,6 +57,9 @@ SURVEY_IDS = {
     "line_contains": "P8",
     "load_parts": "S1 U4",
     "materialize_reload": "S8 S10",
+    "external_names": "J2 A4",
+    "manifest_producers": "A8 G3",
+    "two_scripts_order": "G1 W1",
     "null_group_scan": "W1 W2 W3 W4",
     "null_value_join": "A4 A6",
     "normalize_frame": "P5 P6 P7 §2.8",
@@ -259,7 +262,7 @@ def two_tier_lookup(spark, sf):
 
 @query
 def external_sentinel(spark, sf):
-    return lineage.with_sources(part_workbook(spark, sf))
+    return lineage.with_sources(part_workbook(spark, sf)).drop("idx")
 
 
 @query
@@ -287,6 +290,27 @@ def step_manifest(spark, sf):
     return lineage.step_manifest(part_workbook(spark, sf))
 
 
+@query
+def manifest_producers(spark, sf):
+    """Every fifth dataset has a second producer, declared later: the manifest lists both."""
+    wb = part_workbook(spark, sf)
+    k = F.substring("name", 2, 20)
+    again = wb.where(k.cast("long") % 5 == 0).select(
+        F.concat(F.lit("U"), k).alias("name"), (F.col("idx") + 2000000).alias("idx"), "output_rid", "inputs")
+    return lineage.step_manifest(wb.unionByName(again))
+
+
+@query
+def external_names(spark, sf):
+    """Steps that name one external dataset differently: all use the name declared first."""
+    s = load(spark, sf, "supplier")
+    arg = F.concat(F.lit("a"), F.col("s_suppkey").cast("string"))
+    one = F.struct(F.lit(1).alias("pos"), arg.alias("arg"), F.concat(F.lit("nation"), F.col("s_nationkey").cast("string")).alias("rid"))
+    steps = s.select(F.col("s_name").alias("name"), ((F.col("s_suppkey") * 7919) % 1000003).cast("int").alias("idx"),
+                     F.concat(F.lit("out"), F.col("s_suppkey").cast("string")).alias("output_rid"), F.array(one).alias("inputs"))
+    return lineage.bound_calls(steps)
+
+
 @query
 def topo_order(spark, sf):
     return lineage.topological_order(part_workbook(spark, sf))
@@ -303,7 +327,7 @@ def unsatisfiable(spark, sf):
 @query
 def pinned_dataset(spark, sf):
     pinned = spark.createDataFrame([("ds4",), ("ds6",)], "rid string")
-    return lineage.with_sources(lineage.pin_datasets(part_workbook(spark, sf), pinned))
+    return lineage.with_sources(lineage.pin_datasets(part_workbook(spark, sf), pinned)).drop("idx")
 
 
 # ---------------------------------------------------------------- lines, windows, rules
@@ -824,10 +848,10 @@ def step_scripts(spark, sf):
     return scripts(_doc_lines(spark, sf), "License", suffix=".")
 
 
-def part_script_lines(spark, sf) -> DataFrame:
+def part_script_lines(spark, sf, doc=1) -> DataFrame:
     """The part-derived workbook of :func:`part_workbook` written out as the lines
     of one exported script ``(doc_id, line_no, line)``, sections in declared order.
-    The parser sees only the text."""
+    The parser sees only the text. ``doc`` is the script's number."""
     wb = part_workbook(spark, sf)
     ins = F.transform("inputs", lambda i: i["arg"])
     header = F.transform(
@@ -843,11 +867,20 @@ def part_script_lines(spark, sf) -> DataFrame:
             F.lit("}"),
         ),
     )
-    return wb.select(F.lit(1).cast("long").alias("doc_id"), "idx", F.posexplode(text).alias("k", "line")).select(
+    return wb.select(F.lit(doc).cast("long").alias("doc_id"), "idx", F.posexplode(text).alias("k", "line")).select(
         "doc_id", (F.col("idx").cast("long") * 16 + F.col("k")).alias("line_no"), "line"
     )
 
 
+@query
+def two_scripts_order(spark, sf):
+    """Two exported scripts with the same step names and datasets: each has its own order."""
+    from lineage_spark.sources.workbook_script import transforms_from_lines
+
+    lines = part_script_lines(spark, sf, 1).unionByName(part_script_lines(spark, sf, 2))
+    return lineage.topological_order(transforms_from_lines(lines)).select("doc_id", "step", "pass", "seq")
+
+
 @query
 def script_topo_order(spark, sf):
     from lineage_spark.sources.workbook_script import transforms_from_lines
@@ -860,7 +893,7 @@ def script_topo_order(spark, sf):
 def bound_calls(spark, sf):
     from lineage_spark.sources.workbook_script import transforms_from_lines
 
-    return lineage.bound_calls(transforms_from_lines(part_script_lines(spark, sf)))
+    return lineage.bound_calls(transforms_from_lines(part_script_lines(spark, sf))).drop("doc_id")
 
 
 HASHED = [

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineage_spark.operators import ordering
+from lineage_spark.operators.lineage import EMPTY_PARAMETER
 from lineage_spark.session import cut_lineage
 
 # The export format's markers and patterns.
@@ -48,7 +49,9 @@ def transforms_from_lines(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
 
     ``inputs`` is ``array<struct<pos, arg, rid>>`` in signature order; ``rid`` is
     null for an argument with no header input. When a header names several
-    outputs the last one counts. Sections without a signature are left out.
+    outputs the last one counts. Sections without a signature are left out. An empty
+    parameter of a signature stays as an argument without a dataset, so its step can
+    never run and is reported by ``lineage.unsatisfiable``.
     """
     line = F.col("line")
     tests = {
@@ -85,9 +88,12 @@ def transforms_from_lines(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
         F.split(F.regexp_extract("sig", ARGS_PATTERN, 1), ",").alias("args"),
     )
     args = (
-        sigs.select(*key, F.posexplode("args").alias("p", "a"))
-        .select(*key, (F.col("p") + 1).cast("int").alias("pos"), F.trim("a").alias("arg"))
-        .filter(F.col("arg") != "")
+        sigs.select(*key, F.size("args").alias("n"), F.posexplode("args").alias("p", "a"))
+        .select(*key, "n", (F.col("p") + 1).cast("int").alias("pos"), F.trim("a").alias("arg"))
+        # ``()`` has no parameter; any other empty one is kept, without a dataset, so that the step is reported
+        .filter((F.col("arg") != "") | (F.col("n") > 1))
+        .withColumn("arg", F.when(F.col("arg") == "", F.lit(EMPTY_PARAMETER)).otherwise(F.col("arg")))
+        .drop("n")
     )
     # one rid per declared variable (the last declaration wins)
     declared = inputs.groupBy(*key, "arg").agg(F.max_by("rid", "line_no").alias("rid"))

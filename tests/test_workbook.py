@@ -77,3 +77,12 @@ def test_verify_against_targets(spark):
     assert rep["unknown"] == ("no comparison", None, None)
     wrong = wb.verify({"counts": bad}).first()
     assert (wrong["status"], wrong["only_left"], wrong["only_right"]) == ("rows differ", 1, 1)
+
+
+def test_one_function_for_several_outputs(spark):
+    wb = Workbook(spark)
+    wb.dataset("a", spark.range(3))
+    same = lambda df: df
+    for out, src in (("c", "b"), ("b", "a"), ("d", "c")):
+        wb.transform(output=out, inputs=[src])(same)
+    assert [r["idx"] for r in wb.order().orderBy("seq").collect()] == [2, 1, 3]
