@@ -22,7 +22,6 @@ STATUS_NOT_TABLE = "Not a dataframe, skipping"
 STATUS_EQUAL = "equal"
 STATUS_ROWS = "rows differ"
 STATUS_SCHEMA = "schema differs"
-STATUS_FAILED = "comparison failed"
 
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType) + _FRACTIONAL
@@ -76,8 +75,12 @@ def _aligned(target: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
         lt, rt = f.dataType, rtypes[f.name]
         lc, rc = quoted(f.name), quoted(f.name)
         if lt != rt and isinstance(lt, _NUMERIC) and isinstance(rt, _NUMERIC):
-            if isinstance(lt, _FRACTIONAL) or isinstance(rt, _FRACTIONAL):
+            if isinstance(lt, (T.FloatType, T.DoubleType)) or isinstance(rt, (T.FloatType, T.DoubleType)):
                 lc, rc = lc.cast("double"), rc.cast("double")
+            elif isinstance(lt, T.DecimalType) or isinstance(rt, T.DecimalType):
+                # exact: no digit of a long or a decimal is lost
+                scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in (lt, rt))
+                lc, rc = (c.cast(T.DecimalType(38, scale)) for c in (lc, rc))
             else:
                 lc, rc = lc.cast("long"), rc.cast("long")
         lcols.append(lc.alias(f.name))
@@ -115,67 +118,65 @@ def diff_counts(target: DataFrame, new: DataFrame, digits: int = DIGITS) -> Data
     )
 
 
+REPORT_SCHEMA = "dataset string, status string, only_left long, only_right long"
+
+
+def _report_row(name: str, target, new) -> tuple:
+    try:
+        target = target() if callable(target) else target
+        new = new() if callable(new) else new
+        if not isinstance(target, DataFrame):
+            return (name, STATUS_NOT_TABLE, None, None)
+        if new is None:
+            return (name, STATUS_DEFAULT, None, None)
+        if schema_diff(target, new):
+            return (name, STATUS_SCHEMA, None, None)
+        left, right = diff_counts(target, new).first()
+    except Exception:  # noqa: BLE001  whatever one dataset does, the others are reported
+        return (name, STATUS_DEFAULT, None, None)
+    return (name, STATUS_EQUAL if left == right == 0 else STATUS_ROWS, left, right)
+
+
 def verify_report(spark, pairs: list[tuple[str, object, object]]) -> DataFrame:
     """One summary row per dataset: ``(dataset, status, only_left, only_right)``.
 
-    ``pairs`` holds ``(name, target, new)``; ``new`` may be ``None`` (nothing to
-    compare against: the default status stays), a target that is not a DataFrame
-    is skipped with its own status. Each comparison is a lazy one-row aggregate;
-    a comparison that cannot be planned is caught and reported, the others run.
+    ``pairs`` holds ``(name, target, new)``; a frame may be given as a function that makes it. ``new`` may be
+    ``None`` (nothing to compare against: the default status stays), a target that is not a DataFrame
+    is skipped with its own status. Every dataset is made, compared and counted (one row) on its own, so one
+    that fails, when planned or when run, keeps the default status and the others are reported.
     """
-    schema = "dataset string, status string, only_left long, only_right long"
-    parts = []
-    for name, target, new in pairs:
-        if not isinstance(target, DataFrame):
-            parts.append(spark.createDataFrame([(name, STATUS_NOT_TABLE, None, None)], schema))
-            continue
-        if new is None:
-            parts.append(spark.createDataFrame([(name, STATUS_DEFAULT, None, None)], schema))
-            continue
-        try:
-            if schema_diff(target, new):
-                parts.append(spark.createDataFrame([(name, STATUS_SCHEMA, None, None)], schema))
-                continue
-            counts = diff_counts(target, new)
-            parts.append(
-                counts.select(
-                    F.lit(name).alias("dataset"),
-                    F.when((F.col("only_left") == 0) & (F.col("only_right") == 0), F.lit(STATUS_EQUAL))
-                    .otherwise(F.lit(STATUS_ROWS))
-                    .alias("status"),
-                    "only_left",
-                    "only_right",
-                )
-            )
-        except Exception:  # analysis errors: keep the report going
-            parts.append(spark.createDataFrame([(name, STATUS_FAILED, None, None)], schema))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return spark.createDataFrame([_report_row(*p) for p in pairs], REPORT_SCHEMA)
 
 
-def row_text(df: DataFrame, cols: list[str] | None = None) -> "F.Column":
-    """Canonical text of a row: columns cast to string, null as ``\\N``, joined by ``|``."""
-    cols = cols or df.columns
-    return F.concat_ws("|", *[F.coalesce(quoted(c).cast("string"), F.lit("\\N")) for c in cols])
+def row_text(df: DataFrame, cols: list[str] | None = None, digits: int = DIGITS) -> "F.Column":
+    """Canonical text of a row: each field as its length, ``:`` and its text, or ``N`` for null.
+
+    Different rows never share a text. Fractional numbers are written with ``digits`` decimals, so that engines agree.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    parts = []
+    for c in cols or df.columns:
+        v = quoted(c)
+        if isinstance(kinds[c], _FRACTIONAL):
+            v = v.cast(T.DecimalType(38, digits))
+        t = v.cast("string")
+        parts.append(F.when(t.isNull(), F.lit("N")).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)))
+    return F.concat(*parts)
 
 
-def dataset_digest(df: DataFrame, by: list[str], cols: list[str] | None = None, prefix_hex: int = 8) -> DataFrame:
-    """Order-free content digest per group.
+def dataset_digest(df: DataFrame, by: list[str], cols: list[str] | None = None) -> DataFrame:
+    """Order-free content digest per group: ``by + (n_rows, digest)``.
 
-    Each row's md5 is cut to ``prefix_hex`` hex digits, read as a number and summed
-    per group as a ``decimal(30,0)`` (with 8 hex digits no overflow below 10^20
-    rows). Two frames with the same
-    rows in any order give the same digest. Use on string and integer columns:
-    float text differs between engines.
+    The whole md5 of each row's canonical text enters: its four 32-bit parts are read as numbers and summed
+    separately per group (decimal, no overflow), and the digest is the four sums. Two frames with the same rows in any
+    order give the same digest.
     """
-    h = F.conv(F.substring(F.md5(row_text(df, cols)), 1, prefix_hex), 16, 10).cast("decimal(20,0)")
-    return df.groupBy(*by).agg(
+    md5 = F.md5(row_text(df, cols))
+    parts = [F.conv(F.substring(md5, 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    rows = df.select(*[quoted(c) for c in by], *[p.alias(f"__h{i}") for i, p in enumerate(parts)])
+    return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum(h).cast("string").alias("digest"),
+        F.concat_ws("-", *[F.sum(f"__h{i}").cast("string") for i in range(4)]).alias("digest"),
     )
 
 
@@ -224,3 +225,14 @@ def hash_list(spark, frames: list[tuple[str, DataFrame]], cols: dict[str, list[s
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def golden_diff(produced: DataFrame, golden: DataFrame, key: str = "dataset", value: str = "digest") -> DataFrame:
+    """A produced list against a stored one: ``(key, produced, golden, status)`` of every entry that is
+    ``changed``, ``missing`` (stored only) or ``extra`` (produced only)."""
+    p = produced.select(key, F.col(value).alias("produced"), F.lit(True).alias("__p"))
+    g = golden.select(key, F.col(value).alias("golden"), F.lit(True).alias("__g"))
+    both = p.join(g, key, "full_outer")
+    status = F.when(F.col("__p").isNull(), F.lit("missing")).when(F.col("__g").isNull(), F.lit("extra")).otherwise(F.lit("changed"))
+    same = F.col("__p").isNotNull() & F.col("__g").isNotNull() & F.col("produced").eqNullSafe(F.col("golden"))
+    return both.where(~same).select(key, "produced", "golden", status.alias("status"))

@@ -139,14 +139,16 @@ def library_order(df: DataFrame, name: str, pos: str, mapping: dict[str, str] |
 
 
 def environment(requested: DataFrame, resolved: DataFrame, mode: str, spec: str = "spec",
-                name: str = "name", version: str = "version") -> DataFrame:
+                name: str = "name", version: str = "version", order: str | Column = "pos") -> DataFrame:
     """The environment's dependency list: ``(pos, spec)`` sorted by spec.
 
     Requested specs are kept by ``mode``, resolved ones get ``=version``, and for
-    the ``R`` and ``All`` modes the fixed extras are appended before sorting.
+    the ``R`` and ``All`` modes the fixed extras are appended before sorting. Of a name resolved more than once
+    the version last in ``order`` (a column or expression of ``resolved``) counts.
     """
     kept = prefix_mode(requested.select(F.col(spec).alias("spec")), "spec", mode)
-    specs = resolve_versions(kept, resolved.select(F.col(name).alias("name"), F.col(version).alias("version")))
+    entries = resolved.select(F.col(name).alias("name"), F.col(version).alias("version"), (F.col(order) if isinstance(order, str) else order).alias("__at"))
+    specs = resolve_versions(kept, last_wins(entries, "name", "version", "__at"))
     specs = specs.select(F.col("resolved").alias("spec"))
     if mode != "Python":
         return append_sorted(specs, "spec")

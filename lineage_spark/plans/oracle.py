@@ -55,13 +55,26 @@ UNION ALL SELECT 'lineitem', CASE WHEN only_left = 0 AND only_right = 0 THEN 'eq
   only_left, only_right FROM li_c
 UNION ALL SELECT 'customer', 'schema differs', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
 UNION ALL SELECT 'nation', 'no comparison', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
-UNION ALL SELECT 'region', 'Not a dataframe, skipping', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"""
-
-ORACLE["dataset_digest"] = """SELECT source, count(*) AS n_rows,
-  CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), '\\N'),
-    coalesce(text, '\\N'), coalesce(lang, '\\N'), coalesce(source, '\\N'),
-    coalesce(CAST(n_chars AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest
-FROM documents GROUP BY source"""
+UNION ALL SELECT 'region', 'Not a dataframe, skipping', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)
+UNION ALL SELECT 'supplier', 'no comparison', CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)"""
+ORACLE["row_diff_exact"] = """WITH b AS (SELECT o_orderkey, 9007199254740992 + o_orderkey AS big FROM orders WHERE o_orderkey % 3 = 0)
+SELECT o_orderkey, CAST(big AS VARCHAR) AS big, 'only_left' AS side, CAST(1 AS BIGINT) AS n_copies FROM b
+UNION ALL SELECT o_orderkey, CAST(big + 1 AS VARCHAR), 'only_right', 1 FROM b"""
+
+def _digest(table: str, cols: str, by: str = "", where: str = "") -> str:
+    """SELECT of row count and digest: ``cols`` are column names, a trailing ``~`` marks a fractional one."""
+    fields = []
+    for c in cols.split():
+        text = f"CAST(CAST({c[:-1]} AS DECIMAL(38,7)) AS VARCHAR)" if c.endswith("~") else f"CAST({c} AS VARCHAR)"
+        fields.append(f"coalesce(CAST(length({text}) AS VARCHAR) || ':' || {text}, 'N')")
+    row = " || ".join(fields)
+    sums = " || '-' || ".join(
+        f"CAST(sum(CAST(CAST(('0x' || substr(h, {8 * i + 1}, 8)) AS BIGINT) AS HUGEINT)) AS VARCHAR)" for i in range(4))
+    return (f"SELECT {by + ', ' if by else ''}count(*) AS n_rows, {sums} AS digest "
+            f"FROM (SELECT {by + ', ' if by else ''}md5({row}) AS h FROM {table} {where}) {'GROUP BY ' + by if by else ''}")
+
+
+ORACLE["dataset_digest"] = _digest("documents", "doc_id text lang source n_chars", "source")
 
 _DOC_LINES = """SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
   CAST(unnest(generate_series(1, len(string_split(text, chr(10))))) AS INTEGER) AS line_no FROM documents"""
@@ -233,8 +246,8 @@ FROM (SELECT page_id,
 ORACLE["distinct_tokens"] = """SELECT DISTINCT split_part(regexp_replace(t, '^/', ''), ',', 1) AS token
 FROM (SELECT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS t FROM pages)"""
 ORACLE["first_element"] = "SELECT doc_id, split_part(text, ' ', 1) AS first_word FROM documents"
-ORACLE["token_first_last"] = """SELECT doc_id, string_split_regex(trim(split_part(text, chr(10), 1)), ' +')[1] AS first_token,
-  string_split_regex(trim(split_part(text, chr(10), 1)), ' +')[-1] AS last_token FROM documents"""
+ORACLE["token_first_last"] = f"""SELECT doc_id, line_no, string_split_regex(trim(line), ' +')[1] AS first_token,
+  string_split_regex(trim(line), ' +')[-1] AS last_token FROM ({_DOC_LINES})"""
 
 # ---------------------------------------------------------------- projections / filters
 
@@ -275,9 +288,22 @@ SELECT row_number() OVER (ORDER BY lib IS NOT NULL, pos) AS seq, coalesce(lib, n
   lib IS NOT NULL AS translated FROM t"""
 ORACLE["json_props"] = """SELECT event_type, count(*) AS n, CAST(sum(json_extract(props, '$.k')::INTEGER) AS BIGINT) AS sum_k
 FROM events GROUP BY event_type"""
-ORACLE["json_assembly"] = """SELECT n.n_nationkey, CAST(to_json({'nation': n.n_name, 'n_customers': count(*),
-  'segments': list_sort(list(DISTINCT c.c_mktsegment))}) AS VARCHAR) AS doc
-FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_nationkey, n.n_name"""
+ORACLE["json_assembly"] = """SELECT o_orderkey, CAST(to_json({'order': o_orderkey, 'customer': o_custkey, 'status': o_orderstatus,
+  'items': items}) AS VARCHAR) AS doc
+FROM orders JOIN (SELECT l_orderkey, list({'line': l_linenumber, 'part': l_partkey, 'supplier': l_suppkey}
+    ORDER BY l_linenumber, l_partkey, l_suppkey) AS items FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey"""
+
+ORACLE["environment_flow"] = """WITH n AS (SELECT p_partkey, 'r-' || split_part(p_name, ' ', 1) AS name, p_size FROM part),
+v AS (SELECT name, arg_max(p_size, p_partkey) AS size FROM n GROUP BY name),
+specs AS (SELECT name || '=' || CAST(size AS VARCHAR) || '.0' AS spec FROM v
+  UNION ALL SELECT * FROM (VALUES ('r-seurat'), ('r-renv'), ('r-biocmanager')) x(spec)
+  WHERE EXISTS (SELECT 1 FROM part) OR x.spec <> 'r-seurat'),
+env AS (SELECT row_number() OVER (ORDER BY spec) AS pos, spec FROM specs),
+named AS (SELECT pos, split_part(split_part(spec, '=', 1), '-', 2) AS name FROM env),
+lib AS (SELECT pos, CASE name WHEN 'seurat' THEN 'Seurat' WHEN 'biocmanager' THEN 'BiocManager' ELSE name END AS library,
+  name IN ('seurat', 'biocmanager') AS translated FROM named)
+SELECT 'spec' AS kind, pos AS seq, spec AS value FROM env
+UNION ALL SELECT 'library', row_number() OVER (ORDER BY translated, pos), library FROM lib"""
 
 # ---------------------------------------------------------------- membership, mapping, lists
 
@@ -299,14 +325,18 @@ ORACLE["base64_roundtrip"] = "SELECT item_id, md5(from_base64(to_base64(encode(t
 # ---------------------------------------------------------------- sources, snapshots
 
 ORACLE["load_parts"] = "SELECT * FROM orders"
-ORACLE["format_dispatch"] = f"""SELECT host, CASE WHEN max(CASE WHEN ends_with(name, '.parquet') THEN 1 ELSE 0 END) = 1 THEN 'parquet'
-  WHEN sum(CASE WHEN ends_with(name, '.csv') THEN 1 ELSE 0 END) = 1 THEN 'csv'
-  WHEN max(CASE WHEN ends_with(name, 'abc') THEN 1 ELSE 0 END) = 1 THEN 'abc'
-  WHEN max(CASE WHEN ends_with(name, '.rds') THEN 1 ELSE 0 END) = 1 THEN 'rds'
-  WHEN max(CASE WHEN ends_with(name, '.h5') THEN 1 ELSE 0 END) = 1 THEN 'h5' ELSE 'paths' END AS format,
+# the rule as the reference states it: a csv is read only when it is the one file there
+ORACLE["format_dispatch"] = f"""SELECT host, CASE WHEN bool_or(name LIKE '%.parquet') THEN 'parquet'
+  WHEN count(*) = 1 AND bool_and(name LIKE '%.csv') THEN 'csv' WHEN bool_or(name LIKE '%abc') THEN 'abc'
+  WHEN bool_or(name LIKE '%.rds') THEN 'rds' WHEN bool_or(name LIKE '%.h5') THEN 'h5' ELSE 'paths' END AS format,
   count(*) AS n_files
-FROM (SELECT regexp_extract(url, '{_HOST}', 1) AS host,
-  string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1] AS name FROM pages) GROUP BY host"""
+FROM (SELECT regexp_extract(url, '{_HOST}', 1) || '/' || CAST(page_id % 41 AS VARCHAR) AS host,
+  string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1] ||
+    ['.csv', '.rds', '.parquet', 'abc', '.h5', '.txt', '.csv'][((page_id * 7) % 7 + page_id % 3) % 7 + 1] AS name FROM pages) GROUP BY host"""
+ORACLE["csv_text_load"] = """SELECT doc_id, 'say "hi", ok: ' || text AS text, lang FROM documents"""
+ORACLE["load_dataset"] = """SELECT 'parts' AS folder, 'parquet' AS format, s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 0
+UNION ALL SELECT 'single', 'csv', s_suppkey, s_name FROM supplier WHERE s_suppkey % 2 = 1
+UNION ALL SELECT 'several', 'paths', NULL, NULL"""
 ORACLE["csv_load"] = """SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"""
 ORACLE["basename_last_wins"] = """SELECT basename, arg_max(page_id, page_id) AS page_id, arg_max(url, page_id) AS url
 FROM (SELECT page_id, url, string_split(regexp_replace(url, '[?#].*$', ''), '/')[-1] AS basename FROM pages)
@@ -320,7 +350,7 @@ WHERE l_orderkey IN (SELECT txn_rid FROM ({_LATEST}))"""
 _REV = """SELECT n.n_nationkey, n.n_name, count(*) AS n_orders,
   CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS revenue_cents
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey"""
-ORACLE["materialize_reload"] = f"SELECT * FROM ({_REV} GROUP BY n.n_nationkey, n.n_name) WHERE n_orders > 590"
+ORACLE["materialize_reload"] = f"SELECT * FROM ({_REV} GROUP BY n.n_nationkey, n.n_name)"
 ORACLE["publish_read"] = "SELECT * FROM orders WHERE o_orderstatus = 'O'"
 ORACLE["run_workbook"] = """SELECT n.n_name, count(*) AS n_orders,
   CAST(sum(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS BIGINT) AS revenue_cents
@@ -345,11 +375,20 @@ d AS (SELECT k, pos, var FROM a UNION ALL SELECT k, 2, var FROM a WHERE k // 2 =
 SELECT 'T' || t.k AS step, 'var_T' || t.k || '<-T' || t.k || '(' || string_agg(d.var, ',' ORDER BY d.pos) || ')' AS call
 FROM t JOIN d ON d.k = t.k GROUP BY t.k"""
 
-ORACLE["output_hashes"] = """SELECT 1 AS pos, 'region' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(r_regionkey AS VARCHAR), '\\N'), coalesce(CAST(r_name AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM region
-UNION ALL SELECT 2 AS pos, 'nation' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(n_nationkey AS VARCHAR), '\\N'), coalesce(CAST(n_name AS VARCHAR), '\\N'), coalesce(CAST(n_regionkey AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM nation
-UNION ALL SELECT 3 AS pos, 'supplier' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(s_suppkey AS VARCHAR), '\\N'), coalesce(CAST(s_name AS VARCHAR), '\\N'), coalesce(CAST(s_nationkey AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM supplier
-UNION ALL SELECT 4 AS pos, 'customer' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(c_custkey AS VARCHAR), '\\N'), coalesce(CAST(c_name AS VARCHAR), '\\N'), coalesce(CAST(c_nationkey AS VARCHAR), '\\N'), coalesce(CAST(c_mktsegment AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM customer
-UNION ALL SELECT 5 AS pos, 'orders' AS dataset, count(*) AS n_rows, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(o_orderkey AS VARCHAR), '\\N'), coalesce(CAST(o_custkey AS VARCHAR), '\\N'), coalesce(CAST(o_orderstatus AS VARCHAR), '\\N'), coalesce(CAST(o_orderpriority AS VARCHAR), '\\N'))), 1, 8)) AS BIGINT)) AS VARCHAR) AS digest FROM orders"""
+_HASHED = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey", "supplier": "s_suppkey s_name s_nationkey s_acctbal~",
+    "customer": "c_custkey c_name c_nationkey c_acctbal~ c_mktsegment", "part": "p_partkey p_name p_brand p_type p_size p_retailprice~",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice~ o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity~ l_extendedprice~ l_discount~ l_tax~ l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value~ props", "documents": "doc_id text lang source n_chars", "pages": "page_id url html",
+    "benchmark": "item_id text", "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+}
+ORACLE["output_hashes"] = " UNION ALL ".join(
+    f"SELECT {i + 1} AS pos, '{t}' AS dataset, n_rows, digest FROM ({_digest(t, c)})" for i, (t, c) in enumerate(_HASHED.items()))
+ORACLE["golden_hash_diff"] = f"""SELECT 'customer' AS dataset, p.digest AS produced, g.digest AS golden, 'changed' AS status
+FROM ({_digest('customer', _HASHED['customer'])}) p, ({_digest('customer', _HASHED['customer'], where='WHERE c_custkey <> 7')}) g
+UNION ALL SELECT 'orders', digest, NULL, 'extra' FROM ({_digest('orders', _HASHED['orders'])})
+UNION ALL SELECT 'region', NULL, digest, 'missing' FROM ({_digest('region', _HASHED['region'])})"""
 
 ORACLE["workbook_verify"] = """WITH fin AS (SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 7) AS p,
   o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'F'),

@@ -93,8 +93,9 @@ class Workbook:
 
         pairs = []
         for name, target in targets.items():
-            produced = self.resolve(name) if (name in self.steps or name in self.datasets) else None
-            pairs.append((name, target, produced))
+            known = name in self.steps or name in self.datasets
+            # made inside the report, so that a step that fails costs only its own row
+            pairs.append((name, target, (lambda n=name: self.resolve(n)) if known else None))
         return verify_report(self.spark, pairs)
 
     def resolve(self, name: str, _stack: tuple[str, ...] = ()) -> DataFrame:

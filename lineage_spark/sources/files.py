@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from lineage_spark.functions.text import basename
 
 # Format precedence of a dataset's file list, first hit wins.
-# parquet: any .parquet file; csv: exactly one .csv file; abc: any name ending
-# in "abc"; rds: any .rds; h5: any .h5; otherwise the file paths as a table.
+# parquet: any .parquet file; csv: exactly one file in all, and it is .csv; abc: any
+# name ending in "abc"; rds: any .rds; h5: any .h5; otherwise the file paths as a table.
 FORMATS = ("parquet", "csv", "abc", "rds", "h5", "paths")
 
 
@@ -30,8 +30,9 @@ def load_parts(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """All non-empty ``.parquet`` parts below ``path``, appended by column name.
 
     Zero-byte files are skipped. Parts may order their columns differently; a
-    column missing from some parts is null there (schema merge by name). With no
-    non-empty part the given ``schema`` yields an empty frame, otherwise it fails.
+    column missing from some parts is null there. A given ``schema`` is read as it is; without one the parts'
+    schemas are merged (every footer is read). With no non-empty part the given ``schema`` yields an empty
+    frame, otherwise it fails.
     """
     files = list_files(spark, path).filter(F.col("name").endswith(".parquet") & (F.col("length") > 0))
     paths = [r["path"] for r in files.select("path").collect()]  # a file list, as the reader builds anyway
@@ -39,6 +40,8 @@ def load_parts(spark: SparkSession, path: str, schema=None) -> DataFrame:
         if schema is None:
             raise ValueError(f"no non-empty parquet part below {path}")
         return spark.createDataFrame([], schema)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(*paths)
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
@@ -58,7 +61,7 @@ def classify_format(files: DataFrame, dataset: str, name: str = "name") -> DataF
     )
     fmt = (
         F.when(F.col("__pq") == 1, "parquet")
-        .when(F.col("__csv") == 1, "csv")
+        .when((F.col("__csv") == 1) & (F.col("n_files") == 1), "csv")
         .when(F.col("__abc") == 1, "abc")
         .when(F.col("__rds") == 1, "rds")
         .when(F.col("__h5") == 1, "h5")
@@ -67,9 +70,15 @@ def classify_format(files: DataFrame, dataset: str, name: str = "name") -> DataF
     return agg.select(dataset, fmt.alias("format"), "n_files")
 
 
-def read_delimited(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
-    """Delimited text with a header row kept verbatim as column names."""
-    return spark.read.option("header", True).option("inferSchema", infer).csv(path)
+def read_delimited(spark: SparkSession, path: str, infer: bool = True, multiline: bool = False, schema=None) -> DataFrame:
+    """Delimited text with a header row kept verbatim as column names.
+
+    A quote inside a quoted field is doubled. ``multiline`` allows line breaks inside quoted fields; such a file cannot be
+    split, so one task reads it whole.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
+    return reader.csv(path)
 
 
 def path_table(spark: SparkSession, path: str) -> DataFrame:
@@ -87,7 +96,7 @@ def reload_dataset(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_dataset(spark: SparkSession, path: str, schema=None) -> tuple[str, DataFrame]:
+def load_dataset(spark: SparkSession, path: str, schema=None, multiline: bool = False) -> tuple[str, DataFrame]:
     """Read a downloaded dataset folder with the reader its file list calls for.
 
     Returns ``(format, frame)``: parquet parts appended by name, a single CSV (or a
@@ -95,11 +104,12 @@ def load_dataset(spark: SparkSession, path: str, schema=None) -> tuple[str, Data
     ``.h5``) or anything else the path table, since those are not tables.
     """
     listing = list_files(spark, path)
-    fmt = classify_format(listing.withColumn("dataset", F.lit(path)), "dataset").first()["format"]
+    found = classify_format(listing.withColumn("dataset", F.lit(path)), "dataset").first()
+    fmt = found["format"] if found else "paths"  # an empty folder is an empty path table
     if fmt == "parquet":
         return fmt, load_parts(spark, path, schema)
     if fmt in ("csv", "abc"):
         suffix = ".csv" if fmt == "csv" else "abc"
         target = [r["path"] for r in listing.filter(F.col("name").endswith(suffix)).select("path").collect()]
-        return fmt, read_delimited(spark, target[0] if fmt == "csv" else target)
+        return fmt, read_delimited(spark, target, multiline=multiline)
     return fmt, path_table(spark, path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lineage_spark.operators import ordering
+
 
 def explode_lines(df: DataFrame, id_col: str, text_col: str, keep: list[str] | None = None) -> DataFrame:
     """``(id, line_no, line)`` with ``line_no`` from 1, made at the source by position.
@@ -20,14 +22,16 @@ def explode_lines(df: DataFrame, id_col: str, text_col: str, keep: list[str] | N
 
 
 def read_text_lines(spark, path: str) -> DataFrame:
-    """Files as ``(path, line_no, line)``: one row per file read whole, then exploded.
+    """Files as ``(path, line_no, line)``, ``line_no`` from 1.
 
-    ``wholetext`` keeps each file in one row, so line numbers are exact positions
-    (no ``monotonically_increasing_id``).
+    A file is read by its splits: lines are ordered by split start and place in the split, and numbered by one ordered
+    scan, so a file of any size is spread over many tasks. Lines end at ``\n``; a last line without one counts.
     """
-    # text()'s own wholetext argument would override an .option("wholetext", ...)
-    raw = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
-    return explode_lines(raw, "path", "value")
+    raw = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__place"), F.col("value").alias("line"))
+    numbered = ordering.ordered_scan(raw, ["path"], ["__block", "__place"], row="line_no")
+    return numbered.select("path", F.col("line_no").cast("int").alias("line_no"), "line")
 
 
 def step_scripts(lines: DataFrame, marker: str, prefix: str = "", suffix: str = "") -> DataFrame:
