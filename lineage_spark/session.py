@@ -67,8 +67,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch-{uuid.uuid4().hex}/{name}"
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete what this application wrote below :func:`scratch_path`, when its results are no longer read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
