@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import string
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,54 @@ def words_of(text: str | None) -> list[str]:
     return WORD_RE.findall(lower_ascii(text)) if text else []
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PIECE = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
+_powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+
+def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base ** i`` and its inverse modulo 2**64 for ``i < n``."""
+    global _powers
+    if len(_powers[0]) < n:
+        size = max(n, 1 << 16)
+        steps = [np.full(size, b, np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
+        for s in steps:
+            s[0] = 1
+        _powers = tuple(np.multiply.accumulate(s) for s in steps)
+    return _powers
+
+
+def _piece_hashes(b: np.ndarray) -> np.ndarray:
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[b], [True]])))
+    first, last = edge[::2], edge[1::2]
+    power, inverse = _power_table(len(b) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((b + np.uint64(1)) * power[:len(b)], dtype=np.uint64)])
+    h = (sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return h ^ (h >> np.uint64(29))
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each lower-cased (A-Z) word of a text, in order, computed on the bytes of the whole text at once.
+
+    A polynomial in the word's bytes modulo 2**64, mixed with its length. Very long texts go in pieces cut at white space.
+    """
+    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+    b = np.frombuffer(raw, np.uint8)
+    if len(b) <= _PIECE:
+        return _piece_hashes(b)
+    out, at = [], 0
+    while at < len(b):
+        end = at + _PIECE
+        while end < len(b) and not _SPACE[b[end]]:
+            end += 1
+        out.append(_piece_hashes(b[at:end]))
+        at = end
+    return np.concatenate(out)
+
+
 def lower_ascii_col(col: Column) -> Column:
     """SQL twin of :func:`lower_ascii`."""
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)

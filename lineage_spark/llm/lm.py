@@ -25,12 +25,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm.common import WORD_RE, lower_ascii
+from lineage_spark.llm.common import word_hashes
 from lineage_spark.llm.elias_fano import U64, EliasFano
 from lineage_spark.session import scratch_path
 
@@ -39,26 +38,17 @@ MU = 5.0
 PART_TOKENS = 1 << 21
 CHUNK_TOKENS = 1 << 19
 MERGE_ENTRIES = 1 << 22
-CACHED_WORDS = 200_000
-END = xxhash.xxh3_64_intdigest("\n")  # no word contains white space
+END = 0x0A0A0A0A0A0A0A0A  # the end token's number among the 64-bit word hashes
 CODE_STEP = 2.5e-4  # of log10; codes reach 16
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def _chunks(texts, cache: _WordHashes) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _chunks(texts) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, token hashes, tokens per row): every text is its words and one end."""
     held, sizes, total, first = [], [], 0, 0
+    end = np.array([END], U64)
     for i, t in enumerate(texts):
-        words = WORD_RE.findall(lower_ascii(t)) if t else []
-        held.append(np.fromiter(map(cache.__getitem__, words), U64, len(words)))
-        held.append(np.array([END], U64))
+        words = word_hashes(t)
+        held += [words, end]
         sizes.append(len(words) + 1)
         total += len(words) + 1
         if total >= CHUNK_TOKENS:
@@ -333,9 +323,9 @@ class Trie:
 def _partials(trie: Trie | None, parts: int):
     """Per task: keys of the next level with their counts, packed by part."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, keys, counts, held = _WordHashes(), [], [], 0
+        keys, counts, held = [], [], 0
         for batch in batches:
-            for _, h, sizes in _chunks(batch["__text"], cache):
+            for _, h, sizes in _chunks(batch["__text"]):
                 if trie is None:
                     k, c = np.unique(h, return_counts=True)
                 else:
@@ -424,10 +414,10 @@ def scored(df: DataFrame, trie: Trie, text: str = "text", key: str = "doc_id") -
     kind = df.schema[key].dataType.simpleString()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t, cache = model.value, _WordHashes()
+        t = model.value
         for batch in batches:
             out = []
-            for _, h, sizes in _chunks(batch["__text"], cache):
+            for _, h, sizes in _chunks(batch["__text"]):
                 u, inverse = np.unique(h, return_inverse=True)
                 ids = t.word_ids(u)[inverse]
                 start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
