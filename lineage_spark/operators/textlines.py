@@ -8,8 +8,8 @@ distributed scans of :mod:`lineage_spark.operators.ordering` instead.
 The rewriter applies an ordered rule list to each line: the first rule whose
 pattern matches decides the action. Rules are plain data and are folded into one
 ``CASE WHEN`` projection at plan time, so a line table of any size is read once,
-with no join and no UDF. A rule list is small by nature (tens of rules); it is
-checked against :data:`MAX_RULES` before folding.
+with no join and no UDF. A rule list is small by nature (tens of rules): it is what a
+user writes, and it becomes part of the query.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 COMMENT_PREFIX = "# auto removed: "
 STATE_TOKEN = "{state}"
 ACTIONS = ("substitute", "comment", "replace", "drop", "capture", "state")
-MAX_RULES = 10_000
 
 
 @dataclass(frozen=True)
@@ -58,9 +57,6 @@ class Rule:
 
 def rules_from_frame(df: DataFrame) -> list[Rule]:
     """Rules from a ``(pos, pattern, action, replacement[, target])`` table (small)."""
-    n = df.count()
-    if n > MAX_RULES:
-        raise ValueError(f"{n} rules; a rule list is folded into one expression and must stay small")
     has_target = "target" in df.columns
     return [
         Rule(r["pos"], r["pattern"], r["action"], r["replacement"], r["target"] if has_target else None)
@@ -97,8 +93,6 @@ def _action(rule: Rule, line: Column, state: Column | None) -> Column:
 
 def rewrite_expr(rules: list[Rule], line: Column, state: Column | None = None, default: Rule | None = None) -> Column:
     """The folded first-match-wins expression (null means: drop the line)."""
-    if len(rules) > MAX_RULES:
-        raise ValueError("rule list too long")
     ordered = sorted(rules, key=lambda r: r.pos)
     # nested CASE WHENs, last rule innermost: Catalyst reduces the pushed-down
     # "line is not null" filter of dropped lines to the drop rules' own tests

@@ -416,3 +416,13 @@ m AS ({ORACLE['step_manifest']})
 SELECT o.seq, o.step, CAST(o.seq AS VARCHAR) || '/' || CAST((SELECT count(*) FROM o) AS VARCHAR) AS label,
   c.call, m.sources, m.script, m.output
 FROM o JOIN c ON c.step = o.step JOIN m ON m.step = o.step"""
+
+
+ORACLE["node_aliases"] = """SELECT CAST(o_orderkey AS VARCHAR) AS output_id, c_name AS alias
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F'"""
+ORACLE["missing_report"] = f"SELECT coalesce(string_agg(pattern, ', ' ORDER BY pattern), '') AS missing FROM ({ORACLE['unmet_requirements']})"
+ORACLE["snapshot_files"] = f"""WITH l AS ({_LATEST})
+SELECT o_custkey AS dataset_rid, 'f' || CAST(l_partkey % 3 AS VARCHAR) || '.parquet' AS basename,
+  max(l_linenumber * 1000000 + l_partkey) AS position
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN l ON l.dataset_rid = o_custkey AND l.txn_rid = l_orderkey
+WHERE l_linenumber % 5 > 0 GROUP BY 1, 2"""

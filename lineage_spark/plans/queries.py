@@ -61,6 +61,9 @@ SURVEY_IDS = {
     "environment_flow": "S11 P9 J3 A3 U3 O2",
     "external_names": "J2 A4",
     "golden_hash_diff": "V5",
+    "missing_report": "A9 J9",
+    "node_aliases": "J8 S11",
+    "snapshot_files": "S5 S6",
     "load_dataset": "S1 S2 S3 S4",
     "row_diff_exact": "V2",
     "manifest_producers": "A8 G3",
@@ -712,6 +715,20 @@ def two_hop(spark, sf):
     return lookups.two_hop(c, n, r, "c_nationkey", "n_nationkey", "r_regionkey").select("c_custkey", "n_name", "r_name")
 
 
+@query
+def node_aliases(spark, sf):
+    """Nested node documents -> logic node, data node, alias: the datasets behind the finished orders."""
+    o, c = load(spark, sf, "orders"), load(spark, sf, "customer")
+    node = F.struct(F.struct(F.struct(
+        F.struct(F.col("o_orderkey").cast("string").alias("logicNodeId")).alias("logicNode"),
+        F.struct(F.col("o_custkey").cast("string").alias("dataNodeId")).alias("dataNode")).alias("collapsed")).alias("displaySpec"))
+    shown = jsonsrc.display_nodes(o.select(F.to_json(F.struct(F.array(node).alias("nodes"))).alias("json")))
+    data = F.struct(F.col("c_name").alias("alias"), F.col("c_custkey").cast("string").alias("id"))
+    named = jsonsrc.data_nodes(c.select(F.to_json(F.struct(F.array(data).alias("nodes"))).alias("json")))
+    wanted = o.where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("string").alias("output_id"))
+    return lookups.two_hop(wanted, shown, named, "output_id", "logic_id", "data_id").select("output_id", "alias")
+
+
 REQUIREMENTS = ["MIT License", "Apache License", "GNU General Public License", "BSD License",
                 'token = "', "password", "@mail", "SPDX-License-Identifier"]
 
@@ -721,6 +738,12 @@ def unmet_requirements(spark, sf):
     return lookups.unmet_requirements(load(spark, sf, "documents"), "text", REQUIREMENTS)
 
 
+@query
+def missing_report(spark, sf):
+    unmet = lookups.unmet_requirements(load(spark, sf, "documents"), "text", REQUIREMENTS)
+    return lookups.missing_report(unmet, "pattern")
+
+
 @query
 def ordered_args(spark, sf):
     conv = load(spark, sf, "conversations")
@@ -835,6 +858,18 @@ def snapshot_rows(spark, sf):
     return lookups.semi_join(li, latest, "l_orderkey")
 
 
+@query
+def snapshot_files(spark, sf):
+    """Files of each customer's latest committed order: one per part number, the last listed of a name wins."""
+    li = load(spark, sf, "lineitem")
+    files_ = li.join(load(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("dataset_rid"), F.col("l_orderkey").alias("txn_rid"),
+        F.concat(F.lit("z"), (9 - F.col("l_linenumber")).cast("string"), F.lit("/f"), (F.col("l_partkey") % 3).cast("string"), F.lit(".parquet")).alias("logical_path"),
+        (F.col("l_linenumber") % 5).alias("size"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("position"))
+    latest = snapshots.latest_committed(_order_transactions(spark, sf))
+    return snapshots.snapshot_files(files_, latest).select("dataset_rid", "basename", "position")
+
+
 def revenue_by_nation(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     return (

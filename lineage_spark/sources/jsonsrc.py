@@ -35,6 +35,24 @@ def resolved_specs(docs: DataFrame, col: str = "json") -> DataFrame:
     )
 
 
+# Schemas of the workbook's node documents (fixed by the platform's export format).
+DISPLAY_SCHEMA = ("nodes array<struct<displaySpec: struct<collapsed: struct<logicNode: struct<logicNodeId: string>, "
+                  "dataNode: struct<dataNodeId: string>>>>>")
+DATA_SCHEMA = "nodes array<struct<alias: string, id: string>>"
+
+
+def display_nodes(docs: DataFrame, col: str = "json") -> DataFrame:
+    """``(logic_id, data_id)`` from documents of display nodes."""
+    spec = parse(docs, col, DISPLAY_SCHEMA).select(F.explode("doc.nodes").alias("n")).select("n.displaySpec.collapsed.*")
+    return spec.select(F.col("logicNode.logicNodeId").alias("logic_id"), F.col("dataNode.dataNodeId").alias("data_id"))
+
+
+def data_nodes(docs: DataFrame, col: str = "json") -> DataFrame:
+    """``(data_id, alias)`` from documents of data nodes."""
+    return parse(docs, col, DATA_SCHEMA).select(F.explode("doc.nodes").alias("n")).select(
+        F.col("n.id").alias("data_id"), "n.alias")
+
+
 def json_field(col: str, schema: str, field: str) -> Column:
     return F.from_json(F.col(col), schema)[field]
 

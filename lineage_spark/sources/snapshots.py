@@ -38,14 +38,14 @@ def latest_committed(transactions: DataFrame, keys=("dataset_rid", "branch"), tx
     )
 
 
-def snapshot_files(files: DataFrame, latest: DataFrame, keys=("dataset_rid", "txn_rid")) -> DataFrame:
-    """Files of the chosen snapshots: non-empty, and per basename the last listed
-    one (greatest logical path) wins, as a download into one folder would."""
+def snapshot_files(files: DataFrame, latest: DataFrame, keys=("dataset_rid", "txn_rid"), position: str = "position") -> DataFrame:
+    """Files of the chosen snapshots: non-empty, and per basename the last listed one (greatest
+    ``position``) wins, as a download into one folder would."""
     f = files.join(latest.select(*keys), list(keys), "left_semi").filter(F.col("size") > 0)
     f = f.withColumn("basename", basename(F.col("logical_path")))
+    rest = [c for c in f.columns if c not in ("dataset_rid", "basename")]
     return f.groupBy("dataset_rid", "basename").agg(
-        F.max_by(F.struct(*[F.col(c) for c in f.columns if c not in ("dataset_rid", "basename")]),
-                 F.col("logical_path")).alias("__f")
+        F.max_by(F.struct(*[F.col(c) for c in rest]), F.col(position)).alias("__f")
     ).select("dataset_rid", "basename", "__f.*")
 
 

@@ -26,11 +26,11 @@ def test_latest_committed_cases(spark):
 def test_snapshot_files_skip_empty_and_last_basename_wins(spark):
     latest = spark.createDataFrame([("ds2", "t4")], "dataset_rid string, txn_rid string")
     fl = spark.createDataFrame([
-        ("ds2", "t4", "a/part-0.parquet", 100),
-        ("ds2", "t4", "b/part-0.parquet", 200),
-        ("ds2", "t4", "c/empty.parquet", 0),
-        ("ds2", "t3", "old/part-9.parquet", 50),
-    ], "dataset_rid string, txn_rid string, logical_path string, size long")
+        ("ds2", "t4", "z/part-0.parquet", 100, 1),
+        ("ds2", "t4", "b/part-0.parquet", 200, 2),
+        ("ds2", "t4", "c/empty.parquet", 0, 3),
+        ("ds2", "t3", "old/part-9.parquet", 50, 4),
+    ], "dataset_rid string, txn_rid string, logical_path string, size long, position int")
     got = {r["basename"]: r["logical_path"] for r in snapshots.snapshot_files(fl, latest).collect()}
     assert got == {"part-0.parquet": "b/part-0.parquet"}
 

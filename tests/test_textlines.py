@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from lineage_spark.operators import ordering, textlines
 from lineage_spark.operators.textlines import Rule
 
-# Script-cleaning rules in their original order (one rule, for the
-# platform's own path call, is left out here).
+# Script-cleaning rules in their original order (names of the platform's own calls are
+# replaced by neutral ones).
 SCRIPT_RULES = [
     Rule(1, "graphicsFile", "state", '"{state}.png"', target="graphicsFile", state="fn"),
     Rule(2, "createDataFrame", "substitute", ""),
@@ -19,6 +19,7 @@ SCRIPT_RULES = [
          state="var_input"),
     Rule(4, r"\$fileSystem\(\)", "comment"),
     Rule(5, r" <- fs\w*\$", "comment"),
+    Rule(6, r"platform_path\(", "substitute", "normalizePath("),
     Rule(7, "<- readRDS", "state", "<- {state}", target="<-.*", state="input_var"),
     Rule(8, r"return\(NULL\)", "comment"),
     Rule(9, r"saveRDS\(", "capture", "return($1)", target=r"[(](\S+)[,]"),
@@ -34,13 +35,13 @@ SCRIPT_RULES = [
          target="orthology_table %>% SparkR::withColumnRenamed"),
     Rule(15, "SparkR::`%in%`", "substitute", "", target="SparkR::"),
     Rule(16, "SparkR::", "substitute", "dplyr::"),
-    Rule(17, "library.FoundrySparkR", "replace", "library(dplyr)"),
+    Rule(17, "library.PlatformSpark", "replace", "library(dplyr)"),
     Rule(18, r"output_fs\$open", "substitute", "file"),
     Rule(19, r"\$get_path", "substitute", "file", target=r"output_fs\$get_path"),
     Rule(20, "new.output()", "comment"),
-    Rule(21, "install.packages|FRObjects", "drop"),
+    Rule(21, "install.packages|WrapObjects", "drop"),
 ]
-SCRIPT_DEFAULT = Rule(0, "", "substitute", "list(value=", target=r"RFoundryObject\(")
+SCRIPT_DEFAULT = Rule(0, "", "substitute", "list(value=", target=r"WrappedObject\(")
 
 SCRIPT = [
     "@transform_pandas(",
@@ -48,18 +49,19 @@ SCRIPT = [
     "print('graphicsFile')",
     "print('SparkR::`%in%`')",
     "print('SparkR::')",
-    "library(FoundrySparkR)",
+    "library(PlatformSpark)",
     "    print('new.output()')",
     "install.packages('x')",
     "fs <- Dataset_1$fileSystem()",
     "obj <- readRDS(path)",
-    "out <- RFoundryObject(obj)",
+    "out <- WrappedObject(obj)",
     "saveRDS(out, file='x.rds')",
     "}",
     "@transform_pandas(",
     "Process_2 <- function(Process_1) {",
     "htmlwidgets::saveWidget(w, 'old.html', selfcontained = TRUE)",
     "print('graphicsFile')",
+    "p <- platform_path('x')",
     "}",
 ]
 
@@ -102,6 +104,7 @@ def test_later_rules(spark):
     assert got[12] == "return(out)"
     assert got[16] == "htmlwidgets::saveWidget(w, \"Process_2\" , selfcontained = TRUE)"
     assert got[17] == "print('\"Process_2.png\"')"
+    assert got[18] == "p <- normalizePath('x')"
 
 
 def test_rule_order_matters(spark):
