@@ -26,7 +26,7 @@ from lineage_spark.session import cut_lineage, scratch_path
 EXTERNAL_SOURCE = "input_data"
 EMPTY_PARAMETER = "<empty parameter>"
 # Levels of the graph that one written round resolves.
-LEVELS_PER_ROUND = 5
+LEVELS_PER_ROUND = 3
 # Children of a step that one task of a level takes; a step with more is split into copies.
 SPLIT_CHILDREN = 100_000
 
