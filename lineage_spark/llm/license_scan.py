@@ -209,8 +209,8 @@ def train(labelled: DataFrame, notices: DataFrame) -> LicenseModel:
     fit = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60, weightCol="weight").fit(data)
     matrix = fit.coefficientMatrix.toArray()
     weights = [(g, [float(v) for v in matrix[:, i]]) for i, g in enumerate(vectors.vocabulary)]
-    ordinary = rows.where("family = 'unknown'").select(F.explode("words").alias("w")).groupBy("w").count().where("count > 5")
-    common = {r["w"] for r in ordinary.collect()}  # words seen in more than five of the bounded sample's lines
+    ordinary = rows.where("family = 'unknown'").select(F.explode("words").alias("w")).distinct()
+    common = {r["w"] for r in ordinary.collect()}  # words of the bounded sample's lines
     own = {g for g in vectors.vocabulary if " " not in g}
     model = LicenseModel(families, weights, [float(v) for v in fit.interceptVector], 1.0, sorted(own - common))
     held = rows.where("held").withColumn("row", F.monotonically_increasing_id())
