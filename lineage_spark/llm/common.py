@@ -89,7 +89,11 @@ def id_remainder(col: Column, mod: int) -> Column:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back: cuts lineage, compressed."""
+    """``df`` written as Parquet in the shared folder and read back: cuts lineage, compressed.
+
+    Loops use this rather than a checkpoint: the size Spark assumes of it is that of its files, while a checkpoint
+    keeps the estimate of the plan it came from, which multiplies with every join of a loop.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -127,3 +131,23 @@ def one_row_each(rows: DataFrame, repeated: DataFrame, identity: list[str]) -> D
     one = rows.join(repeated, match, "left_anti").select("__doc")
     many = rows.join(repeated, match, "left_semi").groupBy(*identity).agg(F.min("__doc").alias("__doc"))
     return one.union(many.select("__doc"))
+
+
+def one_task_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (already written out) in one partition if its measured size is below ``limit``.
+
+    What follows then needs no shuffle; above the limit it is shuffled. The result is the same.
+    """
+    return df.coalesce(1) if df.count() * row_bytes <= limit else df
+
+
+def hash_sample(df: DataFrame, n: int, *keys: Column) -> DataFrame:
+    """At most ``n`` rows of ``df``: those of smallest hash of ``keys`` (the same rows in every run).
+
+    The hash that ``n`` rows stay below is found on hashes alone, so no more than about ``n`` whole rows move.
+    """
+    h = F.xxhash64(*keys)
+    top = df.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    if top is None:
+        return df.where("false")
+    return df.where(h <= F.lit(top)).orderBy(h, *keys).limit(n)

@@ -22,6 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lineage_spark.llm.common import hash_sample
+
 TRAIN_PAGES = 160
 TRAIN_BLOCKS = 200  # of a training page; scoring reads whole pages
 VARIANTS, EPOCHS = 4, 14
@@ -370,12 +372,10 @@ def fit_pages(pages: list[str | None]) -> Labeller:
 
 def train(pages: DataFrame, page: str = "html", key: str = "page_id", max_pages: int = TRAIN_PAGES) -> Labeller:
     """Fit on at most ``max_pages`` pages, those of smallest id hash, in one task."""
-    sample = (
-        pages.select(pages[key].alias("key"), pages[page].alias("html")).where(pages[page].isNotNull())
-        .orderBy(F.xxhash64("key"), "html").limit(max_pages))
+    sample = hash_sample(pages.select(pages[key].alias("key"), pages[page].alias("html")), max_pages, F.col("key"))
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        order = sorted(zip(rows["key"].astype(str), rows["html"]))
+        order = sorted(zip(rows["key"].astype(str), rows["html"].fillna("")))
         return pd.DataFrame({"weights": [fit_pages([h for _, h in order]).packed()]})
 
     fitted = sample.groupBy(F.lit(1).alias("one")).applyInPandas(fit, "weights binary").collect()  # one row of weights

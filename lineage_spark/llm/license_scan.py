@@ -16,6 +16,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lineage_spark.llm.common import hash_sample
 from lineage_spark.session import cut_lineage
 
 WINDOW_WORDS, WINDOW_STEP = 40, 20
@@ -144,9 +145,9 @@ def templates(spark: SparkSession) -> DataFrame:
     return _with_words(spark.createDataFrame(rows, "family string, template int, text string")).drop("text")
 
 
-def samples(spark: SparkSession, docs: DataFrame, text: str = "text", max_lines: int = ORDINARY_LINES) -> DataFrame:
-    """Labelled samples ``family, words``: notices, their cuttings of 5 to 24 words, sentences that name no license, and at most
-    ``max_lines`` lines of ``docs`` (of smallest hash) without the words of a notice."""
+def samples(spark: SparkSession, docs: DataFrame, text: str = "text", key: str = "doc_id", max_lines: int = ORDINARY_LINES) -> DataFrame:
+    """Labelled samples ``family, words, ordinary`` (a line of ``docs``): notices, their cuttings of 5 to 24 words, sentences that name no license, and at most
+    ``max_lines`` lines of ``docs`` (of smallest hash of id and line number) without the words of a notice."""
     notices = templates(spark)
     cuttings = notices.where(F.size("words") > 5).select("family", F.explode(F.flatten(F.transform(
         F.array(*[F.lit(n) for n in (5, 8, 12, 24)]),
@@ -158,11 +159,12 @@ def samples(spark: SparkSession, docs: DataFrame, text: str = "text", max_lines:
     telling = [r for r in own.first()["own"]]  # words of the fixed notices
     cuttings = cuttings.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in sorted(telling)])))
     named = _with_words(spark.createDataFrame([(UNKNOWN, t) for t in NOT_LICENSES], "family string, text string")).drop("text")
-    lines = docs.select(F.explode(F.split(docs[text], "\n")).alias("text"))
+    lines = docs.select(docs[key].alias("key"), F.posexplode(F.split(docs[text], "\n")).alias("at", "text"))
     plain = lines.where((F.length("text") > 20) & ~F.lower("text").rlike("licen|copyright|spdx|rights reserved|public domain|permission"))
-    plain = plain.withColumn("h", F.xxhash64("text")).orderBy("h", "text").limit(max_lines).select("text")
+    plain = hash_sample(plain, max_lines, F.col("key"), F.col("at")).select("text")
     ordinary = _with_words(plain).select(F.lit(UNKNOWN).alias("family"), F.slice("words", 1, WINDOW_WORDS).alias("words"))
-    return notices.select("family", "words").union(cuttings).union(named).union(ordinary).where(F.size("words") > 0).distinct()
+    written = notices.select("family", "words").union(cuttings).union(named).withColumn("ordinary", F.lit(False))
+    return written.union(ordinary.withColumn("ordinary", F.lit(True))).where(F.size("words") > 0).distinct()
 
 
 @dataclass
@@ -194,8 +196,8 @@ def _softmax(logits, temperature):
 
 
 def train(labelled: DataFrame, notices: DataFrame) -> LicenseModel:
-    """Fit on ``family, words`` rows; every fifth (by hash) is held out of the fit and sets the temperature."""
-    rows = cut_lineage(labelled.select("family", "words", _grams(F.col("words")).alias("grams"),
+    """Fit on ``family, words, ordinary`` rows; every fifth (by hash) is held out of the fit and sets the temperature."""
+    rows = cut_lineage(labelled.select("family", "words", "ordinary", _grams(F.col("words")).alias("grams"),
                                        (F.pmod(F.xxhash64("words"), F.lit(5)) == 0).alias("held")))
     vocabulary = cut_lineage(notices.select(_grams(F.col("words")).alias("grams")))
     vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(vocabulary)
@@ -209,7 +211,7 @@ def train(labelled: DataFrame, notices: DataFrame) -> LicenseModel:
     fit = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60, weightCol="weight").fit(data)
     matrix = fit.coefficientMatrix.toArray()
     weights = [(g, [float(v) for v in matrix[:, i]]) for i, g in enumerate(vectors.vocabulary)]
-    ordinary = rows.where("family = 'unknown'").select(F.explode("words").alias("w")).distinct()
+    ordinary = rows.where("ordinary").select(F.explode("words").alias("w")).distinct()
     common = {r["w"] for r in ordinary.collect()}  # words of the bounded sample's lines
     own = {g for g in vectors.vocabulary if " " not in g}
     model = LicenseModel(families, weights, [float(v) for v in fit.interceptVector], 1.0, sorted(own - common))

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lineage_spark.llm.common import hash_sample
+
 # fixed values: the patterns of the base kinds, in order
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA[A-Z0-9]+ of 20 characters or more: runs are matched whole
@@ -105,10 +107,10 @@ def random_strings(spark: SparkSession, n: int = RANDOM_SAMPLES) -> DataFrame:
 
 
 def ordinary_identifiers(df: DataFrame, text: str = "text", key: str = "doc_id", max_docs: int = ORDINARY_DOCS) -> DataFrame:
-    """Labelled ordinary words of at most ``max_docs`` texts (of smallest id hash) in which no base pattern matches, alone and
-    joined by ``/``, ``-`` and ``_`` as in names and paths."""
-    plain = df.where(df[text].isNotNull() & ~df[text].rlike(ACCESS) & ~df[text].rlike(HEX) & ~df[text].rlike(ASSIGN))
-    some = plain.select(plain[text].alias("t"), F.xxhash64(plain[key]).alias("h")).orderBy("h", "t").limit(max_docs)
+    """Labelled ordinary words of at most ``max_docs`` texts (of smallest id hash; those in which a base pattern matches are
+    left out), alone and joined by ``/``, ``-`` and ``_`` as in names and paths."""
+    some = hash_sample(df.select(df[key].alias("k"), df[text].alias("t")), max_docs, F.col("k"))
+    some = some.where(F.col("t").isNotNull() & ~F.col("t").rlike(ACCESS) & ~F.col("t").rlike(HEX) & ~F.col("t").rlike(ASSIGN))
     words = some.select(F.regexp_extract_all("t", F.lit(r"[A-Za-z0-9+/_-]{4,}"), F.lit(0)).alias("w"))
     # names and paths as programs write them: neighbouring words joined, some with a number
     fours = words.select(F.posexplode(F.transform(
