@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineage_spark.session import cut_lineage
+from lineage_spark.llm.common import one_task_if_small, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,11 +27,15 @@ def components(edges: DataFrame) -> DataFrame:
     A component's least node has no row of its own. Every round leaves a checkpoint; rounds grow with the
     logarithm of the longest path, and a hot node costs one row per edge, never a list.
     """
-    state = cut_lineage(_small_star(edges))
-    seen = None
-    while True:
-        mark = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(mark) == seen:
-            return state.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        seen = tuple(mark)
-        state = cut_lineage(_small_star(_large_star(state)))
+    # loops of joins over few edges are one task, not a shuffle each
+    narrow = lambda df: one_task_if_small(df, 16)
+    state = narrow(written(_small_star(narrow(written(edges, "links"))), "components"))
+    # done when every component is a star: no node is both a member and a centre
+    while not state.select(F.col("v").alias("u")).join(state.select("u"), "u", "left_semi").isEmpty() or _split(state):
+        state = narrow(written(_small_star(_large_star(state)), "components"))
+    return state.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _split(state: DataFrame) -> bool:
+    """True if some member still has two centres."""
+    return not state.groupBy("u").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).where("lo <> hi").isEmpty()

@@ -6,11 +6,10 @@ A text's set is its distinct word n-grams (64-bit hashes, sorted); equal sets ar
   band ``k`` (two tiles per member). Two sets that link differ in at most ``H`` grams, ``H`` following from the sizes of the
   tile, so when the hash space is cut into more than ``H`` segments they agree on whole segments. Members of a tile with an equal
   segment meet in a list; members with more than the tile's allowance of empty segments meet on those too, so no link is lost.
-* **Contraction.** Lists of two give one pair. In longer lists every member is first tested against one random member, a
-  few times, and lists that have become one component are done.
-* **Bitmaps.** Within the lists left over, members of different components are compared by hashed bitmaps whose bit counts
-  bound the overlap from above; only pairs that the bound lets pass leave the task.
-* **Exact.** All pairs so found are confirmed by intersecting the sorted arrays, and confirmed links make the components.
+* **Bitmaps.** Lists of two give one pair. In longer lists members of different components are compared by hashed bitmaps whose
+  bit counts bound the overlap from above, and each member proposes untried partners that the bound allows.
+* **Exact.** Proposed pairs are tested by intersecting the sorted arrays; links merge components, and lists that have become one
+  component are done. Rounds go on until no member of an open list has a partner left that the bound allows.
 
 Rows moved are linear in the text; no list is expanded into its pairs.
 """
@@ -27,14 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineage_spark.llm.common import BROADCAST_BYTES, WORD_RE, lower_ascii, one_row_each, packed, same_identity, written
+from lineage_spark.llm.common import BROADCAST_BYTES, one_row_each, packed, same_identity, small_side, word_hashes, written
 from lineage_spark.llm.components import components
-from lineage_spark.session import cut_lineage
 
-STAR_ROUNDS = 3
+CONTRACTING_ROUNDS = 2
+TESTS_A_ROUND = 32  # exact tests of one member in a round; rounds go on while partners are left
 BLOCK_MEMBERS = 2048
-CACHED_WORDS = 200_000
-BITMAP_FACTOR, MAX_BITMAP_BITS = 4, 1 << 15
+BITMAP_FACTOR, MAX_BITMAP_BITS = 8, 1 << 15
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
@@ -44,20 +42,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> _S29)) * _M2
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def grams(text: str | None, n: int, cache: _WordHashes) -> np.ndarray:
+def grams(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes of the word ``n``-grams; a shorter text is one gram, one without words none."""
-    words = WORD_RE.findall(lower_ascii(text)) if text else []
-    if not words:
+    h = word_hashes(text)
+    if not len(h):
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
     k = min(n, len(h))
     out = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
@@ -129,11 +118,11 @@ def segment_keys(g: np.ndarray, percent: int) -> np.ndarray:
 
 def _described(n: int, percent: int):
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache, seen = _WordHashes(), set()
+        seen = set()
         for batch in batches:
             size, sid, keys = [], [], []
             for t in batch["__text"]:
-                g = grams(t, n, cache)
+                g = grams(t, n)
                 s = set_id(g)
                 size.append(len(g))
                 sid.append(s)
@@ -207,32 +196,69 @@ def _folded(bitmaps: list[bytes]) -> np.ndarray:
     return np.stack([np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 8), axis=0) for b in bitmaps])
 
 
-def _bounded_pairs(percent: int):
-    """Pairs of a tile, of different components, that bit counts do not exclude."""
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n", "sid"], ignore_index=True)
-        n, sid, comp = (rows[c].to_numpy(np.int64) for c in ("n", "sid", "comp"))
-        outer, own, block = rows["outer"].to_numpy(bool), rows["own"].to_numpy(), int(rows["block"].iloc[0])
-        bits = _folded(rows["bitmap"].tolist())
-        left, right = [], []
-        for i in range(len(n) - 1):
-            end = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-            j = np.arange(i + 1, end)
-            j = j[(comp[j] != comp[i]) & (outer[j] | outer[i])]
-            if not len(j):
+def _proposals(n, sid, comp, outer, bitmaps, tried, percent: int, gather: bool) -> list[tuple[int, int, int, int, int]]:
+    """For every outer member of a tile, partners of other components that bit counts do not exclude and that it has not tried.
+
+    To gather, the one of least id; else up to ``TESTS_A_ROUND`` of the highest bounds. Rows are (member, partner, their components, rank).
+    None left: no pair of the member here can link.
+    """
+    order = np.lexsort((sid, n))
+    n, sid, comp, outer = n[order], sid[order], comp[order], outer[order]
+    bits = _folded([bitmaps[i] for i in order])
+    out = []
+    for i in np.flatnonzero(outer):
+        lo = int(np.searchsorted(n, -(-n[i] * percent // 100)))
+        hi = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
+        j = np.arange(lo, hi)
+        j = j[comp[j] != comp[i]]
+        if not len(j):
+            continue
+        only_i = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
+        only_j = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(n[i] - only_i, n[j] - only_j)
+        ok = 100 * most >= percent * (n[i] + n[j] - most)
+        if tried[order[i]] is not None and len(tried[order[i]]):
+            ok &= ~np.isin(sid[j], tried[order[i]])
+        if ok.any():
+            j, most = j[ok], most[ok]
+            share = most / (n[i] + n[j] - most)
+            rank = sid[j] if gather else -(share * 1e9).astype(np.int64)
+            best = np.lexsort((sid[j], rank))[:1 if gather else TESTS_A_ROUND]
+            out += [(int(sid[i]), int(sid[j[k]]), int(comp[i]), int(comp[j[k]]), int(rank[k])) for k in best]
+    return out
+
+
+def _tile_proposals(percent: int, gather: bool):
+    """Streams rows sorted by tile; a tile that goes on in the next batch is held until it ends."""
+    columns = ["n", "sid", "comp", "outer", "bitmap", "tried"]
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def emit(rows: pd.DataFrame) -> pd.DataFrame:
+            tile = rows["list"].to_numpy(np.int64), rows["block"].to_numpy(np.int64)
+            new = np.flatnonzero((np.diff(tile[0]) != 0) | (np.diff(tile[1]) != 0)) + 1
+            n, sid, comp, outer, bitmap, tried = (rows[c].to_numpy() for c in columns)
+            found = []
+            for lo, hi in zip(np.concatenate([[0], new]), np.append(new, len(rows))):
+                found += [(tile[0][lo], *p) for p in _proposals(
+                    n[lo:hi], sid[lo:hi], comp[lo:hi], outer[lo:hi], bitmap[lo:hi], tried[lo:hi], percent, gather)]
+            return pd.DataFrame(found, columns=["list", "a", "b", "ca", "cb", "rank"]).astype("int64")
+
+        for batch in batches:
+            if not len(batch):
                 continue
-            both = outer[j] & outer[i]  # two replicated members meet in the tile of the lesser one only
-            j = j[~both | (np.where(sid[j] < sid[i], own[j], own[i]) == block)]
-            only_i = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
-            only_j = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
-            most = np.minimum(n[i] - only_i, n[j] - only_j)
-            j = j[100 * most >= percent * (n[i] + n[j] - most)]
-            left.append(np.full(len(j), sid[i]))
-            right.append(sid[j])
-        if not left:
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        a, b = np.concatenate(left), np.concatenate(right)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            last = (batch["list"] == batch["list"].iloc[-1]) & (batch["block"] == batch["block"].iloc[-1])
+            cut = int(last.to_numpy().argmax())
+            if cut == 0 and held and (held[0]["list"].iloc[0], held[0]["block"].iloc[0]) == (batch["list"].iloc[0], batch["block"].iloc[0]):
+                held.append(batch)
+                continue
+            done = pd.concat([*held, batch.iloc[:cut]])
+            held = [batch.iloc[cut:]]
+            if len(done):
+                yield emit(done)
+        if held:
+            yield emit(pd.concat(held))
 
     return compare
 
@@ -266,19 +292,19 @@ class JaccardJoin:
         """``sid, n, grams`` of the sets that are in a list, from one text each."""
         n = self.n
         wanted = self.docs.join(members.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("tid").alias("tid"))
-        wanted = cut_lineage(wanted.select("tid").distinct())
+        wanted = written(wanted.select("tid").distinct(), "jaccard-state")
         small = wanted.count() * 16 <= BROADCAST_BYTES
         texts = self._texts.select("tid", "__text").join(F.broadcast(wanted) if small else wanted, "tid", "left_semi")
 
         def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            cache, seen = _WordHashes(), set()
+            seen = set()
             for batch in batches:
                 sid, size, out = [], [], []
                 for tid, t in zip(batch["tid"], batch["__text"]):
                     if tid in seen:
                         continue
                     seen.add(tid)
-                    g = grams(t, n, cache)
+                    g = grams(t, n)
                     sid.append(set_id(g))
                     size.append(len(g))
                     out.append(g.tobytes())
@@ -288,87 +314,111 @@ class JaccardJoin:
         return written(found.groupBy("sid").agg(F.first("n").alias("n"), F.first("grams").alias("grams")), "jaccard-arrays")
 
     def _confirmed(self, pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-        """The pairs ``a, b`` that link, by exact intersection."""
+        """``u, v, cu, cv, linked`` for the pairs ``a, b, ca, cb``, by exact intersection."""
         percent = self.percent
-        with_a = pairs.join(arrays.select(F.col("sid").alias("a"), F.col("grams").alias("ga")), "a")
-        with_b = with_a.join(arrays.select(F.col("sid").alias("b"), F.col("grams").alias("gb")), "b").select("a", "b", "ga", "gb")
+        pairs = written(pairs, "jaccard-state")
+        # a few pairs go to the arrays, instead of all arrays to the pairs
+        few = pairs.count() * 32 <= BROADCAST_BYTES
+        sides = []
+        for end, grams_of in (("a", "ga"), ("b", "gb")):
+            own = pairs.select(F.col(end).alias("sid"), "b" if end == "a" else "a", *(["ca", "cb"] if end == "a" else []))
+            found = arrays.select("sid", F.col("grams").alias(grams_of)).join(F.broadcast(own) if few else own, "sid")
+            sides.append(found.withColumnRenamed("sid", end))
+        with_b = sides[0].join(sides[1], ["a", "b"]).select("a", "b", "ca", "cb", "ga", "gb")
 
         def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 yes = [links_exactly(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                        for x, y in zip(batch["ga"], batch["gb"])]
-                yield pd.DataFrame({"u": batch["a"], "v": batch["b"], "linked": yes})
-
-        return cut_lineage(with_b.mapInPandas(exact, "u long, v long, linked boolean"))
+                yield pd.DataFrame({"u": batch["a"], "v": batch["b"], "cu": batch["ca"], "cv": batch["cb"], "linked": yes})
 
-    @staticmethod
-    def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-        comp = components(links)
-        return members.join(comp, members["sid"] == comp["node"], "left").select(
-            "list", "sid", "members", F.coalesce("component", "sid").alias("comp"))
+        return written(with_b.mapInPandas(exact, "u long, v long, cu long, cv long, linked boolean"), "jaccard-state")
 
     @staticmethod
-    def _open(members: DataFrame) -> DataFrame:
+    def _open(rest: DataFrame) -> DataFrame:
         """Members of the lists that are not one component yet."""
-        lists = members.groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("list")
-        return cut_lineage(members.join(lists, "list", "left_semi"))
+        lists = rest.groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("list")
+        lists = small_side(written(lists, "jaccard-lists"), 16)
+        return written(rest.join(lists, "list", "left_semi"), "jaccard-state")
 
     def _links(self) -> DataFrame:
         members = self._members()
         arrays = self._arrays(members)
+        signatures = self._signatures(arrays)
         twos = members.where("members = 2").groupBy("list").agg(F.min("sid").alias("a"), F.max("sid").alias("b"))
-        tested = self._confirmed(twos.select("a", "b").distinct(), arrays)
-        rest = members.where("members > 2")
-        for turn in range(STAR_ROUNDS):
-            rest = self._open(self._labelled(rest.select("list", "sid", "members"), tested.where("linked")))
-            if rest.isEmpty():
-                return tested.where("linked").select("u", "v")
-            order = F.xxhash64("sid", "list", F.lit(turn))
-            centres = rest.groupBy("list").agg(
-                F.min_by("sid", order).alias("centre"), F.min_by("comp", order).alias("centre_comp"))
-            stars = rest.join(centres, "list").where("comp <> centre_comp") \
-                .groupBy("sid").agg(F.min_by("centre", F.xxhash64("list", F.lit(turn))).alias("centre"))
-            pairs = stars.select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b")).distinct()
-            new = pairs.join(tested, (pairs["a"] == tested["u"]) & (pairs["b"] == tested["v"]), "left_anti")
-            tested = cut_lineage(tested.union(self._confirmed(new, arrays)))
-        rest = self._open(self._labelled(rest.select("list", "sid", "members"), tested.where("linked")))
-        pairs = self._bounded(rest, arrays)
-        new = pairs.join(tested, (pairs["a"] == tested["u"]) & (pairs["b"] == tested["v"]), "left_anti")
-        return cut_lineage(tested.union(self._confirmed(new, arrays)).where("linked").select("u", "v"))
-
-    def _bounded(self, rest: DataFrame, arrays: DataFrame) -> DataFrame:
-        """Candidate pairs of the open lists. Members outside a list's main component go to all blocks of the list, those
-        inside to one, as pairs inside need no test."""
+        twos = twos.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")).distinct()
+        tested = self._confirmed(twos, arrays)
+        rest, turn = members.where("members > 2").select("list", "sid", F.col("sid").alias("comp")), 0
+        while not rest.isEmpty():
+            spread = turn >= CONTRACTING_ROUNDS
+            proposed, unseen = self._proposed(rest, tested, signatures, turn, spread)
+            # a list whose pairs were all compared without a proposal can never have one: it is done
+            unsettled = written(proposed.select("list").union(unseen).distinct(), "jaccard-state")
+            if unsettled.isEmpty():
+                break
+            # first one test a round for each member, towards the least id: close copies gather in one step; then several, as
+            # what is left mostly does not link
+            few = F.slice(F.array_sort(F.collect_set(F.struct("rank", "b", "ca", "cb"))), 1, TESTS_A_ROUND if spread else 1)
+            best = proposed.groupBy("a").agg(few.alias("p")).select("a", F.explode("p").alias("p")).select("a", "p.*")
+            up = F.col("a") < F.col("b")
+            pairs = best.select(
+                F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                F.when(up, F.col("ca")).otherwise(F.col("cb")).alias("ca"), F.when(up, F.col("cb")).otherwise(F.col("ca")).alias("cb")).distinct()
+            new = self._confirmed(pairs, arrays)
+            tested = written(tested.union(new), "jaccard-state")
+            # the new links join components: only those are labelled anew
+            moved = small_side(components(new.where("linked").select(F.col("cu").alias("u"), F.col("cv").alias("v"))), 32)
+            rest = rest.join(small_side(unsettled, 16), "list", "left_semi").join(moved, rest["comp"] == moved["node"], "left")
+            rest = self._open(rest.select("list", "sid", F.coalesce("component", "comp").alias("comp")))
+            turn += 1
+        return written(tested.where("linked").select("u", "v"), "jaccard-state")
+
+    @staticmethod
+    def _signatures(arrays: DataFrame) -> DataFrame:
         @F.pandas_udf("binary")
         def bitmap(g: pd.Series) -> pd.Series:
             return pd.Series([_bitmap(a, _bits_for(len(a))).tobytes() for a in (np.frombuffer(x, np.uint64) for x in g)])
 
+        return written(arrays.select("sid", "n", bitmap("grams").alias("bitmap")), "jaccard-bitmaps")
+
+    def _proposed(self, rest: DataFrame, tested: DataFrame, signatures: DataFrame, turn: int, spread: bool) -> tuple[DataFrame, DataFrame]:
+        """Proposals ``list, a, b, ca, cb, rank`` (see :func:`_proposals`), and the lists not all of whose pairs were compared.
+
+        A list of more than ``BLOCK_MEMBERS`` is cut into blocks. The first rounds compare inside random blocks, to contract the
+        list. After them (``spread``) members outside the list's main component go to all its blocks and members inside
+        to one, so that every pair of different components meets.
+        """
         main = rest.groupBy("list", "comp").count().groupBy("list").agg(
             F.max_by("comp", F.struct("count", "comp")).alias("main"), F.sum("count").alias("total"))
         blocks = F.ceil(F.col("total") / F.lit(BLOCK_MEMBERS)).cast("int")
-        signatures = arrays.select("sid", "n", bitmap("grams").alias("bitmap"))
-        placed = rest.join(main, "list").select(
-            "list", "sid", "comp", (F.col("comp") != F.col("main")).alias("outer"),
-            F.pmod(F.xxhash64("sid"), blocks).cast("int").alias("own"), blocks.alias("blocks"))
-        spread = placed.withColumn("block", F.explode(
-            F.when(F.col("outer"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))))
-        tiles = spread.drop("blocks").join(signatures, "sid")
-        return cut_lineage(tiles.groupBy("list", "block").applyInPandas(_bounded_pairs(self.percent), "a long, b long").distinct())
+        main = written(main.select("list", "main", blocks.alias("blocks")), "jaccard-state")
+        outer = F.col("comp") != F.col("main")
+        own = F.pmod(F.xxhash64("sid", F.lit(turn)), F.col("blocks")).cast("int")
+        block = F.when(outer, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own)) if spread else F.array(own)
+        placed = rest.join(small_side(main, 32), "list").select("list", "sid", "comp", outer.alias("outer"), F.explode(block).alias("block"))
+        refused = tested.where("not linked")
+        refused = refused.select("u", "v").union(refused.select("v", "u"))
+        tried = refused.groupBy(F.col("u").alias("sid")).agg(F.collect_set("v").alias("tried"))
+        tried = F.broadcast(tried) if refused.count() * 64 <= BROADCAST_BYTES else tried
+        tiles = placed.join(signatures.join(tried, "sid", "left"), "sid").repartition("list", "block") \
+            .sortWithinPartitions("list", "block")
+        proposed = written(tiles.mapInPandas(_tile_proposals(self.percent, not spread), "list long, a long, b long, ca long, cb long, rank long"), "jaccard-state")
+        return proposed, main.where(F.lit(not spread) & (F.col("blocks") > 1)).select("list")
 
     def _classed(self) -> DataFrame:
         comp = components(self.links)
         sets = self.docs.select("key", "tid", "n", "sid")
-        return cut_lineage(sets.join(comp, sets["sid"] == comp["node"], "left").select(
-            "key", "tid", "n", F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("class")))
+        return written(sets.join(comp, sets["sid"] == comp["node"], "left").select(
+            "key", "tid", "n", F.when(F.col("n") > 0, F.coalesce("component", "sid")).alias("class")), "jaccard-state")
 
     def one_of_each(self) -> DataFrame:
         """The rows of ``df``, unchanged, with one row of each component: that of the least key (null first), of equal keys
         the one with the least text hash. Rows without words link with nothing and all stay."""
         identity = ["__key", "__tid"]
         classed = self._classed().where("n > 0").select(F.col("key").alias("__key"), F.col("tid").alias("__tid"), "class")
-        least = cut_lineage(classed.groupBy("class").agg(F.min(F.struct(*identity)).alias("least")))
+        least = written(classed.groupBy("class").agg(F.min(F.struct(*identity)).alias("least")), "jaccard-state")
         stays = F.col("least.__key").eqNullSafe(F.col("__key")) & (F.col("least.__tid") == F.col("__tid"))
-        marked = cut_lineage(classed.join(least, "class").groupBy(*identity, stays.alias("stays")).agg(F.count(F.lit(1)).alias("n")))
+        marked = written(classed.join(least, "class").groupBy(*identity, stays.alias("stays")).agg(F.count(F.lit(1)).alias("n")), "jaccard-state")
         gone, repeated = marked.where("not stays").select(*identity), marked.where("stays and n > 1").select(*identity)
         small = gone.count() * 32 <= BROADCAST_BYTES
         rows = packed(self._df, self._df[self._key].alias("__key"), F.xxhash64(F.coalesce(self._df[self._text], F.lit(""))).alias("__tid"))
@@ -378,6 +428,6 @@ class JaccardJoin:
     def per_document(self) -> DataFrame:
         """``key``, ``n_shingles`` and ``component_id``: the least key that links reach."""
         classed = self._classed()
-        least = cut_lineage(classed.where("n > 0").groupBy("class").agg(F.min("key").alias("least")))
+        least = written(classed.where("n > 0").groupBy("class").agg(F.min("key").alias("least")), "jaccard-state")
         return classed.join(least, "class", "left").select(
             "key", F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
