@@ -108,3 +108,37 @@ def test_golden_hash_lists(spark):
     shorter = spark.createDataFrame(golden[:8], "pos int, md5 string")
     d = compare.positional_diff(same, shorter, ["pos"], "md5").collect()
     assert [(r["pos"], r["right_md5"]) for r in d] == [(9, None)]
+
+
+def test_long_and_decimal_compare_exactly(spark):
+    a = spark.createDataFrame([(9007199254740993,)], "v long")
+    b = spark.createDataFrame([(9007199254740992,)], "v long").select(F.col("v").cast("decimal(20,0)").alias("v"))
+    assert sorted(r["side"] for r in compare.row_diff(a, b).collect()) == ["only_left", "only_right"]
+    assert compare.row_diff(a, a.select(F.col("v").cast("decimal(20,0)").alias("v"))).count() == 0
+
+
+def test_digest_tells_fields_apart(spark):
+    rows = [[("a|b", "c")], [("a", "b|c")], [("a", None)], [("a", "N")], [("a", "\\N")], [(None, "a")], [("1:a", "")], [("1", "a")]]
+    frames = [spark.createDataFrame(r, "x string, y string").withColumn("g", F.lit(1)) for r in rows]
+    digests = [compare.dataset_digest(f, ["g"], ["x", "y"]).first()["digest"] for f in frames]
+    assert len(set(digests)) == len(rows)
+    assert all(len(d.split("-")) == 4 for d in digests)
+
+
+def test_one_failing_dataset_keeps_the_default_status(spark):
+    t = spark.createDataFrame([(1, "x")], "id int, name string")
+    broken = t.withColumn("id", F.raise_error("no").cast("int"))
+
+    def never():
+        raise ValueError("no such step")
+
+    got = {r["dataset"]: (r["status"], r["only_left"]) for r in compare.verify_report(
+        spark, [("run", t, broken), ("make", t, never), ("good", t, lambda: t)]).collect()}
+    assert got == {"run": (compare.STATUS_DEFAULT, None), "make": (compare.STATUS_DEFAULT, None), "good": (compare.STATUS_EQUAL, 0)}
+
+
+def test_golden_diff(spark):
+    produced = spark.createDataFrame([("a", "1"), ("b", "2"), ("n", None), ("x", None)], "dataset string, digest string")
+    golden = spark.createDataFrame([("a", "1"), ("b", "3"), ("c", "4"), ("n", None)], "dataset string, digest string")
+    got = sorted((r["dataset"], r["status"]) for r in compare.golden_diff(produced, golden).collect())
+    assert got == [("b", "changed"), ("c", "missing"), ("x", "extra")]

@@ -97,3 +97,31 @@ def test_lines_sources(spark, tmpdir_fresh):
         fh.write("x <- 1\ny <- 2\nz <- 3")
     got = [(r["line_no"], r["line"]) for r in read_text_lines(spark, p).collect()]
     assert sorted(got) == [(1, "x <- 1"), (2, "y <- 2"), (3, "z <- 3")]
+
+
+def test_csv_dialect_and_empty_folder(spark, tmpdir_fresh):
+    p = os.path.join(tmpdir_fresh, "q.csv")
+    with open(p, "w") as fh:
+        fh.write('id,text\n1,"say ""hi"", ok"\n2,"two\nlines"\n')
+    rows = files.read_delimited(spark, p, multiline=True).orderBy("id").collect()
+    assert [(r["id"], r["text"]) for r in rows] == [(1, 'say "hi", ok'), (2, "two\nlines")]
+    empty = os.path.join(tmpdir_fresh, "nothing")
+    os.makedirs(empty)
+    fmt, df = files.load_dataset(spark, empty)
+    assert fmt == "paths" and df.count() == 0
+    both = spark.createDataFrame([("d", "x.csv"), ("d", "y.rds"), ("e", "x.csv")], "ds string, name string")
+    assert {r["ds"]: r["format"] for r in files.classify_format(both, "ds").collect()} == {"d": "rds", "e": "csv"}
+
+
+def test_lines_of_a_file_read_by_splits(spark, tmpdir_fresh):
+    p = os.path.join(tmpdir_fresh, "big.txt")
+    want = [f"line {i} " + "x" * (i % 50) for i in range(3000)]
+    with open(p, "w") as fh:
+        fh.write("\n".join(want))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        got = [r["line"] for r in read_text_lines(spark, p).orderBy("line_no").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want
