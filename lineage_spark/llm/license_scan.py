@@ -1,10 +1,11 @@
 """License scans: a trained paragraph classifier with an unknown class, confirmed by comparison with templates.
 
-DataFrame operations and Spark's own JVM learner only. A paragraph (a line of a document) is read in windows of ``WINDOW_WORDS``
-words. Features are the word 1- and 2-grams that occur in the training notices, so a window without any notice word is unknown by
+DataFrame operations and Spark's own JVM learner only. A paragraph (a line of a document) is read in the windows of ``WINDOWS``
+(words, step): long ones for whole notices, short ones so that the text around a short notice does not hide it. Features are the word 1- and 2-grams that occur in the training notices, so a window without any notice word is unknown by
 its features alone and is not scored further. A multinomial logistic regression gives the family; its probabilities are calibrated by
-a temperature fitted on held-out samples. A family is reported when its calibrated probability is high enough and the window shares
-enough 2-grams with one template of that family.
+a temperature fitted on held-out samples. A family is reported when its calibrated probability is high enough, the window has a
+telling 2-gram of the family (one of at most ``KIN`` families and of no ordinary line), and enough 2-grams of the smaller of window and
+template are in the other.
 """
 
 from __future__ import annotations
@@ -19,7 +20,10 @@ from pyspark.sql import functions as F
 from lineage_spark.llm.common import hash_sample
 from lineage_spark.session import cut_lineage
 
-WINDOW_WORDS, WINDOW_STEP = 40, 20
+WINDOWS = ((40, 20), (12, 6))
+WINDOW_WORDS = WINDOWS[0][0]
+KIN = 3  # the GNU licenses share their words, and so do those of Creative Commons
+LEAST_BIGRAMS = 3  # a window of fewer 2-grams counts as so many, unless the template itself is shorter
 MIN_PROBABILITY, MIN_SIMILARITY = 0.6, 0.5
 ORDINARY_LINES = 3000
 TEMPERATURES = (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0)
@@ -109,6 +113,23 @@ TEMPLATES = {
         "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
     ),
 }
+# fixed values: short notices, which often stand alone
+SHORT_NOTICES = {
+    "MIT": ("MIT License", "The MIT License (MIT)",),
+    "Apache": ("Apache License", "Apache License, Version 2.0", "Apache-2.0",),
+    "BSD": ("BSD License", "BSD 2-Clause License", "BSD 3-Clause License",),
+    "GPL": ("GNU General Public License", "GNU GPL", "GPL-3.0",),
+    "LGPL": ("GNU Lesser General Public License", "GNU LGPL", "LGPL-2.1",),
+    "AGPL": ("GNU Affero General Public License", "GNU AGPL", "AGPL-3.0",),
+    "MPL": ("Mozilla Public License", "MPL 2.0",),
+    "CC-BY": ("CC BY 4.0", "Creative Commons Attribution 4.0",),
+    "CC-BY-SA": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0",),
+    "CC-BY-NC": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0",),
+    "CC0": ("CC0 1.0", "CC0 1.0 Universal",),
+    "Unlicense": ("The Unlicense",),
+    "ISC": ("ISC License",),
+    "proprietary": ("All rights reserved.", "Proprietary and confidential.",),
+}
 # fixed values: sentences with license words that name no license
 NOT_LICENSES = (
     "The driver showed a license plate and a driving license to the officer.",
@@ -134,6 +155,12 @@ def _bigrams(words):
                       lambda a, b: F.concat_ws(" ", a, b))
 
 
+def _slices(n: int, step: int):
+    """The windows of ``n`` words that cover ``words``."""
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - step), F.lit(step))
+    return F.transform(starts, lambda i: F.slice("words", i, n))
+
+
 def _grams(words):
     """Distinct word 1- and 2-grams."""
     return F.array_distinct(F.concat(words, _bigrams(words)))
@@ -141,7 +168,7 @@ def _grams(words):
 
 def templates(spark: SparkSession) -> DataFrame:
     """``family, template, words`` of the notices."""
-    rows = [(family, i, t) for family, texts in TEMPLATES.items() for i, t in enumerate(texts)]
+    rows = [(family, i, t) for family, texts in TEMPLATES.items() for i, t in enumerate(texts + SHORT_NOTICES[family])]
     return _with_words(spark.createDataFrame(rows, "family string, template int, text string")).drop("text")
 
 
@@ -169,12 +196,14 @@ def samples(spark: SparkSession, docs: DataFrame, text: str = "text", key: str =
 
 @dataclass
 class LicenseModel:
-    """Families, the weight of every (gram, family), the families' intercepts, the temperature, and the words that call for scoring."""
+    """Families, the weight of every (gram, family), the families' intercepts, the temperature, the telling 2-grams, and the words that call
+    for scoring (one of each telling 2-gram)."""
 
     families: list[str]
     weights: list[tuple[str, list[float]]]
     intercepts: list[float]
     temperature: float
+    telling: list[str]
     cues: list[str]
 
 
@@ -211,10 +240,13 @@ def train(labelled: DataFrame, notices: DataFrame) -> LicenseModel:
     fit = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60, weightCol="weight").fit(data)
     matrix = fit.coefficientMatrix.toArray()
     weights = [(g, [float(v) for v in matrix[:, i]]) for i, g in enumerate(vectors.vocabulary)]
-    ordinary = rows.where("ordinary").select(F.explode("words").alias("w")).distinct()
-    common = {r["w"] for r in ordinary.collect()}  # words of the bounded sample's lines
-    own = {g for g in vectors.vocabulary if " " not in g}
-    model = LicenseModel(families, weights, [float(v) for v in fit.interceptVector], 1.0, sorted(own - common))
+    ordinary = rows.where("family = 'unknown'").select(F.explode("grams").alias("g")).distinct()
+    common = {r["g"] for r in ordinary.collect()}  # grams of the bounded sample's lines and of the fixed sentences
+    named = notices.select("family", F.explode(_bigrams(F.col("words"))).alias("g")).distinct().groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    telling = sorted({r["g"] for r in named.where(F.col("n") <= KIN).collect()} - common)  # 2-grams of the fixed notices
+    # a window is reported only with a telling 2-gram, so the rarer word of each is a necessary condition
+    cues = {next((w for w in reversed(g.split(" ")) if w not in common), g.split(" ")[-1]) for g in telling}
+    model = LicenseModel(families, weights, [float(v) for v in fit.interceptVector], 1.0, telling, sorted(cues))
     held = rows.where("held").withColumn("row", F.monotonically_increasing_id())
     held = cut_lineage(held.select("row", "words", place.cast("int").alias("label")))
     scored = _logits(held.select("row", "words"), model, ["row"]).join(held.select("row", "label"), "row")
@@ -238,9 +270,10 @@ def find_licenses(docs: DataFrame, model: LicenseModel, notices: DataFrame, text
     told = _with_words(lines).where(F.arrays_overlap("words", cues)).drop("text")
     # few lines are left: numbered for the joins below
     told = cut_lineage(told.withColumn("line", F.monotonically_increasing_id()))
-    windows = told.select("key", "paragraph", "line", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - WINDOW_STEP), F.lit(WINDOW_STEP)),
-        lambda i: F.slice("words", i, WINDOW_WORDS))).alias("window", "words"))
+    telling = F.array(*[F.lit(g) for g in model.telling])
+    slices = [_slices(n, step) for n, step in WINDOWS]
+    windows = told.select("key", "paragraph", "line", F.posexplode(F.array_distinct(F.concat(*slices))).alias("window", "words"))
+    windows = windows.where(F.arrays_overlap(_bigrams(F.col("words")), telling))
     scores = _logits(windows, model, ["line", "window"])
     p = _softmax(F.col("logits"), F.lit(model.temperature))
     family = F.get(F.array(*[F.lit(f) for f in model.families]), (F.array_position("p", F.array_max("p")) - 1).cast("int"))
@@ -248,8 +281,10 @@ def find_licenses(docs: DataFrame, model: LicenseModel, notices: DataFrame, text
         .where((F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
     known = notices.select("family", "template", F.array_distinct(_bigrams(F.col("words"))).alias("known"))
     likely = windows.join(likely, ["line", "window"])
-    compared = likely.join(F.broadcast(known), "family").withColumn(
-        "similarity", F.size(F.array_intersect(F.array_distinct(_bigrams(F.col("words"))), "known")) / F.size("known"))
+    shared = likely.withColumn("own", F.array_distinct(_bigrams(F.col("words")))).join(F.broadcast(known), "family") \
+        .withColumn("shared", F.array_intersect("own", "known")).where(F.arrays_overlap("shared", telling))
+    compared = shared.withColumn(
+        "similarity", F.size("shared") / F.least(F.size("known"), F.greatest(F.size("own"), F.lit(LEAST_BIGRAMS))))
     best = F.max(F.struct("similarity", "probability", "family"))
     found = compared.groupBy("line", "key", "paragraph").agg(best.alias("best")).where(F.col("best.similarity") >= min_similarity)
     return found.select("key", F.col("paragraph").cast("long").alias("paragraph"), "best.family", "best.probability", "best.similarity")

@@ -120,3 +120,13 @@ def test_every_template_is_recognised(spark, licenses):
 def test_no_documents(spark, licenses):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert license_scan.find_licenses(df, *licenses).count() == 0
+
+
+def test_notices_that_stand_alone(spark, licenses):
+    rows = [(i, t, f) for i, (f, t) in enumerate((f, t) for f, ts in license_scan.SHORT_NOTICES.items() for t in ts)]
+    rows += [(100, "Copyright 2021 Example Press. All rights reserved. The rest of the page goes on with other things of the day and of the "
+                   "town, and the long story of the sea and the ship that never came home to the people who waited for it.", "proprietary")]
+    rows += [(200, "He reserved all seats of the train.", None), (201, "the rights of all people", None), (202, "for any", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, f string")
+    found = {r["key"]: r["family"] for r in license_scan.find_licenses(df, *licenses).collect()}
+    assert found == {i: f for i, _, f in rows if f}
