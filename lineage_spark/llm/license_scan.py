@@ -1,6 +1,7 @@
 """License scans: a trained paragraph classifier with an unknown class, confirmed by comparison with templates.
 
-DataFrame operations and Spark's own JVM learner only. A paragraph (a line of a document) is read in the windows of ``WINDOWS``
+DataFrame operations and Spark's own JVM learner only. A paragraph (a run of lines with words) and each of its lines
+is read in the windows of ``WINDOWS``
 (words, step): long ones for whole notices, short ones so that the text around a short notice does not hide it. Features are the word 1- and 2-grams that occur in the training notices, so a window without any notice word is unknown by
 its features alone and is not scored further. A multinomial logistic regression gives the family; its probabilities are calibrated by
 a temperature fitted on held-out samples. A family is reported when its calibrated probability is high enough, the window has a
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lineage_spark.llm.common import hash_sample
@@ -143,6 +144,7 @@ NOT_LICENSES = (
 )
 
 _WORDS = r"[\p{L}\p{N}]+"
+_MARK = r"(?i)^\s*(?:rem|dnl)\b"  # comment marks that are words
 
 
 def _with_words(df: DataFrame, text: str = "text") -> DataFrame:
@@ -156,9 +158,9 @@ def _bigrams(words):
 
 
 def _slices(n: int, step: int):
-    """The windows of ``n`` words that cover ``words``."""
+    """The windows of ``n`` words that cover ``words``, each with the line numbers ``ats`` of its words."""
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - step), F.lit(step))
-    return F.transform(starts, lambda i: F.slice("words", i, n))
+    return F.transform(starts, lambda i: F.struct(F.slice("words", i, n).alias("words"), F.slice("ats", i, n).alias("ats")))
 
 
 def _grams(words):
@@ -259,32 +261,73 @@ def train(labelled: DataFrame, notices: DataFrame) -> LicenseModel:
 
 def find_licenses(docs: DataFrame, model: LicenseModel, notices: DataFrame, text: str = "text", key: str = "doc_id",
                   min_probability: float = MIN_PROBABILITY, min_similarity: float = MIN_SIMILARITY) -> DataFrame:
-    """``key, paragraph, family, probability, similarity``: one row per line that carries a license notice.
+    """``key, paragraph, family, probability, similarity``: one row per license notice.
 
-    ``paragraph`` is the line's number from 0; of a long line the window with the most probable notice counts. Null and empty texts have
-    no notice; repeated rows give rows each; other columns are ignored.
+    ``paragraph`` is the number from 0 of the line in which the notice starts. A paragraph is a run of lines with words (comment marks are no
+    words), so that a notice wrapped over several lines is one notice; notices of their own on neighbouring lines are rows each. Of a long
+    notice the most similar window counts. Null and empty texts have no notice; repeated rows give rows each; other columns are ignored.
     """
-    rows = docs.select(docs[key].alias("key"), docs[text].alias("t"))
-    lines = rows.select("key", F.posexplode(F.split("t", "\n")).alias("paragraph", "text"))
-    cues = F.array(*[F.lit(c) for c in model.cues])
-    told = _with_words(lines).where(F.arrays_overlap("words", cues)).drop("text")
-    # few lines are left: numbered for the joins below
-    told = cut_lineage(told.withColumn("line", F.monotonically_increasing_id()))
-    telling = F.array(*[F.lit(g) for g in model.telling])
-    slices = [_slices(n, step) for n, step in WINDOWS]
-    windows = told.select("key", "paragraph", "line", F.posexplode(F.array_distinct(F.concat(*slices))).alias("window", "words"))
-    windows = windows.where(F.arrays_overlap(_bigrams(F.col("words")), telling))
-    scores = _logits(windows, model, ["line", "window"])
+    cues, telling = (F.array(*[F.lit(x) for x in xs]) for xs in (model.cues, model.telling))
+    told = docs.select(docs[key].alias("key"), docs[text].alias("t"))
+    told = _with_words(told, "t").where(F.arrays_overlap("words", cues)).drop("words")
+    # few documents are left: numbered for the joins below
+    told = cut_lineage(told.withColumn("row", F.monotonically_increasing_id()))
+    lines = told.select("row", "key", F.posexplode(F.split("t", "\n")).alias("at", "text"))
+    lines = _with_words(lines.withColumn("text", F.regexp_replace("text", _MARK, ""))).drop("text").where(F.size("words") > 0)
+    # without the blank lines, the lines of a paragraph have one difference of line number and rank; all lines of a row come from one text
+    rank = F.row_number().over(Window.partitionBy("row").orderBy("at"))
+    lines = lines.withColumn("run", F.col("at") - rank).withColumn("ats", F.array_repeat("at", F.size("words")))
+    runs = lines.groupBy("row", "key", "run").agg(F.sort_array(F.collect_list(F.struct("at", "words", "ats"))).alias("ls"))
+    runs = cut_lineage(runs.withColumn("words", F.flatten("ls.words")).where(F.arrays_overlap("words", cues)))
+    joined = runs.where(F.size("ls") > 1).select("row", "key", "run", "words", F.flatten("ls.ats").alias("ats"))
+    alone = runs.select("row", "key", "run", F.explode("ls").alias("l")).select("row", "key", "run", "l.words", "l.ats")
+    slices = F.array_distinct(F.concat(*[_slices(n, step) for n, step in WINDOWS]))
+    windows = joined.union(alone).select("row", "key", "run", F.explode(slices).alias("w")).select("row", "key", "run", "w.words", "w.ats")
+    windows = windows.withColumn("grams2", _bigrams(F.col("words"))).where(F.arrays_overlap("grams2", telling))
+    windows = cut_lineage(windows.withColumn("window", F.monotonically_increasing_id()))
+    scores = _logits(windows, model, ["window"])
     p = _softmax(F.col("logits"), F.lit(model.temperature))
     family = F.get(F.array(*[F.lit(f) for f in model.families]), (F.array_position("p", F.array_max("p")) - 1).cast("int"))
-    likely = scores.withColumn("p", p).select("line", "window", family.alias("family"), F.array_max("p").alias("probability")) \
+    likely = scores.withColumn("p", p).select("window", family.alias("family"), F.array_max("p").alias("probability")) \
         .where((F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
     known = notices.select("family", "template", F.array_distinct(_bigrams(F.col("words"))).alias("known"))
-    likely = windows.join(likely, ["line", "window"])
-    shared = likely.withColumn("own", F.array_distinct(_bigrams(F.col("words")))).join(F.broadcast(known), "family") \
+    shared = windows.join(likely, "window").withColumn("own", F.array_distinct("grams2")).join(F.broadcast(known), "family") \
         .withColumn("shared", F.array_intersect("own", "known")).where(F.arrays_overlap("shared", telling))
     compared = shared.withColumn(
         "similarity", F.size("shared") / F.least(F.size("known"), F.greatest(F.size("own"), F.lit(LEAST_BIGRAMS))))
-    best = F.max(F.struct("similarity", "probability", "family"))
-    found = compared.groupBy("line", "key", "paragraph").agg(best.alias("best")).where(F.col("best.similarity") >= min_similarity)
-    return found.select("key", F.col("paragraph").cast("long").alias("paragraph"), "best.family", "best.probability", "best.similarity")
+    hits = compared.where(F.col("similarity") >= min_similarity)
+    return _notices_of(hits, telling).select("key", F.col("line").cast("long").alias("paragraph"), "best.family", "best.probability", "best.similarity")
+
+
+def _notices_of(hits: DataFrame, telling) -> DataFrame:
+    """``key, line, best``: the notices that the ``hits`` (a window and a template like it) are parts of, by their first line."""
+    # the shared 2-grams, those that stand by themselves only if they are telling
+    at = F.transform("grams2", lambda g: F.array_contains("shared", g))
+    marks = F.zip_with("grams2", at, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
+    here = F.transform(marks, lambda x, i: F.struct(
+        F.get("ats", i).alias("line"), F.get("ats", i + 1).alias("next"),
+        F.array_contains(telling, x["g"]).alias("tells"),
+        ((F.element_at("known", 1) == x["g"]) & ((i == 0) | (F.get("ats", i - 1) != F.get("ats", i)))).alias("opens"),
+        (x["m"] & (F.array_contains(telling, x["g"]) | F.coalesce(F.get(at, i - 1), F.lit(False)) | F.coalesce(F.get(at, i + 1), F.lit(False))))
+        .alias("counts")))
+    keep = ["row", "key", "run", "family", "window", "template", "similarity", "probability", "n"]
+    grams = hits.withColumn("n", F.size("shared")).select(*keep, F.explode(here).alias("h")).where("h.counts")
+    first = grams.select(*keep, F.col("h.line").alias("line"), "h.tells", "h.opens", F.lit(False).alias("linked"),
+                         (F.col("h.line") != F.col("h.next")).alias("links"))
+    second = grams.where("h.line <> h.next").select(*keep, F.col("h.next").alias("line"), F.lit(False).alias("tells"), F.lit(False).alias("opens"),
+                                                    F.lit(True).alias("linked"), F.lit(False).alias("links"))
+    # a line belongs to the family whose template it shares most with, and counts if it tells or a shared 2-gram joins it to its neighbour
+    flags = [F.max(c).alias(c) for c in ("tells", "opens", "linked", "links")]
+    lines = first.union(second).groupBy(*keep, "line").agg(F.count(F.lit(1)).alias("here"), *flags)
+    lines = lines.groupBy("row", "key", "run", "line", "family").agg(
+        F.max(F.struct("here", "n", "similarity", "probability")).alias("most"), F.max(F.struct("similarity", "probability", "family")).alias("best"), *flags)
+    lines = lines.where("tells or linked or links").groupBy("row", "key", "run", "line").agg(
+        F.max(F.struct("most", "family", "best", "tells", "opens", "linked")).alias("x")).select("row", "key", "run", "line", "x.*")
+    # the next line goes on with a notice unless it opens one
+    order = Window.partitionBy("row", "run").orderBy("line")
+    before = F.lag(F.struct("line", "family")).over(order)
+    goes_on = (before["line"] == F.col("line") - 1) & (before["family"] == F.col("family")) & (F.col("linked") | ~F.col("opens"))
+    lines = lines.withColumn("starts", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
+    lines = lines.withColumn("notice", F.sum("starts").over(order))
+    return lines.groupBy("row", "key", "run", "notice").agg(
+        F.min("line").alias("line"), F.max("best").alias("best"), F.max("tells").alias("tells")).where("tells")

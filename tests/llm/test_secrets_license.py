@@ -130,3 +130,18 @@ def test_notices_that_stand_alone(spark, licenses):
     df = spark.createDataFrame(rows, "doc_id long, text string, f string")
     found = {r["key"]: r["family"] for r in license_scan.find_licenses(df, *licenses).collect()}
     assert found == {i: f for i, _, f in rows if f}
+
+
+def test_wrapped_notices(spark, licenses):
+    import textwrap
+    long = [(f, t) for f, ts in license_scan.TEMPLATES.items() for t in ts if len(t) > 100]
+    rows, want = [], set()
+    for i, (f, t) in enumerate(long):
+        for j, (width, mark) in enumerate(((72, ""), (60, "# "), (30, " * "), (16, "// "))):
+            wrapped = [mark + x for x in textwrap.wrap(t, width)]
+            rows.append((10 * i + j, "\n".join(["Some ordinary line.", mark.strip(), *wrapped, "", "Another line of the day."])))
+            want.add((10 * i + j, 2, f))
+    rows += [(1000, "Released under the\nMIT License.\nReleased under the MIT License.\n\nAll rights\nreserved.")]
+    want |= {(1000, 0, "MIT"), (1000, 2, "MIT"), (1000, 4, "proprietary")}
+    found = license_scan.find_licenses(spark.createDataFrame(rows, "doc_id long, text string"), *licenses).collect()
+    assert sorted((r["key"], r["paragraph"], r["family"]) for r in found) == sorted(want)
