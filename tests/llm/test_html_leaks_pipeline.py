@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -200,3 +201,51 @@ def test_pipeline_on_nothing_and_nulls(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.written(stage(spark, docs, SF), "edge")
         assert docs.count() <= 2
+
+
+def found_by_index(items, docs, dims=8, min_lcs=0.7):
+    """(document, item) pairs of the search over lists of word numbers, without Spark."""
+    features = max(map(max, items)) + 1
+    rows = []
+    for i, w in enumerate(items):
+        masks = {}
+        for at, t in enumerate(w):
+            masks[t] = masks.get(t, 0) | (1 << at)
+        rows.append(decontaminate._Item(i, np.array(w, np.int32), set(w[:5]), masks))
+    idf = np.ones(features)
+    idf[0] = 0.0
+    basis = np.random.default_rng(1).standard_normal((features, dims)).astype(np.float32)
+    index = decontaminate._Index(rows, idf, basis, 0.7, min_lcs, 0.5)
+    batch = pd.DataFrame({"key": range(len(docs)), "__a": 0, "__b": 0, "ids": [np.array(d, np.int32).tobytes() for d in docs]})
+    return {(r.key, r.item) for out in index.search([batch]) for r in out.itertuples()}
+
+
+def test_rare_words_may_be_replaced(spark):
+    """Without an answer column a copy whose rarest words are replaced is still a copy."""
+    r = random.Random(7)
+    common = [f"w{i}" for i in range(200)]
+    item = [r.choice(common) for _ in range(33)] + ["rarea", "rareb", "rarec", "rared", "raree"]
+    r.shuffle(item)
+    copy = [w if w not in ("rarea", "rareb", "rarec") else "other" for w in item]
+    docs = [(i, " ".join(r.choice(common) for _ in range(120))) for i in range(40)]
+    docs.append((100, docs[0][1] + " " + " ".join(copy) + " " + docs[1][1]))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert [(r["key"], round(r["lcs_share"], 2)) for r in decontaminate.leaks(df, bench).collect()] == [(100, 0.92)]
+
+
+def test_every_length_and_offset():
+    """Copies of an LCS of 0.7 to 0.8 are found at any length and offset, whether the other words are benchmark words or unknown."""
+    r = random.Random(11)
+    items = [[r.randrange(1, 2000) for _ in range(n)] for n in range(decontaminate.DENSE_WORDS, 61)]
+    docs, want = [], set()
+    for i, w in enumerate(items):
+        for offset in range(16):
+            for block in (True, False):
+                exchanged = len(w) - decontaminate.least_common(0.7, len(w))
+                first = (len(w) - exchanged) // 2
+                at = range(first, first + exchanged) if block else r.sample(range(len(w)), exchanged)
+                copy = [r.choice((0, r.randrange(1, 2000))) if j in at else t for j, t in enumerate(w)]
+                want.add((len(docs), i))
+                docs.append([0] * (16 + offset) + copy + [0] * 40)
+    assert found_by_index(items, docs) >= want
