@@ -249,3 +249,16 @@ def test_every_length_and_offset():
                 want.add((len(docs), i))
                 docs.append([0] * (16 + offset) + copy + [0] * 40)
     assert found_by_index(items, docs) >= want
+
+
+def test_words_outside_the_sample(spark, monkeypatch):
+    """With a sample far smaller than the corpus, a copy is found and near its item whatever its words are."""
+    monkeypatch.setattr(decontaminate, "SVD_PASSAGES", 2)
+    docs, items, planted = leak_corpus(5)
+    rare = [(900 + i, " ".join(f"r{i}q{j}" for j in range(20))) for i in range(5)]
+    docs += [(1000 + i, "the of and " * 40 + t + " to in a" * 40) for i, (_, t) in enumerate(rare)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items + rare, "item_id long, text string")
+    got = {(r["key"], r["item"]): r["cosine"] for r in decontaminate.leaks(df, bench).collect()}
+    assert planted | {(1000 + i, 900 + i) for i in range(5)} <= set(got)
+    assert all(got[1000 + i, 900 + i] > 0.9 for i in range(5))
