@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lineage_spark.llm import decontaminate, exact_dedup, html_extract, jaccard, license_scan, line_dedup, lm, mixing, quality, secrets
+from lineage_spark.llm import (
+    decontaminate, exact_dedup, html_extract, jaccard, lexical, license_scan, line_dedup, lm, mixing, quality, secrets, token_files, vector_codes)
 from lineage_spark.llm.common import id_remainder
 from lineage_spark.session import load
 
@@ -133,3 +134,98 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents: one row per document and item."""
     found = decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
     return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "cosine", "lcs_share", "answer_share")
+
+
+@_query
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item by the words they share."""
+    index = lexical.build(load(spark, sf_dir, "documents"))
+    return lexical.search(index, load(spark, sf_dir, "benchmark"), k=10)
+
+
+ORACLE["op11_search"] = r"""
+WITH terms AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), postings AS (
+  SELECT r, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf FROM terms GROUP BY r, term
+), lens AS (
+  SELECT r, sum(tf)::BIGINT AS n FROM postings GROUP BY r
+), totals AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM lens
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, totals GROUP BY term
+), items AS (
+  SELECT row_number() OVER () AS q, item_id, text FROM benchmark
+), asked AS (
+  SELECT DISTINCT q, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM items
+), scored AS (
+  SELECT q, item_id, r, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN lens USING (r), totals GROUP BY q, item_id, r
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def word_tokenizer() -> str:
+    """The tokenizer file of the query; it is installed on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files in ascending doc_id order, and what is read back from them."""
+    files = token_files.write(load(spark, sf_dir, "documents"), word_tokenizer(), end_id=1)
+    return files.documents()
+
+
+@_query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings after four rounds, their errors and the codebooks' digest."""
+    codes = vector_codes.compress(load(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4)
+    rows = vector_codes.with_label_error(codes.rows).withColumn("codebooks_sha256", F.lit(codes.sha256()))
+    return rows.select(F.col("key").alias("vec_id"), "code", "error", "label_error", "codebooks_sha256")
+
+
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    """Lloyd rounds spelt out, one after another; only for lengths that ``parts`` divides."""
+    ctes = [f"""kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS (
+  SELECT r, p, v[(p * (len(v) // {parts}) + 1):((p + 1) * (len(v) // {parts}))] AS x FROM kept, unnest(range({parts})) AS t(p)
+), b0 AS (
+  SELECT p, r - 1 AS e, x AS c FROM cut WHERE r <= {entries}
+)"""]
+    for t in range(rounds + 1):
+        ctes.append(f"""a{t} AS MATERIALIZED (
+  SELECT r, p, any_value(x) AS x, min(list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT * {entries} + e) AS k
+  FROM cut JOIN b{t} USING (p) GROUP BY r, p
+)""")
+        if t < rounds:
+            ctes.append(f"""m{t} AS (
+  SELECT p, k % {entries} AS e, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{t}
+), n{t} AS (
+  SELECT p, e, list(y ORDER BY i) AS c FROM (SELECT p, e, i, floor(sum(y) / count(*))::BIGINT AS y FROM m{t} GROUP BY p, e, i) GROUP BY p, e
+), b{t + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n{t}.c, b{t}.c) AS c FROM b{t} LEFT JOIN n{t} USING (p, e)
+)""")
+    return "WITH " + ", ".join(ctes) + f""", coded AS (
+  SELECT r, string_agg(printf('%02x', k % {entries}), '' ORDER BY p) AS code, sum(k // {entries})::BIGINT AS error FROM a{rounds} GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), digest
+"""
+
+
+ORACLE["op13_vector_codes"] = _codes_sql(4, 256, 4)
