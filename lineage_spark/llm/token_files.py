@@ -25,6 +25,7 @@ Blocks are independent, so ids ``a..b`` of a file are read without decoding what
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -45,8 +46,8 @@ MAGIC = b"TOKRANK1"
 BLOCK = 1 << 16
 # ids of a file, unless its last document is longer
 IDS_PER_FILE = 1 << 23
-# pieces of text that a worker remembers, and the longest it remembers
-CACHED_PIECES, CACHED_CHARS = 1 << 18, 48
+# pieces of text that a worker remembers (twice so many at most), and the longest it remembers
+CACHED_PIECES, CACHED_CHARS = 1 << 19, 48
 # characters of a text that are cut into pieces at a time
 RUN_CHARS = 1 << 20
 
@@ -81,45 +82,88 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+# a word of letters that normalisation keeps as one letter each, with ASCII punctuation before and after it
+_PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([!-/:-@\[-`{-~]*)")
+
+
 class Encoder:
-    """Texts to ids by a tokenizer of the ``tokenizers`` library whose pre-tokenizer drops white space.
+    """Texts to ids by a tokenizer of the ``tokenizers`` library that drops white space and ends each of its words with ``</w>``.
 
     Nothing such a tokenizer does reaches across a blank, tab or line end, so a text's ids are those of its pieces
-    between them; each piece is encoded once a worker and remembered up to a bound. ``test_pieces_encode_as_the_whole_text``
-    holds this against whole texts.
+    between them; each distinct piece is encoded once, and remembered up to a bound. Pieces that are a plain word, maybe between punctuation,
+    have a known number of the tokenizer's words, so they go to the library many at a time and are parted at the word ends; any other piece
+    goes alone. ``test_pieces_encode_as_the_whole_text`` holds this against whole texts.
     """
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = _tokenizer(path), {"": b""}
-
-    def __call__(self, text: str) -> bytes:
-        """The ids as little-endian uint32; very long texts go in runs of pieces."""
-        if len(text) <= RUN_CHARS:
-            return self._run(text)
-        out, at = [], 0
-        while at < len(text):
-            end = text.find(" ", at + RUN_CHARS)
-            end = len(text) if end < 0 else end
-            out.append(self._run(text[at:end]))
-            at = end
-        return b"".join(out)
-
-    def _run(self, text: str) -> bytes:
-        pieces = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = list({p for p in pieces if p not in self.known})
-        long = {}
-        if new:
-            if len(self.known) + len(new) > CACHED_PIECES:
-                self.known = {"": b""}
-                new = list({p for p in pieces if p})
-            for start in range(0, len(new), 4096):
-                some = new[start:start + 4096]
-                for piece, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                    kept = self.known if len(piece) <= CACHED_CHARS and len(self.known) < CACHED_PIECES else long
-                    kept[piece] = np.array(e.ids, "<u4").tobytes()
-        if long:
-            return b"".join([self.known[p] if p in self.known else long[p] for p in pieces])
-        return b"".join(map(self.known.__getitem__, pieces))
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks of an executor are its threads
+        self.tokenizer, self.known, self.older = _tokenizer(path), {"": b""}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian uint32; long texts go in runs of pieces, short ones several at a time."""
+        out, some, chars = [], [], 0
+        for t in texts:
+            if len(t) > RUN_CHARS:
+                out += self._runs(some)
+                runs, at = [], 0
+                while at < len(t):
+                    end = t.find(" ", at + RUN_CHARS)
+                    end = len(t) if end < 0 else end
+                    runs += self._runs([t[at:end]])
+                    at = end
+                out.append(b"".join(runs))
+                some, chars = [], 0
+                continue
+            some.append(t)
+            chars += len(t)
+            if chars > RUN_CHARS:
+                out += self._runs(some)
+                some, chars = [], 0
+        return out + self._runs(some)
+
+    def _runs(self, texts: list[str]) -> list[bytes]:
+        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        if len(self.known) >= CACHED_PIECES:  # pieces that come again move on from the older half of the memory
+            self.known, self.older = {"": b""}, self.known
+        known, older = self.known, self.older
+        new = set().union(*cut).difference(known)
+        again = new.intersection(older)
+        known.update((p, older[p]) for p in again)
+        new = list(new.difference(again))
+        here = self._encoded(new)
+        room = max(0, CACHED_PIECES - len(known))
+        known.update((p, here.pop(p)) for p in new[:room] if len(p) <= CACHED_CHARS)
+        if not here:
+            return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        return [b"".join([known[p] if p in known else here[p] for p in pieces]) for pieces in cut]
+
+    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        plain, words, rest = [], [], []
+        for p in pieces:
+            m = _PLAIN.fullmatch(p) if "<|" not in p else None  # special tokens begin with these marks
+            if m:
+                plain.append(p)
+                words.append(1 + (m[1] != "") + (m[2] != ""))
+            else:
+                rest.append(p)
+        out = {}
+        for at in range(0, len(plain), 1000):
+            some, last = plain[at:at + 1000], np.cumsum(words[at:at + 1000])
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != last[-1]:  # not the words that were expected: one at a time
+                rest += some
+                continue
+            raw, to = ids.tobytes(), (4 * ends[last - 1]).tolist()
+            out.update(zip(some, [raw[i:j] for i, j in zip([0, *to], to)]))
+        for at in range(0, len(rest), 4096):
+            some = rest[at:at + 4096]
+            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, encoded))
+        return out
 
 
 def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, end_id: int) -> DataFrame:
@@ -129,16 +173,17 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, end_id: int)
         encoder, row = Encoder(tokenizer), TaskContext.get().partitionId() << 33
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
-            ids, held, at = [], 0, 0
-            for i, t in enumerate(b.column(1)):
-                ids.append(encoder(t.as_py() or "") + end)
-                held += len(ids[-1])
-                if held > 1 << 24 or i == len(b) - 1:  # bounded batches, whatever the texts
-                    rows = pa.array(np.arange(row, row + len(ids)))
-                    crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
-                    size = pa.array([len(x) // 4 for x in ids], pa.int64())
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(ids)), rows, crc, size, pa.array(ids, pa.binary())], names=names)
-                    row, ids, held, at = row + len(ids), [], 0, i + 1
+            at = 0
+            while at < len(b):
+                n, held = 0, 0
+                while at + n < len(b) and held < 1 << 22:  # bounded, whatever the texts
+                    held += len(b.column(1)[at + n].as_py() or "") + 64
+                    n += 1
+                ids = [x + end for x in encoder([t or "" for t in b.column(1).slice(at, n).to_pylist()])]
+                crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
+                size = pa.array([len(x) // 4 for x in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), pa.array(np.arange(row, row + n)), crc, size, pa.array(ids, pa.binary())], names=names)
+                row, at = row + n, at + n
 
     names = [key, "__row", "__crc", "__n", "__ids"]
     kind = docs.select(key).schema[0].dataType
