@@ -9,7 +9,10 @@ partial row per task, not one row per copy).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,62 +124,117 @@ def diff_counts(target: DataFrame, new: DataFrame, digits: int = DIGITS) -> Data
 REPORT_SCHEMA = "dataset string, status string, only_left long, only_right long"
 
 
-def _report_row(name: str, target, new) -> tuple:
+# Comparisons of one report that run at a time.
+CONCURRENT = 8
+
+
+def _frames(target, new) -> tuple:
+    """Both sides, made if they are functions; the status instead if there is nothing to compare."""
+    target = target() if callable(target) else target
+    new = new() if callable(new) else new
+    if not isinstance(target, DataFrame):
+        return STATUS_NOT_TABLE, None, None
+    if new is None:
+        return STATUS_DEFAULT, None, None
+    if schema_diff(target, new):
+        return STATUS_SCHEMA, None, None
+    return None, target, new
+
+
+def _compared(name: str, frames: tuple) -> tuple:
+    status, target, new = frames
+    if status:
+        return (name, status, None, None)
     try:
-        target = target() if callable(target) else target
-        new = new() if callable(new) else new
-        if not isinstance(target, DataFrame):
-            return (name, STATUS_NOT_TABLE, None, None)
-        if new is None:
-            return (name, STATUS_DEFAULT, None, None)
-        if schema_diff(target, new):
-            return (name, STATUS_SCHEMA, None, None)
         left, right = diff_counts(target, new).first()
     except Exception:  # noqa: BLE001  whatever one dataset does, the others are reported
         return (name, STATUS_DEFAULT, None, None)
     return (name, STATUS_EQUAL if left == right == 0 else STATUS_ROWS, left, right)
 
 
-def verify_report(spark, pairs: list[tuple[str, object, object]]) -> DataFrame:
+def verify_report(spark, pairs: list[tuple[str, object, object]], concurrent: int = CONCURRENT) -> DataFrame:
     """One summary row per dataset: ``(dataset, status, only_left, only_right)``.
 
     ``pairs`` holds ``(name, target, new)``; a frame may be given as a function that makes it. ``new`` may be
     ``None`` (nothing to compare against: the default status stays), a target that is not a DataFrame
-    is skipped with its own status. Every dataset is made, compared and counted (one row) on its own, so one
-    that fails, when planned or when run, keeps the default status and the others are reported.
+    is skipped with its own status. Frames are made one after another; the comparisons then run as up to ``concurrent``
+    jobs at a time, each counted (one row) on its own, so one that fails, when planned or when run, keeps the default
+    status and the others are reported.
     """
-    return spark.createDataFrame([_report_row(*p) for p in pairs], REPORT_SCHEMA)
+    made = []
+    for name, target, new in pairs:
+        try:
+            made.append((name, _frames(target, new)))
+        except Exception:  # noqa: BLE001
+            made.append((name, (STATUS_DEFAULT, None, None)))
+    with ThreadPoolExecutor(max(1, concurrent)) as pool:
+        rows = list(pool.map(inheritable_thread_target(spark)(_compared), *zip(*made))) if made else []
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+# Doubles from here on have no digits after the point; their shortest text tells them apart.
+_WHOLE_DOUBLE = 1e18
 
 
-def row_text(df: DataFrame, cols: list[str] | None = None, digits: int = DIGITS) -> "F.Column":
-    """Canonical text of a row: each field as its length, ``:`` and its text, or ``N`` for null.
+def value_text(v: Column, kind: T.DataType, digits: int = DIGITS) -> Column:
+    """Canonical text of a value of a known type; values that differ (at ``digits`` decimals) never share one.
 
-    Different rows never share a text. Fractional numbers are written with ``digits`` decimals, so that engines agree.
+    Null is ``N``; a plain value is its length, ``:`` and its text; a binary its bytes in hexadecimal; an array or map ``A`` or ``M``, its
+    number of entries and their texts in brackets (a map's in the order of their texts); a struct its fields' texts in
+    parentheses. Lengths and counts come first, so no text can be read in two ways. Doubles cover their whole range: NaN,
+    infinities and numbers of 1e18 and more have texts of their own, and -0.0 is 0.0, as in the row comparison.
     """
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    parts = []
-    for c in cols or df.columns:
-        v = quoted(c)
-        if isinstance(kinds[c], _FRACTIONAL):
-            v = v.cast(T.DecimalType(38, digits))
+    if isinstance(kind, T.ArrayType):
+        items = F.transform(v, lambda x: value_text(x, kind.elementType, digits))
+        return _or_null(v, F.concat(F.lit("A"), F.size(v).cast("string"), F.lit("["), F.array_join(items, ""), F.lit("]")))
+    if isinstance(kind, T.MapType):
+        entry = lambda e: F.concat(value_text(e["key"], kind.keyType, digits), value_text(e["value"], kind.valueType, digits))
+        items = F.array_sort(F.transform(F.map_entries(v), entry))
+        return _or_null(v, F.concat(F.lit("M"), F.size(v).cast("string"), F.lit("["), F.array_join(items, ""), F.lit("]")))
+    if isinstance(kind, T.StructType):
+        fields = [value_text(v.getField(f.name), f.dataType, digits) for f in kind.fields]
+        return _or_null(v, F.concat(F.lit("("), *fields, F.lit(")")))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        d = v.cast("double")
+        small = F.when(F.abs(d) < F.lit(_WHOLE_DOUBLE), d).cast(T.DecimalType(38, digits)).cast("string")
+        t = F.coalesce(small, d.cast("string"))
+    elif isinstance(kind, T.DecimalType):
+        # the whole digits of a type never change, so one column has one form
+        whole = kind.precision - kind.scale
+        if whole + digits <= 38:
+            t = v.cast(T.DecimalType(38, digits)).cast("string")
+        else:
+            t = (F.round(v, digits) if kind.scale > digits else v).cast("string")
+    elif isinstance(kind, T.BinaryType):
+        t = F.hex(v)
+    else:
         t = v.cast("string")
-        parts.append(F.when(t.isNull(), F.lit("N")).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t)))
-    return F.concat(*parts)
+    return _or_null(t, F.concat(F.length(t).cast("string"), F.lit(":"), t))
+
+
+def _or_null(v: Column, text: Column) -> Column:
+    return F.when(v.isNull(), F.lit("N")).otherwise(text)
+
+
+def row_text(df: DataFrame, cols: list[str] | None = None, digits: int = DIGITS) -> Column:
+    """Canonical text of a row: its fields' texts (see :func:`value_text`) one after another."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return F.concat(*[value_text(quoted(c), kinds[c], digits) for c in cols or df.columns])
 
 
 def dataset_digest(df: DataFrame, by: list[str], cols: list[str] | None = None) -> DataFrame:
     """Order-free content digest per group: ``by + (n_rows, digest)``.
 
     The whole md5 of each row's canonical text enters: its four 32-bit parts are read as numbers and summed
-    separately per group (decimal, no overflow), and the digest is the four sums. Two frames with the same rows in any
+    separately per group, and the digest is the four sums. Two frames with the same rows in any
     order give the same digest.
     """
     md5 = F.md5(row_text(df, cols))
-    parts = [F.conv(F.substring(md5, 8 * i + 1, 8), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    parts = [F.conv(F.substring(md5, 8 * i + 1, 8), 16, 10).cast("long") for i in range(4)]
     rows = df.select(*[quoted(c) for c in by], *[p.alias(f"__h{i}") for i, p in enumerate(parts)])
     return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.concat_ws("-", *[F.sum(f"__h{i}").cast("string") for i in range(4)]).alias("digest"),
+        F.concat_ws("-", *[F.sum(F.col(f"__h{i}").cast("decimal(20,0)")).cast("string") for i in range(4)]).alias("digest"),
     )
 
 

@@ -19,16 +19,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineage_spark.operators.ordering import global_index, ordered_join
-from lineage_spark.session import cut_lineage, scratch_path
+from lineage_spark.operators.ordering import global_index
+from lineage_spark.session import scratch_path
 
 # Fixed values.
 EXTERNAL_SOURCE = "input_data"
 EMPTY_PARAMETER = "<empty parameter>"
 # Levels of the graph that one written round resolves.
-LEVELS_PER_ROUND = 3
+LEVELS_PER_ROUND = 2
+# Parents that a round of the list ranking follows.
+HOPS = 8
 # Children of a step that one task of a level takes; a step with more is split into copies.
 SPLIT_CHILDREN = 100_000
+# A graph measured below this size (at so many bytes per step or input) is worked with one shuffle partition.
+ONE_TASK_BYTES, ROW_BYTES = 16 << 20, 64
 
 
 def _doc(transforms: DataFrame) -> list[str]:
@@ -148,7 +152,9 @@ def _calls(transforms: DataFrame) -> DataFrame:
     named = ins.join(p, [*doc, "rid"], "left").join(external, [*doc, "rid"], "left").select(
         *doc, "idx", "pos", F.concat(F.lit("var_"), F.coalesce("producer", "first", "arg")).alias("var")
     )
-    args = ordered_join(named, [*doc, "idx"], "pos", "var", ",", "args")
+    # the arguments of a step come from the list of one row, so they are few
+    inputs = F.array_sort(F.collect_list(F.struct("pos", "var")))
+    args = named.groupBy(*doc, "idx").agg(F.array_join(F.transform(inputs, lambda i: i["var"]), ",").alias("args"))
     steps = transforms.select(*doc, F.col("name").alias("step"), "idx", F.exists("inputs", lambda i: i["arg"] == EMPTY_PARAMETER).alias("broken"))
     call = F.concat(
         F.lit("var_"), "step", F.lit("<-"), "step", F.lit("("), F.coalesce("args", F.lit("")), F.lit(")")
@@ -169,11 +175,7 @@ def _node(transforms: DataFrame, idx: str):
 
 
 def _graph(transforms: DataFrame):
-    """Nodes, edges (with the child's in-degree and whether it can never run), the children of a busy step dealt to copies.
-
-    A step with more than :data:`SPLIT_CHILDREN` children becomes the parent of copies of itself, and each
-    copy the parent of a part of the children, so no key of a level's join holds more.
-    """
+    """Nodes, edges (with the child's in-degree and whether it can never run) and the gate (in-degree and block of every node)."""
     doc = _doc(transforms)
     ins = step_inputs(transforms)
     p = producers(transforms)
@@ -185,21 +187,72 @@ def _graph(transforms: DataFrame):
         .distinct()
     )
     blocked = ins.filter(F.col("rid").isNull()).select(_node(transforms, "idx").alias("node")).distinct()
-    indeg = edges.groupBy(F.col("child").alias("node")).agg(F.count(F.lit(1)).alias("indeg"))
-    gate = cut_lineage(
-        nodes.select("node").join(indeg, "node", "left")
-        .join(blocked.withColumn("blocked", F.lit(True)), "node", "left")
-        .select("node", F.coalesce("indeg", F.lit(0)).alias("indeg"), F.coalesce("blocked", F.lit(False)).alias("blocked"))
-    )
-    edges = edges.join(gate.withColumnRenamed("node", "child"), "child").select("parent", "child", "w", "indeg", "blocked")
+    # one aggregate over (node, 0 or 1 edge, blocked) rows instead of two joins
+    marks = nodes.select("node", F.lit(0).cast("long").alias("indeg"), F.lit(False).alias("blocked")).unionByName(
+        edges.select(F.col("child").alias("node"), F.lit(1).cast("long").alias("indeg"), F.lit(False).alias("blocked"))).unionByName(
+        blocked.select("node", F.lit(0).cast("long").alias("indeg"), F.lit(True).alias("blocked")))
+    gate = _written(marks.groupBy("node").agg(F.sum("indeg").alias("indeg"), F.max("blocked").alias("blocked")), "gate")
+    edges = _written(edges.join(gate.withColumnRenamed("node", "child"), "child").select("parent", "child", "w", "indeg", "blocked"), "edges")
+    return nodes, edges, gate
+
+
+def _written(df: DataFrame, name: str, session=None) -> DataFrame:
+    """``df`` written as Parquet and read back, in another session if one is given."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return (session or df.sparkSession).read.schema(df.schema).parquet(path)
+
+
+def _chains(edges: DataFrame) -> DataFrame | None:
+    """List ranking of the steps with a single parent: ``node, anchor, add``, or None if there are none.
+
+    Such a step runs ``add`` passes after its ``anchor``, the nearest ancestor that is no such step. Pointers to the parent are
+    followed :data:`HOPS` at a time, so rounds grow with the logarithm of the longest chain. A pointer that is still on such
+    a step when every chain must have ended is on a cycle or below one; it stays, and its anchor is never resolved.
+    """
+    single = edges.where("indeg = 1 and not blocked").select(F.col("child").alias("node"), F.col("parent").alias("anchor"), F.col("w").alias("add"))
+    state = _written(single, "chains")
+    n, hops = state.count(), 1
+    while hops <= n:
+        table = state.select(F.col("node").alias("anchor"), F.col("anchor").alias("__next"), F.col("add").alias("__more"))
+        jumped = state.withColumn("moved", F.lit(False))
+        for _ in range(HOPS - 1):
+            jumped = jumped.join(table, "anchor", "left").select(
+                "node", F.coalesce("__next", "anchor").alias("anchor"), (F.col("add") + F.coalesce("__more", F.lit(0))).alias("add"),
+                (F.col("moved") | F.col("__next").isNotNull()).alias("moved"))
+        state = _written(jumped, "chains")
+        hops *= HOPS
+        if state.where("moved").isEmpty():
+            break
+        state = state.drop("moved")
+    return state.select("node", "anchor", "add") if n else None
+
+
+def _reduced(edges: DataFrame, chains: DataFrame) -> DataFrame:
+    """Edges into the steps that are not in ``chains``, from the anchors of their parents; of several from one anchor the longest."""
+    rest = edges.where("indeg <> 1 or blocked").join(chains.withColumnRenamed("node", "parent"), "parent", "left").select(
+        F.coalesce("anchor", "parent").alias("parent"), "child", (F.col("w") + F.coalesce("add", F.lit(0))).alias("w"), "blocked")
+    rest = rest.groupBy("parent", "child").agg(F.max("w").alias("w"), F.max("blocked").alias("blocked"))
+    indeg = rest.groupBy("child").agg(F.count(F.lit(1)).alias("indeg"))
+    return rest.join(indeg, "child").select("parent", "child", "w", "indeg", "blocked")
+
+
+def _dealt(edges: DataFrame) -> DataFrame:
+    """``edges`` with the children of a busy step dealt to copies.
+
+    A step with more than :data:`SPLIT_CHILDREN` children becomes the parent of copies of itself, and each
+    copy the parent of a part of the children, so no key of a level's join holds more.
+    """
     fan = F.ceil(F.count(F.lit(1)) / F.lit(SPLIT_CHILDREN)).cast("int")
     busy = edges.groupBy("parent").agg(fan.alias("fan")).where("fan > 1")
+    if busy.isEmpty():
+        return edges
     copy = lambda k: F.concat("parent", F.lit("\u0002"), k.cast("string"))
     dealt = edges.join(busy, "parent", "left").withColumn(
         "parent", F.when(F.col("fan") > 1, copy(F.pmod(F.xxhash64("child"), F.col("fan")))).otherwise(F.col("parent"))).drop("fan")
     copies = busy.select("parent", F.explode(F.transform(F.sequence(F.lit(0), F.col("fan") - 1), copy)).alias("child"),
                          F.lit(0).alias("w"), F.lit(1).cast("long").alias("indeg"), F.lit(False).alias("blocked"))
-    return nodes, cut_lineage(dealt.unionByName(copies)), gate
+    return _written(dealt.unionByName(copies), "edges")
 
 
 def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -208,20 +261,40 @@ def topological_passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
     A step is ready in a pass when every input is available; a step's output is
     available at once, so a later step of the same pass can use it. Hence
     ``pass(c) = max over parents p of pass(p) + [idx(p) > idx(c)]`` (1 without
-    parents). Level by level the newly ready steps send ``pass + w`` to their
+    parents). Chains are contracted first: a step with a single parent is a fixed number of
+    passes after its anchor (:func:`_chains`), so what is left is as deep as the number of joins of branches on a path. There,
+    level by level, the newly ready steps send ``pass + w`` to their
     children, children collect partial counts, and a child whose count reaches its
     in-degree is ready. Steps on a cycle, below one, or with an
     argument that has no declared dataset never become ready.
 
     Returns ``(resolved([doc_id,] step, idx, pass), stuck([doc_id,] step, idx))``.
     """
-    return _passes(_step_table(transforms))
+    return _passes(_Steps(transforms))
 
 
-def _step_table(transforms: DataFrame) -> DataFrame:
-    # the transform table is read by several branches of every analysis: write it
-    # once (it may be the end of a long parse)
-    return cut_lineage(transforms.select(*_doc(transforms), "name", "idx", "output_rid", "inputs"))
+class _Steps:
+    """The transform table, written once (it may be the end of a long parse and several branches of every analysis read it).
+
+    A graph measured below :data:`ONE_TASK_BYTES` is worked in a session of its own, with one shuffle partition and plans that are fixed
+    beforehand, so that a round of the loops is one job of a few small tasks. A larger one is worked in the given session.
+    """
+
+    def __init__(self, transforms: DataFrame):
+        self.spark, self.path = transforms.sparkSession, scratch_path(transforms.sparkSession, "steps")
+        table = transforms.select(*_doc(transforms), "name", "idx", "output_rid", "inputs")
+        table.write.parquet(self.path)
+        self.schema = table.schema
+        self.table = self.read(self.spark)
+        rows = self.table.agg(F.sum(F.size("inputs") + 1)).first()[0] or 0
+        self.session = self.spark
+        if rows * ROW_BYTES <= ONE_TASK_BYTES:
+            self.session = self.spark.newSession()
+            for key, value in (("adaptive.enabled", "false"), ("shuffle.partitions", "1"), ("autoBroadcastJoinThreshold", "-1")):
+                self.session.conf.set(f"spark.sql.{key}", value)
+
+    def read(self, session) -> DataFrame:
+        return session.read.schema(self.schema).parquet(self.path)
 
 
 def _level(edges: DataFrame, ready: DataFrame, waiting: DataFrame) -> DataFrame:
@@ -233,9 +306,14 @@ def _level(edges: DataFrame, ready: DataFrame, waiting: DataFrame) -> DataFrame:
     return merged.withColumn("ready", (F.col("got") == F.col("indeg")) & ~F.col("blocked"))
 
 
-def _passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    spark, doc = transforms.sparkSession, _doc(transforms)
+def _passes(steps: _Steps) -> tuple[DataFrame, DataFrame]:
+    spark, transforms = steps.session, steps.read(steps.session)
+    doc = _doc(transforms)
     nodes, edges, gate = _graph(transforms)
+    chains = _chains(edges)
+    if chains is not None:
+        edges = _written(_reduced(edges, chains), "edges")
+    edges = _dealt(edges)
     path = scratch_path(spark, "levels")
     # a round is one written folder: what became ready, marked if on its last level, and what waits
     state = gate.where("indeg = 0 and not blocked").select(
@@ -254,10 +332,13 @@ def _passes(transforms: DataFrame) -> tuple[DataFrame, DataFrame]:
             ready, waiting = level.where("ready"), level.where("not ready")
             done.append(ready.withColumn("edge", F.lit(depth == LEVELS_PER_ROUND - 1)))
         _union_all([*done, waiting.withColumn("edge", F.lit(False))]).write.parquet(f"{path}/round={turn}")
-    resolved = spark.read.schema(schema).parquet(*[f"{path}/round={i}" for i in range(turn + 1)]).where("ready")
-    resolved = cut_lineage(resolved.join(nodes, "node").select("node", *doc, "step", "idx", F.col("best").alias("pass")))
-    stuck = nodes.join(resolved.select("node"), "node", "left_anti").drop("node")
-    return resolved.drop("node"), stuck
+    resolved = spark.read.schema(schema).parquet(*[f"{path}/round={i}" for i in range(turn + 1)]).where("ready").select("node", "best")
+    if chains is not None:
+        below = chains.join(resolved.withColumnRenamed("node", "anchor"), "anchor")
+        resolved = resolved.unionByName(below.select("node", (F.col("best") + F.col("add")).alias("best")))
+    ran = nodes.join(resolved, "node", "left").select(*doc, "step", "idx", F.col("best").alias("pass"))
+    ran = _written(ran, "resolved", steps.spark)
+    return ran.where("pass is not null"), ran.where("pass is null").drop("pass")
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame:
@@ -280,10 +361,9 @@ def unsatisfiable(transforms: DataFrame) -> DataFrame:
     ``missing`` lists (sorted, ``,``-joined) the arguments with no declared dataset, empty
     parameters and those whose producer is itself stuck.
     """
-    transforms = _step_table(transforms)
-    doc = _doc(transforms)
-    _, stuck = _passes(transforms)
-    stuck = cut_lineage(stuck)
+    steps = _Steps(transforms)
+    transforms, doc = steps.table, _doc(transforms)
+    _, stuck = _passes(steps)
     ins = step_inputs(transforms).join(stuck.select(*doc, "idx"), [*doc, "idx"])
     p = producers(transforms).select(*doc, "rid", "pidx")
     stuck_p = stuck.select(*doc, F.col("idx").alias("pidx"), F.lit(True).alias("pstuck"))
@@ -301,9 +381,9 @@ def run_plan(transforms: DataFrame) -> DataFrame:
     ``([doc_id,] seq, step, label, call, sources, script, output)`` with ``label`` the
     ``seq/total`` position. Steps that can never run are not in the plan (see
     :func:`unsatisfiable`)."""
-    steps = _step_table(transforms)
-    doc = _doc(steps)
-    resolved, _ = _passes(steps)
+    work = _Steps(transforms)
+    steps, doc = work.table, _doc(transforms)
+    resolved, _ = _passes(work)
     order = global_index(resolved, [*doc, "pass", "idx", "step"], "seq").drop("step")
     total = order.count()  # one number: the label's denominator
     calls = _calls(steps).drop("step")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lineage_spark.operators import ordering
+from lineage_spark.session import scratch_path
 
 # Fixed values of the image export.
 IMAGE_TYPE = "base64Png"
@@ -60,6 +61,66 @@ def unmet_requirements(texts: DataFrame, text_col: str, patterns: list[str]) ->
     return wanted.join(found, "pattern", "left_anti")
 
 
+# Characters of the grams that find a pattern's candidates, and of the pieces that long texts are cut into for that.
+GRAM, PIECE = 8, 4096
+# Texts that a pattern is tested on in the first round, and the factor from round to round.
+FIRST_TESTS, MORE_TESTS = 4, 16
+
+
+def _grams(texts: DataFrame, text: str, k: int) -> DataFrame:
+    """``__tid, gram``: the distinct ``k``-character substrings of each piece of a text. Pieces overlap, so none is lost."""
+    piece = rf"(?s)(?=(.{{1,{PIECE + k - 1}}})).{{1,{PIECE}}}"
+    pieces = texts.select(F.xxhash64(text).alias("__tid"), F.explode(F.regexp_extract_all(F.col(text), F.lit(piece), F.lit(1))).alias("__piece"))
+    grams = F.array_distinct(F.regexp_extract_all(F.col("__piece"), F.lit(rf"(?s)(?=(.{{{k}}}))"), F.lit(1)))
+    return pieces.select("__tid", F.explode(grams).alias("gram"))
+
+
+def unmet_patterns(texts: DataFrame, text: str, patterns: DataFrame, pattern: str, k: int = GRAM) -> DataFrame:
+    """Patterns of a table contained in no text: ``(pattern)``, distinct.
+
+    A gram index instead of one test per pattern in the plan, so the plan does not grow with the patterns. A pattern of fewer
+    than ``k`` characters is contained where it is itself a gram of its length. A longer one names one of its ``k``-grams (that of least
+    hash); only texts with that gram are candidates, and ``contains`` decides. A pattern is done with its first text, so
+    candidates are tested in rounds, a few texts for each pattern and then more for those still unmet. A null text contains nothing, an
+    empty pattern is in every other text, and null patterns are left out.
+    """
+    spark = texts.sparkSession
+    texts = texts.select(F.col(text).alias("__text")).where("__text is not null")
+    wanted = _written(patterns.select(F.col(pattern).cast("string").alias("pattern")).where("pattern is not null").distinct(), "patterns")
+    n = F.length("pattern")
+    met = [wanted.where(n == 0).join(texts.limit(1).select(F.lit("").alias("pattern")), "pattern", "left_semi")]
+    for size in sorted(r[0] for r in wanted.where((n > 0) & (n < k)).select(n).distinct().collect()):  # k - 1 at most
+        some = wanted.where(n == size)
+        met.append(some.join(_grams(texts, "__text", size).select(F.col("gram").alias("pattern")).distinct(), "pattern", "left_semi"))
+
+    whole = F.regexp_extract_all(F.col("pattern"), F.lit(rf"(?s)(?=(.{{{k}}}))"), F.lit(1))
+    least = F.array_min(F.transform(whole, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))["g"]
+    named = _written(wanted.where(n >= k).select("pattern", least.alias("gram")), "patterns")
+    found = _grams(texts, "__text", k).join(named.select("gram").distinct(), "gram", "left_semi").distinct()
+    # per gram its texts in an order of their own: ranks come from a window over the distinct (gram, text) pairs
+    ranked = _written(ordering.ordered_scan(found, ["gram"], [F.xxhash64("gram", "__tid"), "__tid"], row="nth").select("gram", "__tid", "nth"), "candidates")
+    left, first, many = named.join(ranked.select("gram").distinct(), "gram", "left_semi"), 0, FIRST_TESTS
+    hits = []
+    while True:
+        chosen = left.join(ranked.where((F.col("nth") > first) & (F.col("nth") <= first + many)), "gram").select("__tid", "pattern")
+        chosen = _written(chosen, "tests")
+        if chosen.isEmpty():
+            break
+        tested = texts.withColumn("__tid", F.xxhash64("__text")).join(chosen, "__tid").where(F.contains("__text", "pattern"))
+        hits.append(_written(tested.select("pattern").distinct(), "met"))
+        left = _written(left.join(hits[-1], "pattern", "left_anti"), "patterns")
+        first, many = first + many, many * MORE_TESTS
+    for part in [*met, *hits]:
+        wanted = wanted.join(part, "pattern", "left_anti")
+    return wanted
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def missing_report(missing: DataFrame, col: str, sep: str = ", ") -> DataFrame:
     """One row: the missing names sorted and joined (the input is an anti-join
     result, i.e. a subset of a known name list)."""
@@ -69,7 +130,7 @@ def missing_report(missing: DataFrame, col: str, sep: str = ", ") -> DataFrame:
 def ordered_list(df: DataFrame, group: list[str], order: str, value: str, sep: str = ",",
                  out: str = "items") -> DataFrame:
     """Values of each group joined in ``order`` (signature order, id order); a
-    very large group is joined in chunks (see :func:`ordering.ordered_join`)."""
+    very large group is joined piece by piece (see :func:`ordering.ordered_join`)."""
     return ordering.ordered_join(df, group, order, value, sep, out)
 
 

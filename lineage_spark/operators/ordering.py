@@ -1,11 +1,13 @@
 """Ordered operators that stay distributed when one group is very large.
 
 ``ordered_scan`` range-partitions the rows on (group, order) once — the sampler cuts a hot group across
-tasks — and writes them with their partition number. Every derived column (position, row number, group
-size, previous and next values, running sums, last marked value) is then a running value inside a
-partition plus a carry from the partitions before it. Carries are one row per partition, the only
-broadcast, and group borders are found by comparing neighbouring rows null-safely: there is no join on the
-group key, so null keys are groups of their own and a group holding a third of all rows is many tasks.
+tasks — and writes them with their partition number. In a partition, neighbouring rows of one group are a run. Every
+derived column (row number, group size, previous and next values, running sums, last marked value) is computed inside
+its run, in time linear in the rows; only a partition's first and last run can go on in a neighbour, so a table of one row per
+partition, the only broadcast, carries what they need: a segmented scan whose segments are the groups. Nothing of
+one group ever enters another's value, so sums keep their own type and a NaN stays where it is. Group
+borders are found by comparing neighbouring rows null-safely: there is no join on the group key, null keys are
+groups of their own, and a group holding a third of all rows is many tasks.
 """
 
 from __future__ import annotations
@@ -42,14 +44,13 @@ def _carried(summary: DataFrame, carries: dict[str, Column]) -> DataFrame:
     return F.broadcast(summary.select("__pid", *[c.alias(n) for n, c in carries.items()]))
 
 
-def _partitions(first: int | None = None, last: int | None = None):
-    """A window over the partition table: whole, or from ``first`` to ``last`` partitions away."""
-    w = Window.orderBy("__pid")
-    return w if first is None else w.rowsBetween(first, last)
+def _partitions():
+    """A window over the partition table."""
+    return Window.orderBy("__pid")
 
 
 def _earlier():
-    return _partitions(Window.unboundedPreceding, -1)
+    return _partitions().rowsBetween(Window.unboundedPreceding, -1)
 
 
 def global_index(df: DataFrame, order_cols: list, out: str = "seq") -> DataFrame:
@@ -75,7 +76,7 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list, *, sums
                  following: dict[str, str] | None = None, size: str | None = None, row: str | None = None) -> DataFrame:
     """``df`` with ordered columns inside the groups of ``group_cols`` (rows in ``order_cols``), all from one shuffle:
 
-    * ``sums``: name -> value; the sum up to and including the row (null values count as 0);
+    * ``sums``: name -> value; the sum up to and including the row, in the type that a sum of the value has (null values count as 0);
     * ``last``: name -> (mark, value); the value of the last row at or before this one whose mark is true, else null;
     * ``previous`` / ``following``: name -> column; the column one row back / ahead, null at the group's border;
     * ``row`` / ``size``: names for the row number and the number of rows of the group.
@@ -84,87 +85,98 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list, *, sums
     are added too.
     """
     sums, last, previous, following = sums or {}, last or {}, previous or {}, following or {}
-    extra = {f"__s{i}": F.coalesce(v.cast("double" if dict(df.select(v.alias("v")).dtypes)["v"] in ("float", "double") else "long"), F.lit(0))
-             for i, v in enumerate(sums.values())}
+    zero = {n: F.lit(0).cast(t) for n, t in df.select(*[v.alias(n) for n, v in sums.items()]).dtypes}
+    kinds = dict(df.agg(*[F.sum(v).alias(n) for n, v in sums.items()]).dtypes) if sums else {}
+    extra = {f"__v{i}": F.coalesce(v, zero[n]) for i, (n, v) in enumerate(sums.items())}
     extra |= {f"__m{i}": F.when(mark, F.struct(value.alias("v"))) for i, (mark, value) in enumerate(last.values())}
     tagged = range_tagged(df.withColumns(extra) if extra else df, [*group_cols, *order_cols])
     key = F.struct(*[F.col(c) for c in group_cols])
-    w = Window.partitionBy("__pid").orderBy("__mid")
-    upto, before, onwards = (w.rowsBetween(a, b) for a, b in (
-        (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1), (0, Window.unboundedFollowing)))
-
-    # what a partition needs to know of its neighbours
-    edges = {"__firstkey": F.min_by(key, "__mid"), "__lastkey": F.max_by(key, "__mid"), "__n": F.count(F.lit(1))}
-    edges |= {f"__p{i}": F.max_by(F.struct(F.col(c).alias("v")), "__mid") for i, c in enumerate(previous.values())}
-    edges |= {f"__f{i}": F.min_by(F.struct(F.col(c).alias("v")), "__mid") for i, c in enumerate(following.values())}
-    edges |= {f"__t{i}": F.sum(f"__s{i}") for i in range(len(sums))}
-    summary = tagged.groupBy("__pid").agg(*[c.alias(n) for n, c in edges.items()])
-    carries = {"__off": F.coalesce(F.sum("__n").over(_earlier()), F.lit(0)),
-               "__prevkey": F.lag("__lastkey").over(_partitions()), "__nextkey": F.lead("__firstkey").over(_partitions())}
-    carries |= {f"__p{i}": F.lag(f"__p{i}").over(_partitions()) for i in range(len(previous))}
-    carries |= {f"__f{i}": F.lead(f"__f{i}").over(_partitions()) for i in range(len(following))}
-    carries |= {f"__t{i}": F.coalesce(F.sum(f"__t{i}").over(_earlier()), F.lit(0)) for i in range(len(sums))}
-    rows = tagged.join(_carried(summary, carries), "__pid")
-
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33) + F.lit(1)
-    rows = rows.withColumns({
-        "__pos": F.col("__off") + local,
-        "__before": F.coalesce(F.lag(key).over(w), F.col("__prevkey")),
-        "__after": F.coalesce(F.lead(key).over(w), F.col("__nextkey")),
-        **{f"__p{i}": F.coalesce(F.lag(F.struct(F.col(c).alias("v"))).over(w), F.col(f"__p{i}")) for i, c in enumerate(previous.values())},
-        **{f"__f{i}": F.coalesce(F.lead(F.struct(F.col(c).alias("v"))).over(w), F.col(f"__f{i}")) for i, c in enumerate(following.values())},
-        **{f"__b{i}": F.col(f"__t{i}") + F.coalesce(F.sum(f"__s{i}").over(before), F.lit(0)) for i in range(len(sums))},
-    })
-    opens, ends = ~F.col("__before").eqNullSafe(key), ~F.col("__after").eqNullSafe(key)
-    # a running maximum of (position, values) holds the values of the last such row
-    runs = {"__open": F.when(opens, F.struct("__pos", *[f"__b{i}" for i in range(len(sums))]))}
-    runs |= {f"__l{i}": F.when(F.col(f"__m{i}").isNotNull(), F.struct(F.col("__pos").alias("pos"), F.col(f"__m{i}").alias("m")))
-             for i in range(len(last))}
-    rows = rows.withColumns(runs | ({"__close": F.when(ends, F.col("__pos"))} if size else {}))
-    carry = rows.groupBy("__pid").agg(
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col("__pos"))).alias(n) for n in runs],
-        *([F.min("__close").alias("__close")] if size else []))
-    found = {f"{n}_c": F.last(n, ignorenulls=True).over(_earlier()) for n in runs}
+    boxed = lambda c: F.struct(F.col(c).alias("v"))  # noqa: E731  tells a null value from no value
+
+    # runs: neighbouring rows of one group in a partition, numbered from 1
+    inside = Window.partitionBy("__pid").orderBy("__mid")
+    rows = tagged.withColumn("__new", (~F.lag(key).over(inside).eqNullSafe(key)).cast("long"))
+    rows = rows.withColumn("__run", F.sum("__new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("__pid", "__run").orderBy("__mid")
+    upto = run.rowsBetween(Window.unboundedPreceding, 0)
+    local = {"__nth": F.row_number().over(run).cast("long")}
     if size:
-        found["__close_c"] = F.min("__close").over(_partitions(1, Window.unboundedFollowing))
-    rows = rows.join(_carried(carry, found), "__pid")
-    told = {n: F.coalesce(F.last(n, ignorenulls=True).over(upto), F.col(f"{n}_c")) for n in runs}
-    if size:
-        told["__close"] = F.coalesce(F.min("__close").over(onwards), F.col("__close_c"))
-    rows = rows.withColumns(told)
-
-    start = F.col("__open.__pos")
-    out = {n: F.col(f"__b{i}") + F.col(f"__s{i}") - F.col(f"__open.__b{i}") for i, n in enumerate(sums)}
-    out |= {n: F.when(F.col(f"__l{i}.pos") >= start, F.col(f"__l{i}.m.v")) for i, n in enumerate(last)}
-    out |= {n: F.when(~opens, F.col(f"__p{i}.v")) for i, n in enumerate(previous)}
-    out |= {n: F.when(~ends, F.col(f"__f{i}.v")) for i, n in enumerate(following)}
+        local["__rows"] = F.count(F.lit(1)).over(Window.partitionBy("__pid", "__run"))
+    local |= {f"__s{i}": F.sum(f"__v{i}").over(upto) for i in range(len(sums))}
+    local |= {f"__l{i}": F.last(f"__m{i}", ignorenulls=True).over(upto) for i in range(len(last))}
+    local |= {f"__p{i}": F.lag(boxed(c)).over(run) for i, c in enumerate(previous.values())}
+    local |= {f"__f{i}": F.lead(boxed(c)).over(run) for i, c in enumerate(following.values())}
+    rows = rows.withColumns(local)
+
+    # what a partition tells its neighbours: its border keys, the rows of its first run, the state at its last row
+    final = {"__lastkey": key, "__runs": F.col("__run"), "__n_last": F.col("__nth")}
+    final |= {f"__s{i}": F.col(f"__s{i}") for i in range(len(sums))} | {f"__l{i}": F.col(f"__l{i}") for i in range(len(last))}
+    final |= {f"__p{i}": boxed(c) for i, c in enumerate(previous.values())}
+    first = {"__firstkey": key} | {f"__f{i}": boxed(c) for i, c in enumerate(following.values())}
+    edges = rows.groupBy("__pid").agg(
+        F.max_by(F.struct(*[c.alias(n) for n, c in final.items()]), "__mid").alias("z"),
+        F.min_by(F.struct(*[c.alias(n) for n, c in first.items()]), "__mid").alias("a"),
+        F.count(F.lit(1)).alias("__n"), F.count_if(F.col("__run") == 1).alias("__n_first")).select("__pid", "__n", "__n_first", "z.*", "a.*")
+
+    # a segmented scan over the partitions, forwards and (for the size) backwards
+    goes_on = F.coalesce(F.lag("__lastkey").over(_partitions()).eqNullSafe(F.col("__firstkey")) & F.lag("__pid").over(_partitions()).isNotNull(), F.lit(False))
+    edges = edges.withColumn("__goes_on", goes_on)
+    edges = edges.withColumn("__next_goes_on", F.coalesce(F.lead("__goes_on").over(_partitions()), F.lit(False)))
+    several = F.col("__runs") > 1
+    backwards = Window.orderBy(F.desc("__pid"))
+    edges = edges.withColumns({
+        "__chain": F.sum((several | ~F.col("__goes_on")).cast("int")).over(_partitions()),
+        "__back": F.sum((several | ~F.col("__next_goes_on")).cast("int")).over(backwards)})
+    chain = Window.partitionBy("__chain").orderBy("__pid").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("__back").orderBy(F.desc("__pid")).rowsBetween(Window.unboundedPreceding, 0)
+    handed = {"__n_last": F.sum("__n_last").over(chain), "__n_first": F.sum("__n_first").over(back)}
+    handed |= {f"__s{i}": F.sum(f"__s{i}").over(chain) for i in range(len(sums))}
+    handed |= {f"__l{i}": F.last(f"__l{i}", ignorenulls=True).over(chain) for i in range(len(last))}
+    edges = edges.withColumns(handed)
+
+    def arrives(name):
+        return F.when(F.col("__goes_on"), F.lag(name).over(_partitions()))
+
+    carries = {"__off": F.coalesce(F.sum("__n").over(_earlier()), F.lit(0)), "__c_runs": F.col("__runs"),
+               "__c_n": F.coalesce(arrives("__n_last"), F.lit(0)),
+               "__c_rest": F.coalesce(F.when(F.col("__next_goes_on"), F.lead("__n_first").over(_partitions())), F.lit(0))}
+    for prefix, of in (("__s", sums), ("__l", last), ("__p", previous)):
+        carries |= {f"__c{prefix}{i}": arrives(f"{prefix}{i}") for i in range(len(of))}
+    carries |= {f"__c__f{i}": F.when(F.col("__next_goes_on"), F.lead(f"__f{i}").over(_partitions())) for i in range(len(following))}
+    rows = rows.join(_carried(edges, carries), "__pid")
+
+    def in_first(c):
+        return F.when(F.col("__run") == 1, c)
+
+    nth = F.col("__nth") + F.coalesce(in_first(F.col("__c_n")), F.lit(0))
+    pos = F.col("__off") + F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33) + F.lit(1)
+    out = {n: (F.col(f"__s{i}") + F.coalesce(in_first(F.col(f"__c__s{i}")), zero[n])).cast(kinds[n]) for i, n in enumerate(sums)}
+    out |= {n: F.coalesce(f"__l{i}", in_first(F.col(f"__c__l{i}")))["v"] for i, n in enumerate(last)}
+    out |= {n: F.coalesce(f"__p{i}", in_first(F.col(f"__c__p{i}")))["v"] for i, n in enumerate(previous)}
+    ends = F.col("__run") == F.col("__c_runs")
+    out |= {n: F.coalesce(f"__f{i}", F.when(ends, F.col(f"__c__f{i}")))["v"] for i, n in enumerate(following)}
     if row:
-        out[row] = F.col("__pos") - start + F.lit(1)
+        out[row] = nth
     if size:
-        out[size] = F.col("__close") - start + F.lit(1)
+        out[size] = F.col("__rows") + F.coalesce(in_first(F.col("__c_n")), F.lit(0)) + F.when(ends, F.col("__c_rest")).otherwise(F.lit(0))
     keep = [c for c in df.columns if c not in out]
-    return rows.select(*keep, *[c.alias(n) for n, c in out.items()], "__pos", start.alias("__start"))
-
-
-# Values of a group that are joined in one task at a time.
-JOIN_CHUNK_ROWS = 50_000
+    return rows.select(*keep, *[c.alias(n) for n, c in out.items()], pos.alias("__pos"), (pos - nth + F.lit(1)).alias("__start"))
 
 
-def ordered_join(df: DataFrame, group: list[str], order: str, value: str, sep: str, out: str,
-                 chunk_rows: int = JOIN_CHUNK_ROWS) -> DataFrame:
-    """Per group, the non-null ``value``s joined by ``sep`` in ``order``: ``group + [out]``.
+def ordered_join(df: DataFrame, group: list[str], order: str, value: str, sep: str, out: str) -> DataFrame:
+    """Per group, the non-null ``value``s joined by ``sep`` in ``order`` (ties by value): ``group + [out]``.
 
-    Two levels, so that no task gathers a whole large group from row level: rows are numbered in their group, runs of
-    ``chunk_rows`` rows are joined in parallel, then the pieces are joined. Nulls are left out wherever the runs are cut,
-    and a group of nulls gives an empty text. The result row holds the whole group's text: that is the requested output.
+    The rows are range-partitioned on (group, order, value), so a hot group lies in many partitions; each joins the values
+    it has of a group, and the pieces are joined by partition number. Nulls are left out wherever the partitions are cut, and a
+    group of nulls gives an empty text. The result row holds the whole group's text: that is the requested output.
     """
-    rows = ordered_scan(df.select(*group, order, value), group, [order], row="__nth")
-    rows = rows.withColumn("__chunk", F.floor((F.col("__nth") - 1) / F.lit(chunk_rows)).cast("long"))
+    rows = df.select(*group, F.col(order).alias("__o"), F.col(value).cast("string").alias("__v"), F.monotonically_increasing_id().alias("__tie"))
+    placed = rows.repartitionByRange(*group, "__o", "__v", "__tie").withColumn("__pid", F.spark_partition_id())
 
     def joined(frame, by, o, v):
-        items = F.array_sort(F.collect_list(F.when(F.col(v).isNotNull(), F.struct(F.col(o).alias("o"), F.col(v).cast("string").alias("v")))))
+        items = F.array_sort(F.collect_list(F.when(F.col(v).isNotNull(), F.struct(F.col(o).alias("o"), F.col(v).alias("v")))))
         text = F.array_join(F.transform(items, lambda s: s["v"]), sep)
         return frame.groupBy(*by).agg(F.when(F.size(items) > 0, text).alias(out))
 
-    pieces = joined(rows, [*group, "__chunk"], "__nth", value).withColumnRenamed(out, "__piece")
-    return joined(pieces, group, "__chunk", "__piece").withColumn(out, F.coalesce(out, F.lit("")))
+    pieces = joined(placed, [*group, "__pid"], "__o", "__v").withColumnRenamed(out, "__piece")
+    return joined(pieces, group, "__pid", "__piece").withColumn(out, F.coalesce(out, F.lit("")))

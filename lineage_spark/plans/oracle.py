@@ -62,9 +62,14 @@ SELECT o_orderkey, CAST(big AS VARCHAR) AS big, 'only_left' AS side, CAST(1 AS B
 UNION ALL SELECT o_orderkey, CAST(big + 1 AS VARCHAR), 'only_right', 1 FROM b"""
 
 def _digest(table: str, cols: str, by: str = "", where: str = "") -> str:
-    """SELECT of row count and digest: ``cols`` are column names, a trailing ``~`` marks a fractional one."""
+    """SELECT of row count and digest: ``cols`` are column names, a trailing ``~`` marks a fractional one, ``~~`` an array of these."""
     fields = []
     for c in cols.split():
+        if c.endswith("~~"):
+            texts = f"list_transform({c[:-2]}, lambda x: CAST(CAST(x::DOUBLE AS DECIMAL(38,7)) AS VARCHAR))"
+            items = f"array_to_string(list_transform({texts}, lambda t: coalesce(CAST(length(t) AS VARCHAR) || ':' || t, 'N')), '')"
+            fields.append(f"coalesce('A' || CAST(len({c[:-2]}) AS VARCHAR) || '[' || {items} || ']', 'N')")
+            continue
         text = f"CAST(CAST({c[:-1]} AS DECIMAL(38,7)) AS VARCHAR)" if c.endswith("~") else f"CAST({c} AS VARCHAR)"
         fields.append(f"coalesce(CAST(length({text}) AS VARCHAR) || ':' || {text}, 'N')")
     row = " || ".join(fields)
@@ -380,7 +385,8 @@ _HASHED = {
     "customer": "c_custkey c_name c_nationkey c_acctbal~ c_mktsegment", "part": "p_partkey p_name p_brand p_type p_size p_retailprice~",
     "orders": "o_orderkey o_custkey o_orderstatus o_totalprice~ o_orderdate o_orderpriority",
     "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity~ l_extendedprice~ l_discount~ l_tax~ l_returnflag l_linestatus l_shipdate",
-    "events": "event_id ts user_id event_type value~ props", "documents": "doc_id text lang source n_chars", "pages": "page_id url html",
+    "events": "event_id ts user_id event_type value~ props", "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding~~ label", "pages": "page_id url html",
     "benchmark": "item_id text", "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
 }
 ORACLE["output_hashes"] = " UNION ALL ".join(
@@ -426,3 +432,35 @@ SELECT o_custkey AS dataset_rid, 'f' || CAST(l_partkey % 3 AS VARCHAR) || '.parq
   max(l_linenumber * 1000000 + l_partkey) AS position
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN l ON l.dataset_rid = o_custkey AND l.txn_rid = l_orderkey
 WHERE l_linenumber % 5 > 0 GROUP BY 1, 2"""
+
+ORACLE["snapshot_branches"] = """WITH t AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'master' ELSE 'dev' END AS branch, o_orderdate
+  FROM orders WHERE o_orderstatus = 'F'),
+l AS (SELECT o_custkey, branch, o_orderkey FROM t
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, branch ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+SELECT o_custkey AS dataset_rid, branch, 'f' || CAST(l_partkey % 3 AS VARCHAR) || '.parquet' AS basename,
+  max(l_linenumber * 1000000 + l_partkey) AS position
+FROM lineitem JOIN l ON l_orderkey = o_orderkey WHERE l_linenumber % 5 > 0 GROUP BY 1, 2, 3"""
+ORACLE["publish_branches"] = """SELECT *, 'master' AS branch FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT *, 'dev/new' FROM orders WHERE o_orderstatus = 'P'"""
+ORACLE["group_sums"] = """WITH o AS (SELECT o_orderkey, o_custkey % 5 AS grp,
+  CASE WHEN o_custkey % 5 = 0 THEN 1e17::DOUBLE WHEN o_custkey % 5 = 1 THEN 0.25::DOUBLE
+    WHEN o_custkey % 5 = 2 AND o_orderkey % 50 = 7 THEN 'NaN'::DOUBLE ELSE 0.5::DOUBLE END AS value,
+  CAST(o_orderkey % 1000 AS DECIMAL(12,2)) + 0.75 AS exact FROM orders),
+s AS (SELECT o_orderkey, grp, sum(value) OVER w AS total, sum(exact) OVER w AS total_exact FROM o
+  WINDOW w AS (PARTITION BY grp ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING))
+SELECT o_orderkey, grp, isnan(total) AS is_nan, CASE WHEN isnan(total) THEN -1.0::DOUBLE ELSE total END AS total,
+  CAST(CAST(total_exact AS DECIMAL(38,2)) AS VARCHAR) AS total_exact FROM s"""
+ORACLE["chain_order"] = """SELECT 'T' || (p_partkey + 1) AS step, CAST(1000003 - p_partkey - 1 AS INTEGER) AS idx,
+  CAST(p_partkey + 1 AS INTEGER) AS pass, CAST(p_partkey + 1 AS BIGINT) AS seq FROM part"""
+ORACLE["unmet_patterns"] = """WITH p AS (
+  SELECT unnest([p_name, p_type, '@mail' || CAST(p_partkey % 50 AS VARCHAR) || '.example.com']) AS pattern FROM part
+  UNION SELECT unnest([text, substr(text, 10, 30), text || '!?']) FROM benchmark
+  UNION SELECT unnest(['', 'e', '~', '###', '#!#', chr(252), 'token =', r_name]) FROM region)
+SELECT pattern FROM p WHERE pattern IS NOT NULL AND NOT EXISTS (SELECT 1 FROM documents WHERE contains(text, pattern))"""
+ORACLE["image_files"] = ORACLE["image_export"]
+ORACLE["workbook_binding"] = """SELECT c_mktsegment, CASE o_orderpriority WHEN '1-URGENT' THEN '10' WHEN '2-HIGH' THEN '20' WHEN '3-MEDIUM' THEN '30' END AS code,
+  count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
+ORACLE["shared_steps"] = """WITH l AS (SELECT l_returnflag, l_linestatus, l_partkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem WHERE l_quantity >= 10)
+SELECT l_returnflag AS key, CAST(sum(cents) AS BIGINT) AS cents, 'by_flag' AS output FROM l GROUP BY 1
+UNION ALL SELECT l_linestatus, CAST(sum(cents) AS BIGINT), 'by_status' FROM l GROUP BY 1
+UNION ALL SELECT CAST(l_partkey % 10 AS VARCHAR), CAST(sum(cents) AS BIGINT), 'by_part' FROM l GROUP BY 1"""

@@ -9,6 +9,7 @@ does all of the work.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from lineage_spark.operators import compare, lineage, lookups, ordering, package
 from lineage_spark.operators.textlines import Rule
 from lineage_spark.plans.workbook import Workbook
 from lineage_spark.session import load, scratch_path
-from lineage_spark.sources import files, jsonsrc, snapshots
+from lineage_spark.sources import files, jsonsrc, rowfiles, snapshots
 from lineage_spark.sources.lines import explode_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +71,14 @@ SURVEY_IDS = {
     "two_scripts_order": "G1 W1",
     "null_group_scan": "W1 W2 W3 W4",
     "null_value_join": "A4 A6",
+    "group_sums": "W1",
+    "chain_order": "G1",
+    "snapshot_branches": "S5 S6",
+    "publish_branches": "S9 S6",
+    "unmet_patterns": "J9",
+    "image_files": "S13",
+    "workbook_binding": "X1 X2 P7 P12",
+    "shared_steps": "G4 X1",
     "normalize_frame": "P5 P6 P7 §2.8",
     "null_default": "P10 §2.8",
     "ordered_args": "A4",
@@ -337,6 +346,17 @@ def topo_order(spark, sf):
     return lineage.topological_order(part_workbook(spark, sf))
 
 
+@query
+def chain_order(spark, sf):
+    """One chain of all parts, declared in reverse: every step costs a pass of its own."""
+    k = F.col("p_partkey") + 1
+    ds = lambda j: F.concat(F.lit("ds"), j.cast("string"))
+    before = F.struct(F.lit(1).alias("pos"), ds(F.col("p_partkey")).alias("arg"), ds(F.col("p_partkey")).alias("rid"))
+    steps = load(spark, sf, "part").select(F.concat(F.lit("T"), k.cast("string")).alias("name"), (F.lit(1000003) - k).cast("int").alias("idx"),
+                                           ds(k).alias("output_rid"), F.array(before).alias("inputs"))
+    return lineage.topological_order(steps)
+
+
 @query
 def unsatisfiable(spark, sf):
     # T5 also reads ds10 (whose producer T10 reads ds5): a cycle; T7 has an
@@ -426,14 +446,26 @@ def null_group_scan(spark, sf):
     ).drop("__pos", "__start")
 
 
+@query
+def group_sums(spark, sf):
+    """Running sums of neighbouring groups of very different sizes, one with NaN values, and of exact decimals."""
+    grp = F.col("o_custkey") % 5
+    value = F.when(grp == 0, F.lit(1e17)).when(grp == 1, F.lit(0.25)).when((grp == 2) & (F.col("o_orderkey") % 50 == 7), F.lit(float("nan"))).otherwise(F.lit(0.5))
+    exact = (F.col("o_orderkey") % 1000).cast("decimal(12,2)") + F.lit(Decimal("0.75"))
+    o = load(spark, sf, "orders").select("o_orderkey", grp.alias("grp"), value.alias("value"), exact.alias("exact"))
+    s = ordering.ordered_scan(o, ["grp"], ["o_orderkey"], sums={"total": F.col("value"), "total_exact": F.col("exact")})
+    return s.select("o_orderkey", "grp", F.isnan("total").alias("is_nan"), F.nanvl("total", F.lit(-1.0)).alias("total"),
+                    F.col("total_exact").cast("string").alias("total_exact"))
+
+
 @query
 def null_value_join(spark, sf):
-    # values that are null for whole runs of rows and for whole groups (status P), joined in runs of 100 rows
+    # values that are null for whole runs of rows and for whole groups (status P)
     o = load(spark, sf, "orders").select(
         "o_orderstatus", "o_orderkey",
         F.when((F.col("o_orderstatus") != "P") & (F.col("o_orderkey") % 1000 >= 400), F.col("o_orderkey") % 97).alias("v"))
     o = o.withColumn("grp", F.concat("o_orderstatus", (F.col("o_orderkey") % 11).cast("string")))
-    return ordering.ordered_join(o, ["grp"], "o_orderkey", "v", ",", "joined", chunk_rows=100)
+    return ordering.ordered_join(o, ["grp"], "o_orderkey", "v", ",", "joined")
 
 
 # Rule lists of the rewrite queries (data, not code).
@@ -738,6 +770,18 @@ def unmet_requirements(spark, sf):
     return lookups.unmet_requirements(load(spark, sf, "documents"), "text", REQUIREMENTS)
 
 
+@query
+def unmet_patterns(spark, sf):
+    """A pattern table: names and types of parts, mail hosts, texts of the benchmark and short marks; which of them no document contains."""
+    p, b = load(spark, sf, "part"), load(spark, sf, "benchmark")
+    mail = F.concat(F.lit("@mail"), (F.col("p_partkey") % 50).cast("string"), F.lit(".example.com"))
+    marks = F.array(*[F.lit(m) for m in ("", "e", "~", "###", "#!#", "\u00fc", "token =")])
+    patterns = p.select(F.explode(F.array("p_name", "p_type", mail)).alias("pattern")).unionByName(
+        b.select(F.explode(F.array(F.col("text"), F.substring("text", 10, 30), F.concat(F.col("text"), F.lit("!?")))).alias("pattern"))).unionByName(
+        load(spark, sf, "region").select(F.explode(F.concat(marks, F.array("r_name"))).alias("pattern")))
+    return lookups.unmet_patterns(load(spark, sf, "documents"), "text", patterns, "pattern")
+
+
 @query
 def missing_report(spark, sf):
     unmet = lookups.unmet_requirements(load(spark, sf, "documents"), "text", REQUIREMENTS)
@@ -870,6 +914,19 @@ def snapshot_files(spark, sf):
     return snapshots.snapshot_files(files_, latest).select("dataset_rid", "basename", "position")
 
 
+@query
+def snapshot_branches(spark, sf):
+    """Each customer's orders on two branches: every branch shows the files of its own latest committed order."""
+    branch = F.when(F.col("txn_rid") % 2 == 0, F.lit("master")).otherwise(F.lit("dev"))
+    latest = snapshots.latest_committed(_order_transactions(spark, sf).withColumn("branch", branch))
+    listed = load(spark, sf, "lineitem").join(load(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    listed = listed.select(
+        F.col("o_custkey").alias("dataset_rid"), F.col("l_orderkey").alias("txn_rid"),
+        F.concat(F.lit("d"), F.col("l_linenumber").cast("string"), F.lit("/f"), (F.col("l_partkey") % 3).cast("string"), F.lit(".parquet")).alias("logical_path"),
+        (F.col("l_linenumber") % 5).alias("size"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("position"))
+    return snapshots.snapshot_files(listed, latest).select("dataset_rid", "branch", "basename", "position")
+
+
 def revenue_by_nation(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     return (
@@ -897,6 +954,18 @@ def publish_read(spark, sf):
     return snapshots.read_latest(spark, root, "orders")
 
 
+@query
+def publish_branches(spark, sf):
+    """Commits of one dataset on two branches, interleaved; the log's numbers, not a clock, say which is the latest."""
+    o = load(spark, sf, "orders")
+    root = scratch_path(spark, "branches")
+    for branch, status in (("master", "F"), ("dev/new", "O"), ("master", "O"), ("dev/new", "P")):
+        snapshots.publish(o.filter(F.col("o_orderstatus") == status), root, "orders", branch)
+    snapshots.publish(o, root, "orders", "dev/new", commit=False)
+    found = [snapshots.read_latest(spark, root, "orders", b).withColumn("branch", F.lit(b)) for b in ("master", "dev/new")]
+    return found[0].unionByName(found[1])
+
+
 # ---------------------------------------------------------------- workbook
 
 
@@ -932,7 +1001,52 @@ def run_workbook(spark, sf):
 
 
 @query
-def image_export(spark, sf):
+def workbook_binding(spark, sf):
+    """Inputs listed in another order than the parameters, a mapping, a factor of whole numbers and an empty list of rows."""
+    import pandas as pd
+
+    wb = Workbook(spark)
+    wb.dataset("orders", load(spark, sf, "orders"))
+    wb.dataset("customer", load(spark, sf, "customer"))
+    codes = pd.DataFrame({"name": ["1-URGENT", "2-HIGH", "3-MEDIUM"], "code": pd.Categorical([10, 20, 30])})
+    wb.dataset("codes", codes)
+
+    @wb.transform(output="excluded", schema="c_mktsegment string")
+    def excluded():
+        return []
+
+    @wb.transform(output="bought", inputs=["excluded", "customer", "orders"])
+    def bought(orders, customer, excluded):
+        kept = customer.join(excluded, "c_mktsegment", "left_anti")
+        return orders.join(kept, orders.o_custkey == kept.c_custkey)
+
+    @wb.transform(output="coded", inputs={"names": "codes", "rows": "bought"})
+    def coded(rows, names):
+        joined = rows.join(names, rows.o_orderpriority == names.name, "left")
+        return joined.groupBy("c_mktsegment", "code").agg(F.count(F.lit(1)).alias("n"))
+
+    return wb.resolve("coded")
+
+
+@query
+def shared_steps(spark, sf):
+    """One step read by three outputs: it is written once, and its source is scanned once."""
+    wb = Workbook(spark)
+    wb.dataset("lineitem", load(spark, sf, "lineitem"))
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+
+    @wb.transform(output="lines", inputs=["lineitem"])
+    def lines(lineitem):
+        return lineitem.where("l_quantity >= 10").select("l_returnflag", "l_linestatus", "l_partkey", cents.alias("cents"))
+
+    for output, key in (("by_flag", F.col("l_returnflag")), ("by_status", F.col("l_linestatus")), ("by_part", (F.col("l_partkey") % 10).cast("string"))):
+        wb.transform(output=output, inputs=["lines"])(
+            lambda lines, key=key, output=output: lines.groupBy(key.alias("key")).agg(F.sum("cents").alias("cents")).withColumn("output", F.lit(output)))
+    found = wb.resolve_all(["by_flag", "by_status", "by_part"])
+    return found["by_flag"].unionByName(found["by_status"]).unionByName(found["by_part"])
+
+
+def _images(spark, sf):
     # visualization items per document: the text as the first item, typed PNG for
     # English documents and SVG otherwise, then the source as a second PNG item
     d = load(spark, sf, "documents").select("doc_id", "lang", "text", "source")
@@ -944,8 +1058,20 @@ def image_export(spark, sf):
             item(F.lit("base64Png"), "source"),
         ).alias("items"),
     )
-    rows = lookups.image_rows(vis, "name", "items", prefix="doc_")
-    return rows.select("file_name", F.md5("image").alias("digest"))
+    return lookups.image_rows(vis, "name", "items", prefix="doc_")
+
+
+@query
+def image_export(spark, sf):
+    return _images(spark, sf).select("file_name", F.md5("image").alias("digest"))
+
+
+@query
+def image_files(spark, sf):
+    """The images as files of their own, read back as binary files."""
+    path = rowfiles.save_files(_images(spark, sf), scratch_path(spark, "images"), "file_name", "image")
+    back = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return back.select(tx.basename(F.col("path")).alias("file_name"), F.md5("content").alias("digest"))
 
 
 @query
@@ -1003,8 +1129,7 @@ def bound_calls(spark, sf):
     return lineage.bound_calls(transforms_from_lines(part_script_lines(spark, sf))).drop("doc_id")
 
 
-# every table whose values have one text in all engines (not the float vectors of embeddings)
-HASHED = ("region nation supplier customer part orders lineitem events documents pages benchmark labels conversations").split()
+HASHED = ("region nation supplier customer part orders lineitem events documents embeddings pages benchmark labels conversations").split()
 
 
 @query

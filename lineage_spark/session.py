@@ -8,8 +8,10 @@ its own, which is the test situation.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,6 +82,26 @@ def remove_scratch(spark: SparkSession) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the application's Python workers, once: they then import it wherever the driver found it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="lineage-spark-ship-"), f"{os.path.basename(here)}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (written to the shared folder, survives executor loss)."""
     checkpoint_dir(df.sparkSession)

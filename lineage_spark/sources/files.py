@@ -29,20 +29,20 @@ def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> Da
 def load_parts(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """All non-empty ``.parquet`` parts below ``path``, appended by column name.
 
-    Zero-byte files are skipped. Parts may order their columns differently; a
-    column missing from some parts is null there. A given ``schema`` is read as it is; without one the parts'
-    schemas are merged (every footer is read). With no non-empty part the given ``schema`` yields an empty
-    frame, otherwise it fails.
+    The reader lists the folder itself, in parallel, and merges the parts' schemas in a distributed job; no list of files passes
+    through the driver's Python. Zero-byte files are skipped. Parts may order their columns differently; a
+    column missing from some parts is null there. A given ``schema`` is read as it is. With no non-empty part the
+    given ``schema`` yields an empty frame, otherwise it fails.
     """
-    files = list_files(spark, path).filter(F.col("name").endswith(".parquet") & (F.col("length") > 0))
-    paths = [r["path"] for r in files.select("path").collect()]  # a file list, as the reader builds anyway
-    if not paths:
-        if schema is None:
-            raise ValueError(f"no non-empty parquet part below {path}")
-        return spark.createDataFrame([], schema)
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     if schema is not None:
-        return spark.read.schema(schema).parquet(*paths)
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+        return reader.schema(schema).parquet(path)
+    parts = list_files(spark, path, "*.parquet").filter(F.col("length") > 0)
+    if parts.isEmpty():
+        raise ValueError(f"no non-empty parquet part below {path}")
+    # a footer that cannot be read is passed over for the schema only (empty files have none); the scan itself passes over empty files alone
+    merged = reader.option("mergeSchema", "true").option("ignoreCorruptFiles", "true").parquet(path).schema
+    return reader.schema(merged).parquet(path)
 
 
 def classify_format(files: DataFrame, dataset: str, name: str = "name") -> DataFrame:

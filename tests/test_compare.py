@@ -142,3 +142,68 @@ def test_golden_diff(spark):
     golden = spark.createDataFrame([("a", "1"), ("b", "3"), ("c", "4"), ("n", None)], "dataset string, digest string")
     got = sorted((r["dataset"], r["status"]) for r in compare.golden_diff(produced, golden).collect())
     assert got == [("b", "changed"), ("c", "missing"), ("x", "extra")]
+
+
+def _text(spark, kind, value):
+    df = spark.createDataFrame([(value,)], f"v {kind}")
+    return df.select(compare.row_text(df).alias("t")).first()["t"]
+
+
+def test_value_texts_never_collide(spark):
+    nan, inf = float("nan"), float("inf")
+    families = {
+        "array<string>": [["a, b"], ["a", "b"], ["null"], [None], [], None, [""], ["a,b"], ["1:a"], ["a", ""], ["", "a"]],
+        "array<array<string>>": [[["a"], ["b"]], [["a", "b"]], [[], ["a", "b"]], [["a", "b"], []], [None, ["a"]], [[None], ["a"]]],
+        "double": [nan, None, inf, -inf, 0.0, 1.0, 1e33, -1e33, 1e308, 1.0000001e33, 2.0 ** 60, 2.0 ** 60 + 256, 1e18, 999999999999999872.0, 0.5, 1e-6],
+        "map<string,string>": [{"a": "b"}, {"b": "a"}, {"a": None}, {}, None, {"a": "b", "c": "d"}, {"a": "bc", "": "d"}],
+        "struct<x:string,y:string>": [("a", "b"), ("b", "a"), (None, "a"), ("a", None), (None, None), None, ("ab", "")],
+        "binary": [bytearray(b"ab"), bytearray(b"AB"), bytearray(b""), None, bytearray(b"6162")],
+        "array<double>": [[nan], [None], [inf], [1e33], [0.0], []],
+        "boolean": [True, False, None],
+        "string": ["N", None, "1:N", "", "null", "NaN"],
+    }
+    for kind, values in families.items():
+        texts = [_text(spark, kind, v) for v in values]
+        assert len(set(texts)) == len(values), kind
+    assert _text(spark, "double", -0.0) == _text(spark, "double", 0.0)
+    assert _text(spark, "map<string,int>", {"a": 1, "b": 2}) == _text(spark, "map<string,int>", {"b": 2, "a": 1})
+    assert _text(spark, "double", 0.1 + 0.2) == _text(spark, "double", 0.3)
+
+
+def test_digest_of_any_type(spark):
+    from decimal import Decimal
+
+    rows = [(1, [1.5, float("nan")], {"k": [b"x"]}, 1e33, (2, None)), (2, [], None, -1e300, None)]
+    df = spark.createDataFrame(rows, "id int, xs array<double>, m map<string,array<binary>>, d double, s struct<a:int,b:string>")
+    once = compare.hash_list(spark, [("t", df)]).first()
+    again = compare.hash_list(spark, [("t", df.orderBy(F.desc("id")))]).first()
+    other = compare.hash_list(spark, [("t", df.withColumn("d", F.col("d") * 2))]).first()
+    assert once["digest"] == again["digest"] != other["digest"]
+    big = spark.createDataFrame([(Decimal(10 ** 37),)], "v decimal(38,0)")
+    assert compare.hash_list(spark, [("t", big)]).first()["n_rows"] == 1
+
+
+def test_comparisons_run_at_the_same_time(spark):
+    import threading
+
+    seen, most, lock = set(), [0], threading.Lock()
+    real = compare.diff_counts
+
+    def counted(*a, **k):
+        with lock:
+            seen.add(threading.get_ident())
+            most[0] = max(most[0], len(seen))
+        try:
+            return real(*a, **k)
+        finally:
+            with lock:
+                seen.discard(threading.get_ident())
+
+    compare.diff_counts = counted
+    try:
+        df = spark.range(1000).withColumn("v", F.col("id") * 2)
+        out = compare.verify_report(spark, [(f"d{i}", df, df) for i in range(6)], concurrent=3).collect()
+    finally:
+        compare.diff_counts = real
+    assert [(r["dataset"], r["status"]) for r in out] == [(f"d{i}", compare.STATUS_EQUAL) for i in range(6)] and 1 < most[0] <= 3
+    assert compare.verify_report(spark, []).count() == 0

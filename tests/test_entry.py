@@ -55,3 +55,22 @@ def test_every_query_names_its_survey_ids():
 
     assert set(SURVEY_IDS) == set(QUERIES)
     assert all(SURVEY_IDS.values())
+
+
+def test_workers_import_the_package_from_anywhere(tmp_path):
+    """The entry loaded by path, from another folder, in a process of its own: Python workers find the package."""
+    import subprocess
+    import sys
+
+    script = tmp_path / "run.py"
+    script.write_text(f"""
+import importlib.util, sys
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("entry_elsewhere", {entry.__file__!r})
+loaded = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(loaded)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+print("rows", loaded.queries()["image_files"](spark, {SF!r}).count())
+""")
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows " in out.stdout, out.stderr[-2000:]

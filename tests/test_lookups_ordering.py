@@ -99,17 +99,99 @@ def test_few_rows_over_many_partitions(spark):
     assert got == want
 
 
-@pytest.mark.parametrize("chunk", [1, 3, 50, 100_000])
-def test_ordered_join_does_not_depend_on_runs(spark, chunk):
+@pytest.mark.parametrize("parts", [1, 3, 8, 40])
+def test_ordered_join_does_not_depend_on_partitions(spark, parts):
     df = _random_frame(spark, n=600).withColumn("k", F.nullif(F.col("k"), F.lit(0)))
     df = df.union(spark.createDataFrame([(99, 1, None), (99, 2, None), (98, 1, None), (98, 2, 7)], df.schema))
-    for order in ("t", "ts"):
-        ds = df.withColumn("ts", F.format_string("%06d", "t"))
-        got = {r["k"]: r["s"] for r in ordering.ordered_join(ds, ["k"], order, "v", ",", "s", chunk_rows=chunk).collect()}
-        want = {}
-        for r in sorted(ds.collect(), key=lambda r: r["t"]):
-            want.setdefault(r["k"], []).extend([str(r["v"])] if r["v"] is not None else [])
-        assert got == {k: ",".join(v) for k, v in want.items()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for order in ("t", "ts"):
+            ds = df.withColumn("ts", F.format_string("%06d", "t"))
+            got = {r["k"]: r["s"] for r in ordering.ordered_join(ds, ["k"], order, "v", ",", "s").collect()}
+            want = {}
+            for r in sorted(ds.collect(), key=lambda r: r["t"]):
+                want.setdefault(r["k"], []).extend([str(r["v"])] if r["v"] is not None else [])
+            assert got == {k: ",".join(v) for k, v in want.items()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_joined_values_of_equal_order_are_sorted(spark):
+    df = spark.createDataFrame([(1, 5, v) for v in "dbca"] * 50, "k int, t int, v string").repartition(7)
+    got = ordering.ordered_join(df, ["k"], "t", "v", "", "s").first()["s"]
+    assert got == "a" * 50 + "b" * 50 + "c" * 50 + "d" * 50
+
+
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_sums_stay_in_their_group_and_type(spark, coalesce):
+    from decimal import Decimal
+
+    nan = float("nan")
+    values = {"a": [1e17] * 20, "b": [0.25] * 30, "c": [1.0, nan, 2.0], "d": [0.5, None, 0.5], None: [2.0 ** 60, -2.0 ** 60, 1.0]}
+    rows = [(k, i, v, Decimal(i) + Decimal("0.75"), 2 ** 62 if i % 2 == 0 else -2 ** 62) for k, vs in values.items() for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "k string, t int, v double, d decimal(10,2), n long").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        s = ordering.ordered_scan(df, ["k"], ["t"], sums={"total": F.col("v"), "exact": F.col("d"), "whole": F.col("n")}, size="n_rows")
+        assert dict(s.dtypes)["exact"] == "decimal(20,2)" and dict(s.dtypes)["whole"] == "bigint"
+        got = {(r["k"], r["t"]): r for r in s.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for k, vs in values.items():
+        total, exact = 0.0, Decimal(0)
+        for i, v in enumerate(vs):
+            total, exact = total + (v or 0.0), exact + Decimal(i) + Decimal("0.75")
+            r = got[k, i]
+            assert r["total"] == total or (total != total and r["total"] != r["total"])
+            assert r["exact"] == exact and r["n_rows"] == len(vs) and r["whole"] == (2 ** 62 if i % 2 == 0 else 0)
+
+
+def test_scan_is_linear_in_one_partition(spark):
+    import time
+
+    def seconds(n):
+        df = spark.range(n).select((F.col("id") % 2).alias("k"), F.col("id").alias("t")).coalesce(1)
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        t0 = time.time()
+        ordering.ordered_scan(df, ["k"], ["t"], row="r", size="n", following={"f": "t"}).write.format("noop").mode("overwrite").save()
+        return time.time() - t0
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        seconds(1000)
+        small, large = seconds(10_000), seconds(160_000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert large < 16 * small + 5  # a frame that starts anew for each row would take 256 times as long
+
+
+PATTERNS = ["", "e", "zz", "abc", "abcdefg", "abcdefgh", "needle in the hay", "needle in the straw", "a.b*c(d)[e]", "new\nline in it", "ümlaut ünd", "x" * 300, None,
+            "tail of a very long text"]
+
+
+@pytest.mark.parametrize("k", [3, 8])
+def test_unmet_patterns_match_brute_force(spark, monkeypatch, k):
+    monkeypatch.setattr(lookups, "PIECE", 50)
+    monkeypatch.setattr(lookups, "FIRST_TESTS", 1)
+    r = random.Random(k)
+    texts = ["".join(r.choices("abcdefgh .\n", k=r.choice([0, 3, 40, 400]))) for _ in range(300)] + [None, "", "😀😀 needle in the hay 😀"]
+    texts += ["a needle in the " + "".join(r.choices("abc", k=5)) for _ in range(60)] + ["w " * 3000 + "tail of a very long text", "x" * 299, "new\nline in it", "a.b*c(d)[e]"]
+    texts += texts[:50]
+    patterns = PATTERNS + ["".join(r.choices("abcdefgh", k=r.choice([2, 4, 9, 12]))) for _ in range(300)] + ["abc"]
+    tdf = spark.createDataFrame([(t, 1) for t in texts], "body string, pattern int").repartition(4)
+    pdf = spark.createDataFrame([(p, 2) for p in patterns], "p string, gram int")
+    got = sorted(x["pattern"] for x in lookups.unmet_patterns(tdf, "body", pdf, "p", k=k).collect())
+    assert got == sorted({p for p in patterns if p is not None and not any(p in t for t in texts if t is not None)})
+
+
+def test_unmet_patterns_of_empty_tables(spark):
+    texts, patterns = spark.createDataFrame([("a",)], "t string"), spark.createDataFrame([("",), ("b",), (None,)], "p string")
+    assert lookups.unmet_patterns(texts, "t", patterns.where("false"), "p").count() == 0
+    got = [r["pattern"] for r in lookups.unmet_patterns(texts.where("false"), "t", patterns, "p").collect()]
+    assert sorted(got) == ["", "b"]
 
 
 def test_hot_key_is_split_across_range_partitions(spark):

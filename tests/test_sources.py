@@ -125,3 +125,89 @@ def test_lines_of_a_file_read_by_splits(spark, tmpdir_fresh):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == want
+
+
+def test_branches_keep_their_own_files(spark):
+    latest = spark.createDataFrame([("d", "master", "t1"), ("d", "dev", "t2"), ("d", "same", "t2")], "dataset_rid string, branch string, txn_rid string")
+    listed = spark.createDataFrame([
+        ("d", "t1", "x/part-0.parquet", 10, 1), ("d", "t2", "y/part-0.parquet", 10, 2), ("d", "t2", "z/part-1.parquet", 10, 3), ("d", "t0", "w/part-2.parquet", 10, 4),
+    ], "dataset_rid string, txn_rid string, logical_path string, size long, position int")
+    got = sorted((r["branch"], r["basename"], r["logical_path"]) for r in snapshots.snapshot_files(listed, latest).collect())
+    assert got == [("dev", "part-0.parquet", "y/part-0.parquet"), ("dev", "part-1.parquet", "z/part-1.parquet"), ("master", "part-0.parquet", "x/part-0.parquet"),
+                   ("same", "part-0.parquet", "y/part-0.parquet"), ("same", "part-1.parquet", "z/part-1.parquet")]
+
+
+def test_log_numbers_order_commits_whatever_the_clock_says(spark, tmpdir_fresh, monkeypatch):
+    root = os.path.join(tmpdir_fresh, "store")
+
+    class Stopped(datetime.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return cls(2024, 1, 1, tzinfo=tz)
+
+    monkeypatch.setattr(snapshots.datetime, "datetime", Stopped)
+    for v in range(4):
+        snapshots.publish(spark.createDataFrame([(v,)], "v int"), root, "d", branch="a/b" if v % 2 else "master")
+    assert [r["v"] for r in snapshots.read_latest(spark, root, "d").collect()] == [2]
+    assert [r["v"] for r in snapshots.read_latest(spark, root, "d", "a/b").collect()] == [3]
+    log = snapshots.transactions(spark, root).collect()
+    assert len({r["close_time"] for r in log}) == 1
+    assert sorted(r["seq"] for r in log if r["branch"] == "a/b") == [1, 2, 3, 4]
+
+
+def test_publishers_at_the_same_time_get_numbers_of_their_own(spark, tmpdir_fresh):
+    from concurrent.futures import ThreadPoolExecutor
+
+    root = os.path.join(tmpdir_fresh, "store")
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: snapshots._append(spark, root, "d", "master", f"t{i}", snapshots.COMMITTED), range(40)))
+    assert sorted(numbers) == list(range(1, 41))
+    log = {r["txn_rid"]: r["seq"] for r in snapshots.transactions(spark, root).collect()}
+    assert log == {f"t{i}": n for i, n in enumerate(numbers)}
+    assert not [f for f in os.listdir(os.path.join(root, "_log", "d", "master")) if "tmp" in f]
+
+
+def test_row_files_are_written_whole_or_not_at_all(spark, tmpdir_fresh):
+    from lineage_spark.sources import rowfiles
+
+    path = os.path.join(tmpdir_fresh, "images")
+    df = spark.createDataFrame([(f"f{i}.bin", bytes([i % 256]) * i, 1) for i in range(200)], "n string, c binary, path int").repartition(4)
+    rowfiles.save_files(df, path, "n", "c")
+    back = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).collect()
+    assert {r["path"].rsplit("/", 1)[1]: bytes(r["content"]) for r in back} == {f"f{i}.bin": bytes([i % 256]) * i for i in range(1, 200)}
+    assert "_temporary" not in os.listdir(path)
+    assert sorted(f for _, _, names in os.walk(path) for f in names if f.endswith(".bin")) == sorted(f"f{i}.bin" for i in range(200))  # the reader skips empty files
+
+    failed = os.path.join(tmpdir_fresh, "failed")
+    broken = df.withColumn("c", F.when(F.col("n") == "f150.bin", F.raise_error("broken image").cast("binary")).otherwise(F.col("c")))
+    for bad in (broken, df.withColumn("n", F.lit("same")), df.withColumn("n", F.lit("../up"))):
+        try:
+            rowfiles.save_files(bad, failed, "n", "c")
+            raise SystemExit("must fail")
+        except Exception:  # noqa: BLE001
+            pass
+    assert not os.path.exists(failed) or not [f for f in os.listdir(failed) if f.startswith("part")]
+    assert not [f for _, _, files_ in os.walk(failed) for f in files_ if f.endswith(".bin")]
+    rowfiles.save_files(df.where("false"), os.path.join(tmpdir_fresh, "none"), "n", "c")
+
+
+def test_load_parts_of_many_kinds(spark, tmpdir_fresh):
+    root = os.path.join(tmpdir_fresh, "ds")
+    spark.createDataFrame([(1, "a")], "id int, s string").write.parquet(os.path.join(root, "x", "p1"))
+    spark.createDataFrame([(2.5, "b", 2)], "more double, s string, id int").write.parquet(os.path.join(root, "y", "z", "p2"))
+    for name in ("zero.parquet", "notes.txt", "x/zero.parquet"):
+        open(os.path.join(root, name), "wb").close()
+    with open(os.path.join(root, "readme.txt"), "w") as f:
+        f.write("no part")
+    df = files.load_parts(spark, root)
+    assert sorted((r["id"], r["s"], r["more"]) for r in df.collect()) == [(1, "a", None), (2, "b", 2.5)]
+    given = files.load_parts(spark, root, schema="s string, id int")
+    assert given.columns == ["s", "id"] and given.count() == 2
+    empty = os.path.join(tmpdir_fresh, "none")
+    os.makedirs(empty)
+    for _ in range(2):
+        try:
+            files.load_parts(spark, empty)
+            raise SystemExit("must fail")
+        except ValueError:
+            open(os.path.join(empty, "zero.parquet"), "wb").close()
