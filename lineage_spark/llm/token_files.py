@@ -28,11 +28,13 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -46,10 +48,10 @@ MAGIC = b"TOKRANK1"
 BLOCK = 1 << 16
 # ids of a file, unless its last document is longer
 IDS_PER_FILE = 1 << 23
-# pieces of text that a worker remembers (twice so many at most), and the longest it remembers
-CACHED_PIECES, CACHED_CHARS = 1 << 19, 48
+# pieces of text, and words of them, that a worker remembers (twice so many of each at most), and the longest it remembers
+CACHED_PIECES, CACHED_CHARS = 1 << 18, 48
 # characters of a text that are cut into pieces at a time
-RUN_CHARS = 1 << 20
+RUN_CHARS = 1 << 22
 
 LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.int64)
 MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
@@ -83,106 +85,166 @@ def _tokenizer(path: str):
 
 
 # a word of letters that normalisation keeps as one letter each, with ASCII punctuation before and after it
-_PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([!-/:-@\[-`{-~]*)")
+_PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+
+
+class _Memory:
+    """A dict of bounded size: when its newer half is full the older one goes, but for what was asked for since."""
+
+    def __init__(self, bound: int):
+        self.bound, self.newer, self.older = bound, {"": b""}, {}
+
+    def unknown(self, keys: Iterable[str]) -> list[str]:
+        """The distinct keys that are not held; all others are in ``newer`` afterwards."""
+        if len(self.newer) >= self.bound:
+            self.newer, self.older = {"": b""}, self.newer
+        newer, older, out = self.newer, self.older, []
+        for k in {k for k in keys if k not in newer}:
+            if k in older:
+                newer[k] = older[k]
+            else:
+                out.append(k)
+        return out
 
 
 class Encoder:
-    """Texts to ids by a tokenizer of the ``tokenizers`` library that drops white space and ends each of its words with ``</w>``.
+    """Texts to ids by a tokenizer of the ``tokenizers`` library that drops white space and case and ends each of its words with ``</w>``.
 
     Nothing such a tokenizer does reaches across a blank, tab or line end, so a text's ids are those of its pieces
-    between them; each distinct piece is encoded once, and remembered up to a bound. Pieces that are a plain word, maybe between punctuation,
-    have a known number of the tokenizer's words, so they go to the library many at a time and are parted at the word ends; any other piece
+    between them; each distinct piece is encoded once, and remembered up to a bound. A piece that is a plain word, maybe between punctuation,
+    is as many of the tokenizer's words, which are remembered too and go to the library many at a time, to be parted at the word ends; any other piece
     goes alone. ``test_pieces_encode_as_the_whole_text`` holds this against whole texts.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks of an executor are its threads
-        self.tokenizer, self.known, self.older = _tokenizer(path), {"": b""}, {}
+        self.tokenizer = _tokenizer(path)
+        self.pieces, self.words = _Memory(CACHED_PIECES), _Memory(CACHED_PIECES)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian uint32; long texts go in runs of pieces, short ones several at a time."""
-        out, some, chars = [], [], 0
-        for t in texts:
-            if len(t) > RUN_CHARS:
-                out += self._runs(some)
-                runs, at = [], 0
-                while at < len(t):
-                    end = t.find(" ", at + RUN_CHARS)
-                    end = len(t) if end < 0 else end
-                    runs += self._runs([t[at:end]])
-                    at = end
-                out.append(b"".join(runs))
-                some, chars = [], 0
-                continue
-            some.append(t)
-            chars += len(t)
-            if chars > RUN_CHARS:
-                out += self._runs(some)
-                some, chars = [], 0
-        return out + self._runs(some)
-
-    def _runs(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if len(self.known) >= CACHED_PIECES:  # pieces that come again move on from the older half of the memory
-            self.known, self.older = {"": b""}, self.known
-        known, older = self.known, self.older
-        new = set().union(*cut).difference(known)
-        again = new.intersection(older)
-        known.update((p, older[p]) for p in again)
-        new = list(new.difference(again))
-        here = self._encoded(new)
-        room = max(0, CACHED_PIECES - len(known))
-        known.update((p, here.pop(p)) for p in new[:room] if len(p) <= CACHED_CHARS)
-        if not here:
-            return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        return [b"".join([known[p] if p in known else here[p] for p in pieces]) for pieces in cut]
-
-    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        plain, words, rest = [], [], []
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids (uint32) of the texts, one after another, and the number of ids of each text; long texts go in runs of pieces."""
+        runs, of = [], []
+        for i, t in enumerate(texts):
+            at = 0
+            while True:
+                end = t.find(" ", at + RUN_CHARS) if len(t) - at > RUN_CHARS else -1
+                runs.append(t[at:end] if end >= 0 else t[at:])
+                of.append(i)
+                if end < 0:
+                    break
+                at = end
+        ids, sizes, first = [], [], 0
+        while first < len(runs):
+            last, chars = first, 0
+            while last < len(runs) and chars < RUN_CHARS:
+                chars += len(runs[last])
+                last += 1
+            some = self._run(runs[first:last])
+            ids.append(some[0])
+            sizes.append(some[1])
+            first = last
+        if not runs:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        return np.concatenate(ids), np.bincount(of, np.concatenate(sizes), len(texts)).astype(np.int64)
+
+    def _run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        column = pa.array(texts, pa.large_string())
+        for blank in "\n\t\r":
+            column = pc.replace_substring(column, blank, " ")
+        cut = pc.split_pattern(column, " ")
+        pieces = cut.flatten().dictionary_encode()
+        distinct, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        self._learn(self.pieces.unknown(distinct))
+        known = self.pieces.newer
+        raw = [known[p] for p in distinct]
+        for p in self.passing:
+            del known[p]
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) >> 2
+        flat, start = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(size) - size
+        each = size[codes]
+        ends = np.cumsum(each)
+        ids = flat[np.repeat(start[codes] - ends + each, each) + np.arange(ends[-1] if len(ends) else 0)]
+        last = np.cumsum(cut.value_lengths().to_numpy(zero_copy_only=False))
+        return ids, np.diff(np.concatenate([[0], np.concatenate([[0], ends])[last]]))
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Add the ids of new pieces; long ones stay only as long as they are ``passing``."""
+        known = self.pieces.newer
+        self.passing = [p for p in pieces if len(p) > CACHED_CHARS]
+        bare, marked, rest = [], [], []
         for p in pieces:
-            m = _PLAIN.fullmatch(p) if "<|" not in p else None  # special tokens begin with these marks
-            if m:
-                plain.append(p)
-                words.append(1 + (m[1] != "") + (m[2] != ""))
-            else:
+            m = _PLAIN.fullmatch(p)
+            if not m or "<|" in p:  # special tokens begin with these marks
                 rest.append(p)
-        out = {}
-        for at in range(0, len(plain), 1000):
-            some, last = plain[at:at + 1000], np.cumsum(words[at:at + 1000])
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != last[-1]:  # not the words that were expected: one at a time
-                rest += some
-                continue
-            raw, to = ids.tobytes(), (4 * ends[last - 1]).tolist()
-            out.update(zip(some, [raw[i:j] for i, j in zip([0, *to], to)]))
+            elif m[1] or m[3]:
+                marked.append((p, m[1], m[2].lower(), m[3]))
+            else:
+                bare.append(p)
+        lowered = [p.lower() for p in bare]
+        wrong = self._learn_words(self.words.unknown(chain(lowered, (u for x in marked for u in x[1:]))))
+        words = self.words.newer
+        if wrong:
+            rest += [p for p, w in zip(bare, lowered) if w in wrong] + [x[0] for x in marked if wrong.intersection(x[1:])]
+            words.update(dict.fromkeys(wrong, b""))  # for the moment: such pieces are encoded whole below
+        known.update(zip(bare, map(words.__getitem__, lowered)))
+        for p, before, word, after in marked:
+            known[p] = words[before] + words[word] + words[after]
+        for w in wrong:
+            del words[w]
+        for p in [w for w in words if len(w) > CACHED_CHARS] if self.passing else ():
+            del words[p]
         for at in range(0, len(rest), 4096):
             some = rest[at:at + 4096]
             encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            out.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, encoded))
-        return out
+            known.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(some, encoded))
+
+    def _learn_words(self, units: list[str]) -> set[str]:
+        """Add the ids of letter or punctuation runs, each one of the tokenizer's words; returns those that turn out not to be."""
+        wrong = set()
+        for at in range(0, len(units), 1000):
+            some = units[at:at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(some):
+                wrong.update(some)
+                continue
+            raw = ids.tobytes()
+            self.words.newer.update(zip(some, [raw[i:j] for i, j in zip([0, *ends], ends)]))
+        return wrong
+
+
+@lru_cache(maxsize=4)
+def _encoder(path: str) -> Encoder:
+    """One for each worker process, whose tasks follow one another."""
+    return Encoder(path)
 
 
 def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, end_id: int) -> DataFrame:
     """``key``, ``__row`` (the same when a task runs again), ``__crc`` and ``__n`` of the ids, and the ids (uint32 bytes), written out."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = Encoder(tokenizer), TaskContext.get().partitionId() << 33
-        end = np.array([end_id], "<u4").tobytes()
+        encoder, row = _encoder(tokenizer), TaskContext.get().partitionId() << 33
         for b in batches:
             at = 0
             while at < len(b):
-                n, held = 0, 0
-                while at + n < len(b) and held < 1 << 22:  # bounded, whatever the texts
-                    held += len(b.column(1)[at + n].as_py() or "") + 64
-                    n += 1
-                ids = [x + end for x in encoder([t or "" for t in b.column(1).slice(at, n).to_pylist()])]
-                crc = pa.array([zlib.crc32(x) for x in ids], pa.int64())
-                size = pa.array([len(x) // 4 for x in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), pa.array(np.arange(row, row + n)), crc, size, pa.array(ids, pa.binary())], names=names)
+                texts, held = [], 0
+                while at + len(texts) < len(b) and held < 4 * RUN_CHARS:  # bounded, whatever the texts
+                    texts.append(b.column(1)[at + len(texts)].as_py() or "")
+                    held += len(texts[-1]) + 64
+                n, (ids, size) = len(texts), encoder(texts)
+                ends = np.cumsum(size + 1)
+                coded = np.full(len(ids) + n, end_id, "<u4")
+                own = np.ones(len(coded), bool)
+                own[ends - 1] = False
+                coded[own] = ids
+                raw, cuts = memoryview(coded.tobytes()), [0, *(4 * ends).tolist()]
+                crc = pa.array([zlib.crc32(raw[i:j]) for i, j in zip(cuts, cuts[1:])], pa.int64())
+                binary = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.array(cuts, np.int64)), pa.py_buffer(raw)])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), pa.array(np.arange(row, row + n)), crc, pa.array(size + 1, pa.int64()),
+                                                  binary.cast(pa.binary())], names=names)
                 row, at = row + n, at + n
 
     names = [key, "__row", "__crc", "__n", "__ids"]

@@ -34,11 +34,16 @@ ODD = ["a", "B", "word", "(word", "Straße,", "it's", "'tis", "dogs'", "x.y", "a
        "　", "Σ", "İ", "漢", "ㄱ", "가", "😀", "<|endoftext|>", "<|", "|>", "!", "...", "\x00", "ſ", "ﬁ"]
 
 
+def encoded(encoder, texts):
+    ids, sizes = encoder(texts)
+    return [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+
+
 @given(st.lists(st.sampled_from(ODD) | st.text(max_size=4), max_size=40))
 @settings(max_examples=400, deadline=None)
 def test_pieces_encode_as_the_whole_text(parts):
     text = "".join(parts).encode("utf-8", "ignore").decode("utf-8")
-    got = [np.frombuffer(x, "<u4").tolist() for x in token_files.Encoder(WORDS)([text, "", text[::-1]])]
+    got = encoded(token_files.Encoder(WORDS), [text, "", text[::-1]])
     assert got == [whole(text), [], whole(text[::-1])]
 
 
@@ -49,8 +54,9 @@ def test_long_texts_and_a_full_memory(monkeypatch):
     encoder = token_files.Encoder(WORDS)
     for _ in range(20):
         text = " ".join("".join(r.choices("abcXYZ019é,.'", k=r.choice([1, 3, 8, 70]))) for _ in range(100))
-        assert [np.frombuffer(x, "<u4").tolist() for x in encoder([text, text[:30], text])] == [whole(text), whole(text[:30]), whole(text)]
-    assert len(encoder.known) <= 2 * 20 + 101  # a full memory and what one run took over from the older half
+        assert encoded(encoder, [text, text[:30], text]) == [whole(text), whole(text[:30]), whole(text)]
+    assert max(len(encoder.pieces.newer), len(encoder.words.newer)) <= 20 + 101  # a full memory and what one run adds
+    assert max(map(len, [*encoder.pieces.newer, *encoder.words.newer])) <= token_files.CACHED_CHARS
 
 
 def brute(rows, end):
