@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import string
 
@@ -99,6 +100,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete the folders of frames made by :func:`written` that nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_shuffles(spark) -> None:
+    """Let Spark drop the shuffle files of plans that are gone: it does so when the driver's JVM collects its garbage, which a loop with
+    little work on the driver hardly ever makes it do."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def union_of(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out
+
+
 def tagged(df: DataFrame, row: str = "__row") -> DataFrame:
     """``df`` with a row number that stays the same when tasks are run again (written out)."""
     return cut_lineage(df.withColumn(row, F.monotonically_increasing_id()))

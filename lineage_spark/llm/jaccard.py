@@ -26,13 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lineage_spark.llm.common import BROADCAST_BYTES, one_row_each, packed, same_identity, small_side, word_hashes, written
+from lineage_spark.llm.common import (
+    BROADCAST_BYTES, forget, one_row_each, packed, release_shuffles, same_identity, small_side, union_of, word_hashes, written)
 from lineage_spark.llm.components import components
 
 CONTRACTING_ROUNDS = 2
 TESTS_A_ROUND = 32  # exact tests of one member in a round; rounds go on while partners are left
 BLOCK_MEMBERS = 2048
-BITMAP_FACTOR, MAX_BITMAP_BITS = 8, 1 << 15
+# bits of a bitmap for each gram (rounded up to a power of two): enough for the bound to part sets a little below the threshold
+BITMAP_FACTOR, MAX_BITMAP_BITS = 2, 1 << 15
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
@@ -291,10 +293,12 @@ class JaccardJoin:
     def _arrays(self, members: DataFrame) -> DataFrame:
         """``sid, n, grams`` of the sets that are in a list, from one text each."""
         n = self.n
-        wanted = self.docs.join(members.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min("tid").alias("tid"))
-        wanted = written(wanted.select("tid").distinct(), "jaccard-state")
-        small = wanted.count() * 16 <= BROADCAST_BYTES
-        texts = self._texts.select("tid", "__text").join(F.broadcast(wanted) if small else wanted, "tid", "left_semi")
+        # one row of each set: its least (key, text); only ids are shuffled, not arrays
+        wanted = self.docs.join(members.select("sid").distinct(), "sid", "left_semi").groupBy("sid").agg(F.min(F.struct("key", "tid")).alias("one"))
+        wanted = written(wanted.select("one.*").distinct(), "jaccard-state")
+        small = wanted.count() * 24 <= BROADCAST_BYTES
+        match = [self._texts["key"].eqNullSafe(wanted["key"]), self._texts["tid"] == wanted["tid"]]
+        texts = self._texts.join(F.broadcast(wanted) if small else wanted, match, "left_semi").select("tid", "__text")
 
         def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen = set()
@@ -310,13 +314,18 @@ class JaccardJoin:
                     out.append(g.tobytes())
                 yield pd.DataFrame({"sid": sid, "n": size, "grams": out})
 
-        found = texts.mapInPandas(arrays, "sid long, n long, grams binary")
-        return written(found.groupBy("sid").agg(F.first("n").alias("n"), F.first("grams").alias("grams")), "jaccard-arrays")
+        found = written(texts.mapInPandas(arrays, "sid long, n long, grams binary"), "jaccard-arrays")
+        # rows that repeat both key and text can bring a set twice: then, and only then, the arrays are shuffled
+        if found.groupBy("sid").count().where("count > 1").isEmpty():
+            return found
+        once = written(found.groupBy("sid").agg(F.first("n").alias("n"), F.first("grams").alias("grams")), "jaccard-arrays")
+        forget(found)
+        return once
 
     def _confirmed(self, pairs: DataFrame, arrays: DataFrame) -> DataFrame:
         """``u, v, cu, cv, linked`` for the pairs ``a, b, ca, cb``, by exact intersection."""
         percent = self.percent
-        pairs = written(pairs, "jaccard-state")
+        pairs = written(pairs, "jaccard-pairs")
         # a few pairs go to the arrays, instead of all arrays to the pairs
         few = pairs.count() * 32 <= BROADCAST_BYTES
         sides = []
@@ -332,14 +341,18 @@ class JaccardJoin:
                        for x, y in zip(batch["ga"], batch["gb"])]
                 yield pd.DataFrame({"u": batch["a"], "v": batch["b"], "cu": batch["ca"], "cv": batch["cb"], "linked": yes})
 
-        return written(with_b.mapInPandas(exact, "u long, v long, cu long, cv long, linked boolean"), "jaccard-state")
+        done = written(with_b.mapInPandas(exact, "u long, v long, cu long, cv long, linked boolean"), "jaccard-tests")
+        forget(pairs)
+        return done
 
     @staticmethod
     def _open(rest: DataFrame) -> DataFrame:
         """Members of the lists that are not one component yet."""
-        lists = rest.groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("list")
-        lists = small_side(written(lists, "jaccard-lists"), 16)
-        return written(rest.join(lists, "list", "left_semi"), "jaccard-state")
+        rest = written(rest, "jaccard-state")
+        lists = written(rest.groupBy("list").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("list"), "jaccard-lists")
+        left = written(rest.join(small_side(lists, 16), "list", "left_semi"), "jaccard-state")
+        forget(rest, lists)
+        return left
 
     def _links(self) -> DataFrame:
         members = self._members()
@@ -347,13 +360,14 @@ class JaccardJoin:
         signatures = self._signatures(arrays)
         twos = members.where("members = 2").groupBy("list").agg(F.min("sid").alias("a"), F.max("sid").alias("b"))
         twos = twos.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")).distinct()
-        tested = self._confirmed(twos, arrays)
-        rest, turn = members.where("members > 2").select("list", "sid", F.col("sid").alias("comp")), 0
+        tested = [self._confirmed(twos, arrays)]  # one written table a round
+        rest, turn = self._joined(written(members.where("members > 2").select("list", "sid", F.col("sid").alias("comp"), "members"), "jaccard-state"), tested[0]), 0
+        forget(members)
         while not rest.isEmpty():
             spread = turn >= CONTRACTING_ROUNDS
-            proposed, unseen = self._proposed(rest, tested, signatures, turn, spread)
+            proposed, unseen, state = self._proposed(rest, union_of(tested), signatures, turn, spread)
             # a list whose pairs were all compared without a proposal can never have one: it is done
-            unsettled = written(proposed.select("list").union(unseen).distinct(), "jaccard-state")
+            unsettled = written(proposed.select("list").union(unseen).distinct(), "jaccard-lists")
             if unsettled.isEmpty():
                 break
             # first one test a round for each member, towards the least id: close copies gather in one step; then several, as
@@ -365,13 +379,21 @@ class JaccardJoin:
                 F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                 F.when(up, F.col("ca")).otherwise(F.col("cb")).alias("ca"), F.when(up, F.col("cb")).otherwise(F.col("ca")).alias("cb")).distinct()
             new = self._confirmed(pairs, arrays)
-            tested = written(tested.union(new), "jaccard-state")
-            # the new links join components: only those are labelled anew
-            moved = small_side(components(new.where("linked").select(F.col("cu").alias("u"), F.col("cv").alias("v"))), 32)
-            rest = rest.join(small_side(unsettled, 16), "list", "left_semi").join(moved, rest["comp"] == moved["node"], "left")
-            rest = self._open(rest.select("list", "sid", F.coalesce("component", "comp").alias("comp")))
+            tested.append(new)
+            kept = rest.join(small_side(unsettled, 16), "list", "left_semi")
+            before, rest = rest, self._joined(kept, new)
+            forget(before, proposed, unsettled, state)
+            release_shuffles(self._df.sparkSession)
             turn += 1
-        return written(tested.where("linked").select("u", "v"), "jaccard-state")
+        links = written(union_of(tested).where("linked").select("u", "v"), "jaccard-links")
+        forget(arrays, signatures, *tested)
+        return links
+
+    def _joined(self, rest: DataFrame, new: DataFrame) -> DataFrame:
+        """``rest`` with the components that the ``new`` links join labelled anew; only the open lists."""
+        moved = components(new.where("linked").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+        rest = rest.join(small_side(moved, 32), rest["comp"] == moved["node"], "left")
+        return self._open(rest.select("list", "sid", F.coalesce("component", "comp").alias("comp"), "members"))
 
     @staticmethod
     def _signatures(arrays: DataFrame) -> DataFrame:
@@ -381,13 +403,19 @@ class JaccardJoin:
 
         return written(arrays.select("sid", "n", bitmap("grams").alias("bitmap")), "jaccard-bitmaps")
 
-    def _proposed(self, rest: DataFrame, tested: DataFrame, signatures: DataFrame, turn: int, spread: bool) -> tuple[DataFrame, DataFrame]:
-        """Proposals ``list, a, b, ca, cb, rank`` (see :func:`_proposals`), and the lists not all of whose pairs were compared.
+    def _proposed(self, rest: DataFrame, tested: DataFrame, signatures: DataFrame, turn: int, spread: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Proposals ``list, a, b, ca, cb, rank`` (see :func:`_proposals`), the lists not all of whose pairs were compared, and
+        the state written for them.
 
-        A list of more than ``BLOCK_MEMBERS`` is cut into blocks. The first rounds compare inside random blocks, to contract the
-        list. After them (``spread``) members outside the list's main component go to all its blocks and members inside
-        to one, so that every pair of different components meets.
+        A list of more than ``BLOCK_MEMBERS`` is cut into blocks. The first rounds contract: a member goes to one list only, the longest
+        it is in (copies share it), and there to one random block, so a bitmap moves once a round. After them (``spread``), in the lists that
+        are still several components, members outside the list's main component go to all its blocks and members inside to one, so that
+        every pair of different components meets.
         """
+        every = rest.select("list").distinct()
+        if not spread:
+            longest = rest.groupBy("sid").agg(F.max(F.struct("members", "list")).alias("most"))
+            rest = rest.join(longest, "sid").where(F.col("list") == F.col("most.list")).drop("most")
         main = rest.groupBy("list", "comp").count().groupBy("list").agg(
             F.max_by("comp", F.struct("count", "comp")).alias("main"), F.sum("count").alias("total"))
         blocks = F.ceil(F.col("total") / F.lit(BLOCK_MEMBERS)).cast("int")
@@ -402,8 +430,8 @@ class JaccardJoin:
         tried = F.broadcast(tried) if refused.count() * 64 <= BROADCAST_BYTES else tried
         tiles = placed.join(signatures.join(tried, "sid", "left"), "sid").repartition("list", "block") \
             .sortWithinPartitions("list", "block")
-        proposed = written(tiles.mapInPandas(_tile_proposals(self.percent, not spread), "list long, a long, b long, ca long, cb long, rank long"), "jaccard-state")
-        return proposed, main.where(F.lit(not spread) & (F.col("blocks") > 1)).select("list")
+        proposed = written(tiles.mapInPandas(_tile_proposals(self.percent, not spread), "list long, a long, b long, ca long, cb long, rank long"), "jaccard-proposals")
+        return proposed, every.where(F.lit(not spread)), main
 
     def _classed(self) -> DataFrame:
         comp = components(self.links)
