@@ -1,7 +1,7 @@
 """Repeated lines: two Bloom filters find the suspects, only suspects are shuffled and counted exactly.
 
-1. Every task hashes the line keys of its documents (one entry per document and key) into a *once* and a *twice* Bloom
-   filter (two bit positions per key). Filters are cut into slices of 65,536 bits, sent as bit positions, and merged slice by
+1. The hashes of the line keys are built-in functions. Every task enters those of its documents (once per document and key) into a
+   *once* and a *twice* Bloom filter (two bit positions per key). Filters are cut into slices of 65,536 bits, sent as bit positions, and merged slice by
    slice: a bit set in two tasks' once filters enters the twice filter. No key that two documents share is missed.
 2. Every task tests its keys against the merged twice filter; the keys found there are the suspects.
 3. Suspects are grouped by the key text itself, so false suspects go, and lines of keys in enough documents are dropped.
@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lineage_spark.llm.common import BROADCAST_BYTES, lower_ascii, written
+from lineage_spark.llm.common import BROADCAST_BYTES, lower_ascii, lower_ascii_col, written
 from lineage_spark.session import cut_lineage
 
 BITS_PER_LINE = 16
@@ -35,14 +35,10 @@ def line_key(line: str) -> str:
     return lower_ascii(line.strip(_STRIP))
 
 
-def _keys(text: str | None, min_chars: int) -> dict[str, list[int]]:
-    """key -> line numbers, for keys of at least ``min_chars`` code points."""
-    out: dict[str, list[int]] = {}
-    for i, line in enumerate((text or "").split("\n")):
-        k = line_key(line)
-        if len(k) >= min_chars:
-            out.setdefault(k, []).append(i)
-    return out
+def line_hashes(text: Column, min_chars: int) -> Column:
+    """Per line the 64-bit hash of its key, null for keys of fewer than ``min_chars`` code points."""
+    keys = F.transform(F.split(text, "\n", -1), lambda line: lower_ascii_col(F.btrim(line, F.lit(_STRIP))))
+    return F.transform(keys, lambda k: F.when(F.length(k) >= min_chars, F.xxhash64(k)))
 
 
 def _positions(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -60,17 +56,15 @@ def _slices(positions: np.ndarray) -> dict[int, bytes]:
     return {int(at[i]): part.tobytes() for i, part in zip(first, np.split(low, cut))}
 
 
-def _partial_filters(min_chars: int, bits: int):
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = []
-        for batch in batches:
-            hashes.append(np.array(
-                [xxhash.xxh3_64_intdigest(k) for t in batch["__text"] for k in _keys(t, min_chars)], dtype=np.uint64))
+def _partial_filters(bits: int):
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = [b.column(0).flatten().drop_null().to_numpy().view(np.uint64) for b in batches]
         h, n = np.unique(np.concatenate(hashes or [np.empty(0, np.uint64)]), return_counts=True)
         once, twice = _slices(_positions(h, bits)), _slices(_positions(h[n > 1], bits))
         for lo in range(0, len(once), 512):
             some = list(once)[lo:lo + 512]
-            yield pd.DataFrame({"slice": some, "once": [once[s] for s in some], "twice": [twice.get(s, b"") for s in some]})
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([once[s] for s in some], pa.binary()),
+                                              pa.array([twice.get(s, b"") for s in some], pa.binary())], names=["slice", "once", "twice"])
 
     return build
 
@@ -92,7 +86,7 @@ def twice_filter(texts: DataFrame, min_chars: int, max_bits: int = MAX_BITS) ->
     while bits < min(n * BITS_PER_LINE, max_bits):
         bits <<= 1
     slices = (
-        texts.mapInPandas(_partial_filters(min_chars, bits), _BLOOM_SCHEMA)
+        texts.select(F.array_distinct(line_hashes(F.col("__text"), min_chars))).mapInArrow(_partial_filters(bits), _BLOOM_SCHEMA)
         .groupBy("slice").applyInPandas(_merged_slice, "slice int, bits binary")
     )
     out = np.zeros(bits >> 3, np.uint8)
@@ -102,32 +96,48 @@ def twice_filter(texts: DataFrame, min_chars: int, max_bits: int = MAX_BITS) ->
     return out
 
 
-def _suspect_lines(filter_bits, min_chars: int, use_filter: bool):
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _suspect_lines(filter_bits, use_filter: bool):
+    """From ``__a, __b, __text`` and the hashes of the lines, the keys that the filter has seen twice with their line numbers."""
+    names = ["__a", "__b", "key", "lines"]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = filter_bits.value
         bits = len(twice) << 3
         for batch in batches:
-            ids, keys, at = [], [], []
-            for (a, b), t in zip(zip(batch["__a"], batch["__b"]), batch["__text"]):
-                found = _keys(t, min_chars)
-                if not found:
-                    continue
-                if use_filter:
-                    h = np.array([xxhash.xxh3_64_intdigest(k) for k in found], dtype=np.uint64)
-                    p = _positions(h, bits)
-                    hit = ((twice[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
-                else:
-                    hit = np.ones(len(found), bool)
-                for (k, lines), yes in zip(found.items(), hit.tolist()):
-                    if yes:
-                        ids.append((a, b))
-                        keys.append(k)
-                        at.append(lines)
-            yield pd.DataFrame({"__a": [i[0] for i in ids], "__b": [i[1] for i in ids], "key": keys, "lines": at})
+            lists = batch.column(3)
+            ends = np.cumsum(lists.value_lengths().to_numpy())
+            lines = lists.flatten()
+            hit = lines.is_valid().to_numpy(zero_copy_only=False)
+            if use_filter:
+                at = np.flatnonzero(hit)
+                p = _positions(lines.drop_null().to_numpy().view(np.uint64), bits)
+                hit[at] = ((twice[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+            hits = np.flatnonzero(hit)
+            doc = np.searchsorted(ends, hits, side="right")
+            rows, keys, found = [], [], []
+            for d, some in zip(*_runs(doc, hits)):
+                first = int(ends[d - 1]) if d else 0
+                text, by_key = batch.column(2)[int(d)].as_py().split("\n"), {}
+                for i in some.tolist():
+                    by_key.setdefault(line_key(text[i - first]), []).append(i - first)
+                rows += [d] * len(by_key)
+                keys += by_key.keys()
+                found += by_key.values()
+            ids = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(ids), batch.column(1).take(ids), pa.array(keys, pa.string()),
+                                              pa.array(found, pa.list_(pa.int32()))], names=names)
 
     return find
 
 
+def _runs(groups: np.ndarray, values: np.ndarray) -> tuple[list, list]:
+    """The distinct values of a sorted ``groups`` and what ``values`` each has."""
+    if not len(groups):
+        return [], []
+    cut = np.flatnonzero(np.diff(groups)) + 1
+    return groups[np.concatenate([[0], cut])].tolist(), np.split(values, cut)
+
+
 def _identity(text: Column) -> list[Column]:
     """Two 64-bit hashes of a text: the result depends on the text alone, so equal texts share their drops."""
     return [F.xxhash64(text).alias("__a"), F.xxhash64(F.lit("second"), text).alias("__b")]
@@ -137,8 +147,8 @@ def dropped_lines(texts: DataFrame, min_docs: int, min_chars: int, max_bits: int
     """``__a, __b, drops``: the numbers of the lines that go, for each text that loses any."""
     bits = twice_filter(texts, min_chars, max_bits) if min_docs > 1 else np.zeros(1, np.uint8)
     shared = texts.sparkSession.sparkContext.broadcast(bits)
-    found = texts.select(*_identity(F.col("__text")), "__text").mapInPandas(
-        _suspect_lines(shared, min_chars, min_docs > 1), "__a long, __b long, key string, lines array<int>")
+    found = texts.select(*_identity(F.col("__text")), "__text", line_hashes(F.col("__text"), min_chars)).mapInArrow(
+        _suspect_lines(shared, min_docs > 1), "__a long, __b long, key string, lines array<int>")
     suspects = written(found, "suspect-lines")
     gone = cut_lineage(suspects.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("key"))
     size = gone.agg(F.sum(F.octet_length("key") + 16)).first()[0] or 0
