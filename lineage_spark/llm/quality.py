@@ -40,7 +40,7 @@ def shape_of(word: str) -> str:
     """``THE!!`` -> ``A!``, ``Then,`` -> ``Aa,``, ``x86`` -> ``a0``."""
     s = _SHAPES[0][0].sub(lambda m: "A" if m[0].isupper() else ("Aa" if m[0][0].isupper() else "a"), word)
     s = _SHAPES[1][0].sub("0", s)
-    return _SHAPES[2][0].sub(r"\1", s)[:32]
+    return _SHAPES[2][0].sub(r"\1", s)
 
 
 class _Words(dict):
@@ -132,19 +132,27 @@ def fit_ftrl(texts: list[str | None], labels: list[int], bits: int = BITS, epoch
     return QualityModel(w[:size].astype(np.float32), float(w[size]), bits)
 
 
-def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
-          max_labelled: int = MAX_LABELLED, bits: int = BITS, epochs: int = EPOCHS) -> QualityModel:
-    """Fit on the labelled rows of ``docs``; at most ``max_labelled`` ids, those of smallest hash.
-
-    Null labels and ids are left out; an id labelled more than once counts as 1 if most of its labels are 1.
-    Without any labelled row the model scores 0.5 everywhere.
-    """
+def sample_of(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, max_labelled: int) -> DataFrame:
+    """``__key, __label, __order, __text`` of the training rows (see :func:`train`)."""
     ids = (
         labels.select(labels[key].alias("__key"), labels[label].alias("__label")).dropna()
         .groupBy("__key").agg((F.avg("__label") >= 0.5).cast("int").alias("__label"))
         .withColumn("__order", F.xxhash64("__key")).orderBy("__order", "__key").limit(max_labelled)
     )
     sample = docs.select(docs[key].alias("__key"), docs[text].alias("__text")).join(F.broadcast(ids), "__key")
+    one = F.min(F.struct(F.xxhash64("__text").alias("hash"), F.col("__text").alias("text")))
+    return sample.groupBy("__key", "__label", "__order").agg(one.alias("__one_text")).select("__key", "__label", "__order", F.col("__one_text.text").alias("__text"))
+
+
+def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
+          max_labelled: int = MAX_LABELLED, bits: int = BITS, epochs: int = EPOCHS) -> QualityModel:
+    """Fit on the labelled rows of ``docs``; at most ``max_labelled`` of them, one for each of the ids of smallest hash.
+
+    Null labels and ids are left out; an id labelled more than once counts as 1 if most of its labels are 1. Of rows that repeat an id
+    the one with the text of least hash counts, so the bound holds on rows.
+    Without any labelled row the model scores 0.5 everywhere.
+    """
+    sample = sample_of(docs, labels, text, key, label, max_labelled)
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["__order", "__key", "__text"], na_position="first")

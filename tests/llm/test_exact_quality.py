@@ -98,3 +98,12 @@ def test_quality_is_the_sparse_dot_product():
         np.add.at(dense, idx, quality.SCALE / len(idx))
     z = model.bias + float(dense @ model.weights)
     assert model.score("a b X!!", cache) == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-5)
+
+
+def test_the_training_bound_holds_on_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 3}") for i in range(3000)] + [(2, "other"), (3, None)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    assert quality.train(docs, labels, max_labelled=2).weights.shape == (1 << quality.BITS,)
+    for n in (1, 2, 3):
+        rows = quality.sample_of(docs, labels, "text", "doc_id", "quality", n).collect()
+        assert len(rows) == n and len({r["__key"] for r in rows}) == n
