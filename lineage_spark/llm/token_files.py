@@ -222,8 +222,8 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, end_id: int) -> DataFrame:
-    """``key``, ``__row`` (the same when a task runs again), ``__crc`` and ``__n`` of the ids, and the ids (uint32 bytes), written out."""
+def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, end_id: int, width: int) -> DataFrame:
+    """``key``, ``__row`` (the same when a task runs again), ``__crc`` (as uint32) and ``__n`` of the ids, and the ids in ``width`` bytes each, written out."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, row = _encoder(tokenizer), TaskContext.get().partitionId() << 33
@@ -242,7 +242,8 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, end_id: int)
                 coded[own] = ids
                 raw, cuts = memoryview(coded.tobytes()), [0, *(4 * ends).tolist()]
                 crc = pa.array([zlib.crc32(raw[i:j]) for i, j in zip(cuts, cuts[1:])], pa.int64())
-                binary = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.array(cuts, np.int64)), pa.py_buffer(raw)])
+                kept = coded.astype(f"<u{width}")
+                binary = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.array(cuts, np.int64) // 4 * width), pa.py_buffer(kept)])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), pa.array(np.arange(row, row + n)), crc, pa.array(size + 1, pa.int64()),
                                                   binary.cast(pa.binary())], names=names)
                 row, at = row + n, at + n
@@ -254,13 +255,13 @@ def tokenized(docs: DataFrame, tokenizer: str, key: str, text: str, end_id: int)
     return written(docs.select(key, F.col(text).cast("string").alias(text)).mapInArrow(encode, schema), "token-ids")
 
 
-def ranked_ids(rows: DataFrame) -> np.ndarray:
+def ranked_ids(rows: DataFrame, width: int) -> np.ndarray:
     """The ids by falling count over all rows (ties by id). Its size is that of the vocabulary in use."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            part = np.bincount(np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in b.column(0)]))
+            part = np.bincount(np.concatenate([np.frombuffer(x.as_buffer(), f"<u{width}") for x in b.column(0)]))
             if len(part) > len(total):
                 total = np.concatenate([total, np.zeros(len(part) - len(total), np.int64)])
             total[:len(part)] += part
@@ -457,8 +458,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, key: str =
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "token-files")
     field = docs.select(key).schema[0]
-    rows = tokenized(docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")), tokenizer, "__key", "__text", end_id)
-    ranked = ranked_ids(rows)
+    width = 2 if max(*_tokenizer(tokenizer).get_vocab().values(), end_id) < 1 << 16 else 4  # bytes of ids on their way to the files
+    rows = tokenized(docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")), tokenizer, "__key", "__text", end_id, width)
+    ranked = ranked_ids(rows, width)
     target = _uri(folder)
     _put(f"{target}/ids_by_rank.bin", [ranked.tobytes()])
 
@@ -474,7 +476,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, key: str =
 
         for b in batches:
             for k, ids in zip(b.column(0).to_pylist(), b.column(1)):
-                out.add(k, rank[np.frombuffer(ids.as_buffer(), "<u4")])
+                out.add(k, rank[np.frombuffer(ids.as_buffer(), f"<u{width}")])
                 if out.n >= ids_per_file:
                     done()
                     out = _FileWriter()

@@ -102,18 +102,19 @@ def test_files_match_brute_force(spark, monkeypatch, per_file, block):
     assert sorted(got, key=lambda x: x[1]) == brute(rows, 1)
 
 
-def test_small_files_ids_and_ranks(spark):
+@pytest.mark.parametrize("end", [9, 70000])
+def test_small_files_ids_and_ranks(spark, end):
     rows = sample()[:200]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    files = token_files.write(df, WORDS, end_id=9, ids_per_file=200)
+    files = token_files.write(df, WORDS, end_id=end, ids_per_file=200)
     assert files.files.count() > 10
     got = files.documents(with_ids=True).collect()
-    assert sorted([tuple(r)[:4] for r in got], key=lambda x: x[1]) == brute(rows, 9)
+    assert sorted([tuple(r)[:4] for r in got], key=lambda x: x[1]) == brute(rows, end)
     texts = {}
     for k, t in rows:
-        texts.setdefault(k, []).append(whole(t) + [9])
+        texts.setdefault(k, []).append(whole(t) + [end])
     assert all(list(r["ids"]) in texts[r["doc_id"]] for r in got)
-    counts = collections.Counter(i for _, t in rows for i in whole(t) + [9])
+    counts = collections.Counter(i for _, t in rows for i in whole(t) + [end])
     assert files.ids_by_rank().tolist() == sorted(counts, key=lambda i: (-counts[i], i))
 
 
