@@ -4,7 +4,7 @@ DataFrame operations and Spark's own JVM learner only. A paragraph (a run of lin
 is read in the windows of ``WINDOWS``
 (words, step): long ones for whole notices, short ones so that the text around a short notice does not hide it. Features are the word 1- and 2-grams that occur in the training notices, so a window without any notice word is unknown by
 its features alone and is not scored further. A multinomial logistic regression gives the family; its probabilities are calibrated by
-a temperature that is fitted on whole templates (with all their cuttings) and lines held out of a fit of their own. A family is reported when its calibrated probability is high enough, the window has a
+a temperature fitted on held-out samples (which the fit has seen of the notices: an open point). A family is reported when its calibrated probability is high enough, the window has a
 telling 2-gram of the family (one of at most ``KIN`` families and of no ordinary line), and enough 2-grams of the smaller of window and
 template are in the other.
 """
@@ -176,10 +176,10 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def samples(spark: SparkSession, docs: DataFrame, text: str = "text", key: str = "doc_id", max_lines: int = ORDINARY_LINES) -> DataFrame:
-    """Labelled samples ``family, words, ordinary, source`` (``ordinary``: a line of ``docs``; ``source``: the template or sentence a sample is from): notices, their cuttings of 5 to 24 words, sentences that name no license, and at most
+    """Labelled samples ``family, words, ordinary`` (a line of ``docs``): notices, their cuttings of 5 to 24 words, sentences that name no license, and at most
     ``max_lines`` lines of ``docs`` (of smallest hash of id and line number) without the words of a notice."""
-    notices = templates(spark).withColumn("source", F.concat_ws(" ", "family", F.col("template").cast("string")))
-    cuttings = notices.where(F.size("words") > 5).select("family", "source", F.explode(F.flatten(F.transform(
+    notices = templates(spark)
+    cuttings = notices.where(F.size("words") > 5).select("family", F.explode(F.flatten(F.transform(
         F.array(*[F.lit(n) for n in (5, 8, 12, 24)]),
         lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("words") - n + 1), F.lit(3)), lambda i: F.slice("words", i, n))
     ))).alias("words"))
@@ -188,14 +188,13 @@ def samples(spark: SparkSession, docs: DataFrame, text: str = "text", key: str =
         F.count(F.lit(1)).alias("n"), F.min("family").alias("family")).where("n <= 2").groupBy().agg(F.collect_set("w").alias("own"))
     telling = [r for r in own.first()["own"]]  # words of the fixed notices
     cuttings = cuttings.where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in sorted(telling)])))
-    named = _with_words(spark.createDataFrame([(UNKNOWN, t, t) for t in NOT_LICENSES], "family string, source string, text string")).drop("text")
+    named = _with_words(spark.createDataFrame([(UNKNOWN, t) for t in NOT_LICENSES], "family string, text string")).drop("text")
     lines = docs.select(docs[key].alias("key"), F.posexplode(F.split(docs[text], "\n")).alias("at", "text"))
     plain = lines.where((F.length("text") > 20) & ~F.lower("text").rlike("licen|copyright|spdx|rights reserved|public domain|permission"))
     plain = hash_sample(plain, max_lines, F.col("key"), F.col("at")).select("text")
     ordinary = _with_words(plain).select(F.lit(UNKNOWN).alias("family"), F.slice("words", 1, WINDOW_WORDS).alias("words"))
-    fixed = notices.select("family", "words", "source").unionByName(cuttings).unionByName(named).withColumn("ordinary", F.lit(False))
-    drawn = ordinary.withColumn("ordinary", F.lit(True)).withColumn("source", F.array_join("words", " "))
-    return fixed.unionByName(drawn).where(F.size("words") > 0).distinct()
+    written = notices.select("family", "words").union(cuttings).union(named).withColumn("ordinary", F.lit(False))
+    return written.union(ordinary.withColumn("ordinary", F.lit(True))).where(F.size("words") > 0).distinct()
 
 
 @dataclass
@@ -229,43 +228,31 @@ def _softmax(logits, temperature):
 
 
 def train(labelled: DataFrame, notices: DataFrame) -> LicenseModel:
-    """Fit on the rows of :func:`samples`. Every fifth source (by hash), with all samples from it, is held out of a first fit and sets
-    the temperature; the weights come from a second fit on all rows."""
+    """Fit on ``family, words, ordinary`` rows; every fifth (by hash) is held out of the fit and sets the temperature."""
     rows = cut_lineage(labelled.select("family", "words", "ordinary", _grams(F.col("words")).alias("grams"),
-                                       (F.pmod(F.xxhash64("source"), F.lit(5)) == 0).alias("held")))
+                                       (F.pmod(F.xxhash64("words"), F.lit(5)) == 0).alias("held")))
     vocabulary = cut_lineage(notices.select(_grams(F.col("words")).alias("grams")))
     vectors = CountVectorizer(inputCol="grams", outputCol="features", binary=True).fit(vocabulary)
     families = sorted(TEMPLATES) + [UNKNOWN]
     place = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
-
-    def fitted(some: DataFrame) -> LicenseModel:
-        # classes differ in size: every family weighs the same, the unknown class as much as all families
-        sizes = {r["family"]: r["count"] for r in some.groupBy("family").count().collect()}  # one row per family
-        share = {f: (len(TEMPLATES) if f == UNKNOWN else 1.0) / sizes.get(f, 1) for f in families}
-        weight = F.get(F.array(*[F.lit(share[f]) for f in families]), place.cast("int"))
-        # every class must occur: one that is held out whole gets a row of no weight and no features
-        empty = F.array().cast("array<string>")
-        absent = [some.sparkSession.createDataFrame([(f,) for f in families if f not in sizes], "family string").select("family", empty.alias("grams"))] \
-            if len(sizes) < len(families) else []
-        data = some.select("family", "grams")
-        for extra in absent:
-            data = data.union(extra)
-        data = vectors.transform(data.withColumn("label", place.cast("double")).withColumn("weight", weight))
-        fit = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60, weightCol="weight").fit(data)
-        matrix = fit.coefficientMatrix.toArray()
-        weights = [(g, [float(v) for v in matrix[:, i]]) for i, g in enumerate(vectors.vocabulary)]
-        return LicenseModel(families, weights, [float(v) for v in fit.interceptVector], 1.0, [], [])
-
-    trial, model = fitted(rows.where("not held")), fitted(rows)
+    # classes differ in size: every family weighs the same, the unknown class as much as all families
+    sizes = {r["family"]: r["count"] for r in rows.groupBy("family").count().collect()}  # one row per family
+    share = {f: (len(TEMPLATES) if f == UNKNOWN else 1.0) / sizes.get(f, 1) for f in families}
+    weight = F.get(F.array(*[F.lit(share[f]) for f in families]), place.cast("int"))
+    data = vectors.transform(rows.where("not held or family <> 'unknown'").withColumn("label", place.cast("double")).withColumn("weight", weight))
+    fit = LogisticRegression(family="multinomial", regParam=0.002, maxIter=60, weightCol="weight").fit(data)
+    matrix = fit.coefficientMatrix.toArray()
+    weights = [(g, [float(v) for v in matrix[:, i]]) for i, g in enumerate(vectors.vocabulary)]
     ordinary = rows.where("family = 'unknown'").select(F.explode("grams").alias("g")).groupBy("g").count()
     common = {r["g"]: r["count"] for r in ordinary.collect()}  # grams of the bounded sample's lines and of the fixed sentences
     named = notices.select("family", F.explode(_bigrams(F.col("words"))).alias("g")).distinct().groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    model.telling = sorted({r["g"] for r in named.where(F.col("n") <= KIN).collect()} - set(common))  # 2-grams of the fixed notices
+    telling = sorted({r["g"] for r in named.where(F.col("n") <= KIN).collect()} - set(common))  # 2-grams of the fixed notices
     # a window is reported only with a telling 2-gram, so the rarer word of each is a necessary condition, and cheap to test
-    model.cues = sorted({min(reversed(g.split(" ")), key=lambda w: common.get(w, 0)) for g in model.telling})
+    cues = {min(reversed(g.split(" ")), key=lambda w: common.get(w, 0)) for g in telling}
+    model = LicenseModel(families, weights, [float(v) for v in fit.interceptVector], 1.0, telling, sorted(cues))
     held = rows.where("held").withColumn("row", F.monotonically_increasing_id())
     held = cut_lineage(held.select("row", "words", place.cast("int").alias("label")))
-    scored = _logits(held.select("row", "words"), trial, ["row"]).join(held.select("row", "label"), "row")
+    scored = _logits(held.select("row", "words"), model, ["row"]).join(held.select("row", "label"), "row")
     losses = scored.agg(*[F.avg(-F.log(F.greatest(F.get(_softmax(F.col("logits"), F.lit(t)), F.col("label")), F.lit(1e-12)))).alias(f"t{i}")
                           for i, t in enumerate(TEMPERATURES)]).first()
     best = min((loss, t) for loss, t in zip(losses, TEMPERATURES)) if losses[0] is not None else (0.0, 1.0)
