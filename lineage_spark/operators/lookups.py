@@ -88,7 +88,9 @@ def unmet_patterns(texts: DataFrame, text: str, patterns: DataFrame, pattern: st
     texts = texts.select(F.col(text).alias("__text")).where("__text is not null")
     wanted = _written(patterns.select(F.col(pattern).cast("string").alias("pattern")).where("pattern is not null").distinct(), "patterns")
     n = F.length("pattern")
-    met = [wanted.where(n == 0).join(texts.limit(1).select(F.lit("").alias("pattern")), "pattern", "left_semi")]
+    met = []
+    if not texts.isEmpty():
+        wanted = wanted.where(n > 0)
     for size in sorted(r[0] for r in wanted.where((n > 0) & (n < k)).select(n).distinct().collect()):  # k - 1 at most
         some = wanted.where(n == size)
         met.append(some.join(_grams(texts, "__text", size).select(F.col("gram").alias("pattern")).distinct(), "pattern", "left_semi"))
