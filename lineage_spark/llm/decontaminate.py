@@ -3,9 +3,8 @@
 1. Every document becomes numbers over the items' vocabulary (0: any other word). Passages of ``WINDOW`` words give the
    document frequencies, counted over all documents.
 2. A randomised SVD of the TF-IDF passages finds the latent basis: a random range finder, one power step and a
-   small eigenproblem; products with the passage matrix are summed by feature on the executors. It is fitted on at most
-   about ``SVD_PASSAGES`` passages of documents (a hash sample) and all passages of the block of items, so that every item's words have
-   their place in it, and used for every passage.
+   small eigenproblem; products with the passage matrix are summed by feature on the executors, over all passages of all
+   documents and of the block of items, ``SVD_PASSAGES`` at a time.
 3. In a document in which ``min_lcs`` of an item's words occur (repeated words as often), regions that hold so many of them are looked at.
    Dense ones (as long as the item divided by ``min_lcs``) are candidates as they are, so that no replaced word, offset or block of items
    loses a copy of an item of ``DENSE_WORDS`` words or more; of longer ones (words put in) the overlapping passages, of a length that fits the item, are projected and compared with
@@ -33,7 +32,7 @@ WINDOW, LEAST_WORDS = 16, 4
 MIN_KNOWN = 0.6
 DENSE_WORDS = 10  # of shorter items a few common words in order are no copy: they need the cosine and the rarest words too
 DIMENSIONS, OVERSAMPLING = 48, 16
-SVD_PASSAGES = 65_536
+SVD_PASSAGES = 1024  # passages that a task multiplies at a time
 MIN_COSINE, MIN_LCS, MIN_ANSWER = 0.7, 0.7, 0.5
 ANSWER_TERMS = 5
 BLOCK_BYTES = 4 << 20
@@ -96,7 +95,7 @@ def _encoded(vocabulary: dict[str, int]):
     return encode
 
 
-def _counts(features: int, rate: float):
+def _counts(features: int):
     """Per task: passages per feature (feature 0 counts all passages)."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(features, np.int64)
@@ -115,20 +114,6 @@ def _counts(features: int, rate: float):
     return count
 
 
-def _sampled(rate: float):
-    def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        limit = np.uint64(int(min(rate, 1.0) * ((1 << 63) - 1)))
-        for batch in batches:
-            out = []
-            for a, raw in zip(batch["__a"].to_numpy(np.int64), batch["ids"]):
-                s, p = _passages(np.frombuffer(raw, np.int32), WINDOW, WINDOW)
-                h = (a.astype(np.uint64) ^ (s.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0x9E3779B97F4A7C15)
-                out += [row.astype(np.int32).tobytes() for row in p[((h ^ (h >> np.uint64(31))) >> np.uint64(1)) < limit]]
-            yield pd.DataFrame({"ids": out})
-
-    return sample
-
-
 def _projected(p: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
     """TF-IDF passages times ``basis`` (features x dims); the passage vectors have unit length."""
     w = idf[p]
@@ -138,22 +123,43 @@ def _projected(p: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
     return y / np.maximum(norm, 1e-9)[:, None]
 
 
-def _gram_product(idf: np.ndarray, basis: np.ndarray, window: int):
-    """Per task: A^T (A basis), in rows of ``_FEATURES_PER_GROUP`` features."""
+def _add_product(total: np.ndarray, p: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> None:
+    """Adds A^T (A basis) to ``total`` for the TF-IDF matrix A of the passages ``p`` (rows of words), whose rows have unit length."""
+    q = np.sort(p[p.any(axis=1)], axis=1)
+    weight = idf[q]
+    # sum of (tf * idf)^2 over a passage's words: repeats are neighbours, and every place counts its word's places
+    first = np.ones(q.shape, bool)
+    first[:, 1:] = q[:, 1:] != q[:, :-1]
+    run = np.cumsum(first) - 1
+    same = np.bincount(run)[run].reshape(q.shape) if len(run) else run.reshape(q.shape)
+    weight = (weight / np.maximum(np.sqrt((weight * weight * same).sum(axis=1)), 1e-9)[:, None]).astype(np.float32)
+    y = np.matmul(weight[:, None, :], basis.take(q, axis=0))[:, 0]
+    at = np.flatnonzero(q)
+    at = at[np.argsort(q.ravel()[at], kind="stable")]
+    if len(at):
+        word = q.ravel()[at]
+        begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+        total[word[begin]] += np.add.reduceat(y.take(at // q.shape[1], axis=0) * weight.ravel()[at][:, None], begin)
+
+
+def _gram_product(idf: np.ndarray, basis: np.ndarray, window: int, chunk: int):
+    """Per task: A^T (A basis) over all passages of its texts, in rows of ``_FEATURES_PER_GROUP`` features."""
     def product(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(basis.shape, np.float64)
+        held: list[np.ndarray] = []
+        n = 0
         for batch in batches:
-            if not len(batch):
-                continue
-            p = np.frombuffer(b"".join(batch["ids"]), np.int32).reshape(-1, window)
-            for lo in range(0, len(p), CHUNK):
-                q = p[lo:lo + CHUNK]
-                y = _projected(q, idf, basis)
-                w = idf[q]
-                norm = np.sqrt(((q[:, :, None] == q[:, None, :]) * (w[:, :, None] * w[:, None, :])).sum(axis=(1, 2)))
-                w = w / np.maximum(norm, 1e-9)[:, None]
-                for j in range(window):
-                    np.add.at(total, q[:, j], w[:, j:j + 1] * y)
+            for raw in batch["ids"]:
+                p = _passages(np.frombuffer(raw, np.int32), window, window)[1]
+                held.append(p)
+                n += len(p)
+                if n >= chunk:
+                    many = np.concatenate(held)
+                    for lo in range(0, n, chunk):
+                        _add_product(total, many[lo:lo + chunk], idf, basis)
+                    held, n = [], 0
+        if n:
+            _add_product(total, np.concatenate(held), idf, basis)
         for g in range(0, len(total), _FEATURES_PER_GROUP):
             part = total[g:g + _FEATURES_PER_GROUP]
             if part.any():
@@ -167,12 +173,12 @@ def _summed(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"group": [int(rows["group"].iloc[0])], "sums": [np.asarray(total).tobytes()]})
 
 
-def randomised_basis(sample: DataFrame, idf: np.ndarray, dims: int, seed: int = 10) -> np.ndarray:
-    """Right singular vectors (features x dims) of the sampled TF-IDF passages."""
+def randomised_basis(encoded: DataFrame, idf: np.ndarray, dims: int, seed: int = 10) -> np.ndarray:
+    """Right singular vectors (features x dims) of the TF-IDF passages of all texts (``ids``: their words' numbers)."""
     width = min(dims + OVERSAMPLING, len(idf))
 
     def times(basis: np.ndarray) -> np.ndarray:
-        parts = sample.mapInPandas(_gram_product(idf, basis.astype(np.float32), WINDOW), "group int, sums binary") \
+        parts = encoded.mapInPandas(_gram_product(idf, basis.astype(np.float32), WINDOW, SVD_PASSAGES), "group int, sums binary") \
             .groupBy("group").applyInPandas(_summed, "group int, sums binary").collect()  # features x width numbers
         out = np.zeros(basis.shape)
         for r in parts:
@@ -312,16 +318,15 @@ def _block_leaks(docs: DataFrame, rows: list, kinds: tuple[str, str], dims: int,
         answers.append({vocabulary.setdefault(w, len(vocabulary) + 1) for w in tokens(r["answer"])})
     encoded = written(docs.mapInPandas(_encoded(vocabulary), f"key {kinds[0]}, __a long, __b long, ids binary"), "passages")
     features = len(vocabulary) + 1
-    counted = encoded.select("ids").mapInPandas(_counts(features, 1.0), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    counted = encoded.select("ids").mapInPandas(_counts(features), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     df = np.zeros(features)
     for r in counted.collect():  # one row per word of the items
         df[r["feature"]] = r["n"]
     total = df[0]
     idf = np.log((total + 1.0) / (df + 1.0)) + 1.0
     idf[0] = 0.0  # words of no item carry no weight
-    sample = written(encoded.select("__a", "ids").mapInPandas(_sampled(SVD_PASSAGES / max(total, 1)), "ids binary"), "svd-sample")
-    own = [(p.tobytes(),) for x in items for p in _passages(x.ids, WINDOW, WINDOW)[1].astype(np.int32)]
-    basis = randomised_basis(sample.union(docs.sparkSession.createDataFrame(own, "ids binary")), idf, dims)
+    own = docs.sparkSession.createDataFrame([(x.ids.tobytes(),) for x in items], "ids binary")
+    basis = randomised_basis(encoded.select("ids").union(own), idf, dims)
     for x, answer in zip(items, answers):
         for at, t in enumerate(x.ids.tolist()):
             x.masks[t] = x.masks.get(t, 0) | (1 << at)
