@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +69,116 @@ def unmet_requirements(texts: DataFrame, text_col: str, patterns: list[str]) ->
 GRAM, PIECE = 8, 4096
 # Texts that a pattern is tested on in the first round, and the factor from round to round.
 FIRST_TESTS, MORE_TESTS = 4, 16
+# Pattern tables of up to this many bytes are sent to the texts, in blocks of so many; larger ones meet them in a join on grams.
+SENT_BYTES, BLOCK_BYTES = 32 << 20, 1 << 20
+# Bytes of texts that are looked at together.
+SLICE = 1 << 20
+
+
+class _Wanted:
+    """The patterns of a block that no text met yet, by the numbers that some of their bytes make.
+
+    A pattern of fewer than 8 bytes is such a number itself. A longer one is named by 8 of its bytes, of up to 8 places those
+    that the fewest patterns share and that are rarest in the first texts, and compared where they stand: the choice decides the
+    work, not what is found. No text holds the byte 255, which parts texts; a pattern with that byte (no UTF-8) is looked for in each text.
+    """
+
+    def __init__(self, patterns: list[bytes]):
+        self.odd = [p for p in patterns if b"\xff" in p]
+        self.plain = [p for p in patterns if b"\xff" not in p]
+        # number of bytes -> number that they make -> patterns with the place of those bytes
+        self.named: dict[int, dict[int, list[tuple[bytes, int]]]] = {}
+        self._tables: dict[int, tuple[np.ndarray, np.ndarray, np.uint64]] = {}
+
+    def _name(self, first: np.ndarray) -> None:
+        """Names the patterns, given the numbers of 8 bytes in the first texts."""
+        places = [sorted({(len(p) - 8) * j // 7 for j in range(8)}) if len(p) > 8 else [0] for p in self.plain]
+        grams = [[int.from_bytes(p[i:i + 8], "little") for i in at] for p, at in zip(self.plain, places)]
+        values, number, shared = np.unique(np.array([g for of in grams for g in of], np.uint64), return_inverse=True, return_counts=True)
+        first = np.sort(first)
+        work = (shared * (1 + np.searchsorted(first, values, "right") - np.searchsorted(first, values)))[number].tolist()
+        start = 0
+        for p, at, of in zip(self.plain, places, grams):
+            best = min(range(len(at)), key=lambda i: work[start + i])
+            start += len(at)
+            self.named.setdefault(min(len(p), 8), {}).setdefault(of[best], []).append((p, at[best]))
+        self.plain = []
+
+    def _table(self, size: int) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+        """The sorted numbers of ``size`` bytes, and a table of bits of their hashes."""
+        if size not in self._tables:
+            numbers = np.sort(np.array(list(self.named[size]), np.uint64))
+            bits = max(16, (16 * len(numbers)).bit_length())
+            table = np.zeros(1 << bits, bool)
+            table[(numbers * _MIX) >> np.uint64(64 - bits)] = True
+            self._tables[size] = numbers, table, np.uint64(64 - bits)
+        return self._tables[size]
+
+    def _standing(self, number: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
+        """The wanted numbers of ``size`` bytes among those of all places, with their places."""
+        numbers, table, shift = self._table(size)
+        number = number if size == 8 else number & np.uint64((1 << 8 * size) - 1)
+        at = np.flatnonzero(table[(number * _MIX) >> shift])
+        which = np.searchsorted(numbers, number[at])
+        real = numbers[np.minimum(which, len(numbers) - 1)] == number[at]
+        at, which = at[real], which[real]
+        order = np.argsort(which, kind="stable")
+        at, which = at[order], which[order]
+        start = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]])) if len(at) else []
+        for k, places in zip(start, np.split(at, start[1:]) if len(at) else []):
+            yield int(numbers[which[k]]), places
+
+    def met(self, texts: list[bytes]) -> list[bytes]:
+        """The wanted patterns that a text contains; they are wanted no more."""
+        found = [p for p in self.odd if any(p in t for t in texts)]
+        self.odd = [p for p in self.odd if p not in found]
+        joined = b"\xff".join([*texts, b"\xff" * 15])
+        end = len(joined) - 15
+        for lo in range(0, end, SLICE):
+            n = min(SLICE, end - lo)
+            number = np.empty(-(-n // 8) * 8, np.uint64)
+            for i in range(8):
+                number[i::8] = np.frombuffer(joined, "<u8", count=len(number) // 8, offset=lo + i)
+            if self.plain:
+                self._name(number[:n])
+            for size in list(self.named):
+                for value, places in self._standing(number[:n], size):
+                    here, left = self.named[size][value], []
+                    for p, at in here:
+                        # one search of everything, if that is less work than a comparison at every place
+                        stands = len(p) <= 8 or (p in joined if 256 * len(places) > n else any(
+                            joined.startswith(p, lo + x - at) for x in places.tolist() if lo + x >= at))
+                        (found if stands else left).append(p if stands else (p, at))
+                    if len(left) < len(here):
+                        self._tables.pop(size, None)
+                        self.named[size][value] = left
+                        if not left:
+                            del self.named[size][value]
+                if not self.named[size]:
+                    del self.named[size]
+        return found
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _met_by_scan(texts: DataFrame, text: str, patterns: list[bytes]) -> DataFrame:
+    """``pattern``: those of ``patterns`` that some text contains, from one pass over the texts (a row for each task that met it)."""
+    sent = texts.sparkSession.sparkContext.broadcast(patterns)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = _Wanted(sent.value)
+        for batch in batches:
+            held, size = [], 0
+            column = batch.column(0)
+            for i in range(len(column)):
+                held.append(column[i].as_py())
+                size += len(held[-1])
+                if size >= SLICE or i == len(column) - 1:
+                    yield pa.RecordBatch.from_pydict({"pattern": pa.array(wanted.met(held), pa.binary())})
+                    held, size = [], 0
+
+    return texts.select(F.col(text).cast("binary").alias("__text")).mapInArrow(scan, "pattern binary").select(F.col("pattern").cast("string"))
 
 
 def _grams(texts: DataFrame, text: str, k: int) -> DataFrame:
@@ -78,8 +192,9 @@ def _grams(texts: DataFrame, text: str, k: int) -> DataFrame:
 def unmet_patterns(texts: DataFrame, text: str, patterns: DataFrame, pattern: str, k: int = GRAM) -> DataFrame:
     """Patterns of a table contained in no text: ``(pattern)``, distinct.
 
-    A gram index instead of one test per pattern in the plan, so the plan does not grow with the patterns. A pattern of fewer
-    than ``k`` characters is contained where it is itself a gram of its length. A longer one names one of its ``k``-grams (that of least
+    A gram index instead of one test per pattern in the plan, so the plan does not grow with the patterns. Patterns of up to
+    :data:`SENT_BYTES` are sent to the texts in blocks, and each block takes one pass over them (:class:`_Wanted`). More patterns meet the
+    texts in a join: there a pattern of fewer than ``k`` characters is contained where it is itself a gram of its length. A longer one names one of its ``k``-grams (that of least
     hash); only texts with that gram are candidates, and ``contains`` decides. A pattern is done with its first text, so
     candidates are tested in rounds, a few texts for each pattern and then more for those still unmet. A null text contains nothing, an
     empty pattern is in every other text, and null patterns are left out.
@@ -91,6 +206,14 @@ def unmet_patterns(texts: DataFrame, text: str, patterns: DataFrame, pattern: st
     met = []
     if not texts.isEmpty():
         wanted = wanted.where(n > 0)
+    size = wanted.agg(F.sum(F.octet_length("pattern") + 8)).first()[0] or 0
+    if size <= SENT_BYTES:
+        left, blocks = wanted, -(-size // BLOCK_BYTES)
+        for b in range(blocks):
+            block = wanted.where((n > 0) & (F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == b)).select(F.col("pattern").cast("binary")).collect()
+            if block:
+                left = left.join(_met_by_scan(texts, "__text", [bytes(r[0]) for r in block]).distinct(), "pattern", "left_anti")
+        return left
     for size in sorted(r[0] for r in wanted.where((n > 0) & (n < k)).select(n).distinct().collect()):  # k - 1 at most
         some = wanted.where(n == size)
         met.append(some.join(_grams(texts, "__text", size).select(F.col("gram").alias("pattern")).distinct(), "pattern", "left_semi"))

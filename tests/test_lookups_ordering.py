@@ -187,6 +187,40 @@ def test_unmet_patterns_match_brute_force(spark, monkeypatch, k):
     assert got == sorted({p for p in patterns if p is not None and not any(p in t for t in texts if t is not None)})
 
 
+@pytest.mark.parametrize("sent", [0, 1 << 20])
+def test_unmet_patterns_sent_or_joined(spark, monkeypatch, sent):
+    """Pattern tables below and above the bound, in one or more blocks, give what brute force gives."""
+    monkeypatch.setattr(lookups, "SENT_BYTES", sent)
+    monkeypatch.setattr(lookups, "BLOCK_BYTES", 900)
+    r = random.Random(9)
+    texts = ["".join(r.choices("ab\u00fc \n", k=r.choice([0, 1, 7, 30]))) for _ in range(60)] + [None, "same prefix 17 and more", "x" * 40]
+    patterns = PATTERNS + ["".join(r.choices("ab\u00fc", k=r.randrange(1, 10))) for _ in range(150)] + [f"same prefix {i} and" for i in range(30)] + ["x" * 39, "x" * 41]
+    tdf = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    got = sorted(x["pattern"] for x in lookups.unmet_patterns(tdf, "t", spark.createDataFrame([(p,) for p in patterns], "p string"), "p").collect())
+    assert got == sorted({p for p in patterns if p is not None and not any(p in t for t in texts if t is not None)})
+
+
+def test_patterns_are_sent_to_the_texts(spark, monkeypatch):
+    """A small pattern table costs one pass over the texts: no grams of the texts are written or joined."""
+    monkeypatch.setattr(lookups, "_grams", None)
+    texts = spark.createDataFrame([("a needle in the hay",)], "t string")
+    patterns = spark.createDataFrame([("needle in the",), ("dle",), ("needle in the straw",), ("zz",)], "p string")
+    got = sorted(r["pattern"] for r in lookups.unmet_patterns(texts, "t", patterns, "p").collect())
+    assert got == ["needle in the straw", "zz"]
+
+
+@pytest.mark.parametrize("slice_bytes", [8, 13, 1 << 20])
+def test_wanted_patterns_across_slices(monkeypatch, slice_bytes):
+    monkeypatch.setattr(lookups, "SLICE", slice_bytes)
+    r = random.Random(slice_bytes)
+    texts = [bytes(r.choices(b"abc", k=r.choice([0, 1, 5, 60]))) for _ in range(50)] + [b"\xff\xfe odd"]
+    patterns = {bytes(r.choices(b"abc", k=r.randrange(1, 14))) for _ in range(400)} | {b"\xfe o", b"\xff\xfe", b"\xff\xff"}
+    wanted, got = lookups._Wanted(sorted(patterns)), []
+    for lo in range(0, len(texts), 7):
+        got += wanted.met(texts[lo:lo + 7])
+    assert sorted(got) == sorted(p for p in patterns if any(p in t for t in texts))
+
+
 def test_unmet_patterns_of_empty_tables(spark):
     texts, patterns = spark.createDataFrame([("a",)], "t string"), spark.createDataFrame([("",), ("b",), (None,)], "p string")
     assert lookups.unmet_patterns(texts, "t", patterns.where("false"), "p").count() == 0
