@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 
 from lineage_spark.operators import ordering
 from lineage_spark.operators.lineage import EMPTY_PARAMETER
-from lineage_spark.session import cut_lineage
+from lineage_spark.session import scratch_path
 
 # The export format's markers and patterns.
-SECTION_MARKER = "^@"
-HEADER_END = r"^\)"
+SECTION_MARKER = "@"
+HEADER_END = ")"
 INPUT_TAG = "Input"
 OUTPUT_TAG = "Output"
 RID_PATTERN = r'rid="([^"]*)"'
@@ -55,20 +55,22 @@ def transforms_from_lines(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
     """
     line = F.col("line")
     tests = {
-        "marker": line.rlike(SECTION_MARKER), "close": line.rlike(HEADER_END), "input": line.contains(INPUT_TAG),
+        "marker": line.startswith(SECTION_MARKER), "close": line.startswith(HEADER_END), "input": line.contains(INPUT_TAG),
         "output": line.contains(OUTPUT_TAG), "signature": line.contains(SIGNATURE_TAG),
     }
-    # only the lines that say something about a step are ordered and written: bodies stay behind
+    # only the lines that say something about a step are ordered and written: bodies stay behind. They are written once before,
+    # as the ranges are found by a pass of their own
     telling = lines.select(doc, "line_no", "line", *[t.alias(f"__{n}") for n, t in tests.items()])
-    telling = telling.where(" or ".join(f"__{n}" for n in tests))
+    telling = _written(telling.where(" or ".join(f"__{n}" for n in tests)), "lines")
     scanned = ordering.ordered_scan(
         telling, [doc], ["line_no"], sums={"idx": F.col("__marker").cast("int")})
-    marked = cut_lineage(scanned.where("idx > 0").withColumn("idx", F.col("idx").cast("int")))
+    kept = [F.col(c) for c in (doc, "line_no", "line", "__close", "__input", "__output", "__signature")]
+    marked = _written(scanned.where("idx > 0").select(*kept, F.col("idx").cast("int").alias("idx")), "sections")
     key = [doc, "idx"]
 
     at = F.col("line_no")
     ends = marked.where("__close").groupBy(*key).agg(F.min("line_no").alias("close_no"))
-    m = marked.join(ends, key)
+    m = marked.where("__input or __output or __signature").join(ends, key)
     header = F.col("line_no") < F.col("close_no")
     inputs = m.where(header & F.col("__input")).select(
         *key,
@@ -110,3 +112,10 @@ def transforms_from_lines(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
             F.coalesce("inputs", F.array().cast("array<struct<pos:int,arg:string,rid:string>>")).alias("inputs"),
         )
     )
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet and read back: each branch reads only the columns it needs."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
