@@ -5,11 +5,12 @@ A text's set is its distinct word n-grams (64-bit hashes, sorted); equal sets ar
 * **Tiles.** Sizes are cut into bands; tile ``k`` takes the members whose size lets them link with a member of
   band ``k`` (two tiles per member). Two sets that link differ in at most ``H`` grams, ``H`` following from the sizes of the
   tile, so when the hash space is cut into more than ``H`` segments they agree on whole segments. Members of a tile with an equal
-  segment meet in a list; members with more than the tile's allowance of empty segments meet on those too, so no link is lost.
+  segment meet in a list; members with more than the tile's allowance of empty segments meet on those too, so no link is lost. A list
+  without a member of its own tile's band repeats another tile's and is dropped; lists that share most members become one.
 * **Bitmaps.** Lists of two give one pair. In longer lists members of different components are compared by hashed bitmaps whose
   bit counts bound the overlap from above, and each member proposes untried partners that the bound allows.
 * **Exact.** Proposed pairs are tested by intersecting the sorted arrays; links merge components, and lists that have become one
-  component are done. Rounds go on until no member of an open list has a partner left that the bound allows.
+  component are done, as are those all of whose allowed pairs were tested. The others go on with more proposals a member.
 
 Rows moved are linear in the text; no list is expanded into its pairs.
 """
@@ -31,10 +32,12 @@ from lineage_spark.llm.common import (
 from lineage_spark.llm.components import components
 
 CONTRACTING_ROUNDS = 2
-TESTS_A_ROUND = 32  # exact tests of one member in a round; rounds go on while partners are left
+# proposals of one member in a list in the first round after those, and their growth a round: where few pairs are tested in vain all go at once
+FIRST_TESTS, TESTS_GROWTH = 4, 8
 BLOCK_MEMBERS = 2048
-# bits of a bitmap for each gram (rounded up to a power of two): enough for the bound to part sets a little below the threshold
-BITMAP_FACTOR, MAX_BITMAP_BITS = 2, 1 << 15
+# bits of a bitmap for each gram (rounded up to a power of two): with so many hardly a pair below the threshold is tested in vain, and
+# a test moves two arrays of 64 bits a gram
+BITMAP_FACTOR, MAX_BITMAP_BITS = 8, 1 << 15
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
@@ -100,24 +103,32 @@ def _tiles_cached(size: int, percent: int) -> tuple[int, ...]:
     return tuple(_tiles_of(size, percent))
 
 
-def segment_keys(g: np.ndarray, percent: int) -> np.ndarray:
-    """The list keys of a set: one per segment that is not empty, in each of its tiles."""
+def _marked_keys(g: np.ndarray, percent: int) -> np.ndarray:
+    """The list keys of a set: one per segment that is not empty, in each of its tiles. Their lowest bit is 0 in the tile of the set's
+    own band, 1 where it only is a partner for smaller sets."""
     out = []
     mixed = _mix(g)
-    for k in _tiles_cached(len(g), percent):
+    tiles = _tiles_cached(len(g), percent)
+    for k in tiles:
         _, _, segments, spare = _tile(k, percent)
         if not segments:
             continue
         seg = ((g >> _S32) * np.uint64(segments)) >> _S32
         start = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
         salt = np.uint64(k * 0x1000003 + 1)
-        out.append(_mix(np.add.reduceat(mixed, start) ^ _mix(seg[start] + (salt << _S32))))
+        keys = [_mix(np.add.reduceat(mixed, start) ^ _mix(seg[start] + (salt << _S32)))]
         if segments - len(start) > spare:
             empty = np.setdiff1d(np.arange(segments, dtype=np.uint64), seg[start])
-            out.append(_mix(_M2 ^ _mix(empty + (salt << _S32))))
+            keys.append(_mix(_M2 ^ _mix(empty + (salt << _S32))))
+        out.append((np.concatenate(keys) & ~np.uint64(1)) | np.uint64(k != tiles[-1]))
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
+def segment_keys(g: np.ndarray, percent: int) -> np.ndarray:
+    """The list keys of a set without the mark of :func:`_marked_keys`."""
+    return _marked_keys(g, percent) & -2
+
+
 def _described(n: int, percent: int):
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = set()
@@ -128,7 +139,7 @@ def _described(n: int, percent: int):
                 s = set_id(g)
                 size.append(len(g))
                 sid.append(s)
-                keys.append(segment_keys(g, percent) if s not in seen else np.empty(0, np.int64))
+                keys.append(_marked_keys(g, percent) if s not in seen else np.empty(0, np.int64))
                 seen.add(s)
             yield pd.DataFrame({"key": batch["key"], "tid": batch["tid"], "n": size, "sid": sid, "keys": keys})
 
@@ -136,16 +147,18 @@ def _described(n: int, percent: int):
 
 
 def _lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Lists with two members or more from ``(key, sid)`` rows sorted by both; equal lists once per task."""
+    """Lists with two members or more, one of them of the tile's own band, from ``(marked, sid)`` rows sorted by both; equal lists once
+    per task."""
     seen: set[int] = set()
 
-    def emit(key: np.ndarray, sid: np.ndarray):
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])])
-        key, sid = key[new], sid[new]
+    def emit(marked: np.ndarray, sid: np.ndarray):
+        new = np.concatenate([[True], (marked[1:] != marked[:-1]) | (sid[1:] != sid[:-1])])
+        marked, sid = marked[new], sid[new]
+        key = marked & -2
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(start, len(key)))
         name = _mix(np.add.reduceat(_mix(sid.view(np.uint64)), start) + size.astype(np.uint64)).view(np.int64)
-        keep = np.flatnonzero(size > 1)
+        keep = np.flatnonzero((size > 1) & (marked[start] & 1 == 0))  # those of the own band come first
         keep = keep[np.unique(name[keep], return_index=True)[1]]
         keep = keep[[name[i] not in seen for i in keep]] if len(keep) else keep
         seen.update(name[keep].tolist())
@@ -154,11 +167,11 @@ def _lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
-        key, sid = batch["list_key"].to_numpy(np.int64), batch["sid"].to_numpy(np.int64)
+        key, sid = batch["marked"].to_numpy(np.int64), batch["sid"].to_numpy(np.int64)
         if not len(key):
             continue
-        cut = int(np.searchsorted(key, key[-1]))  # the last key may go on in the next batch
-        if cut == 0 and held and held[0][0][0] == key[0]:
+        cut = int(np.searchsorted(key, key[-1] & -2))  # the last key may go on in the next batch
+        if cut == 0 and held and held[0][0][0] & -2 == key[0] & -2:
             held.append((key, sid))
             continue
         done = held + [(key[:cut], sid[:cut])]
@@ -198,41 +211,59 @@ def _folded(bitmaps: list[bytes]) -> np.ndarray:
     return np.stack([np.bitwise_or.reduce(np.frombuffer(b, np.uint64).reshape(-1, width // 8), axis=0) for b in bitmaps])
 
 
-def _proposals(n, sid, comp, outer, bitmaps, tried, percent: int, gather: bool) -> list[tuple[int, int, int, int, int]]:
+def _bound(n_i, n_j, ones_i, ones_j, both) -> np.ndarray:
+    """The most grams that two sets can share: a bit that only one bitmap has stands for a gram that only its set has."""
+    return np.minimum(n_i - (ones_i - both), n_j - (ones_j - both))
+
+
+def _allowed(n_i, n_j, most, percent: int):
+    return 100 * most >= percent * (n_i + n_j - most)
+
+
+def _proposals(n, sid, comp, outer, home, bitmaps, tried, percent: int, tests: int) -> list[tuple[int, int, int, int, bool]]:
     """For every outer member of a tile, partners of other components that bit counts do not exclude and that it has not tried.
 
-    To gather, the one of least id; else up to ``TESTS_A_ROUND`` of the highest bounds. Rows are (member, partner, their components, rank).
-    None left: no pair of the member here can link.
+    With ``tests`` 0, to gather: one, the least id of those that seem to link by the expected overlap, else the likeliest one. Otherwise up
+    to ``tests`` of the likeliest, of partners at home in this tile, and a pair of outer members only once. Rows are (member, partner, their
+    components, whether the member has more than these). None left: no pair of the member here can link.
     """
     order = np.lexsort((sid, n))
-    n, sid, comp, outer = n[order], sid[order], comp[order], outer[order]
+    n, sid, comp, outer, home = n[order], sid[order], comp[order], outer[order], home[order]
     bits = _folded([bitmaps[i] for i in order])
+    ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    free = 1 - np.minimum(ones / (64 * bits.shape[1]), 0.99)  # share of the bits that are not set
     out = []
     for i in np.flatnonzero(outer):
         lo = int(np.searchsorted(n, -(-n[i] * percent // 100)))
         hi = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
-        j = np.arange(lo, hi)
-        j = j[comp[j] != comp[i]]
+        fit = comp[lo:hi] != comp[i]
+        if tests:
+            fit &= home[lo:hi] & (~outer[lo:hi] | (sid[lo:hi] > sid[i]))
+        j = lo + np.flatnonzero(fit)
         if not len(j):
             continue
-        only_i = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
-        only_j = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
-        most = np.minimum(n[i] - only_i, n[j] - only_j)
-        ok = 100 * most >= percent * (n[i] + n[j] - most)
+        both = np.bitwise_count(bits[i] & bits[j]).sum(axis=1, dtype=np.int64)
+        ok = _allowed(n[i], n[j], _bound(n[i], n[j], ones[i], ones[j], both), percent)
         if tried[order[i]] is not None and len(tried[order[i]]):
             ok &= ~np.isin(sid[j], tried[order[i]])
-        if ok.any():
-            j, most = j[ok], most[ok]
-            share = most / (n[i] + n[j] - most)
-            rank = sid[j] if gather else -(share * 1e9).astype(np.int64)
-            best = np.lexsort((sid[j], rank))[:1 if gather else TESTS_A_ROUND]
-            out += [(int(sid[i]), int(sid[j[k]]), int(comp[i]), int(comp[j[k]]), int(rank[k])) for k in best]
+        if not ok.any():
+            continue
+        j, both = j[ok], both[ok]
+        common = (n[i] + n[j] - (ones[i] - both) / free[j] - (ones[j] - both) / free[i]) / 2
+        share = common / (n[i] + n[j] - common)
+        if not tests:
+            likely = 100 * share >= percent
+            best = [np.argmin(np.where(likely, sid[j], np.iinfo(np.int64).max)) if likely.any() else np.argmax(share)]
+        else:
+            best = np.lexsort((sid[j], -share))[:tests]
+        out += [(int(sid[i]), int(sid[j[k]]), int(comp[i]), int(comp[j[k]]), len(best) < len(j)) for k in best]
     return out
 
 
-def _tile_proposals(percent: int, gather: bool):
+def _tile_proposals(percent: int, tests: int):
     """Streams rows sorted by tile; a tile that goes on in the next batch is held until it ends."""
-    columns = ["n", "sid", "comp", "outer", "bitmap", "tried"]
+    columns = ["n", "sid", "comp", "outer", "home", "bitmap", "tried"]
+    kinds = {"list": "int64", "a": "int64", "b": "int64", "ca": "int64", "cb": "int64", "more": "bool"}
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -240,12 +271,11 @@ def _tile_proposals(percent: int, gather: bool):
         def emit(rows: pd.DataFrame) -> pd.DataFrame:
             tile = rows["list"].to_numpy(np.int64), rows["block"].to_numpy(np.int64)
             new = np.flatnonzero((np.diff(tile[0]) != 0) | (np.diff(tile[1]) != 0)) + 1
-            n, sid, comp, outer, bitmap, tried = (rows[c].to_numpy() for c in columns)
+            values = [rows[c].to_numpy() for c in columns]
             found = []
             for lo, hi in zip(np.concatenate([[0], new]), np.append(new, len(rows))):
-                found += [(tile[0][lo], *p) for p in _proposals(
-                    n[lo:hi], sid[lo:hi], comp[lo:hi], outer[lo:hi], bitmap[lo:hi], tried[lo:hi], percent, gather)]
-            return pd.DataFrame(found, columns=["list", "a", "b", "ca", "cb", "rank"]).astype("int64")
+                found += [(tile[0][lo], *p) for p in _proposals(*(v[lo:hi] for v in values), percent, tests)]
+            return pd.DataFrame(found, columns=list(kinds)).astype(kinds)
 
         for batch in batches:
             if not len(batch):
@@ -285,8 +315,8 @@ class JaccardJoin:
         self.links = self._links()
 
     def _members(self) -> DataFrame:
-        postings = self.docs.select(F.explode("keys").alias("list_key"), "sid")
-        lists = postings.repartition("list_key").sortWithinPartitions("list_key", "sid") \
+        postings = self.docs.select(F.explode("keys").alias("marked"), "sid")
+        lists = postings.repartition(F.col("marked").bitwiseAND(F.lit(-2))).sortWithinPartitions("marked", "sid") \
             .mapInPandas(_lists, "list long, sid long, members long")
         return written(lists.distinct(), "jaccard-lists")
 
@@ -322,29 +352,68 @@ class JaccardJoin:
         forget(found)
         return once
 
-    def _confirmed(self, pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-        """``u, v, cu, cv, linked`` for the pairs ``a, b, ca, cb``, by exact intersection."""
-        percent = self.percent
-        pairs = written(pairs, "jaccard-pairs")
-        # a few pairs go to the arrays, instead of all arrays to the pairs
+    @staticmethod
+    def _both_ends(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+        """The ``pairs`` (``a, b, ca, cb``, written out) with the ``columns`` of the row of each end, as ``<column>_a`` and ``<column>_b``."""
+        # a few pairs go to the rows, instead of all rows to the pairs
         few = pairs.count() * 32 <= BROADCAST_BYTES
         sides = []
-        for end, grams_of in (("a", "ga"), ("b", "gb")):
+        for end in "ab":
             own = pairs.select(F.col(end).alias("sid"), "b" if end == "a" else "a", *(["ca", "cb"] if end == "a" else []))
-            found = arrays.select("sid", F.col("grams").alias(grams_of)).join(F.broadcast(own) if few else own, "sid")
+            found = rows.select("sid", *[F.col(c).alias(f"{c}_{end}") for c in columns]).join(F.broadcast(own) if few else own, "sid")
             sides.append(found.withColumnRenamed("sid", end))
-        with_b = sides[0].join(sides[1], ["a", "b"]).select("a", "b", "ca", "cb", "ga", "gb")
+        return sides[0].join(sides[1], ["a", "b"]).select("a", "b", "ca", "cb", *[f"{c}_{end}" for c in columns for end in "ab"])
+
+    def _possible(self, pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+        """The ``pairs`` that sizes and bitmaps allow."""
+        percent = self.percent
+        pairs = written(pairs, "jaccard-pairs")
+
+        def allowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                keep = []
+                for n_a, n_b, x, y in zip(batch["n_a"], batch["n_b"], batch["bitmap_a"], batch["bitmap_b"]):
+                    x, y = _folded([x, y])
+                    one, two, both = (int(np.bitwise_count(v).sum(dtype=np.int64)) for v in (x, y, x & y))
+                    keep.append(bool(_allowed(n_a, n_b, _bound(n_a, n_b, one, two, both), percent)))
+                yield batch.loc[np.array(keep, bool), ["a", "b", "ca", "cb"]]
+
+        out = written(self._both_ends(pairs, signatures, "n", "bitmap").mapInPandas(allowed, "a long, b long, ca long, cb long"), "jaccard-pairs")
+        forget(pairs)
+        return out
+
+    def _confirmed(self, pairs: DataFrame, arrays: DataFrame) -> DataFrame:
+        """``u, v, cu, cv, linked`` for the pairs ``a, b, ca, cb``, by exact intersection."""
+        percent = self.percent
+        pairs = written(pairs, "jaccard-pairs")
 
         def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 yes = [links_exactly(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                       for x, y in zip(batch["ga"], batch["gb"])]
+                       for x, y in zip(batch["grams_a"], batch["grams_b"])]
                 yield pd.DataFrame({"u": batch["a"], "v": batch["b"], "cu": batch["ca"], "cv": batch["cb"], "linked": yes})
 
-        done = written(with_b.mapInPandas(exact, "u long, v long, cu long, cv long, linked boolean"), "jaccard-tests")
+        tests = self._both_ends(pairs, arrays, "grams").mapInPandas(exact, "u long, v long, cu long, cv long, linked boolean")
+        done = written(tests, "jaccard-tests")
         forget(pairs)
         return done
 
+    @staticmethod
+    def _merged(rest: DataFrame, salt: int) -> DataFrame:
+        """``rest`` with lists that share most of their members made one list: those whose member of least hash is the same, where that
+        at least halves the rows and does not make more than twice as many pairs. A pair that shares a list before shares one after."""
+        pivots = written(rest.groupBy("list").agg(
+            F.min(F.xxhash64("sid", F.lit(salt))).alias("pivot"), F.count(F.lit(1)).alias("size")), "jaccard-lists")
+        whole = pivots.groupBy("pivot").agg(F.sum("size").alias("rows"), F.sum(F.col("size") * F.col("size")).alias("pairs"))
+        united = rest.join(small_side(pivots.select("list", "pivot"), 32), "list")
+        sizes = united.select("pivot", "sid").distinct().groupBy("pivot").agg(F.count(F.lit(1)).alias("n"))
+        good = written(whole.join(sizes, "pivot").where("2 * n <= rows and n * n <= 2 * pairs").select("pivot", "n"), "jaccard-lists")
+        out = written(united.join(small_side(good, 32), "pivot", "left").select(
+            F.when(F.col("n").isNotNull(), F.col("pivot")).otherwise(F.col("list")).alias("list"), "sid", "comp",
+            F.coalesce("n", "members").alias("members")).distinct(), "jaccard-state")
+        forget(rest, pivots, good)
+        return out
+
     @staticmethod
     def _open(rest: DataFrame) -> DataFrame:
         """Members of the lists that are not one component yet."""
@@ -360,29 +429,31 @@ class JaccardJoin:
         signatures = self._signatures(arrays)
         twos = members.where("members = 2").groupBy("list").agg(F.min("sid").alias("a"), F.max("sid").alias("b"))
         twos = twos.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb")).distinct()
-        tested = [self._confirmed(twos, arrays)]  # one written table a round
-        rest, turn = self._joined(written(members.where("members > 2").select("list", "sid", F.col("sid").alias("comp"), "members"), "jaccard-state"), tested[0]), 0
-        forget(members)
+        likely = self._possible(twos, signatures)
+        tested = [self._confirmed(likely, arrays)]  # one written table a round
+        rest = self._joined(written(members.where("members > 2").select("list", "sid", F.col("sid").alias("comp"), "members"), "jaccard-state"), tested[0])
+        forget(members, likely)
+        for salt in (1, 2):
+            rest = self._merged(rest, salt)
+        turn = 0
         while not rest.isEmpty():
-            spread = turn >= CONTRACTING_ROUNDS
-            proposed, unseen, state = self._proposed(rest, union_of(tested), signatures, turn, spread)
-            # a list whose pairs were all compared without a proposal can never have one: it is done
-            unsettled = written(proposed.select("list").union(unseen).distinct(), "jaccard-lists")
-            if unsettled.isEmpty():
-                break
-            # first one test a round for each member, towards the least id: close copies gather in one step; then several, as
-            # what is left mostly does not link
-            few = F.slice(F.array_sort(F.collect_set(F.struct("rank", "b", "ca", "cb"))), 1, TESTS_A_ROUND if spread else 1)
-            best = proposed.groupBy("a").agg(few.alias("p")).select("a", F.explode("p").alias("p")).select("a", "p.*")
+            # first one test a round for each member, towards the least id: close copies gather in one step; then several
+            tests = 0 if turn < CONTRACTING_ROUNDS else FIRST_TESTS * TESTS_GROWTH ** (turn - CONTRACTING_ROUNDS)
+            proposed, state = self._proposed(rest, union_of(tested), signatures, turn, tests)
             up = F.col("a") < F.col("b")
-            pairs = best.select(
+            pairs = proposed.select(
                 F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                 F.when(up, F.col("ca")).otherwise(F.col("cb")).alias("ca"), F.when(up, F.col("cb")).otherwise(F.col("ca")).alias("cb")).distinct()
             new = self._confirmed(pairs, arrays)
             tested.append(new)
-            kept = rest.join(small_side(unsettled, 16), "list", "left_semi")
+            kept = rest
+            if tests:
+                # every allowed pair of the other lists has been tested by now: they are done
+                unsettled = written(proposed.where("more").select("list").distinct(), "jaccard-lists")
+                state.append(unsettled)
+                kept = rest.join(small_side(unsettled, 16), "list", "left_semi")
             before, rest = rest, self._joined(kept, new)
-            forget(before, proposed, unsettled, state)
+            forget(before, proposed, *state)
             release_shuffles(self._df.sparkSession)
             turn += 1
         links = written(union_of(tested).where("linked").select("u", "v"), "jaccard-links")
@@ -403,17 +474,15 @@ class JaccardJoin:
 
         return written(arrays.select("sid", "n", bitmap("grams").alias("bitmap")), "jaccard-bitmaps")
 
-    def _proposed(self, rest: DataFrame, tested: DataFrame, signatures: DataFrame, turn: int, spread: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Proposals ``list, a, b, ca, cb, rank`` (see :func:`_proposals`), the lists not all of whose pairs were compared, and
-        the state written for them.
+    def _proposed(self, rest: DataFrame, tested: DataFrame, signatures: DataFrame, turn: int, tests: int) -> tuple[DataFrame, list[DataFrame]]:
+        """Proposals ``list, a, b, ca, cb, more`` (see :func:`_proposals`) and the state written for them.
 
-        A list of more than ``BLOCK_MEMBERS`` is cut into blocks. The first rounds contract: a member goes to one list only, the longest
-        it is in (copies share it), and there to one random block, so a bitmap moves once a round. After them (``spread``), in the lists that
+        A list of more than ``BLOCK_MEMBERS`` is cut into blocks. The first rounds (``tests`` 0) contract: a member goes to one list only, the
+        longest it is in (copies share it), and there to one random block, so a bitmap moves once a round. After them, in the lists that
         are still several components, members outside the list's main component go to all its blocks and members inside to one, so that
         every pair of different components meets.
         """
-        every = rest.select("list").distinct()
-        if not spread:
+        if not tests:
             longest = rest.groupBy("sid").agg(F.max(F.struct("members", "list")).alias("most"))
             rest = rest.join(longest, "sid").where(F.col("list") == F.col("most.list")).drop("most")
         main = rest.groupBy("list", "comp").count().groupBy("list").agg(
@@ -422,16 +491,19 @@ class JaccardJoin:
         main = written(main.select("list", "main", blocks.alias("blocks")), "jaccard-state")
         outer = F.col("comp") != F.col("main")
         own = F.pmod(F.xxhash64("sid", F.lit(turn)), F.col("blocks")).cast("int")
-        block = F.when(outer, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own)) if spread else F.array(own)
-        placed = rest.join(small_side(main, 32), "list").select("list", "sid", "comp", outer.alias("outer"), F.explode(block).alias("block"))
+        block = F.when(outer, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own)) if tests else F.array(own)
+        placed = rest.join(small_side(main, 32), "list").select(
+            "list", "sid", "comp", outer.alias("outer"), own.alias("own"), F.explode(block).alias("block"))
+        placed = written(placed.select("list", "sid", "comp", "outer", (F.col("own") == F.col("block")).alias("home"), "block"), "jaccard-state")
         refused = tested.where("not linked")
         refused = refused.select("u", "v").union(refused.select("v", "u"))
         tried = refused.groupBy(F.col("u").alias("sid")).agg(F.collect_set("v").alias("tried"))
         tried = F.broadcast(tried) if refused.count() * 64 <= BROADCAST_BYTES else tried
-        tiles = placed.join(signatures.join(tried, "sid", "left"), "sid").repartition("list", "block") \
+        # few places go to the bitmaps, instead of all bitmaps to the places
+        tiles = signatures.join(tried, "sid", "left").join(small_side(placed, 32), "sid").repartition("list", "block") \
             .sortWithinPartitions("list", "block")
-        proposed = written(tiles.mapInPandas(_tile_proposals(self.percent, not spread), "list long, a long, b long, ca long, cb long, rank long"), "jaccard-proposals")
-        return proposed, every.where(F.lit(not spread)), main
+        proposed = written(tiles.mapInPandas(_tile_proposals(self.percent, tests), "list long, a long, b long, ca long, cb long, more boolean"), "jaccard-proposals")
+        return proposed, [main, placed]
 
     def _classed(self) -> DataFrame:
         comp = components(self.links)

@@ -136,3 +136,35 @@ def test_components_of_long_paths(spark):
     edges = [(i + 1, i) for i in range(300)] + [(1000, 1001), (2000, 2000)]
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert out == {**{i: 0 for i in range(1, 301)}, 1001: 1000}
+
+
+def test_few_pairs_below_the_threshold_are_proposed():
+    """A group of near copies around the threshold: bitmaps part nearly all pairs that do not link, so tests do not grow with its square."""
+    r = np.random.default_rng(3)
+    base = r.integers(0, 2**64, 150, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([r.choice(base, 150 - d, replace=False), r.integers(0, 2**64, d, dtype=np.uint64)]))
+            for d in r.integers(0, 22, 150)]
+    n, sid = np.array([len(s) for s in sets]), np.arange(len(sets))
+    bitmaps = [jaccard._bitmap(s, jaccard._bits_for(len(s))).tobytes() for s in sets]
+    label = list(range(len(sets)))
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if jaccard.links_exactly(sets[i], sets[j], 85)}
+    for _ in sets:
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    comp, yes = np.array(label), np.ones(len(sets), bool)
+    out = jaccard._proposals(n, sid, comp, yes, yes, bitmaps, [None] * len(sets), 85, 1 << 20)
+    apart = sum(1 for i in range(len(sets)) for j in range(i) if label[i] != label[j])
+    assert apart > 1000 and len(out) < 0.05 * apart
+    assert not any(p[4] for p in out)
+    # all pairs that link are allowed, each once
+    out = jaccard._proposals(n, sid, sid, yes, yes, bitmaps, [None] * len(sets), 85, 1 << 20)
+    assert links <= {tuple(sorted(p[:2])) for p in out} and len(out) == len({tuple(sorted(p[:2])) for p in out})
+
+
+def test_lists_of_partners_only_are_dropped():
+    import pandas as pd
+
+    rows = pd.DataFrame({"marked": [8, 8, 9, 13, 13, 21, 20 + 2], "sid": [1, 2, 3, 4, 5, 6, 7]}).sort_values(["marked", "sid"])
+    for size in (1, 2, 10):
+        out = pd.concat(jaccard._lists(rows.iloc[i:i + size] for i in range(0, len(rows), size)))
+        assert sorted(out["sid"]) == [1, 2, 3]
