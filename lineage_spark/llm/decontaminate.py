@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,8 @@ WINDOW, LEAST_WORDS = 16, 4
 MIN_KNOWN = 0.6
 DENSE_WORDS = 10  # of shorter items a few common words in order are no copy: they need the cosine and the rarest words too
 DIMENSIONS, OVERSAMPLING = 48, 16
-SVD_PASSAGES = 1024  # passages that a task multiplies at a time
+SVD_PASSAGES = 4096  # passages that a task multiplies at a time
+CHUNKS_HELD = 4  # times that many are held, to be multiplied with others of as many known words
 MIN_COSINE, MIN_LCS, MIN_ANSWER = 0.7, 0.7, 0.5
 ANSWER_TERMS = 5
 BLOCK_BYTES = 4 << 20
@@ -48,6 +50,22 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall(text.lower()) if text else []
 
 
+_STRANGE = re.compile(r"\W")
+_ASCII = bytes(range(128))
+_WORD_BYTES = bytes(i if i > 127 or _TOKEN.match(chr(i)) else 32 for i in range(256))
+
+
+def word_bytes(text: str | None) -> list[bytes]:
+    """The :func:`tokens` in UTF-8, cut on the bytes of the whole text at once."""
+    low = text.lower() if text else ""
+    raw = low.encode("utf-8", "surrogatepass")
+    if not low.isascii():
+        for c in set(_STRANGE.findall(raw.translate(None, _ASCII).decode("utf-8", "surrogatepass"))):
+            low = low.replace(c, " ")
+        raw = low.encode("utf-8", "surrogatepass")
+    return raw.translate(_WORD_BYTES).split()
+
+
 @dataclass
 class _Item:
     item: object
@@ -85,11 +103,11 @@ def _passages(ids: np.ndarray, window: int, step: int) -> tuple[np.ndarray, np.n
     return s, ids[s[:, None] + np.arange(window)[None, :]]
 
 
-def _encoded(vocabulary: dict[str, int]):
+def _encoded(vocabulary: dict[bytes, int]):
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         get = vocabulary.get
         for batch in batches:
-            out = [np.array([get(w, 0) for w in tokens(t)], dtype=np.int32).tobytes() for t in batch["__text"]]
+            out = [np.fromiter(map(get, words, repeat(0)), np.int32, len(words)).tobytes() for words in map(word_bytes, batch["__text"])]
             yield pd.DataFrame({"key": batch["key"], "__a": batch["__a"], "__b": batch["__b"], "ids": out})
 
     return encode
@@ -126,6 +144,7 @@ def _projected(p: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
 def _add_product(total: np.ndarray, p: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> None:
     """Adds A^T (A basis) to ``total`` for the TF-IDF matrix A of the passages ``p`` (rows of words), whose rows have unit length."""
     q = np.sort(p[p.any(axis=1)], axis=1)
+    q = q[:, int((q == 0).sum(axis=1).min(initial=q.shape[1])):]  # other words come first and carry no weight
     weight = idf[q]
     # sum of (tf * idf)^2 over a passage's words: repeats are neighbours, and every place counts its word's places
     first = np.ones(q.shape, bool)
@@ -137,9 +156,15 @@ def _add_product(total: np.ndarray, p: np.ndarray, idf: np.ndarray, basis: np.nd
     at = np.flatnonzero(q)
     at = at[np.argsort(q.ravel()[at], kind="stable")]
     if len(at):
-        word = q.ravel()[at]
+        word, row, weight = q.ravel()[at], at // q.shape[1], weight.ravel()[at]
         begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        total[word[begin]] += np.add.reduceat(y.take(at // q.shape[1], axis=0) * weight.ravel()[at][:, None], begin)
+        # words with as many places are summed together, as products of equal shape
+        size = np.diff(np.append(begin, len(word)))
+        begin = begin[np.argsort(size, kind="stable")]
+        size, words = np.unique(size, return_counts=True)
+        for places, some in zip(size, np.split(begin, np.cumsum(words)[:-1])):
+            of = some[:, None] + np.arange(places)
+            total[word[some]] += np.matmul(weight[of][:, None, :], y.take(row[of], axis=0))[:, 0]
 
 
 def _gram_product(idf: np.ndarray, basis: np.ndarray, window: int, chunk: int):
@@ -148,18 +173,24 @@ def _gram_product(idf: np.ndarray, basis: np.ndarray, window: int, chunk: int):
         total = np.zeros(basis.shape, np.float64)
         held: list[np.ndarray] = []
         n = 0
+
+        def add() -> None:
+            # passages with as many known words go together, so that the places of other words are left out
+            many = np.concatenate(held)
+            many = many[np.argsort((many > 0).sum(axis=1), kind="stable")]
+            for lo in range(0, len(many), chunk):
+                _add_product(total, many[lo:lo + chunk], idf, basis)
+
         for batch in batches:
             for raw in batch["ids"]:
                 p = _passages(np.frombuffer(raw, np.int32), window, window)[1]
                 held.append(p)
                 n += len(p)
-                if n >= chunk:
-                    many = np.concatenate(held)
-                    for lo in range(0, n, chunk):
-                        _add_product(total, many[lo:lo + chunk], idf, basis)
+                if n >= CHUNKS_HELD * chunk:
+                    add()
                     held, n = [], 0
         if n:
-            _add_product(total, np.concatenate(held), idf, basis)
+            add()
         for g in range(0, len(total), _FEATURES_PER_GROUP):
             part = total[g:g + _FEATURES_PER_GROUP]
             if part.any():
@@ -310,12 +341,12 @@ class _Index:
 
 
 def _block_leaks(docs: DataFrame, rows: list, kinds: tuple[str, str], dims: int, checks: tuple[float, float, float]) -> DataFrame:
-    vocabulary: dict[str, int] = {}
+    vocabulary: dict[bytes, int] = {}
     items, answers = [], []
     for r in rows:
-        ids = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in tokens(r["__text"])], np.int32)
+        ids = np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in word_bytes(r["__text"])], np.int32)
         items.append(_Item(r["item"], ids))
-        answers.append({vocabulary.setdefault(w, len(vocabulary) + 1) for w in tokens(r["answer"])})
+        answers.append({vocabulary.setdefault(w, len(vocabulary) + 1) for w in word_bytes(r["answer"])})
     encoded = written(docs.mapInPandas(_encoded(vocabulary), f"key {kinds[0]}, __a long, __b long, ids binary"), "passages")
     features = len(vocabulary) + 1
     counted = encoded.select("ids").mapInPandas(_counts(features), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))

@@ -282,3 +282,27 @@ def test_basis_is_fitted_on_every_passage(spark, monkeypatch):
         basis = decontaminate.randomised_basis(df, idf, 34).astype(float)
         assert np.abs(basis.T @ basis - np.eye(34)).max() < 1e-4
         assert np.abs(a - a @ basis @ basis.T).max() < 1e-3
+
+
+def test_words_in_bytes_are_the_tokens():
+    r = random.Random(5)
+    letters = "abAB09_ \n\t.,-'\x1c\x85ßſñÉİ²٣é—“”\u00a0\u2028"
+    for text in [None, "", "—", "İstanbul — “quoted” naïve ab_c x9", *("".join(r.choices(letters, k=60)) for _ in range(300))]:
+        assert [w.decode() for w in decontaminate.word_bytes(text)] == decontaminate.tokens(text)
+
+
+def test_products_are_those_of_the_whole_matrix():
+    """Passages are regrouped by known words; the sums are those of a plain product, empty and repeated words included."""
+    r = np.random.default_rng(4)
+    texts = [(r.integers(0, 12, int(r.integers(0, 90))) * (r.random() < 0.9)).astype(np.int32) for _ in range(60)]
+    idf, basis = np.append(0.0, r.random(11) + 1), r.standard_normal((12, 5)).astype(np.float32)
+    rows = []
+    for p in np.concatenate([decontaminate._passages(t, 16, 16)[1] for t in texts]):
+        v = np.bincount(p, minlength=12) * idf
+        rows.append(v / max(np.linalg.norm(v), 1e-9))
+    a = np.array(rows)
+    frame = pd.DataFrame({"ids": [t.tobytes() for t in texts]})
+    for chunk in (3, 1024):
+        out = pd.concat(decontaminate._gram_product(idf, basis, 16, chunk)(iter([frame])))
+        got = np.frombuffer(out["sums"].iloc[0]).reshape(12, 5)
+        assert np.allclose(got, a.T @ (a @ basis), atol=1e-4)
