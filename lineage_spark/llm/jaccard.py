@@ -8,7 +8,8 @@ A text's set is its distinct word n-grams (64-bit hashes, sorted); equal sets ar
   segment meet in a list; members with more than the tile's allowance of empty segments meet on those too, so no link is lost. A list
   without a member of its own tile's band repeats another tile's and is dropped; lists that share most members become one.
 * **Bitmaps.** Lists of two give one pair. In longer lists members of different components are compared by hashed bitmaps whose
-  bit counts bound the overlap from above, and each member proposes untried partners that the bound allows.
+  bit counts bound the overlap from above, and each member proposes untried partners that the bound allows. Where a member goes to
+  all its lists, narrow bitmaps go first: only members that those leave a partner take their wide one along.
 * **Exact.** Proposed pairs are tested by intersecting the sorted arrays; links merge components, and lists that have become one
   component are done, as are those all of whose allowed pairs were tested. The others go on with more proposals a member.
 
@@ -35,9 +36,13 @@ CONTRACTING_ROUNDS = 2
 # proposals of one member in a list in the first round after those, and their growth a round: where few pairs are tested in vain all go at once
 FIRST_TESTS, TESTS_GROWTH = 4, 8
 BLOCK_MEMBERS = 2048
+# texts that a task turns into grams before it hands them on
+PIECE_TEXTS = 1000
 # bits of a bitmap for each gram (rounded up to a power of two): with so many hardly a pair below the threshold is tested in vain, and
 # a test moves two arrays of 64 bits a gram
 BITMAP_FACTOR, MAX_BITMAP_BITS = 8, 1 << 15
+# the same of a narrow bitmap: enough to part sets that share little, which most members of a list do
+NARROW_FACTOR = 2
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
@@ -129,10 +134,16 @@ def segment_keys(g: np.ndarray, percent: int) -> np.ndarray:
     return _marked_keys(g, percent) & -2
 
 
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for at in range(0, len(batch), PIECE_TEXTS):
+            yield batch.iloc[at:at + PIECE_TEXTS]
+
+
 def _described(n: int, percent: int):
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = set()
-        for batch in batches:
+        for batch in _pieces(batches):
             size, sid, keys = [], [], []
             for t in batch["__text"]:
                 g = grams(t, n)
@@ -141,7 +152,7 @@ def _described(n: int, percent: int):
                 sid.append(s)
                 keys.append(_marked_keys(g, percent) if s not in seen else np.empty(0, np.int64))
                 seen.add(s)
-            yield pd.DataFrame({"key": batch["key"], "tid": batch["tid"], "n": size, "sid": sid, "keys": keys})
+            yield pd.DataFrame({"key": batch["key"].array, "tid": batch["tid"].array, "n": size, "sid": sid, "keys": keys})
 
     return describe
 
@@ -198,9 +209,9 @@ def _bitmap(g: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(out, bitorder="little")
 
 
-def _bits_for(size: int) -> int:
+def _bits_for(size: int, factor: int = BITMAP_FACTOR) -> int:
     bits = 64
-    while bits < min(size * BITMAP_FACTOR, MAX_BITMAP_BITS):
+    while bits < min(size * factor, MAX_BITMAP_BITS):
         bits <<= 1
     return bits
 
@@ -220,19 +231,17 @@ def _allowed(n_i, n_j, most, percent: int):
     return 100 * most >= percent * (n_i + n_j - most)
 
 
-def _proposals(n, sid, comp, outer, home, bitmaps, tried, percent: int, tests: int) -> list[tuple[int, int, int, int, bool]]:
-    """For every outer member of a tile, partners of other components that bit counts do not exclude and that it has not tried.
+def _partners(n, sid, comp, outer, home, bitmaps, tried, percent: int, tests: int) -> Iterator[tuple]:
+    """For every outer member of a tile, partners of other components that bit counts do not exclude and that it has not tried: the
+    member's row, the partners' rows, and of each pair the share of common grams that the bit counts make likely.
 
-    With ``tests`` 0, to gather: one, the least id of those that seem to link by the expected overlap, else the likeliest one. Otherwise up
-    to ``tests`` of the likeliest, of partners at home in this tile, and a pair of outer members only once. Rows are (member, partner, their
-    components, whether the member has more than these). None left: no pair of the member here can link.
+    With ``tests`` only partners at home in this tile, and a pair of outer members only once.
     """
     order = np.lexsort((sid, n))
     n, sid, comp, outer, home = n[order], sid[order], comp[order], outer[order], home[order]
     bits = _folded([bitmaps[i] for i in order])
     ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
     free = 1 - np.minimum(ones / (64 * bits.shape[1]), 0.99)  # share of the bits that are not set
-    out = []
     for i in np.flatnonzero(outer):
         lo = int(np.searchsorted(n, -(-n[i] * percent // 100)))
         hi = int(np.searchsorted(n, n[i] * 100 // percent, side="right"))
@@ -250,7 +259,18 @@ def _proposals(n, sid, comp, outer, home, bitmaps, tried, percent: int, tests: i
             continue
         j, both = j[ok], both[ok]
         common = (n[i] + n[j] - (ones[i] - both) / free[j] - (ones[j] - both) / free[i]) / 2
-        share = common / (n[i] + n[j] - common)
+        yield order[i], order[j], common / (n[i] + n[j] - common)
+
+
+def _proposals(n, sid, comp, outer, home, bitmaps, tried, percent: int, tests: int) -> list[tuple[int, int, int, int, bool]]:
+    """The pairs of :func:`_partners` that are to be tested.
+
+    With ``tests`` 0, to gather: one a member, the least id of those that seem to link by the expected overlap, else the likeliest one.
+    Otherwise up to ``tests`` of the likeliest. Rows are (member, partner, their components, whether the member has more than these).
+    None left: no pair of the member here can link.
+    """
+    out = []
+    for i, j, share in _partners(n, sid, comp, outer, home, bitmaps, tried, percent, tests):
         if not tests:
             likely = 100 * share >= percent
             best = [np.argmin(np.where(likely, sid[j], np.iinfo(np.int64).max)) if likely.any() else np.argmax(share)]
@@ -260,10 +280,22 @@ def _proposals(n, sid, comp, outer, home, bitmaps, tried, percent: int, tests: i
     return out
 
 
-def _tile_proposals(percent: int, tests: int):
-    """Streams rows sorted by tile; a tile that goes on in the next batch is held until it ends."""
+def _paired(n, sid, comp, outer, home, bitmaps, tried, percent: int, tests: int) -> list[tuple[int, int, bool, bool]]:
+    """The members ``sid, comp, outer, home`` in a pair of :func:`_partners`. A narrow bitmap allows every pair that a wide one allows, so
+    those left out have no proposal to make or to get."""
+    hit = np.zeros(len(n), bool)
+    for i, j, _ in _partners(n, sid, comp, outer, home, bitmaps, tried, percent, tests):
+        hit[i] = hit[j] = True
+    return [(int(sid[i]), int(comp[i]), bool(outer[i]), bool(home[i])) for i in np.flatnonzero(hit)]
+
+
+PROPOSED = {"list": "int64", "block": "int32", "a": "int64", "b": "int64", "ca": "int64", "cb": "int64", "more": "bool"}
+PLACED = {"list": "int64", "block": "int32", "sid": "int64", "comp": "int64", "outer": "bool", "home": "bool"}
+
+
+def _by_tile(found_in, kinds: dict[str, str], percent: int, tests: int):
+    """Streams rows sorted by tile through ``found_in``; a tile that goes on in the next batch is held until it ends."""
     columns = ["n", "sid", "comp", "outer", "home", "bitmap", "tried"]
-    kinds = {"list": "int64", "a": "int64", "b": "int64", "ca": "int64", "cb": "int64", "more": "bool"}
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -274,7 +306,7 @@ def _tile_proposals(percent: int, tests: int):
             values = [rows[c].to_numpy() for c in columns]
             found = []
             for lo, hi in zip(np.concatenate([[0], new]), np.append(new, len(rows))):
-                found += [(tile[0][lo], *p) for p in _proposals(*(v[lo:hi] for v in values), percent, tests)]
+                found += [(tile[0][lo], tile[1][lo], *p) for p in found_in(*(v[lo:hi] for v in values), percent, tests)]
             return pd.DataFrame(found, columns=list(kinds)).astype(kinds)
 
         for batch in batches:
@@ -310,12 +342,18 @@ class JaccardJoin:
         docs = df.select(df[key].alias("key"), F.xxhash64(norm).alias("tid"), norm.alias("__text"))
         kind = df.schema[key].dataType.simpleString()
         self._texts = docs
-        self.docs = written(
+        described = written(
             docs.mapInPandas(_described(n, percent), f"key {kind}, tid long, n long, sid long, keys array<long>"), "jaccard-sets")
-        self.links = self._links()
+        members = self._members(described)
+        # the keys, most of these rows, have gone into the lists, and so has the shuffle of them
+        self.docs = written(described.drop("keys"), "jaccard-sets")
+        forget(described)
+        release_shuffles(df.sparkSession)
+        self.links = self._links(members)
 
-    def _members(self) -> DataFrame:
-        postings = self.docs.select(F.explode("keys").alias("marked"), "sid")
+    @staticmethod
+    def _members(described: DataFrame) -> DataFrame:
+        postings = described.select(F.explode("keys").alias("marked"), "sid")
         lists = postings.repartition(F.col("marked").bitwiseAND(F.lit(-2))).sortWithinPartitions("marked", "sid") \
             .mapInPandas(_lists, "list long, sid long, members long")
         return written(lists.distinct(), "jaccard-lists")
@@ -332,7 +370,7 @@ class JaccardJoin:
 
         def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             seen = set()
-            for batch in batches:
+            for batch in _pieces(batches):
                 sid, size, out = [], [], []
                 for tid, t in zip(batch["tid"], batch["__text"]):
                     if tid in seen:
@@ -423,8 +461,7 @@ class JaccardJoin:
         forget(rest, lists)
         return left
 
-    def _links(self) -> DataFrame:
-        members = self._members()
+    def _links(self, members: DataFrame) -> DataFrame:
         arrays = self._arrays(members)
         signatures = self._signatures(arrays)
         twos = members.where("members = 2").groupBy("list").agg(F.min("sid").alias("a"), F.max("sid").alias("b"))
@@ -472,7 +509,11 @@ class JaccardJoin:
         def bitmap(g: pd.Series) -> pd.Series:
             return pd.Series([_bitmap(a, _bits_for(len(a))).tobytes() for a in (np.frombuffer(x, np.uint64) for x in g)])
 
-        return written(arrays.select("sid", "n", bitmap("grams").alias("bitmap")), "jaccard-bitmaps")
+        @F.pandas_udf("binary")
+        def narrow(g: pd.Series) -> pd.Series:
+            return pd.Series([_bitmap(a, _bits_for(len(a), NARROW_FACTOR)).tobytes() for a in (np.frombuffer(x, np.uint64) for x in g)])
+
+        return written(arrays.select("sid", "n", bitmap("grams").alias("bitmap"), narrow("grams").alias("narrow")), "jaccard-bitmaps")
 
     def _proposed(self, rest: DataFrame, tested: DataFrame, signatures: DataFrame, turn: int, tests: int) -> tuple[DataFrame, list[DataFrame]]:
         """Proposals ``list, a, b, ca, cb, more`` (see :func:`_proposals`) and the state written for them.
@@ -480,7 +521,8 @@ class JaccardJoin:
         A list of more than ``BLOCK_MEMBERS`` is cut into blocks. The first rounds (``tests`` 0) contract: a member goes to one list only, the
         longest it is in (copies share it), and there to one random block, so a bitmap moves once a round. After them, in the lists that
         are still several components, members outside the list's main component go to all its blocks and members inside to one, so that
-        every pair of different components meets.
+        every pair of different components meets. As a member is in many lists then, it goes there with its narrow bitmap, and with the
+        wide one only to those where a partner is left.
         """
         if not tests:
             longest = rest.groupBy("sid").agg(F.max(F.struct("members", "list")).alias("most"))
@@ -499,11 +541,22 @@ class JaccardJoin:
         refused = refused.select("u", "v").union(refused.select("v", "u"))
         tried = refused.groupBy(F.col("u").alias("sid")).agg(F.collect_set("v").alias("tried"))
         tried = F.broadcast(tried) if refused.count() * 64 <= BROADCAST_BYTES else tried
-        # few places go to the bitmaps, instead of all bitmaps to the places
-        tiles = signatures.join(tried, "sid", "left").join(small_side(placed, 32), "sid").repartition("list", "block") \
-            .sortWithinPartitions("list", "block")
-        proposed = written(tiles.mapInPandas(_tile_proposals(self.percent, tests), "list long, a long, b long, ca long, cb long, more boolean"), "jaccard-proposals")
-        return proposed, [main, placed]
+
+        def tiles(places: DataFrame, width: str) -> DataFrame:
+            # few places go to the bitmaps, instead of all bitmaps to the places
+            bitmaps = signatures.select("sid", "n", F.col(width).alias("bitmap"))
+            return bitmaps.join(tried, "sid", "left").join(small_side(places, 32), "sid").repartition("list", "block") \
+                .sortWithinPartitions("list", "block")
+
+        state = [main, placed]
+        if tests:
+            placed = written(tiles(placed, "narrow").mapInPandas(
+                _by_tile(_paired, PLACED, self.percent, tests), "list long, block int, sid long, comp long, outer boolean, home boolean"), "jaccard-state")
+            state.append(placed)
+            release_shuffles(self._df.sparkSession)
+        proposed = written(tiles(placed, "bitmap").mapInPandas(
+            _by_tile(_proposals, PROPOSED, self.percent, tests), "list long, block int, a long, b long, ca long, cb long, more boolean"), "jaccard-proposals")
+        return proposed, state
 
     def _classed(self) -> DataFrame:
         comp = components(self.links)

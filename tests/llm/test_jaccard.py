@@ -168,3 +168,44 @@ def test_lists_of_partners_only_are_dropped():
     for size in (1, 2, 10):
         out = pd.concat(jaccard._lists(rows.iloc[i:i + size] for i in range(0, len(rows), size)))
         assert sorted(out["sid"]) == [1, 2, 3]
+
+
+def test_only_members_with_a_partner_take_their_wide_bitmap_along(spark, monkeypatch):
+    """Texts that share a passage and little else meet in many lists; wide bitmaps in all of them filled the disk. The keys of the lists
+    do not stay either once the lists are made."""
+    r = random.Random(5)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join(passage + [f"w{r.randrange(10**6)}" for _ in range(80)]) for _ in range(40)]
+    texts += near_copies(r, texts[0].split(), 5, 4)
+    rows, moved = list(enumerate(texts)), []
+    real = jaccard.JaccardJoin._proposed
+
+    def spied(self, rest, tested, signatures, turn, tests):
+        proposed, state = real(self, rest, tested, signatures, turn, tests)
+        if tests:
+            moved.append((state[1].count(), state[-1].count()))
+        return proposed, state
+
+    monkeypatch.setattr(jaccard.JaccardJoin, "_proposed", spied)
+    join, _ = joined(spark, rows, 2, 60)
+    assert sorted(map(tuple, join.per_document().collect())) == sorted(brute(rows, 2, 60))
+    assert moved and moved[0][0] > 100 and moved[0][1] < 0.2 * moved[0][0]
+    assert join.docs.columns == ["key", "tid", "n", "sid"]
+
+
+def test_narrow_bitmaps_leave_out_no_pair():
+    r = np.random.default_rng(6)
+    base = r.integers(0, 2**64, 200, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([r.choice(base, 200 - d, replace=False), r.integers(0, 2**64, d, dtype=np.uint64)]))
+            for d in r.integers(0, 120, 100)]
+    n, sid = np.array([len(s) for s in sets]), r.permutation(len(sets))
+    comp, outer, home = sid % 60, sid % 3 > 0, np.ones(len(sets), bool)
+    tried = [None if i % 2 else sid[:5] for i in range(len(sets))]
+    wide, narrow = ([jaccard._bitmap(s, jaccard._bits_for(len(s), f)).tobytes() for s in sets] for f in (jaccard.BITMAP_FACTOR, jaccard.NARROW_FACTOR))
+    kept = jaccard._paired(n, sid, comp, outer, home, narrow, tried, 80, 4)
+    assert kept == [k for k in zip(sid.tolist(), comp.tolist(), outer.tolist(), home.tolist()) if k[0] in {x[0] for x in kept}]
+    at = np.flatnonzero(np.isin(sid, [k[0] for k in kept]))
+    assert 0 < len(at) < len(sets)
+    pick = lambda v: [v[i] for i in at]
+    few = jaccard._proposals(n[at], sid[at], comp[at], outer[at], home[at], pick(wide), pick(tried), 80, 4)
+    assert few and few == jaccard._proposals(n, sid, comp, outer, home, wide, tried, 80, 4)
