@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineage_spark.llm import decontaminate, exact_dedup, jaccard, mixing, quality
-from lineage_spark.llm.common import written
+from lineage_spark.llm.common import limit_batches, written
 from lineage_spark.session import load
 
 # a trained classifier, hashes and random draws: no SQL for the rows of run()
@@ -20,6 +20,8 @@ MIN_QUALITY = 0.3
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose quality score is below 0.3; the classifier learns from the labelled documents."""
+    # texts are scored when the rows are written, so this holds on in the session; the executors keep these workers for the next stages
+    limit_batches(spark)
     model = quality.train(docs, load(spark, sf_dir, "labels"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return docs.where(model.column(docs["text"]) >= MIN_QUALITY).select(*columns)

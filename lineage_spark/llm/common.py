@@ -5,9 +5,11 @@ from __future__ import annotations
 import gc
 import re
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lineage_spark.session import cut_lineage, scratch_path
@@ -17,6 +19,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 # sides measured below this many bytes are broadcast; larger ones are shuffled
 BROADCAST_BYTES = 8 << 20
+# bytes of rows that a Python worker is sent at once. Spark's default of 10,000 rows or 64 MB is 20 to 50 MB of texts or arrays, held several
+# times over (buffers that double, the worker's copy, its objects), and neither the executor nor a worker that is used again gives that back
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _UPPER_TO_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -116,6 +122,24 @@ def release_shuffles(spark) -> None:
     spark._jvm.System.gc()
 
 
+def limit_batches(spark: SparkSession) -> str:
+    """From now on the session's plans send rows to Python workers in batches of about ``BATCH_BYTES``; which rows, and their order, stay
+    the same. Returns the setting before."""
+    before = spark.conf.get(_BATCH_SETTING)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return before
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """:func:`limit_batches` for the plans that are run inside."""
+    before = limit_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def union_of(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

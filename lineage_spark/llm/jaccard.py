@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lineage_spark.llm.common import (
-    BROADCAST_BYTES, forget, one_row_each, packed, release_shuffles, same_identity, small_side, union_of, word_hashes, written)
+    BROADCAST_BYTES, forget, one_row_each, packed, release_shuffles, same_identity, small_batches, small_side, union_of,
+    word_hashes, written)
 from lineage_spark.llm.components import components
 
 CONTRACTING_ROUNDS = 2
@@ -342,14 +343,15 @@ class JaccardJoin:
         docs = df.select(df[key].alias("key"), F.xxhash64(norm).alias("tid"), norm.alias("__text"))
         kind = df.schema[key].dataType.simpleString()
         self._texts = docs
-        described = written(
-            docs.mapInPandas(_described(n, percent), f"key {kind}, tid long, n long, sid long, keys array<long>"), "jaccard-sets")
-        members = self._members(described)
-        # the keys, most of these rows, have gone into the lists, and so has the shuffle of them
-        self.docs = written(described.drop("keys"), "jaccard-sets")
-        forget(described)
-        release_shuffles(df.sparkSession)
-        self.links = self._links(members)
+        with small_batches(df.sparkSession):
+            described = written(
+                docs.mapInPandas(_described(n, percent), f"key {kind}, tid long, n long, sid long, keys array<long>"), "jaccard-sets")
+            members = self._members(described)
+            # the keys, most of these rows, have gone into the lists, and so has the shuffle of them
+            self.docs = written(described.drop("keys"), "jaccard-sets")
+            forget(described)
+            release_shuffles(df.sparkSession)
+            self.links = self._links(members)
 
     @staticmethod
     def _members(described: DataFrame) -> DataFrame:

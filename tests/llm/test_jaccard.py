@@ -3,9 +3,11 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from lineage_spark.llm import jaccard
+import corpus_pipeline
+from lineage_spark.llm import common, jaccard
 from lineage_spark.llm.common import words_of
 from lineage_spark.llm.components import components
 
@@ -209,3 +211,49 @@ def test_narrow_bitmaps_leave_out_no_pair():
     pick = lambda v: [v[i] for i in at]
     few = jaccard._proposals(n[at], sid[at], comp[at], outer[at], home[at], pick(wide), pick(tried), 80, 4)
     assert few and few == jaccard._proposals(n, sid, comp, outer, home, wide, tried, 80, 4)
+
+
+def batch_bytes(df):
+    """Bytes of text in each batch that a Python worker gets."""
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"bytes": [int(b["text"].str.len().sum())]})
+
+    return [r[0] for r in df.select("text").mapInPandas(sizes, "bytes long").collect()]
+
+
+def test_workers_get_batches_of_bounded_bytes(spark, monkeypatch):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    row = 100_000
+    big = spark.range(0, 150, 1, 1).selectExpr("id doc_id", f"repeat(concat('w', id, ' '), {row}) text").selectExpr("doc_id", f"left(text, {row}) text")
+    before, inside = spark.conf.get(setting), []
+    real = jaccard.written
+
+    def spied(df, name):
+        inside.append(max(batch_bytes(big)) if not inside else int(spark.conf.get(setting).rstrip("b")))
+        return real(df, name)
+
+    monkeypatch.setattr(jaccard, "written", spied)
+    rows = [(i, f"a b c d e f {i // 4}") for i in range(40)]
+    join, _ = joined(spark, rows, 4, 85)
+    steps = list(inside)
+    assert len(steps) > 5 and max(steps) <= common.BATCH_BYTES + row
+    assert spark.conf.get(setting) == before
+    assert sorted(map(tuple, join.per_document().collect())) == sorted(brute(rows, 4, 85))
+    with pytest.raises(ZeroDivisionError), common.small_batches(spark):
+        1 / 0
+    assert spark.conf.get(setting) == before
+
+
+def test_pipeline_scores_batches_of_bounded_bytes(spark, monkeypatch):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    monkeypatch.setattr(corpus_pipeline, "load", lambda *_: labels)
+    docs = spark.createDataFrame([(1, "good words here"), (2, "bad"), (3, None)], "doc_id long, text string")
+    try:
+        kept = corpus_pipeline.quality_stage(spark, docs, "")
+        assert int(spark.conf.get(setting).rstrip("b")) == common.BATCH_BYTES
+        assert {r["doc_id"] for r in kept.collect()} <= {1, 2, 3}
+    finally:
+        spark.conf.set(setting, before)
